@@ -16,7 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsentry.functions.hours import HOURS
-from adsentry.operators import fences, hour_profile, subnet, target_ip
+from adsentry.operators import correlation, fences, hardware, hour_profile, rules, subnet, target_ip
+from adsentry.operators import profiles as profiles_ops
+from adsentry.operators import sessions as sessions_ops
+from adsentry.plans import reports
+from adsentry.plans.blacklist import build_blacklist
+from adsentry.plans.common import materialize
 from adsentry.sources import fixtures as fx
 from adsentry.sources.fixtures import with_views
 
@@ -218,7 +223,7 @@ def q_ip_hour_deviation_ranked(spark, sf_dir):
 
 @register("ip_volume_candidates", with_views(f"{_SQL_CANDIDATES}\nSELECT * FROM candidates", "visits"))
 def q_ip_volume_candidates(spark, sf_dir):
-    scores = hour_profile.ip_hour_deviation(_v(spark, sf_dir, "visits"))
+    scores = materialize(hour_profile.ip_hour_deviation(_v(spark, sf_dir, "visits")))
     return fences.ip_volume_candidates(scores).orderBy(F.desc("coef"), F.asc_nulls_first("ip"))
 
 
@@ -233,5 +238,383 @@ SELECT ip FROM candidates CROSS JOIN sq WHERE coef > qh + {fences.SCORE_K} * (qh
     ),
 )
 def q_ip_blacklist(spark, sf_dir):
-    scores = hour_profile.ip_hour_deviation(_v(spark, sf_dir, "visits"))
-    return fences.ip_blacklist(fences.ip_volume_candidates(scores))
+    return build_blacklist(_v(spark, sf_dir, "visits")).blacklist
+
+
+# --------------------------------------------------------------------------
+# A-13: correlation of two hour profiles (clicks against views)
+
+
+def _sql_share(name: str, app: str) -> str:
+    return f"""{name}_c AS (SELECT hour(ts) AS h, count(*) AS c FROM visits WHERE app_id = '{app}' GROUP BY 1),
+{name}_t AS (SELECT count(*) AS n FROM visits WHERE app_id = '{app}'),
+{name} AS (SELECT lpad(cast(g.range AS VARCHAR), 2, '0') AS hh, coalesce(c.c, 0) / t.n AS share
+           FROM range(24) g LEFT JOIN {name}_c c ON c.h = g.range CROSS JOIN {name}_t t)"""
+
+
+@register(
+    "pearson_score",
+    with_views(
+        f"""WITH {_sql_share('cx', 'click')},
+{_sql_share('vy', 'view')},
+s AS (SELECT count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(y * y) AS syy, sum(x * y) AS sxy
+      FROM (SELECT cx.share AS x, vy.share AS y FROM cx JOIN vy USING (hh)))
+SELECT n, round(CASE WHEN n = 0 THEN 'nan'::DOUBLE WHEN den = 0 THEN 0.0 ELSE num / den END, 9) AS score
+FROM (SELECT n, sxy - sx * sy / n AS num, sqrt((sxx - sx * sx / n) * (syy - sy * sy / n)) AS den FROM s)""",
+        "visits",
+    ),
+)
+def q_pearson_score(spark, sf_dir):
+    v = _v(spark, sf_dir, "visits")
+    clicks = hour_profile.population_hour_share(v.where(F.col("app_id") == "click"))
+    views = hour_profile.population_hour_share(v.where(F.col("app_id") == "view"))
+    out = correlation.pearson_score(clicks, views, "hh", "share")
+    return out.select("n", F.round("score", 9).alias("score"))
+
+
+# --------------------------------------------------------------------------
+# A-14 .. A-21: sessions and reports
+
+WATCH_IPS = (fx.HEAVY_IP, fx.CLICK_RELAY_IP)
+WATCH_MEDIA = ("m0", "m1")
+COUNT_DIMS = ("platform", "media_key", "uid", "ad_unit", "day")
+NULL_TOKEN = "<null>"
+BACKFILL_START, BACKFILL_END = "2024-01-01", "2024-02-01"
+
+
+def _sql_list(items) -> str:
+    return ", ".join(f"'{x}'" for x in items)
+
+
+_SQL_IMPS = "list_filter(events, lambda e: e.imp IS NOT NULL)"
+_SQL_CLIS = "list_filter(events, lambda e: e.cli IS NOT NULL)"
+_SQL_COUNTS = f"""counts AS (
+SELECT {', '.join(COUNT_DIMS)},
+  hour(struct_extract(struct_extract(events[1], 'req'), 'ts')) AS hour,
+  array_to_string(list_transform({_SQL_IMPS}, lambda e: coalesce(e.imp.ip, '{NULL_TOKEN}')), ',') AS imp_ips,
+  array_to_string(list_transform({_SQL_CLIS}, lambda e: coalesce(e.cli.ip, '{NULL_TOKEN}')), ',') AS cli_ips,
+  sum(len(events)) AS requests, sum(len({_SQL_IMPS})) AS impressions, sum(len({_SQL_CLIS})) AS clicks
+FROM sessions GROUP BY ALL)"""
+
+
+def _render_lists(df: DataFrame) -> DataFrame:
+    return df.withColumn("imp_ips", F.array_join("imp_ips", ",", NULL_TOKEN)).withColumn(
+        "cli_ips", F.array_join("cli_ips", ",", NULL_TOKEN)
+    )
+
+
+@register("session_counts", with_views(f"WITH {_SQL_COUNTS}\nSELECT * FROM counts", "sessions"))
+def q_session_counts(spark, sf_dir):
+    return _render_lists(sessions_ops.session_counts(_v(spark, sf_dir, "sessions"), COUNT_DIMS))
+
+
+@register(
+    "watchlist_ip_events",
+    with_views(
+        f"""
+SELECT CASE WHEN e.imp.ip IN ({_sql_list(WATCH_IPS)}) THEN 'imp'
+            WHEN e.cli.ip IN ({_sql_list(WATCH_IPS)}) THEN 'cli' ELSE 'Other' END AS kind,
+       CASE WHEN e.imp.ip IN ({_sql_list(WATCH_IPS)}) THEN e.imp.ip
+            WHEN e.cli.ip IN ({_sql_list(WATCH_IPS)}) THEN e.cli.ip ELSE 'Other' END AS ip,
+       count(*) AS n
+FROM (SELECT unnest(events) AS e FROM sessions WHERE media_key IN ({_sql_list(WATCH_MEDIA)}))
+GROUP BY 1, 2""",
+        "sessions",
+    ),
+)
+def q_watchlist_ip_events(spark, sf_dir):
+    return sessions_ops.watchlist_ip_events(_v(spark, sf_dir, "sessions"), WATCH_IPS, WATCH_MEDIA)
+
+
+_SQL_NEW_USERS = """new_users AS (
+SELECT media_key, uid, day, row_number() OVER (PARTITION BY day ORDER BY media_key, uid) AS idx
+FROM (SELECT media_key, uid, min(day) AS day FROM sessions GROUP BY 1, 2))"""
+
+
+@register("user_new_index", with_views(f"WITH {_SQL_NEW_USERS}\nSELECT * FROM new_users", "sessions"))
+def q_user_new_index(spark, sf_dir):
+    return sessions_ops.new_user_index(_v(spark, sf_dir, "sessions"))
+
+
+_SQL_RANGE = (
+    "CASE WHEN pv = 1 THEN '1' WHEN pv <= 5 THEN '2-5' WHEN pv <= 20 THEN '6-20' "
+    "WHEN pv <= 100 THEN '21-100' ELSE '>100' END"
+)
+
+
+def _sql_members(by: str) -> str:
+    sel = f"{by}, " if by else ""
+    return f"""ev AS (SELECT {sel}uid, unnest(events) AS e FROM sessions),
+members AS (
+  SELECT {sel}'REQ' AS kind, e.req.ip AS ip, uid FROM ev WHERE e.req IS NOT NULL
+  UNION ALL SELECT {sel}'IMP', e.imp.ip, uid FROM ev WHERE e.imp IS NOT NULL
+  UNION ALL SELECT {sel}'CLI', e.cli.ip, uid FROM ev WHERE e.cli IS NOT NULL)"""
+
+
+def _sql_pv_hist(key: str, by: str = "") -> str:
+    sel = f"{by}, " if by else ""
+    return f"""SELECT {sel}kind, {_SQL_RANGE} AS pv_range, count(*) AS n
+FROM (SELECT {sel}kind, {key}, count(*) AS pv FROM members GROUP BY ALL) GROUP BY ALL"""
+
+
+@register("ip_pv_range", with_views(f"WITH {_sql_members('')}\n{_sql_pv_hist('ip')}", "sessions"))
+def q_ip_pv_range(spark, sf_dir):
+    return sessions_ops.ip_pv_range(_v(spark, sf_dir, "sessions"))
+
+
+@register("user_pv_range", with_views(f"WITH {_sql_members('')}\n{_sql_pv_hist('uid')}", "sessions"))
+def q_user_pv_range(spark, sf_dir):
+    return sessions_ops.user_pv_range(_v(spark, sf_dir, "sessions"))
+
+
+def _sql_report_long() -> str:
+    return f"""WITH {_sql_members('day')},
+iph AS ({_sql_pv_hist('ip', 'day')}),
+uph AS ({_sql_pv_hist('uid', 'day')}),
+{_SQL_COUNTS},
+first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions GROUP BY 1, 2),
+np AS (SELECT c.day, c.media_key, CASE WHEN f.fday IS NOT NULL THEN 'new' ELSE 'known' END AS user_kind,
+         count(DISTINCT c.uid) AS users, sum(requests) AS requests, sum(impressions) AS impressions,
+         sum(clicks) AS clicks
+       FROM counts c LEFT JOIN first_day f ON c.media_key = f.media_key AND c.uid = f.uid AND c.day = f.fday
+       GROUP BY 1, 2, 3)
+SELECT 'AD_IP_PVRANGE_' || kind AS report, day, pv_range AS bucket, 'n' AS metric, n AS value FROM iph
+UNION ALL SELECT 'AD_USER_PVRANGE_' || kind, day, pv_range, 'n', n FROM uph
+UNION ALL SELECT 'AD_NEW_USER_PV', day, media_key || '|' || user_kind, 'users', users FROM np
+UNION ALL SELECT 'AD_NEW_USER_PV', day, media_key || '|' || user_kind, 'requests', requests FROM np
+UNION ALL SELECT 'AD_NEW_USER_PV', day, media_key || '|' || user_kind, 'impressions', impressions FROM np
+UNION ALL SELECT 'AD_NEW_USER_PV', day, media_key || '|' || user_kind, 'clicks', clicks FROM np"""
+
+
+@register("report_suite", with_views(_sql_report_long(), "sessions"))
+def q_report_suite(spark, sf_dir):
+    return reports.to_long(reports.report_suite(_v(spark, sf_dir, "sessions")))
+
+
+_SQL_BACKFILL = with_views(_sql_report_long(), "sessions").replace(
+    "FROM visits GROUP BY ALL)",
+    f"FROM visits WHERE cast(ts AS DATE) >= DATE '{BACKFILL_START}' AND cast(ts AS DATE) < DATE '{BACKFILL_END}'"
+    " GROUP BY ALL)",
+    1,
+)
+
+
+@register("daily_backfill", _SQL_BACKFILL)
+def q_daily_backfill(spark, sf_dir):
+    return reports.daily_backfill(_v(spark, sf_dir, "sessions"), BACKFILL_START, BACKFILL_END)
+
+
+@register(
+    "third_party_normalize",
+    with_views(
+        """
+SELECT plat AS platform, media AS media_key, user_ref AS uid, slot AS ad_unit,
+  cast(epoch_ms(at_ms) AS DATE) AS day, 1 AS n_events, epoch_ms(at_ms) AS req_ts, addr AS req_ip,
+  action IN ('view', 'click', 'purchase') AS has_imp, action IN ('click', 'purchase') AS has_cli
+FROM third_party_log
+WHERE user_ref IS NOT NULL AND action IN ('view', 'click', 'purchase', 'signup')""",
+        "third_party_log",
+    ),
+)
+def q_third_party_normalize(spark, sf_dir):
+    s = sessions_ops.third_party_normalize(_v(spark, sf_dir, "third_party_log"))
+    first = F.get(F.col("events"), 0)
+    return s.select(
+        "platform", "media_key", "uid", "ad_unit", "day",
+        F.size("events").alias("n_events"),
+        first["req"]["ts"].alias("req_ts"),
+        first["req"]["ip"].alias("req_ip"),
+        first["imp"].isNotNull().alias("has_imp"),
+        first["cli"].isNotNull().alias("has_cli"),
+    )
+
+
+# --------------------------------------------------------------------------
+# A-22, A-23: cheater rules
+
+TRIAL_RULES = ("many_carriers", "blacklisted_ip")
+
+_SQL_TRIALS = f"""{_SQL_CANDIDATES},
+sq AS (SELECT {_sql_xquantile('candidates', 'coef', fences.SCORE_LOW_P)} AS ql,
+              {_sql_xquantile('candidates', 'coef', fences.SCORE_HIGH_P)} AS qh),
+blacklist AS (SELECT ip FROM candidates CROSS JOIN sq WHERE coef > qh + {fences.SCORE_K} * (qh - ql)),
+trials AS (
+  SELECT uid, epoch, 'many_carriers' AS rule, array_to_string(list_sort(list_distinct(operators)), ',') AS evidence
+  FROM profiles WHERE len(list_distinct(operators)) > {rules.MAX_CARRIERS}
+  UNION ALL
+  SELECT uid, epoch, 'blacklisted_ip', array_to_string(list_sort(list_distinct(list(ip))), ',')
+  FROM (SELECT uid, epoch, unnest(list_distinct(locations)) AS ip FROM profiles)
+  WHERE ip IN (SELECT ip FROM blacklist) GROUP BY uid, epoch)"""
+
+
+def _trials(spark, sf_dir):
+    black = build_blacklist(_v(spark, sf_dir, "visits")).blacklist
+    return rules.cheater_trials(_v(spark, sf_dir, "profiles"), TRIAL_RULES, blacklist=black)
+
+
+@register("cheater_trials", with_views(f"{_SQL_TRIALS}\nSELECT * FROM trials", "visits", "profiles"))
+def q_cheater_trials(spark, sf_dir):
+    return _trials(spark, sf_dir)
+
+
+@register(
+    "cheater_summary",
+    with_views(
+        f"""{_SQL_TRIALS}
+SELECT uid, array_to_string(list_sort(list_distinct(list(rule))), ',') AS rules
+FROM trials WHERE uid IS NOT NULL GROUP BY uid""",
+        "visits",
+        "profiles",
+    ),
+)
+def q_cheater_summary(spark, sf_dir):
+    return rules.cheater_summary(_trials(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# A-24 .. A-29: hardware
+
+_SQL_PAIRS = """pairs AS (SELECT DISTINCT manufacturer, model, resolution, device_id FROM devices_raw
+  WHERE manufacturer IS NOT NULL AND model IS NOT NULL AND resolution IS NOT NULL AND device_id IS NOT NULL)"""
+_SQL_DEV_COUNT = "dev AS (SELECT device_id, count(*) AS n_hardware FROM pairs GROUP BY 1)"
+
+
+@register(
+    "hardware_uv",
+    with_views(
+        f"""WITH {_SQL_PAIRS}
+SELECT manufacturer, model, resolution, count(*) AS uv FROM pairs GROUP BY 1, 2, 3 HAVING count(*) > 1""",
+        "devices_raw",
+    ),
+)
+def q_hardware_uv(spark, sf_dir):
+    return hardware.hardware_uv(hardware.hardware_pairs(_v(spark, sf_dir, "devices_raw")))
+
+
+@register("device_hardware_count", with_views(f"WITH {_SQL_PAIRS}, {_SQL_DEV_COUNT}\nSELECT * FROM dev", "devices_raw"))
+def q_device_hardware_count(spark, sf_dir):
+    return hardware.device_hardware_count(hardware.hardware_pairs(_v(spark, sf_dir, "devices_raw")))
+
+
+@register(
+    "hardware_count_histogram",
+    with_views(
+        f"""WITH {_SQL_PAIRS}, {_SQL_DEV_COUNT}
+SELECT n_hardware, count(*) AS n_devices FROM dev GROUP BY 1""",
+        "devices_raw",
+    ),
+)
+def q_hardware_count_histogram(spark, sf_dir):
+    pairs = hardware.hardware_pairs(_v(spark, sf_dir, "devices_raw"))
+    return hardware.hardware_count_histogram(hardware.device_hardware_count(pairs)).orderBy("n_devices", "n_hardware")
+
+
+def _sql_tac(pred: str) -> str:
+    return with_views(
+        f"""
+SELECT coalesce(manufacturer, 'empty') AS manufacturer, coalesce(model, 'empty') AS model,
+  coalesce(resolution, 'empty') AS resolution,
+  CASE WHEN length(imei) >= 15 THEN substr(imei, 1, 5) ELSE 'unknow' END AS tac, count(*) AS uv
+FROM (SELECT DISTINCT manufacturer, model, resolution, imei, android_id, mac, openudid FROM devices_ext WHERE {pred})
+GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""",
+        "devices_ext",
+    )
+
+
+@register("hardware_tac_uv_unidentified", _sql_tac("manufacturer IS NULL AND model IS NULL"))
+def q_hardware_tac_uv_unidentified(spark, sf_dir):
+    return hardware.hardware_tac_uv_unidentified(_v(spark, sf_dir, "devices_ext")).orderBy(F.desc("uv"))
+
+
+@register("hardware_tac_uv", _sql_tac("manufacturer IS NOT NULL AND model IS NOT NULL"))
+def q_hardware_tac_uv(spark, sf_dir):
+    return hardware.hardware_tac_uv(_v(spark, sf_dir, "devices_ext")).orderBy(F.desc("uv"))
+
+
+def _sql_part(i: int) -> str:
+    return (
+        f"CASE WHEN contains(f1, '|') THEN string_split(f1, '|')[{i}] "
+        f"WHEN contains(f2, '|') THEN string_split(f2, '|')[{i}] ELSE f{i} END"
+    )
+
+
+_BLANK = hardware.IDEOGRAPHIC_BLANK
+
+
+@register(
+    "hardware_clean",
+    with_views(
+        f"""
+SELECT * FROM (SELECT {_sql_part(1)} AS manufacturer, {_sql_part(2)} AS model, f3 AS resolution FROM hardware_rows)
+WHERE NOT contains(manufacturer || model || resolution, 'empty')
+  AND NOT contains(manufacturer || model || resolution, 'unknow')
+  AND manufacturer <> '' AND model <> '' AND resolution <> ''
+  AND manufacturer <> '{_BLANK}' AND model <> '{_BLANK}' AND resolution <> '{_BLANK}'""",
+        "hardware_rows",
+    ),
+)
+def q_hardware_clean(spark, sf_dir):
+    return hardware.hardware_clean(_v(spark, sf_dir, "hardware_rows"))
+
+
+# --------------------------------------------------------------------------
+# A-30 .. A-34: profiles
+
+
+@register(
+    "operator_count_histogram",
+    with_views(
+        "SELECT len(list_distinct(operators)) AS n_operators, count(*) AS n_profiles FROM profiles GROUP BY 1",
+        "profiles",
+    ),
+)
+def q_operator_count_histogram(spark, sf_dir):
+    return profiles_ops.operator_count_histogram(_v(spark, sf_dir, "profiles")).orderBy("n_operators")
+
+
+@register(
+    "interest_pv",
+    with_views("SELECT interest, count(*) AS pv FROM (SELECT unnest(interests) AS interest FROM profiles) GROUP BY 1",
+               "profiles"),
+)
+def q_interest_pv(spark, sf_dir):
+    return profiles_ops.interest_pv(_v(spark, sf_dir, "profiles"))
+
+
+@register(
+    "interest_uv",
+    with_views(
+        "SELECT interest, count(*) AS uv FROM (SELECT unnest(list_distinct(interests)) AS interest FROM profiles) "
+        "GROUP BY 1",
+        "profiles",
+    ),
+)
+def q_interest_uv(spark, sf_dir):
+    return profiles_ops.interest_uv(_v(spark, sf_dir, "profiles"))
+
+
+def _sql_same24(a: str, b: str) -> str:
+    return (
+        f"({a} <> '' AND {b} <> '' AND {SQL_QUAD.format(x=a)} AND {SQL_QUAD.format(x=b)} "
+        f"AND {SQL_SUBNET.format(x=a)} = {SQL_SUBNET.format(x=b)})"
+    )
+
+
+@register(
+    "adjacent_subnet_histogram",
+    with_views(
+        f"""
+SELECT len(list_filter(range(1, len(locations)),
+                       lambda i: {_sql_same24('locations[i]', 'locations[i + 1]')})) AS n_pairs,
+       count(*) AS n_profiles
+FROM profiles GROUP BY 1""",
+        "profiles",
+    ),
+)
+def q_adjacent_subnet_histogram(spark, sf_dir):
+    return subnet.adjacent_subnet_histogram(_v(spark, sf_dir, "profiles")).orderBy("n_pairs")
+
+
+@register("profile_uids", with_views("SELECT uid FROM profiles", "profiles"))
+def q_profile_uids(spark, sf_dir):
+    return profiles_ops.profile_uids(_v(spark, sf_dir, "profiles"))

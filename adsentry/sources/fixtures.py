@@ -302,7 +302,7 @@ SELECT event_id AS record_id,
   concat('m', cast(cast(uid AS INT) % 3 AS VARCHAR)) AS media,
   CASE WHEN event_id % 31 <> 0 THEN uid END AS user_ref,
   concat('u', cast(cast(uid AS INT) % 6 AS VARCHAR)) AS slot,
-  app_id AS action, epoch_ms(ts) AS at_ms, ip AS addr
+  app_id AS action, epoch_us(ts) // 1000 AS at_ms, ip AS addr
 FROM visits""",
 }
 
