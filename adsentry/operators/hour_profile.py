@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ METRICS = ("mse", "rmse", "sse", "pearson")
 
 def population_hour_counts(visits: DataFrame, ts: str = "ts") -> DataFrame:
     """One row: ``h00`` .. ``h23`` counts and the total ``n`` (global partial aggregate)."""
-    return visits.agg(*hour_count_columns(F.hour(ts)), F.count(F.lit(1)).alias("n"))
+    return visits.agg(*hour_count_columns(ts), F.count(F.lit(1)).alias("n"))
 
 
 def population_share_array(visits: DataFrame, ts: str = "ts") -> Column:
@@ -33,24 +31,31 @@ def population_hour_share(visits: DataFrame, ts: str = "ts") -> DataFrame:
     )
 
 
-def _score(metric: str, shares: list[Column], pop: list[Column]) -> Column:
+def _sum(terms: list[str]) -> str:
+    return "(" + " + ".join(terms) + ")"
+
+
+def _score(metric: str) -> Column:
+    """Score of the 24 shares ``h{hh} / size`` against ``pop[h]``, as one SQL expression.
+
+    Sums run left to right over the hours, so the result is reproducible.
+    """
+    s = [f"(h{h:02d} / size)" for h in HOURS]
+    p = [f"pop[{h}]" for h in HOURS]
+    n = float(len(HOURS))
     if metric in ("mse", "rmse", "sse"):
-        sse = reduce(lambda a, b: a + b, [(s - p) * (s - p) for s, p in zip(shares, pop)])
-        if metric == "sse":
-            return sse
-        mse = sse / F.lit(float(len(HOURS)))
-        return mse if metric == "mse" else F.sqrt(mse)
-    if metric == "pearson":
-        n = float(len(HOURS))
-        sx = reduce(lambda a, b: a + b, shares)
-        sy = reduce(lambda a, b: a + b, pop)
-        sxx = reduce(lambda a, b: a + b, [s * s for s in shares])
-        syy = reduce(lambda a, b: a + b, [p * p for p in pop])
-        sxy = reduce(lambda a, b: a + b, [s * p for s, p in zip(shares, pop)])
-        num = sxy - sx * sy / n
-        den = F.sqrt((sxx - sx * sx / n) * (syy - sy * sy / n))
-        return F.when(den == 0, F.lit(0.0)).otherwise(F.try_divide(num, den))
-    raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
+        sse = _sum([f"({a} - {b}) * ({a} - {b})" for a, b in zip(s, p)])
+        expr = {"sse": sse, "mse": f"{sse} / {n}", "rmse": f"sqrt({sse} / {n})"}[metric]
+    elif metric == "pearson":
+        sx, sy = _sum(s), _sum(p)
+        sxx, syy = _sum([f"{a} * {a}" for a in s]), _sum([f"{b} * {b}" for b in p])
+        sxy = _sum([f"{a} * {b}" for a, b in zip(s, p)])
+        num = f"({sxy} - {sx} * {sy} / {n})"
+        den = f"sqrt(({sxx} - {sx} * {sx} / {n}) * ({syy} - {sy} * {sy} / {n}))"
+        expr = f"CASE WHEN {den} = 0 THEN 0.0 ELSE try_divide({num}, {den}) END"
+    else:
+        raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
+    return F.expr(expr)
 
 
 def ip_hour_deviation(
@@ -73,13 +78,11 @@ def ip_hour_deviation(
     pop_arr = population_share_array(visits, ts)
     rows = visits.where(F.col(ip).isNotNull()) if drop_null_ip else visits
     per_ip = rows.groupBy(F.col(ip).alias("ip")).agg(
-        F.count(F.lit(1)).alias("size"), *hour_count_columns(F.hour(ts))
+        F.count(F.lit(1)).alias("size"), *hour_count_columns(ts)
     )
     # The subquery is attached once; the score refers to the column.
     with_pop = per_ip.withColumn("pop", pop_arr)
-    shares = [F.col(h) / F.col("size") for h in hour_names()]
-    pop = [F.get(F.col("pop"), h) for h in HOURS]
-    return with_pop.select("ip", "size", F.lit(True).alias("flag"), _score(metric, shares, pop).alias("coef"))
+    return with_pop.select("ip", "size", F.lit(True).alias("flag"), _score(metric).alias("coef"))
 
 
 def ip_hour_deviation_ranked(scores: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adsentry.sources.readers import read_records
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -33,9 +35,22 @@ PROFILE_INTEREST_K = 8
 PROFILE_OPERATOR_K = 4
 
 
+# Read schemas of the given tables the views use (timestamps without zone).
+# With a declared schema the scan needs no inference job and reads only
+# these columns; the other tables are read with their footer schema.
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT",
+    "part": "p_partkey BIGINT, p_brand STRING, p_type STRING, p_size INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables (column pruning and pushdown apply)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in TABLE_SCHEMAS:
+        return read_records(spark, path, TABLE_SCHEMAS[name])
+    return spark.read.parquet(path)
 
 
 def _s(c: Column) -> Column:
@@ -48,7 +63,11 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``event_id BIGINT, uid, app_id, exchange_id STRING, k INT,
     ts TIMESTAMP_NTZ, ip STRING, orders ARRAY<STRUCT<view_ip, view_ts>>``
     """
-    ev = table(spark, sf_dir, "events")
+    return visits_from_events(table(spark, sf_dir, "events"))
+
+
+def visits_from_events(ev: DataFrame) -> DataFrame:
+    """The visits projection of an ``events`` frame (batch or streaming)."""
     k = F.get_json_object("props", "$.k").cast("int")
     base = ev.select(
         "event_id",
@@ -220,6 +239,8 @@ def third_party_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EVENTS_SCHEMA = TABLE_SCHEMAS["events"]
+
 BUILDERS = {
     "visits": visits,
     "profiles": profiles,
