@@ -367,11 +367,14 @@ def q_user_pv_range(spark, sf_dir):
     return sessions_ops.user_pv_range(_v(spark, sf_dir, "sessions"))
 
 
-def _sql_report_long() -> str:
-    return f"""WITH {_sql_members('day')},
+def _sql_report_long(where: str = "") -> str:
+    """Report rows; ``where`` restricts the reported days (history stays whole)."""
+    members = _sql_members("day").replace("FROM sessions)", f"FROM sessions {where})", 1)
+    counts = _SQL_COUNTS.replace("FROM sessions GROUP BY ALL)", f"FROM sessions {where} GROUP BY ALL)", 1)
+    return f"""WITH {members},
 iph AS ({_sql_pv_hist('ip', 'day')}),
 uph AS ({_sql_pv_hist('uid', 'day')}),
-{_SQL_COUNTS},
+{counts},
 first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions GROUP BY 1, 2),
 np AS (SELECT c.day, c.media_key, CASE WHEN f.fday IS NOT NULL THEN 'new' ELSE 'known' END AS user_kind,
          count(DISTINCT c.uid) AS users, sum(requests) AS requests, sum(impressions) AS impressions,
@@ -391,11 +394,13 @@ def q_report_suite(spark, sf_dir):
     return reports.to_long(reports.report_suite(_v(spark, sf_dir, "sessions")))
 
 
-_SQL_BACKFILL = with_views(_sql_report_long(), "sessions").replace(
-    "FROM visits GROUP BY ALL)",
-    f"FROM visits WHERE cast(ts AS DATE) >= DATE '{BACKFILL_START}' AND cast(ts AS DATE) < DATE '{BACKFILL_END}'"
-    " GROUP BY ALL)",
-    1,
+_SQL_BACKFILL = with_views(
+    _sql_report_long(f"WHERE day >= DATE '{BACKFILL_START}' AND day < DATE '{BACKFILL_END}'").replace(
+        "first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions GROUP BY 1, 2)",
+        f"first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions WHERE day < DATE '{BACKFILL_END}'"
+        " GROUP BY 1, 2)",
+    ),
+    "sessions",
 )
 
 
