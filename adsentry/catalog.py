@@ -277,7 +277,7 @@ def q_pearson_score(spark, sf_dir):
 
 WATCH_IPS = (fx.HEAVY_IP, fx.CLICK_RELAY_IP)
 WATCH_MEDIA = ("m0", "m1")
-COUNT_DIMS = ("platform", "media_key", "uid", "ad_unit", "day")
+COUNT_DIMS = sessions_ops.SESSION_DIMS + sessions_ops.DEVICE_DIMS + ("day",)
 NULL_TOKEN = "<null>"
 BACKFILL_START, BACKFILL_END = "2024-01-01", "2024-02-01"
 

@@ -161,10 +161,29 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return grouped.select(
-        "platform", "media_key", "uid", "ad_unit", "day", "epoch", F.transform("e", to_event).alias("events")
+        "platform", "media_key", "uid", "ad_unit", "day", "epoch", *device_columns(), F.transform("e", to_event).alias("events")
     )
 
 
+def device_columns() -> list[Column]:
+    """Device attributes of a session, as functions of ``uid`` (the IMEI is hashed)."""
+    u = F.col("uid").cast("int")
+    tag = lambda prefix, n: F.concat(F.lit(prefix), _s(u % n))
+    return [
+        tag("pr", 7).alias("province"),
+        tag("dm", 11).alias("device_model"),
+        tag("n", 3).alias("network"),
+        F.concat(F.lit("10."), _s(u % 4), F.lit("."), _s(u % 50), F.lit(".1")).alias("device_ip"),
+        tag("op", 4).alias("carrier"),
+        tag("ua", 5).alias("user_agent"),
+        tag("os", 2).alias("os"),
+        tag("v", 6).alias("os_version"),
+        F.sha2(F.concat(F.lit("35"), F.lpad("uid", 13, "0")), 256).alias("imei"),
+        tag("vd", 9).alias("vendor"),
+        tag("r", 4).alias("resolution"),
+    ]
+
+
 def devices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device log: ``manufacturer, model, resolution, device_id`` (all strings)."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
@@ -292,6 +311,17 @@ SELECT concat('p', cast(cast(uid AS INT) % 2 AS VARCHAR)) AS platform,
   concat('m', cast(cast(uid AS INT) % 3 AS VARCHAR)) AS media_key, uid,
   concat('u', cast(cast(uid AS INT) % 6 AS VARCHAR)) AS ad_unit, cast(ts AS DATE) AS day,
   event_id // {EPOCH_IDS} AS epoch,
+  concat('pr', cast(cast(uid AS INT) % 7 AS VARCHAR)) AS province,
+  concat('dm', cast(cast(uid AS INT) % 11 AS VARCHAR)) AS device_model,
+  concat('n', cast(cast(uid AS INT) % 3 AS VARCHAR)) AS network,
+  concat('10.', cast(cast(uid AS INT) % 4 AS VARCHAR), '.', cast(cast(uid AS INT) % 50 AS VARCHAR), '.1') AS device_ip,
+  concat('op', cast(cast(uid AS INT) % 4 AS VARCHAR)) AS carrier,
+  concat('ua', cast(cast(uid AS INT) % 5 AS VARCHAR)) AS user_agent,
+  concat('os', cast(cast(uid AS INT) % 2 AS VARCHAR)) AS os,
+  concat('v', cast(cast(uid AS INT) % 6 AS VARCHAR)) AS os_version,
+  sha256(concat('35', lpad(uid, 13, '0'))) AS imei,
+  concat('vd', cast(cast(uid AS INT) % 9 AS VARCHAR)) AS vendor,
+  concat('r', cast(cast(uid AS INT) % 4 AS VARCHAR)) AS resolution,
   list({{'req': {{'ts': ts, 'ip': ip}},
         'imp': CASE WHEN app_id IN ('view', 'click', 'purchase') THEN {{'ts': ts, 'ip': ip}} END,
         'cli': CASE WHEN app_id IN ('click', 'purchase')
