@@ -61,9 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback or os.path.join("/tmp", "adsentry-checkpoints")
-    sc.setCheckpointDir(target)
-    return sc.getCheckpointDir() or target
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder: intermediate tables must survive lost executors"
+            )
+        # Local runs and tests only: one machine, so a local folder is shared.
+        configured = fallback or os.path.join("/tmp", "adsentry-checkpoints")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -20,7 +20,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsentry.sources.readers import read_records
+from adsentry.sources.readers import read_records, spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -49,8 +49,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables (column pruning and pushdown apply)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if name in TABLE_SCHEMAS:
-        return read_records(spark, path, TABLE_SCHEMAS[name])
-    return spark.read.parquet(path)
+        return spread(read_records(spark, path, TABLE_SCHEMAS[name]))
+    return spread(spark.read.parquet(path))
 
 
 def _s(c: Column) -> Column:

@@ -68,6 +68,7 @@ def main() -> None:
             "spark.eventLog.compress": "false",
             "spark.eventLog.rolling.enabled": "false",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+            "spark.adsentry.spreadSmallInputs": os.environ.get("BENCH_SPREAD", "false"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
