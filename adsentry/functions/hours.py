@@ -25,13 +25,22 @@ def hour_label(h: Column | str) -> Column:
     return F.lpad((F.col(h) if isinstance(h, str) else h).cast("string"), 2, "0")
 
 
-def hour_count_columns(ts: str = "ts", prefix: str = "h") -> list[Column]:
-    """24 aggregate expressions ``count(hour(ts) = h)`` named ``h00`` .. ``h23``.
+HOUR_COL = "_hour"
 
-    Written as SQL text so the 24 expressions cost one parse each rather
-    than a chain of small Column calls.
+
+def hour_count_columns(hour: str = HOUR_COL, prefix: str = "h") -> list[Column]:
+    """24 aggregate expressions ``count(hour = h)`` named ``h00`` .. ``h23``.
+
+    ``hour`` names a column already holding the hour of day (project it once
+    with :func:`with_hour`; otherwise the hour would be derived 24 times per
+    row). Written as SQL text so the 24 expressions cost one parse each.
     """
-    return [F.expr(f"count(CASE WHEN hour(`{ts}`) = {h} THEN 1 END) AS {prefix}{h:02d}") for h in HOURS]
+    return [F.expr(f"count(CASE WHEN `{hour}` = {h} THEN 1 END) AS {prefix}{h:02d}") for h in HOURS]
+
+
+def with_hour(df, ts: str = "ts", *keep: str):
+    """``keep`` columns plus the hour of ``ts`` as :data:`HOUR_COL`."""
+    return df.select(*keep, F.hour(ts).alias(HOUR_COL))
 
 
 def hour_names(prefix: str = "h") -> list[str]:

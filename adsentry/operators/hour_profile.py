@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsentry.functions.hours import HOURS, hour_count_columns, hour_label, hour_names
+from adsentry.functions.hours import HOURS, hour_count_columns, hour_label, hour_names, with_hour
 
 METRICS = ("mse", "rmse", "sse", "pearson")
 
 
 def population_hour_counts(visits: DataFrame, ts: str = "ts") -> DataFrame:
     """One row: ``h00`` .. ``h23`` counts and the total ``n`` (global partial aggregate)."""
-    return visits.agg(*hour_count_columns(ts), F.count(F.lit(1)).alias("n"))
+    return with_hour(visits, ts).agg(*hour_count_columns(), F.count(F.lit(1)).alias("n"))
 
 
 def population_share_array(visits: DataFrame, ts: str = "ts") -> Column:
@@ -77,8 +77,8 @@ def ip_hour_deviation(
     """
     pop_arr = population_share_array(visits, ts)
     rows = visits.where(F.col(ip).isNotNull()) if drop_null_ip else visits
-    per_ip = rows.groupBy(F.col(ip).alias("ip")).agg(
-        F.count(F.lit(1)).alias("size"), *hour_count_columns(ts)
+    per_ip = with_hour(rows, ts, F.col(ip).alias("ip")).groupBy("ip").agg(
+        F.count(F.lit(1)).alias("size"), *hour_count_columns()
     )
     # The subquery is attached once; the score refers to the column.
     with_pop = per_ip.withColumn("pop", pop_arr)

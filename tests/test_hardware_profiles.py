@@ -104,3 +104,16 @@ def test_rules_and_summary(spark):
         ("u2", 0, "blacklisted_ip", "6.6.6.6"),
     ]
     assert rows(rules.cheater_summary(trials)) == [("u1", "blacklisted_ip,many_carriers"), ("u2", "blacklisted_ip")]
+
+
+def test_hardware_library_plan(spark):
+    from adsentry.plans.hardware import build_hardware_library
+
+    lib = build_hardware_library(fx.devices_raw(spark, SF_SMALL))
+    uv = lib.hardware_uv.count()
+    assert uv > 0 and lib.clean_library.count() <= uv
+    dev = lib.device_hardware_count.agg({"n_hardware": "sum"}).first()[0]
+    hist = lib.hardware_count_histogram.selectExpr("sum(n_hardware * n_devices)").first()[0]
+    assert dev == hist
+    assert lib.dropped.get["dropped_null_rows"] == 0
+    spark.catalog.clearCache()
