@@ -250,7 +250,7 @@ def third_party_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("record_id"),
         F.concat(F.lit("p"), _s(uid_i % 2)).alias("plat"),
         F.concat(F.lit("m"), _s(uid_i % 3)).alias("media"),
-        F.when(F.col("event_id") % 31 != 0, F.col("uid")).alias("user_ref"),
+        F.col("uid").alias("user_ref"),
         F.concat(F.lit("u"), _s(uid_i % 6)).alias("slot"),
         F.col("app_id").alias("action"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"),
@@ -351,7 +351,7 @@ FROM devices_ext""",
 SELECT event_id AS record_id,
   concat('p', cast(cast(uid AS INT) % 2 AS VARCHAR)) AS plat,
   concat('m', cast(cast(uid AS INT) % 3 AS VARCHAR)) AS media,
-  CASE WHEN event_id % 31 <> 0 THEN uid END AS user_ref,
+  uid AS user_ref,
   concat('u', cast(cast(uid AS INT) % 6 AS VARCHAR)) AS slot,
   app_id AS action, epoch_us(ts) // 1000 AS at_ms, ip AS addr
 FROM visits""",
