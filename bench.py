@@ -88,6 +88,7 @@ def main() -> None:
                 if i:
                     samples.append(time.perf_counter() - t0)
             timings[name] = round(statistics.median(samples), 3)
+            spark.catalog.clearCache()  # queries are independent: drop what one persisted
         except Exception as exc:  # keep benchmarking the rest
             failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.catalog.clearCache()
