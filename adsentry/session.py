@@ -50,6 +50,35 @@ def build_session(
     return spark
 
 
+def scale_conf(
+    input_bytes: float,
+    executors: int,
+    cores_per_executor: int,
+    shuffle_fraction: float = 0.1,
+    target_partition_bytes: int = 256 << 20,
+) -> dict[str, str]:
+    """Settings sized for a cluster run (pass as ``build_session(extra=...)``).
+
+    Every aggregation here combines map-side, so a shuffle carries a fraction
+    of the input (``shuffle_fraction``). The initial shuffle partition count
+    puts about ``target_partition_bytes`` in each partition (at least two
+    waves of the cluster's cores); AQE then coalesces small partitions toward
+    the same advisory size and splits skewed ones. Scan splits use the same
+    size so a task's input fits comfortably in executor memory. For 100 TB
+    on 1000 executors x 8 cores this gives ~40k shuffle partitions.
+    """
+    cores = max(1, executors * cores_per_executor)
+    wanted = int(input_bytes * shuffle_fraction / target_partition_bytes)
+    partitions = max(2 * cores, min(wanted, 200_000))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.default.parallelism": str(2 * cores),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

@@ -89,3 +89,12 @@ def test_partition_overwrite(spark, scratch):
     b = spark.createDataFrame([("p0", dt.date(2024, 1, 2), 20)], "platform string, day date, v int")
     sinks.write_partitions(b, path)
     assert rows(spark.read.parquet(path), "v", "day") == [(1, dt.date(2024, 1, 1)), (20, dt.date(2024, 1, 2))]
+
+
+def test_scale_conf():
+    from adsentry.session import scale_conf
+
+    conf = scale_conf(100e12, executors=1000, cores_per_executor=8)
+    assert 30_000 < int(conf["spark.sql.shuffle.partitions"]) < 50_000
+    small = scale_conf(1e9, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
