@@ -98,3 +98,19 @@ def test_scale_conf():
     assert 30_000 < int(conf["spark.sql.shuffle.partitions"]) < 50_000
     small = scale_conf(1e9, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_read_pairs_flattens_value(spark, scratch):
+    path = os.path.join(scratch, "pairs")
+    spark.createDataFrame(
+        [("k1", ("1.2.3.4", 5)), ("k2", ("5.6.7.8", 7))], "key string, value struct<ip: string, n: int>"
+    ).write.parquet(path)
+    got = readers.read_pairs(spark, path + "/*.parquet", value_col="value")
+    assert got.columns == ["ip", "n"] and rows(got) == [("1.2.3.4", 5), ("5.6.7.8", 7)]
+
+
+def test_write_delimited(spark, scratch):
+    path = os.path.join(scratch, "hh")
+    sinks.write_delimited(spark.createDataFrame([("03", 2), ("04", 1)], "hh string, n long"), path)
+    lines = sorted(r.value for r in spark.read.text(path).collect())
+    assert lines == ["03|2", "04|1"]
