@@ -4,8 +4,8 @@
 rows are range-partitioned and sorted within partitions, checkpointed to the
 shared folder (which fixes partition ids and order), and then each row's
 index is ``rows in earlier partitions + position in its partition + 1``.
-Only per-partition and per-group counts (bounded by the partition count and
-the number of groups) go through small windows.
+Only the per-partition counts (one row per partition) go through a small
+window; per-group offsets are a plain aggregation.
 """
 
 from __future__ import annotations
@@ -49,16 +49,10 @@ def dense_index(
         ).alias("_off"),
     )
     out = tagged.join(F.broadcast(offsets), "_pid")  # one row per partition: bounded by n
-    rank = F.col("_off") + F.col("_pos") + 1
+    out = out.withColumn("_rank", F.col("_off") + F.col("_pos") + 1)
     if group_col:
-        groups = tagged.groupBy(group_col).agg(F.count(F.lit(1)).alias("_g"))
-        before = groups.select(
-            group_col,
-            F.coalesce(
-                F.sum("_g").over(Window.orderBy(group_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_before"),
-        )
-        # One row per group; AQE broadcasts it when its runtime size is small.
-        out = out.join(before, group_col)
-        rank = rank - F.col("_before")
-    return out.withColumn(name, rank).drop("_pid", "_pos", "_off", "_before")
+        # A group's rows are contiguous in the global order, so its offset is
+        # its smallest global rank: a partial + final aggregate, no window.
+        firsts = out.groupBy(group_col).agg(F.min("_rank").alias("_first"))
+        out = out.join(firsts, group_col).withColumn("_rank", F.col("_rank") - F.col("_first") + 1)
+    return out.withColumnRenamed("_rank", name).drop("_pid", "_pos", "_off", "_first")
