@@ -9,8 +9,8 @@ from conftest import SF_SMALL
 
 def test_entry_runs(spark):
     df = entry_mod.entry(spark)
-    assert df.columns == ["ip", "size", "coef"]
-    df.collect()
+    assert df.columns == ["ip", "size", "flag", "coef"]
+    assert len(df.collect()) > 0
 
 
 def test_every_query_has_an_oracle():
