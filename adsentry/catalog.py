@@ -290,10 +290,11 @@ _SQL_IMPS = "list_filter(events, lambda e: e.imp IS NOT NULL)"
 _SQL_CLIS = "list_filter(events, lambda e: e.cli IS NOT NULL)"
 _SQL_COUNTS = f"""counts AS (
 SELECT {', '.join(COUNT_DIMS)},
-  hour(struct_extract(struct_extract(events[1], 'req'), 'ts')) AS hour,
+  hour(struct_extract(struct_extract(events[1], 'req'), 'ts'))::INTEGER AS hour,
   array_to_string(list_transform({_SQL_IMPS}, lambda e: coalesce(e.imp.ip, '{NULL_TOKEN}')), ',') AS imp_ips,
   array_to_string(list_transform({_SQL_CLIS}, lambda e: coalesce(e.cli.ip, '{NULL_TOKEN}')), ',') AS cli_ips,
-  sum(len(events)) AS requests, sum(len({_SQL_IMPS})) AS impressions, sum(len({_SQL_CLIS})) AS clicks
+  sum(len(events))::BIGINT AS requests, sum(len({_SQL_IMPS}))::BIGINT AS impressions,
+  sum(len({_SQL_CLIS}))::BIGINT AS clicks
 FROM sessions GROUP BY ALL)"""
 
 
@@ -377,8 +378,8 @@ uph AS ({_sql_pv_hist('uid', 'day')}),
 {counts},
 first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions GROUP BY 1, 2),
 np AS (SELECT c.day, c.media_key, CASE WHEN f.fday IS NOT NULL THEN 'new' ELSE 'known' END AS user_kind,
-         count(DISTINCT c.uid) AS users, sum(requests) AS requests, sum(impressions) AS impressions,
-         sum(clicks) AS clicks
+         count(DISTINCT c.uid) AS users, sum(requests)::BIGINT AS requests,
+         sum(impressions)::BIGINT AS impressions, sum(clicks)::BIGINT AS clicks
        FROM counts c LEFT JOIN first_day f ON c.media_key = f.media_key AND c.uid = f.uid AND c.day = f.fday
        GROUP BY 1, 2, 3)
 SELECT 'AD_IP_PVRANGE_' || kind AS report, day, pv_range AS bucket, 'n' AS metric, n AS value FROM iph
@@ -569,7 +570,7 @@ def q_hardware_clean(spark, sf_dir):
 @register(
     "operator_count_histogram",
     with_views(
-        "SELECT len(list_distinct(operators)) AS n_operators, count(*) AS n_profiles FROM profiles GROUP BY 1",
+        "SELECT len(list_distinct(operators))::INTEGER AS n_operators, count(*) AS n_profiles FROM profiles GROUP BY 1",
         "profiles",
     ),
 )
@@ -610,7 +611,7 @@ def _sql_same24(a: str, b: str) -> str:
     with_views(
         f"""
 SELECT len(list_filter(range(1, len(locations)),
-                       lambda i: {_sql_same24('locations[i]', 'locations[i + 1]')})) AS n_pairs,
+                       lambda i: {_sql_same24('locations[i]', 'locations[i + 1]')}))::INTEGER AS n_pairs,
        count(*) AS n_profiles
 FROM profiles GROUP BY 1""",
         "profiles",

@@ -49,3 +49,22 @@ def test_no_python_udf_in_plans(spark, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+
+
+SPARK_TO_DUCK = {
+    "IntegerType()": "INTEGER",
+    "LongType()": "BIGINT",
+    "StringType()": "VARCHAR",
+    "DoubleType()": "DOUBLE",
+    "BooleanType()": "BOOLEAN",
+    "DateType()": "DATE",
+    "TimestampNTZType()": "TIMESTAMP",
+}
+
+
+@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+def test_oracle_types_match(spark, duck, name):
+    df = entry_mod.queries()[name](spark, SF_SMALL)
+    spark_types = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    res = duck.execute(entry_mod.oracle_sql()[name])
+    assert spark_types == {d[0]: str(d[1]) for d in res.description}
