@@ -272,6 +272,38 @@ def q_pearson_score(spark, sf_dir):
     return out.select("n", F.round("score", 9).alias("score"))
 
 
+def _sql_share_by(name: str, app: str, by: str) -> str:
+    return f"""{name}_c AS (SELECT {by}, hour(ts) AS h, count(*) AS c FROM visits WHERE app_id = '{app}' GROUP BY 1, 2),
+{name}_t AS (SELECT {by}, count(*) AS n FROM visits WHERE app_id = '{app}' GROUP BY 1),
+{name} AS (SELECT t.{by}, lpad(cast(g.range AS VARCHAR), 2, '0') AS hh, coalesce(c.c, 0) / t.n AS share
+           FROM {name}_t t CROSS JOIN range(24) g LEFT JOIN {name}_c c ON c.{by} = t.{by} AND c.h = g.range)"""
+
+
+@register(
+    "pearson_score_by_exchange",
+    with_views(
+        f"""WITH {_sql_share_by('cx', 'click', 'exchange_id')},
+{_sql_share_by('vy', 'view', 'exchange_id')},
+s AS (SELECT exchange_id, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(y * y) AS syy,
+             sum(x * y) AS sxy
+      FROM (SELECT exchange_id, cx.share AS x, vy.share AS y FROM cx JOIN vy USING (exchange_id, hh))
+      GROUP BY exchange_id)
+SELECT exchange_id, n,
+  round(CASE WHEN n = 0 THEN 'nan'::DOUBLE WHEN den = 0 THEN 0.0 ELSE num / den END, 9) AS score
+FROM (SELECT exchange_id, n, sxy - sx * sy / n AS num, sqrt((sxx - sx * sx / n) * (syy - sy * sy / n)) AS den
+      FROM s)""",
+        "visits",
+    ),
+)
+def q_pearson_score_by_exchange(spark, sf_dir):
+    v = _v(spark, sf_dir, "visits")
+    by = ["exchange_id"]
+    clicks = hour_profile.population_hour_share(v.where(F.col("app_id") == "click"), by=by)
+    views = hour_profile.population_hour_share(v.where(F.col("app_id") == "view"), by=by)
+    out = correlation.pearson_score(clicks, views, "hh", "share", by=by)
+    return out.select("exchange_id", "n", F.round("score", 9).alias("score"))
+
+
 # --------------------------------------------------------------------------
 # A-14 .. A-21: sessions and reports
 

@@ -224,10 +224,21 @@ def _cheater_hunter(spark, ns):
     ("--end", _req("end day, excluded")),
     ("--reports", {"default": ",".join(reports.REPORTS)}),
     ("--out", _req("report table, partitioned by (report, day)")),
+    ("--jdbc-url", {"help": "publish the written rows to this database as well"}),
+    ("--jdbc-table", {"default": "ad_reports"}),
+    ("--jdbc-option", {"action": "append", "default": [], "help": "key=value (user, password, driver, ...)"}),
 )
 def _ad_hunter(spark, ns):
     rows = reports.daily_backfill(readers.read_records(spark, ns.sessions), ns.start, ns.end, ns.reports.split(","))
     reports.write_backfill(rows, ns.out)
+    if ns.jdbc_url:
+        # Publish what was written (re-read: the report is computed once).
+        day = F.col("day")
+        written = readers.read_records(spark, ns.out).where(
+            (day >= F.to_date(F.lit(ns.start))) & (day < F.to_date(F.lit(ns.end)))
+        )
+        options = dict(kv.split("=", 1) for kv in ns.jdbc_option)
+        sinks.write_jdbc(written, ns.jdbc_url, ns.jdbc_table, options)
 
 
 @job("third-party", ("--log", _req("foreign monitor log")), ("--out", _req("sessions, partitioned by day")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,14 @@ from adsentry.functions.hours import HOURS, hour_count_columns, hour_label, hour
 METRICS = ("mse", "rmse", "sse", "pearson")
 
 
-def population_hour_counts(visits: DataFrame, ts: str = "ts") -> DataFrame:
-    """One row: ``h00`` .. ``h23`` counts and the total ``n`` (global partial aggregate)."""
-    return with_hour(visits, ts).agg(*hour_count_columns(), F.count(F.lit(1)).alias("n"))
+def population_hour_counts(visits: DataFrame, ts: str = "ts", by: Sequence[str] = ()) -> DataFrame:
+    """``h00`` .. ``h23`` counts and the total ``n``: one row, or one per ``by`` group.
+
+    A partial + final aggregate either way (one row per task and group).
+    """
+    rows = with_hour(visits, ts, *by)
+    aggs = (*hour_count_columns(), F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
 
 
 def population_share_array(visits: DataFrame, ts: str = "ts") -> Column:
@@ -22,12 +29,12 @@ def population_share_array(visits: DataFrame, ts: str = "ts") -> Column:
     return counts.select(F.array(*shares).alias("p")).scalar()
 
 
-def population_hour_share(visits: DataFrame, ts: str = "ts") -> DataFrame:
-    """A-08: ``(hh, share)``: 24 rows, hours without traffic at 0, summing to 1."""
-    counts = population_hour_counts(visits, ts)
+def population_hour_share(visits: DataFrame, ts: str = "ts", by: Sequence[str] = ()) -> DataFrame:
+    """A-08: ``(*by, hh, share)``: 24 rows (per group), hours without traffic at 0, summing to 1."""
+    counts = population_hour_counts(visits, ts, by)
     arr = F.array(*[F.col(h) for h in hour_names()])
-    return counts.select(F.posexplode(arr).alias("h", "c"), "n").select(
-        hour_label("h").alias("hh"), F.try_divide(F.col("c"), F.col("n")).alias("share")
+    return counts.select(*by, F.posexplode(arr).alias("h", "c"), "n").select(
+        *by, hour_label("h").alias("hh"), F.try_divide(F.col("c"), F.col("n")).alias("share")
     )
 
 
