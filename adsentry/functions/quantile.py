@@ -18,11 +18,16 @@ Plan, all lazy and inside one query (the result is one scalar subquery):
    successor of ``hi``. If the band provably contains the answer, only the
    distinct values inside it go on; otherwise every distinct value does (an
    exact fallback, never a cap).
-3. An ordered running sum over that band, offset by the rows below ``lo``,
-   finds the answer exactly.
-
-Only step 3 runs in a single task, on roughly ``4 m`` of the distinct values
-(m = 2 / accuracy); the input itself is never collected anywhere.
+3. An ordered running sum over each band, offset by the rows below ``lo``,
+   finds the answer exactly. The bands of all requested probabilities go
+   through one window partitioned by probability, so each band is one task.
+
+Each band holds roughly ``4 m`` of the rows (m = 2 / accuracy), hence at
+most that many distinct values; the input itself is never collected
+anywhere. ``percentile_approx`` documents a rank error of at most
+``1 / accuracy``, so with the margin ``m = 2 / accuracy`` the band contains
+the answer; the full fallback of step 2 only guards against a sketch that
+misses its bound.
 """
 
 from __future__ import annotations
@@ -78,32 +83,38 @@ def exclusive_quantiles_frame(
         )
     bands = with_stats.agg(F.struct(F.max("s").alias("s"), F.array(*per_p).alias("a")).alias("bb")).scalar()
 
-    # 3. ordered running sum inside each band
+    # 3. ordered running sum inside each band: the bands of all probabilities
+    #    go through one window partitioned by probability (one band per task)
     with_bands = distinct.withColumn("bb", bands)
-    order = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    found = []
+    tagged = []
     for i, p in enumerate(probs):
-        n = F.col("bb.s.n")
-        target = F.lit(float(p)) * n
+        target = F.lit(float(p)) * F.col("bb.s.n")
         band = F.get(F.col("bb.a"), i)
         lo = F.get(F.col("bb.s.b"), 2 * i)
         upper = F.coalesce(band["next_hi"], F.get(F.col("bb.s.b"), 2 * i + 1))
         ok = F.coalesce((band["below_lo"] < target) & (band["upto_hi"] >= target), F.lit(False))
-        offset = F.when(ok, band["below_lo"]).otherwise(F.lit(0))
-        below = F.coalesce(F.sum(cnt).over(order), F.lit(0)) + offset
-        found.append(
-            with_bands.where(~ok | ((v >= lo) & (v <= upper)))
-            .select(v, below.alias("below"), target.alias("target"), F.col("bb.s.vmax").alias("vmax"))
-            .where(F.col("below") >= F.col("target"))
-            .agg(F.min("v").cast("double").alias("q"))
-            .select(F.lit(i).alias("i"), "q")
+        tagged.append(
+            with_bands.where(~ok | ((v >= lo) & (v <= upper))).select(
+                F.lit(i).alias("i"),
+                v,
+                cnt,
+                F.when(ok, band["below_lo"]).otherwise(F.lit(0)).alias("offset"),
+                target.alias("target"),
+            )
         )
-    merged = reduce(DataFrame.unionByName, found)
-    vmax = vals.agg(F.max("v").cast("double").alias("vmax"))
-    fallback = F.lit(0.0) if empty == "zero" else vmax.scalar()
-    return merged.agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))]).select(
-        *[F.coalesce(F.col(f"q{i}"), fallback).alias(f"q{i}") for i in range(len(probs))]
+    order = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum(cnt).over(order), F.lit(0)) + F.col("offset")
+    found = (
+        reduce(DataFrame.unionByName, tagged)
+        .withColumn("below", below)
+        .where(F.col("below") >= F.col("target"))
+        .groupBy("i")
+        .agg(F.min("v").cast("double").alias("q"))
     )
+    fallback = F.lit(0.0) if empty == "zero" else vals.agg(F.max("v").cast("double")).scalar()
+    qs = [F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))]
+    # A global aggregate yields one row even when no probability found a value.
+    return found.agg(*qs).select(*[F.coalesce(F.col(f"q{i}"), fallback).alias(f"q{i}") for i in range(len(probs))])
 
 
 def exclusive_quantiles(df: DataFrame, value: str, probs: Sequence[float], **kw) -> dict[float, Column]:
