@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from adsentry.operators import fences, hardware, hour_profile, profiles, rules, sessions, subnet, target_ip
 from adsentry.plans import reports
-from adsentry.plans.blacklist import build_blacklist
+from adsentry.plans.blacklist import build_blacklist, fence_diagnostics
 from adsentry.plans.hardware import build_hardware_library
 from adsentry.session import build_session
 from adsentry.sources import readers, sinks
@@ -131,7 +131,11 @@ def _suspicious_ip(spark, ns):
     cands = materialize(fences.ip_volume_candidates(scores, k=ns.k, empty=ns.empty))
     if ns.candidates_out:
         _write(cands.orderBy(F.desc("coef")), ns.candidates_out, ns)
-    _write(fences.ip_blacklist(cands, k=ns.k2, empty=ns.empty), ns.out, ns)
+    black = fences.ip_blacklist(cands, k=ns.k2, empty=ns.empty)
+    _write(black, ns.out, ns)
+    # the figures the original job printed: bounds and sizes (small aggregates)
+    fence_diagnostics(scores, cands, readers.read_records(spark, ns.out) if ns.format == "parquet" else black,
+                      ns.k, ns.k2, ns.empty).show(truncate=False, vertical=True)
 
 
 @job(

@@ -13,7 +13,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from adsentry.functions.quantile import exclusive_quantiles_frame
 from adsentry.operators import fences, hour_profile
 from adsentry.plans.common import materialize
 
@@ -26,6 +28,36 @@ class BlacklistOutputs:
     blacklist: DataFrame  # A-12 (ip)
 
 
+def fence_diagnostics(scores: DataFrame, candidates: DataFrame, blacklist: DataFrame, volume_k: float = fences.VOLUME_K,
+                      score_k: float = fences.SCORE_K, empty: str = "zero") -> DataFrame:
+    """One row: both fences' quantiles and bounds and the row counts at each step.
+
+    The values the original job printed (volume upper bound, candidates, score
+    bound, blacklist size), as a small DataFrame the caller shows or logs.
+    """
+    vq = exclusive_quantiles_frame(scores, "size", [fences.VOLUME_LOW_P, fences.VOLUME_HIGH_P], empty=empty)
+    sq = exclusive_quantiles_frame(candidates, "coef", [fences.SCORE_LOW_P, fences.SCORE_HIGH_P], empty=empty)
+    v = vq.select(F.struct("q0", "q1").alias("v")).scalar()
+    c = sq.select(F.struct("q0", "q1").alias("c")).scalar()
+    lv = [F.when(v[q] > 0, F.ln(v[q])).otherwise(F.lit(0.0)) for q in ("q0", "q1")]
+    counts = (
+        scores.agg(F.count(F.lit(1)).alias("n")).select(
+            F.col("n").alias("addresses"),
+            candidates.agg(F.count(F.lit(1))).scalar().alias("candidates"),
+            blacklist.agg(F.count(F.lit(1))).scalar().alias("blacklisted"),
+        )
+    )
+    return counts.select(
+        "*",
+        v["q0"].alias("volume_q_low"),
+        v["q1"].alias("volume_q_high"),
+        F.exp(lv[1] + F.lit(volume_k) * (lv[1] - lv[0])).alias("volume_upper_bound"),
+        c["q0"].alias("score_q_low"),
+        c["q1"].alias("score_q_high"),
+        (c["q1"] + F.lit(score_k) * (c["q1"] - c["q0"])).alias("score_upper_bound"),
+    )
+
+
 def build_blacklist(
     visits: DataFrame,
     metric: str = "mse",

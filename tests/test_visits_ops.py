@@ -140,3 +140,14 @@ def test_pearson_edges(spark):
     assert pearson_score(a, c, "k", "v").first().score == 0.0
     r = pearson_score(a, d, "k", "v").first()
     assert r.n == 0 and r.score != r.score  # NaN
+
+
+def test_fence_diagnostics(spark):
+    from adsentry.plans.blacklist import fence_diagnostics
+
+    out = build_blacklist(fx.visits(spark, SF_MID))
+    d = fence_diagnostics(out.scores, out.candidates, out.blacklist).first()
+    assert (d.addresses, d.candidates, d.blacklisted) == (822, 21, 1)
+    assert d.volume_q_low <= d.volume_q_high and d.score_q_low <= d.score_q_high
+    big = out.candidates.agg(F.min("size")).first()[0]
+    assert big > d.volume_upper_bound  # every candidate is above the volume fence
