@@ -22,7 +22,7 @@ from adsentry.plans import reports
 from adsentry.plans.blacklist import build_blacklist, fence_diagnostics
 from adsentry.plans.hardware import build_hardware_library
 from adsentry.session import build_session
-from adsentry.sources import readers, sinks
+from adsentry.sources import ingest, readers, sinks
 
 JOBS: dict[str, tuple[Callable[[SparkSession, argparse.Namespace], None], Callable[[argparse.ArgumentParser], None]]] = {}
 
@@ -173,15 +173,20 @@ def _load_profiles(spark, ns):
     _write(profiles.profile_uids(readers.read_records(spark, ns.profiles)), ns.out, ns, mode="errorifexists")
 
 
+_RAW = ("--raw", {"action": "store_true", "help": "input records carry a `fields` map (raw device log)"})
+
+
 @job(
     "hardware-lib",
     ("--devices", _req("device log")),
     ("--uv-out", _req("A-24")),
     ("--device-out", _req("A-25")),
     ("--histogram-out", _req("A-26")),
+    _RAW,
 )
 def _hardware_lib(spark, ns):
-    lib = build_hardware_library(readers.read_records(spark, ns.devices))
+    devices = readers.read_records(spark, ns.devices)
+    lib = build_hardware_library(ingest.devices_from_fields(devices) if ns.raw else devices)
     _write(lib.hardware_uv, ns.uv_out, ns)
     _write(lib.device_hardware_count, ns.device_out, ns)
     _write(lib.hardware_count_histogram.orderBy("n_devices", "n_hardware"), ns.histogram_out, ns)
@@ -198,9 +203,12 @@ def _hardware_wash(spark, ns):
     ("--devices", _req("third-party device log")),
     ("--out", _req("A-27 / A-28")),
     ("--identified", {"action": "store_true", "help": "rows with maker and model (A-28)"}),
+    _RAW,
 )
 def _new_hardware(spark, ns):
-    out = hardware.hardware_tac_uv(readers.read_records(spark, ns.devices), identified=ns.identified)
+    devices = readers.read_records(spark, ns.devices)
+    devices = ingest.devices_ext_from_fields(devices) if ns.raw else devices
+    out = hardware.hardware_tac_uv(devices, identified=ns.identified)
     _write(out.orderBy(F.desc("uv")), ns.out, ns)
 
 

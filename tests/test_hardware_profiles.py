@@ -117,3 +117,24 @@ def test_hardware_library_plan(spark):
     assert dev == hist
     assert lib.dropped.get["dropped_null_rows"] == 0
     spark.catalog.clearCache()
+
+
+def test_ingest_field_maps(spark):
+    from adsentry.sources import ingest
+
+    raw = spark.createDataFrame(
+        [({"manufact": "A", "dvc_model": "X", "resolution": "1", "dvc": "d1"},),
+         ({"manufact": "A", "dvc_model": "X", "resolution": "1", "dvc": "d2"},),
+         ({"manufact": "B", "dvc": "d3"},)],
+        "fields map<string,string>",
+    )
+    flat = ingest.devices_from_fields(raw)
+    assert rows(flat)[2] == ("B", None, None, "d3")  # missing keys are NULL
+    assert rows(hw.hardware_uv(hw.hardware_pairs(flat))) == [("A", "X", "1", 2)]
+    ext = spark.createDataFrame(
+        [({"imei": "123456789012345", "android_id": "a"}, None, "720"),
+         ({"imei": "123459999999999", "android_id": "b"}, None, "720")],
+        "fields map<string,string>, os_model string, os_resolution string",
+    )
+    out = hw.hardware_tac_uv_unidentified(ingest.devices_ext_from_fields(ext))
+    assert rows(out) == [("empty", "empty", "720", "12345", 2)]

@@ -68,3 +68,20 @@ def test_hardware_and_report_jobs(spark, inputs, scratch):
     assert {r.day.day for r in spark.read.parquet(o("rep")).select("day").distinct().collect()} == {1, 2}
     assert spark.read.parquet(o("tp")).count() > 0
     spark.catalog.clearCache()
+
+
+def test_raw_field_map_job(spark, inputs, scratch):
+    from pyspark.sql import functions as F
+
+    flat = spark.read.parquet(f"{inputs}/devices_raw")
+    raw = flat.select(
+        F.create_map(
+            F.lit("manufact"), "manufacturer", F.lit("dvc_model"), "model",
+            F.lit("resolution"), "resolution", F.lit("dvc"), "device_id",
+        ).alias("fields")
+    )
+    raw.write.parquet(os.path.join(scratch, "raw"))
+    o = lambda n: os.path.join(scratch, n)
+    run(spark, "hardware-lib", "--raw", "--devices", o("raw"), "--uv-out", o("uv"), "--device-out", o("d"),
+        "--histogram-out", o("h"))
+    assert spark.read.parquet(o("uv")).count() == 1745
