@@ -42,3 +42,71 @@ def devices_ext_from_fields(
         F.col(resolution).alias("resolution"),
         *[_get(m, MONITOR_KEYS[k]).alias(k) for k in ("imei", "android_id", "mac", "openudid")],
     )
+
+
+# Field names of the original visit and session records.
+VISIT_FIELDS = {"uid": "uid", "app_id": "appid", "exchange_id": "adx", "ip": "ip", "ts": "timestamp",
+                "orders": "orders", "view_ip": "viewip", "view_ts": "viewts"}
+SESSION_FIELDS = {"platform": "platId", "media_key": "mediaKey", "ad_unit": "adunitId", "device": "deviceInfo",
+                  "events": "events"}
+DEVICE_FIELDS = {"uid": "uid", "province": "provice", "device_model": "devModel", "network": "ntt",
+                 "device_ip": "ip", "carrier": "operator", "user_agent": "userAgent", "os": "osSystem",
+                 "os_version": "osVersion", "imei": "imei", "vendor": "vendor", "resolution": "devResolution"}
+EVENT_KINDS = ("req", "imp", "cli")
+
+
+def _seconds(c: Column) -> Column:
+    """Epoch seconds -> wall-clock timestamp (visit records count in seconds)."""
+    return F.timestamp_seconds(c).cast("timestamp_ntz")
+
+
+def _millis(c: Column) -> Column:
+    """Epoch milliseconds -> wall-clock timestamp (session events count in milliseconds)."""
+    return F.timestamp_millis(c).cast("timestamp_ntz")
+
+
+def visits_from_records(raw: DataFrame) -> DataFrame:
+    """Visit records -> the ``visits`` layout the operators read.
+
+    ``orders`` is a map whose keys are never read; its values become an
+    ``ARRAY<STRUCT<view_ip, view_ts>>``. Record times are epoch seconds.
+    """
+    f = VISIT_FIELDS
+    orders = F.transform(
+        F.map_values(F.col(f["orders"])),
+        lambda o: F.struct(o[f["view_ip"]].alias("view_ip"), _seconds(o[f["view_ts"]]).alias("view_ts")),
+    )
+    return raw.select(
+        F.col(f["uid"]).alias("uid"),
+        F.col(f["app_id"]).alias("app_id"),
+        F.col(f["exchange_id"]).alias("exchange_id"),
+        _seconds(F.col(f["ts"])).alias("ts"),
+        F.col(f["ip"]).alias("ip"),
+        orders.alias("orders"),
+    )
+
+
+def sessions_from_records(raw: DataFrame) -> DataFrame:
+    """Ad-session records -> the ``sessions`` layout.
+
+    Each event is a map from ``req``/``imp``/``cli`` to ``{ts (epoch ms), ip}``;
+    it becomes a struct with one nullable member per kind (the key set is
+    closed). Device attributes are flattened; ``day`` is the day of the first
+    request.
+    """
+    s, d = SESSION_FIELDS, DEVICE_FIELDS
+
+    def member(e: Column, kind: str) -> Column:
+        m = F.try_element_at(e, F.lit(kind))
+        return F.when(m.isNotNull(), F.struct(_millis(m["ts"]).alias("ts"), m["ip"].alias("ip")))
+
+    events = F.transform(F.col(s["events"]), lambda e: F.struct(*[member(e, k).alias(k) for k in EVENT_KINDS]))
+    dev = F.col(s["device"])
+    out = raw.select(
+        F.col(s["platform"]).alias("platform"),
+        F.col(s["media_key"]).alias("media_key"),
+        F.col(s["ad_unit"]).alias("ad_unit"),
+        *[dev[src].alias(name) for name, src in d.items()],
+        events.alias("events"),
+    )
+    return out.withColumn("day", F.to_date(F.get(F.col("events"), 0)["req"]["ts"]))

@@ -113,3 +113,35 @@ def test_write_delimited(spark, scratch):
     sinks.write_delimited(spark.createDataFrame([("03", 2), ("04", 1)], "hh string, n long"), path)
     lines = sorted(r.value for r in spark.read.text(path).collect())
     assert lines == ["03|2", "04|1"]
+
+
+def test_ingest_visit_and_session_records(spark):
+    from adsentry.operators import sessions as so
+    from adsentry.operators import subnet
+    from adsentry.sources import ingest
+
+    visits_raw = spark.createDataFrame(
+        [("u1", "a", "x", "1.2.3.4", 1704078000, {"o1": ("1.2.3.4", 1704078000), "o2": ("1.2.3.9", 1704078001)}),
+         ("u2", "b", "y", None, 1704081600, {})],
+        "uid string, appid string, adx string, ip string, timestamp bigint, "
+        "orders map<string, struct<viewip: string, viewts: bigint>>",
+    )
+    v = ingest.visits_from_records(visits_raw)
+    assert rows(v, "uid", "ts")[0] == ("u1", dt.datetime(2024, 1, 1, 3, 0))
+    assert rows(subnet.subnet24_pv(v)) == [("1.2.3", 2)]
+    device = {k: f"{k}-v" for k in ingest.DEVICE_FIELDS.values()}
+    device["uid"] = "u1"
+    sess_raw = spark.createDataFrame(
+        [("p0", "m0", "ad1", device,
+          [{"req": (1704078000000, "1.1.1.1"), "imp": (1704078000500, "1.1.1.1")},
+           {"req": (1704078001000, "1.1.1.2"), "imp": (1704078001100, "1.1.1.2"), "cli": (1704078002000, "9.9.9.9")}])],
+        "platId string, mediaKey string, adunitId string, deviceInfo struct<"
+        + ", ".join(f"{k}: string" for k in ingest.DEVICE_FIELDS.values())
+        + ">, events array<map<string, struct<ts: bigint, ip: string>>>",
+    )
+    s = ingest.sessions_from_records(sess_raw)
+    assert s.first().day == dt.date(2024, 1, 1)
+    got = so.session_counts(s).collect()[0]
+    assert (got.hour, got.imp_ips, got.cli_ips, got.requests, got.impressions, got.clicks) == (
+        3, ["1.1.1.1", "1.1.1.2"], ["9.9.9.9"], 2, 2, 1)
+    assert got.province == "provice-v" and got.uid == "u1"
