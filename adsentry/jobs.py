@@ -43,6 +43,16 @@ def _req(help_: str) -> dict:
     return {"required": True, "help": help_}
 
 
+def _visits(spark: SparkSession, ns: argparse.Namespace) -> DataFrame:
+    df = readers.read_records(spark, ns.visits)
+    return ingest.visits_from_records(df) if ns.raw_records else df
+
+
+def _sessions(spark: SparkSession, ns: argparse.Namespace) -> DataFrame:
+    df = readers.read_records(spark, ns.sessions)
+    return ingest.sessions_from_records(df) if ns.raw_records else df
+
+
 def _write(df: DataFrame, path: str, ns: argparse.Namespace, mode: str = "overwrite") -> None:
     if ns.format == "text":
         sinks.write_text(df, path, mode=mode)
@@ -52,7 +62,7 @@ def _write(df: DataFrame, path: str, ns: argparse.Namespace, mode: str = "overwr
 
 @job("subnet-monitor", ("--visits", _req("visits")), ("--subnets-out", _req("A-01")), ("--histogram-out", _req("A-02")))
 def _subnet_monitor(spark, ns):
-    pv = subnet.subnet24_pv(readers.read_records(spark, ns.visits))
+    pv = subnet.subnet24_pv(_visits(spark, ns))
     _write(pv.orderBy(F.desc("pv"), "subnet"), ns.subnets_out, ns)
     _write(subnet.subnet24_pv_histogram(pv).orderBy(F.desc("pv")), ns.histogram_out, ns)
 
@@ -64,7 +74,7 @@ def _subnet_monitor(spark, ns):
     ("--threshold", {"type": int, "default": subnet.TOP_SUBNET_THRESHOLD}),
 )
 def _top_subnets(spark, ns):
-    out = subnet.top_subnet24(readers.read_records(spark, ns.visits), ns.threshold)
+    out = subnet.top_subnet24(_visits(spark, ns), ns.threshold)
     _write(out.orderBy(F.desc("pv"), "subnet"), ns.out, ns)
 
 
@@ -73,7 +83,7 @@ _TARGET = (("--target", _req("address or range")), ("--match", {"default": "cont
 
 @job("ip-time", ("--visits", _req("visits")), ("--out", _req("A-04 HH|n lines")), *_TARGET)
 def _ip_time(spark, ns):
-    out = target_ip.ip_hour_counts(readers.read_records(spark, ns.visits), ns.target, ns.match).orderBy("hh")
+    out = target_ip.ip_hour_counts(_visits(spark, ns), ns.target, ns.match).orderBy("hh")
     sinks.write_single_file(out, ns.out)  # at most 24 rows
 
 
@@ -88,7 +98,7 @@ def _ip_time(spark, ns):
 def _target_ip(spark, ns):
     from pyspark import StorageLevel
 
-    hits = target_ip.target_ip_visits(readers.read_records(spark, ns.visits), ns.target, ns.match)
+    hits = target_ip.target_ip_visits(_visits(spark, ns), ns.target, ns.match)
     hits = hits.select("uid", "app_id", "exchange_id").persist(StorageLevel.MEMORY_AND_DISK)  # three outputs
     for col, path in (("uid", ns.uid_out), ("app_id", ns.app_out), ("exchange_id", ns.exchange_out)):
         _write(hits.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), col), path, ns)
@@ -104,7 +114,7 @@ def _target_ip(spark, ns):
     ("--metric", {"default": "mse", "choices": list(hour_profile.METRICS)}),
 )
 def _ip_time_coef(spark, ns):
-    visits = readers.read_records(spark, ns.visits)
+    visits = _visits(spark, ns)
     out = build_blacklist(visits, metric=ns.metric)
     _write(out.scores, ns.scores_out, ns)
     _write(hour_profile.ip_hour_deviation_ranked(out.scores), ns.ranked_out, ns)
@@ -147,7 +157,7 @@ def _suspicious_ip(spark, ns):
 )
 def _ip_count(spark, ns):
     media = ns.media.split(",") if ns.media else None
-    out = sessions.watchlist_ip_events(readers.read_records(spark, ns.sessions), ns.ips.split(","), media)
+    out = sessions.watchlist_ip_events(_sessions(spark, ns), ns.ips.split(","), media)
     _write(out, ns.out, ns, mode="errorifexists")
 
 
@@ -241,7 +251,7 @@ def _cheater_hunter(spark, ns):
     ("--jdbc-option", {"action": "append", "default": [], "help": "key=value (user, password, driver, ...)"}),
 )
 def _ad_hunter(spark, ns):
-    rows = reports.daily_backfill(readers.read_records(spark, ns.sessions), ns.start, ns.end, ns.reports.split(","))
+    rows = reports.daily_backfill(_sessions(spark, ns), ns.start, ns.end, ns.reports.split(","))
     reports.write_backfill(rows, ns.out)
     if ns.jdbc_url:
         # Publish what was written (re-read: the report is computed once).
@@ -262,6 +272,11 @@ def _third_party(spark, ns):
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="adsentry.jobs")
     parser.add_argument("--format", default="parquet", choices=["parquet", "text"])
+    parser.add_argument(
+        "--raw-records",
+        action="store_true",
+        help="visit / session inputs are in the original record layout (see sources.ingest)",
+    )
     sub = parser.add_subparsers(dest="job", required=True)
     for name, (_, add) in JOBS.items():
         add(sub.add_parser(name))
