@@ -39,8 +39,8 @@ def subnet24(ip: Column | str) -> Column:
     return F.substring_index(_c(ip), ".", 3)
 
 
-def matches_target(ip: Column | str, target: str, match: str = "contains") -> Column:
-    """Target test on a quad address.
+def matches_target(ip: Column | str, target: str, match: str = "contains", strict: bool = False) -> Column:
+    """Target test on a quad address (loose quad test unless ``strict``).
 
     ``contains`` (the default) is a substring test, so ``6.2.230`` also hits
     ``106.2.230.7``; ``prefix`` anchors the target at the start.
@@ -52,7 +52,7 @@ def matches_target(ip: Column | str, target: str, match: str = "contains") -> Co
         hit = c.startswith(target)
     else:
         raise ValueError(f"match must be 'contains' or 'prefix', not {match!r}")
-    return is_quad(c) & F.coalesce(hit, F.lit(False))
+    return is_quad(c, strict=strict) & F.coalesce(hit, F.lit(False))
 
 
 def same_subnet24(a: Column, b: Column) -> Column:

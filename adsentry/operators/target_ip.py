@@ -9,40 +9,44 @@ from adsentry.functions.hours import hour_label
 from adsentry.functions.ip import matches_target
 
 
-def ip_hour_counts(visits: DataFrame, target: str, match: str = "contains", ts: str = "ts") -> DataFrame:
+def ip_hour_counts(
+    visits: DataFrame, target: str, match: str = "contains", ts: str = "ts", strict: bool = False
+) -> DataFrame:
     """A-04: ``(hh, n)``: visits per hour of day whose ``ip`` is a quad hitting ``target``.
 
     Only hours that occur are returned. The target test is a pushed-down
     row filter ahead of a partial aggregation on at most 24 keys.
     """
     return (
-        visits.where(matches_target("ip", target, match))
+        visits.where(matches_target("ip", target, match, strict))
         .groupBy(hour_label(F.hour(ts)).alias("hh"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def target_ip_visits(visits: DataFrame, target: str, match: str = "contains") -> DataFrame:
+def target_ip_visits(visits: DataFrame, target: str, match: str = "contains", strict: bool = False) -> DataFrame:
     """Visits with at least one order whose view address hits ``target``."""
-    hit = F.exists("orders", lambda o: matches_target(o["view_ip"], target, match))
+    hit = F.exists("orders", lambda o: matches_target(o["view_ip"], target, match, strict))
     return visits.where(hit)
 
 
-def target_ip_freq(visits: DataFrame, target: str, by: str, match: str = "contains") -> DataFrame:
+def target_ip_freq(
+    visits: DataFrame, target: str, by: str, match: str = "contains", strict: bool = False
+) -> DataFrame:
     """Records per value of ``by`` among the visits that hit ``target``."""
-    return target_ip_visits(visits, target, match).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    return target_ip_visits(visits, target, match, strict).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def target_ip_uid_freq(visits: DataFrame, target: str, match: str = "contains") -> DataFrame:
+def target_ip_uid_freq(visits: DataFrame, target: str, match: str = "contains", strict: bool = False) -> DataFrame:
     """A-05: ``(uid, n)``."""
-    return target_ip_freq(visits, target, "uid", match)
+    return target_ip_freq(visits, target, "uid", match, strict)
 
 
-def target_ip_app_freq(visits: DataFrame, target: str, match: str = "contains") -> DataFrame:
+def target_ip_app_freq(visits: DataFrame, target: str, match: str = "contains", strict: bool = False) -> DataFrame:
     """A-06: ``(app_id, n)``."""
-    return target_ip_freq(visits, target, "app_id", match)
+    return target_ip_freq(visits, target, "app_id", match, strict)
 
 
-def target_ip_exchange_freq(visits: DataFrame, target: str, match: str = "contains") -> DataFrame:
+def target_ip_exchange_freq(visits: DataFrame, target: str, match: str = "contains", strict: bool = False) -> DataFrame:
     """A-07: ``(exchange_id, n)``."""
-    return target_ip_freq(visits, target, "exchange_id", match)
+    return target_ip_freq(visits, target, "exchange_id", match, strict)

@@ -151,3 +151,13 @@ def test_fence_diagnostics(spark):
     assert d.volume_q_low <= d.volume_q_high and d.score_q_low <= d.score_q_high
     big = out.candidates.agg(F.min("size")).first()[0]
     assert big > d.volume_upper_bound  # every candidate is above the volume fence
+
+
+def test_target_strict_quad(spark):
+    v = make_visits(
+        spark,
+        [("u1", "a", "x", 1, "6.2.230.1.", ["6.2.230.1."]), ("u2", "a", "x", 2, "6.2.230.9", ["6.2.230.9"])],
+    )
+    assert rows(target_ip.ip_hour_counts(v, "6.2.230")) == [("01", 1), ("02", 1)]
+    assert rows(target_ip.ip_hour_counts(v, "6.2.230", strict=True)) == [("02", 1)]
+    assert rows(target_ip.target_ip_uid_freq(v, "6.2.230", strict=True)) == [("u2", 1)]
