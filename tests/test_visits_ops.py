@@ -161,3 +161,14 @@ def test_target_strict_quad(spark):
     assert rows(target_ip.ip_hour_counts(v, "6.2.230")) == [("01", 1), ("02", 1)]
     assert rows(target_ip.ip_hour_counts(v, "6.2.230", strict=True)) == [("02", 1)]
     assert rows(target_ip.target_ip_uid_freq(v, "6.2.230", strict=True)) == [("u2", 1)]
+
+
+def test_target_filter_reaches_parquet_scan(spark, tmp_path):
+    path = str(tmp_path / "visits")
+    fx.visits(spark, SF_MID).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for match, pushed in (("prefix", "StringStartsWith(ip,198.51.100.1)"), ("contains", "StringContains(ip,198.51.100.1)")):
+        df = target_ip.ip_hour_counts(stored, "198.51.100.1", match=match)
+        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        assert pushed in plan
+        assert rows(df) == rows(target_ip.ip_hour_counts(fx.visits(spark, SF_MID), "198.51.100.1", match=match))
