@@ -68,9 +68,10 @@ def watchlist_ip_events(
     joined, so Spark sizes the join by the list's actual size.
     """
     rows = sessions.where(F.col("media_key").isin(list(media_keys))) if media_keys is not None else sessions
-    ev = rows.select(F.explode("events").alias("e")).select(
-        F.col("e.imp.ip").alias("imp_ip"), F.col("e.cli.ip").alias("cli_ip")
-    )
+    # Zip the two address arrays (one entry per event, NULL where the member
+    # is absent) so a Parquet scan reads only events.imp.ip and events.cli.ip.
+    pairs = F.arrays_zip(F.col("events.imp.ip").alias("imp_ip"), F.col("events.cli.ip").alias("cli_ip"))
+    ev = rows.select(F.explode(pairs).alias("e")).select("e.imp_ip", "e.cli_ip")
     if isinstance(watchlist, DataFrame):
         w = watchlist.select(F.col("ip").alias("_w")).distinct()
         ev = (

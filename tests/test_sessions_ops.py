@@ -90,3 +90,24 @@ def test_third_party_normalize_drops_failures(spark):
     assert out.count() == want
     assert out.where(F.size("events") != 1).count() == 0
     assert set(out.columns) == {"platform", "media_key", "uid", "ad_unit", "day", "events"}
+
+
+def test_scans_read_only_used_nested_fields(spark, tmp_path):
+    import re
+
+    from adsentry.operators import subnet
+
+    fx.visits(spark, SF_SMALL).write.parquet(str(tmp_path / "v"))
+    fx.sessions(spark, SF_SMALL).write.parquet(str(tmp_path / "s"))
+
+    def read_schema(df):
+        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        return re.findall(r"ReadSchema: ([^\n]*)", plan)
+
+    assert read_schema(subnet.subnet24_pv(spark.read.parquet(str(tmp_path / "v")))) == [
+        "struct<orders:array<struct<view_ip:string>>>"
+    ]
+    watch = so.watchlist_ip_events(spark.read.parquet(str(tmp_path / "s")), ["203.0.113.9"], ["m0"])
+    assert read_schema(watch) == [
+        "struct<media_key:string,events:array<struct<imp:struct<ip:string>,cli:struct<ip:string>>>>"
+    ]
