@@ -107,6 +107,11 @@ def test_scans_read_only_used_nested_fields(spark, tmp_path):
     assert read_schema(subnet.subnet24_pv(spark.read.parquet(str(tmp_path / "v")))) == [
         "struct<orders:array<struct<view_ip:string>>>"
     ]
+    from adsentry.operators import target_ip
+
+    assert read_schema(target_ip.target_ip_app_freq(spark.read.parquet(str(tmp_path / "v")), "203.0.113")) == [
+        "struct<app_id:string,orders:array<struct<view_ip:string>>>"
+    ]
     watch = so.watchlist_ip_events(spark.read.parquet(str(tmp_path / "s")), ["203.0.113.9"], ["m0"])
     assert read_schema(watch) == [
         "struct<media_key:string,events:array<struct<imp:struct<ip:string>,cli:struct<ip:string>>>>"
