@@ -265,8 +265,12 @@ def _ad_hunter(spark, ns):
 
 @job("third-party", ("--log", _req("foreign monitor log")), ("--out", _req("sessions, partitioned by day")))
 def _third_party(spark, ns):
-    out = sessions.third_party_normalize(readers.read_records(spark, ns.log))
+    from pyspark.sql import Observation
+
+    seen = Observation("third_party")
+    out = sessions.third_party_normalize(readers.read_records(spark, ns.log), observation=seen)
     sinks.write_partitions(out, ns.out, partition_by=("platform", "day"))
+    print("records read / rejected:", seen.get.get("records"), "/", seen.get.get("rejected"))
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:

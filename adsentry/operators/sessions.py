@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adsentry.functions.ranking import dense_index
@@ -166,11 +166,13 @@ SHOWN_ACTIONS = ("view", "click", "purchase")
 CLICK_ACTIONS = ("click", "purchase")
 
 
-def third_party_normalize(log: DataFrame) -> DataFrame:
+def third_party_normalize(log: DataFrame, observation: Observation | None = None) -> DataFrame:
     """A-21: foreign monitor records -> session rows (one per record); failures dropped.
 
     A record converts when it has a user and a known action; the epoch
-    milliseconds become a wall-clock timestamp in the session time zone.
+    milliseconds become a wall-clock timestamp in the session time zone. With
+    an ``Observation``, ``records`` and ``rejected`` are counted in the same
+    pass (available after the first action).
     """
     ts = F.timestamp_millis(F.col("at_ms")).cast("timestamp_ntz")
     member = F.struct(ts.alias("ts"), F.col("addr").alias("ip"))
@@ -192,4 +194,11 @@ def third_party_normalize(log: DataFrame) -> DataFrame:
             F.array(event).alias("events"),
         ),
     )
-    return log.select(converted.alias("s")).where(F.col("s").isNotNull()).select("s.*")
+    out = log.select(converted.alias("s"))
+    if observation is not None:
+        out = out.observe(
+            observation,
+            F.count(F.lit(1)).alias("records"),
+            F.count(F.when(F.col("s").isNull(), F.lit(1))).alias("rejected"),
+        )
+    return out.where(F.col("s").isNotNull()).select("s.*")

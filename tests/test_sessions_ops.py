@@ -116,3 +116,14 @@ def test_scans_read_only_used_nested_fields(spark, tmp_path):
     assert read_schema(watch) == [
         "struct<media_key:string,events:array<struct<imp:struct<ip:string>,cli:struct<ip:string>>>>"
     ]
+
+
+def test_third_party_rejects_counted(spark):
+    from pyspark.sql import Observation
+
+    log = fx.third_party_log(spark, SF_SMALL)
+    seen = Observation("tp")
+    n = so.third_party_normalize(log, observation=seen).count()
+    got = seen.get
+    assert got["records"] == log.count() and got["records"] - got["rejected"] == n
+    assert got["rejected"] == log.where(F.col("action") == "error").count()
