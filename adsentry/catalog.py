@@ -290,8 +290,9 @@ s AS (SELECT exchange_id, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x)
       GROUP BY exchange_id)
 SELECT exchange_id, n,
   round(CASE WHEN n = 0 THEN 'nan'::DOUBLE WHEN den = 0 THEN 0.0 ELSE num / den END, 9) AS score
-FROM (SELECT exchange_id, n, sxy - sx * sy / n AS num, sqrt((sxx - sx * sx / n) * (syy - sy * sy / n)) AS den
-      FROM s)""",
+FROM (SELECT g.exchange_id, coalesce(s.n, 0) AS n, sxy - sx * sy / s.n AS num,
+             sqrt((sxx - sx * sx / s.n) * (syy - sy * sy / s.n)) AS den
+      FROM (SELECT exchange_id FROM cx UNION SELECT exchange_id FROM vy) g LEFT JOIN s USING (exchange_id))""",
         "visits",
     ),
 )

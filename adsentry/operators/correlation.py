@@ -25,7 +25,9 @@ def pearson_score(
     """``(*by, n, score)``: correlation of ``left_value`` and ``right_value`` over common keys.
 
     An equi-join on ``(*by, key)`` then one partial + final aggregation per
-    group; with no ``by`` the result is one row even when nothing matches.
+    group; with no ``by`` the result is one row even when nothing matches,
+    and with ``by`` every group present on either side gets a row (NaN when
+    the sides share no key).
     """
     by = list(by)
     right_value = right_value or left_value
@@ -43,6 +45,10 @@ def pearson_score(
             F.sum(F.col("_x") * F.col("_y")).alias("sxy"),
         )
     )
+    if by:
+        # Groups present on one side only have no common key: n = 0, score NaN.
+        groups = left.select(*by).unionByName(right.select(*by)).distinct()
+        sums = groups.join(sums, by, "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0)))
     n, sx, sy = F.col("n").cast("double"), F.col("sx"), F.col("sy")
     num = F.col("sxy") - F.try_divide(sx * sy, n)
     den = F.sqrt((F.col("sxx") - F.try_divide(sx * sx, n)) * (F.col("syy") - F.try_divide(sy * sy, n)))

@@ -172,3 +172,12 @@ def test_target_filter_reaches_parquet_scan(spark, tmp_path):
         plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         assert pushed in plan
         assert rows(df) == rows(target_ip.ip_hour_counts(fx.visits(spark, SF_MID), "198.51.100.1", match=match))
+
+
+def test_pearson_grouped_keeps_one_sided_groups(spark):
+    a = spark.createDataFrame([("g1", "h1", 1.0), ("g1", "h2", 2.0), ("g2", "h1", 1.0)], "g string, k string, v double")
+    b = spark.createDataFrame([("g1", "h1", 2.0), ("g1", "h2", 4.0), ("g3", "h1", 1.0)], "g string, k string, v double")
+    got = {r.g: (r.n, r.score) for r in pearson_score(a, b, "k", "v", by=["g"]).collect()}
+    assert got["g1"][0] == 2 and abs(got["g1"][1] - 1.0) < 1e-12
+    assert got["g2"][0] == 0 and got["g2"][1] != got["g2"][1]
+    assert got["g3"][0] == 0 and got["g3"][1] != got["g3"][1]
