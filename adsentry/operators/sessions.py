@@ -124,15 +124,22 @@ def pv_range(n: Column) -> Column:
 
 
 def _kind_keys(sessions: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
-    """One row per (event, kind) present, with the key the kind is counted by."""
-    e = F.col("e")
-    members = []
-    for kind, field in zip(KINDS, ("req", "imp", "cli")):
-        k = e[field]["ip"] if key == "ip" else F.col("uid")
-        members.append(F.struct(F.lit(kind).alias("kind"), k.alias("k"), e[field].isNotNull().alias("has")))
-    exploded = sessions.select(*by, "uid", F.explode("events").alias("e"))
+    """One row per (event, kind) present, with the key the kind is counted by.
+
+    The three members of every event are flattened into one array first, so
+    a single explode yields the member rows directly.
+    """
+
+    def members(e: Column) -> Column:
+        out = []
+        for kind, field in zip(KINDS, ("req", "imp", "cli")):
+            k = e[field]["ip"] if key == "ip" else F.col("uid")
+            out.append(F.struct(F.lit(kind).alias("kind"), k.alias("k"), e[field].isNotNull().alias("has")))
+        return F.array(*out)
+
+    flat = F.flatten(F.transform("events", members))
     return (
-        exploded.select(*by, F.explode(F.array(*members)).alias("m"))
+        sessions.select(*by, F.explode(flat).alias("m"))
         .where(F.col("m.has"))
         .select(*by, F.col("m.kind").alias("kind"), F.col("m.k").alias("k"))
     )
