@@ -515,7 +515,7 @@ def q_cheater_summary(spark, sf_dir):
 
 _SQL_PAIRS = """pairs AS (SELECT DISTINCT manufacturer, model, resolution, device_id FROM devices_raw
   WHERE manufacturer IS NOT NULL AND model IS NOT NULL AND resolution IS NOT NULL AND device_id IS NOT NULL)"""
-_SQL_DEV_COUNT = "dev AS (SELECT device_id, count(*) AS n_hardware FROM pairs GROUP BY 1)"
+_SQL_DEV_COUNT = "dev AS (SELECT sha256(device_id) AS device_id, count(*) AS n_hardware FROM pairs GROUP BY device_id)"
 
 
 @register(

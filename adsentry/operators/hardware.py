@@ -46,9 +46,14 @@ def hardware_uv(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(*HARDWARE).agg(F.count(F.lit(1)).alias("uv")).where(F.col("uv") > 1)
 
 
-def device_hardware_count(pairs: DataFrame, device: str = "device_id") -> DataFrame:
-    """A-25: ``(device_id, n_hardware)``: distinct triples claimed by each device."""
-    return pairs.groupBy(device).agg(F.count(F.lit(1)).alias("n_hardware"))
+def device_hardware_count(pairs: DataFrame, device: str = "device_id", hash_ids: bool = True) -> DataFrame:
+    """A-25: ``(device_id, n_hardware)``: distinct triples claimed by each device.
+
+    Device ids are personal data: by default the output carries their SHA-256
+    hex digest (hashed after the aggregation, once per device).
+    """
+    out = pairs.groupBy(device).agg(F.count(F.lit(1)).alias("n_hardware"))
+    return out.withColumn(device, F.sha2(F.col(device), 256)) if hash_ids else out
 
 
 def hardware_count_histogram(device_counts: DataFrame) -> DataFrame:

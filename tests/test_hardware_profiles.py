@@ -48,8 +48,12 @@ def test_hardware_library_drops_and_counts_nulls(spark):
     pairs = hw.hardware_pairs(df, observation=obs)
     assert rows(hw.hardware_uv(pairs)) == [("A", "X", "1", 2)]
     assert obs.get["dropped_null_rows"] == 1
-    dev = hw.device_hardware_count(pairs)
+    dev = hw.device_hardware_count(pairs, hash_ids=False)
     assert rows(dev) == [("d1", 2), ("d2", 1)]
+    import hashlib
+
+    hashed = dict(rows(hw.device_hardware_count(pairs)))
+    assert hashed == {hashlib.sha256(b"d1").hexdigest(): 2, hashlib.sha256(b"d2").hexdigest(): 1}
     assert rows(hw.hardware_count_histogram(dev)) == [(1, 1), (2, 1)]
 
 
