@@ -8,7 +8,7 @@ odds of p, and the lowest ranks are taken. u is a hash of the document and the
 seed, so reruns agree. The sample's fixed size is counted in words: documents
 are taken in rank order as long as they fit into the rest of the target;
 around the point where it is used up, a document that does not fit is passed
-over for the next that does.
+over for the next that does, and one of the last may be exchanged.
 
 No source is ever sorted as a whole: ranks fall into ``BINS`` bins per source,
 pre-aggregated sums find the bin where the target is used up, all documents
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,33 +102,50 @@ def _copies(rows: DataFrame, weights, share, cap, seed, bins, behind) -> DataFra
         F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_n_before"),
     ).join(of("_rest"), same)
     over = edges.where(F.col("_before") + F.col("_words") > F.col("_rest"))
-    # per source: the first bin that does not fit as a whole, what is left
-    # there, and the last bin of those whose documents may still fill it
-    edge = over.groupBy("_source").agg(F.min(F.struct("_bin", "_before", "_n_before", "_rest")).alias("e"))
-    edge = edge.select(F.col("_source").alias("_ps"), F.col("e._bin").alias("_edge"), (F.col("e._rest") - F.col("e._before")).alias("_left"), F.col("e._n_before").alias("_n_edge"))
-    last = (
-        edges.drop("_ps").join(edge, same)
-        .where((F.col("_bin") >= F.col("_edge")) & (F.col("_n_before") < F.col("_n_edge") + F.lit(behind)))
-        .groupBy("_source").agg(F.max("_bin").alias("_last"))
+    # per source: the first bin that does not fit as a whole, and around it
+    # the bins of the ``behind`` documents before and behind that may settle
+    # the rest, with what is left where they begin
+    edge = over.groupBy("_source").agg(F.min(F.struct("_bin", "_n_before", "_rest")).alias("e"))
+    edge = edge.select(F.col("_source").alias("_ps"), "e.*").withColumnsRenamed({"_bin": "_at", "_n_before": "_n_at", "_rest": "_need"})
+    around = edges.drop("_ps", "_rest").join(edge, same).where(
+        ((F.col("_bin") <= F.col("_at")) & (F.col("_n_before") >= F.col("_n_at") - F.lit(behind)))
+        | ((F.col("_bin") > F.col("_at")) & (F.col("_n_before") < F.col("_n_at") + F.lit(behind)))
+    )
+    edge = around.groupBy("_source").agg(
+        F.min(F.struct("_bin", "_before", "_need")).alias("e"), F.max("_bin").alias("_last")
     )
     edge = staged(
-        edge.join(last, F.col("_source").eqNullSafe(F.col("_ps"))).select("_ps", "_edge", "_left", "_last"), "mix-edges"
+        edge.select(
+            F.col("_source").alias("_ps"), F.col("e._bin").alias("_edge"), (F.col("e._need") - F.col("e._before")).alias("_left"), "_last"
+        ),
+        "mix-edges",
     )
     near = ranked.join(edge, same).where("_size > 0 and _bin >= _edge and _bin <= _last").select("_row", "_source", "_left", "_rank", "_id", "_size")
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_rank", "_id", "_size", "_row"], kind="stable")
-        left, taken = float(pdf["_left"].iloc[0]), []
-        smallest = None
-        for row, size in zip(pdf["_row"], pdf["_size"]):
+        left, sizes = float(pdf["_left"].iloc[0]), pdf["_size"].to_numpy()
+        take = np.zeros(len(sizes), bool)
+        for i, size in enumerate(sizes):
             if size <= left:
-                taken.append(row)
+                take[i] = True
                 left -= size
-            elif smallest is None or size < smallest[1]:
-                smallest = (row, size)
-        if smallest is not None and smallest[1] - left < left:
-            taken.append(smallest[0])  # one too many lies nearer than one too few
-        return pd.DataFrame({"_t": pd.Series(taken, dtype="int64")})
+        # one exchange of the last ranks, if it brings the words nearer: a
+        # document more, or one in place of another (row 0: of none)
+        out = np.flatnonzero(~take)
+        if left > 0 and len(out):
+            out = out[np.argsort(sizes[out], kind="stable")]
+            held = np.flatnonzero(take)
+            base = np.concatenate([[0], sizes[held]])
+            at = np.clip(np.searchsorted(sizes[out], base + left), 1, len(out)) - 1
+            at = np.stack([at, np.minimum(at + 1, len(out) - 1)])
+            gap = np.abs(left + base - sizes[out][at])
+            best = np.unravel_index(np.argmin(gap), gap.shape)
+            if gap[best] < left:
+                take[out[at[best]]] = True
+                if best[1]:
+                    take[held[best[1] - 1]] = False
+        return pd.DataFrame({"_t": pdf["_row"].to_numpy()[take]})
 
     ship_code(rows.sparkSession)
     filled = near.groupBy("_source").applyInPandas(fill, "_t long")

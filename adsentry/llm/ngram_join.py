@@ -79,10 +79,10 @@ def ngram_hashes(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
             if len(w) >= n:
                 yield grams[start : start + len(w) - n + 1]
             elif w:
-                whole = np.zeros(1, np.uint64)
-                for h in flat[start : start + len(w)]:
-                    whole = whole * _STEP + h
-                yield _scramble(whole ^ (_SHORT * np.uint64(len(w))))
+                whole = np.array([len(w)], np.uint64) * _SHORT
+                for k in range(start, start + len(w)):
+                    whole = whole * _STEP + flat[k : k + 1]
+                yield _scramble(whole)
             else:
                 yield flat[:0]
             start += len(w)
