@@ -11,7 +11,7 @@ from adsentry.llm.common import staged
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -20,6 +20,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Only stars are left: no node has two neighbours below it, or one below and one above.
+
+    Edges run from larger to smaller, so a star's centre is its smallest node.
+    """
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    per = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return per.where("below > 1 or below > 0 and above > 0").isEmpty()
+
+
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``node, label`` of every node that is not its component's smallest.
 
@@ -31,15 +43,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     now = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-edges"
     )
-    mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    state = mark(now)
     for _ in range(max_rounds):
-        if not state[0]:
-            break
+        if _settled(now):
+            return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
         now = staged(_small_star(_large_star(now)), "cc-edges")
-        before, state = state, mark(now)
-        if state == before:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    raise RuntimeError("components did not settle")

@@ -15,10 +15,10 @@ and is then verified once, on the full sets.
 
 Nothing works on a whole group of look-alikes at once. Equal sets are one
 class before the join. Classes that share a prefix n-gram are first compared
-with two pivots each (as many pairs as postings); only where an n-gram still
-joins several components are the remaining pairs across them formed, which
-keeps large groups of near copies from being paired out and loses no link
-between components.
+with four pivots (four pairs a posting), again as long as that at least
+halves the pairs left; only where an n-gram still joins several components
+are the remaining pairs across them formed, which keeps large groups of near
+copies from being paired out and loses no link between components.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ SKETCH_BITS = 18  # corpus counts are kept for 2**18 hash ranges of n-grams
 SKETCH_CHUNKS = 16
 CHUNK_WORDS = 200_000  # words that are Python objects at a time
 STAR_ROUNDS = 4
-PAIRS_PER_POSTING = 4  # pairs across components that are formed without another star round
+LOOK_BACK = 4  # earlier n-grams of a posting that are compared to meet a pair once
+PAIRS_PER_POSTING = 32  # with fewer pairs across components, no further star round is tried
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SHORT = np.uint64(0xD1B54A32D192ED03)
@@ -286,13 +287,15 @@ def _ordered(df: DataFrame, x: str, nx: str, y: str, ny: str) -> DataFrame:
 
 def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
     """``node, label``: the component of every class that is not the smallest of its own."""
-    heads = sig.join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi")
-    postings = heads.select("rid", "n", F.posexplode("grams").alias("pos", "gram"))
-    shared = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    postings = staged(postings.join(shared, "gram"), "ngram-postings")
+    # Counted before equal sets are made one, which spares a shuffle of all
+    # prefixes; n-grams that only copies share go out with the copies.
+    grams = sig.select("rid", "n", F.posexplode("grams").alias("pos", "gram"))
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
+    heads = classes.select(F.col("rep").alias("rid"))
+    postings = staged(grams.join(shared, "gram").join(heads, "rid", "left_semi"), "ngram-postings")
     size = postings.count()
 
-    edges, tested, labels = None, None, None
+    tested, labels, before = None, None, 0
     for turn in range(STAR_ROUNDS + 1):
         live = postings.withColumn("lab", F.col("rid")) if labels is None else (
             postings.join(labels, F.col("rid") == F.col("node"), "left").withColumn("lab", F.coalesce("label", "rid")).drop("node", "label")
@@ -306,11 +309,16 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
         if not cross:
             break
         live = live.join(open_grams.select("gram"), "gram")
-        last = turn == STAR_ROUNDS or (turn > 0 and cross <= PAIRS_PER_POSTING * size)
+        last = turn == STAR_ROUNDS or (turn > 0 and (cross <= PAIRS_PER_POSTING * size or 2 * cross > before))
+        before = cross
         if last:
-            # every pair across components that shares a prefix n-gram
-            named = lambda p: live.join(_parities(sig, "", "rid"), "rid").select(
-                "gram", *[F.col(c).alias(f"{p}{c}") for c in ("rid", "n", "pos", "lab", "p0", "p1", "p2", "p3")]
+            # Every pair across components that shares a prefix n-gram, met at
+            # the first of them: later ones are passed over where one of the
+            # few n-grams before is shared too.
+            back = Window.partitionBy("rid").orderBy("pos").rowsBetween(-LOOK_BACK, -1)
+            live = live.join(_parities(sig, "", "rid"), "rid").withColumn("prev", F.collect_list("gram").over(back))
+            named = lambda p: live.select(
+                "gram", *[F.col(c).alias(f"{p}{c}") for c in ("rid", "n", "pos", "lab", "prev", "p0", "p1", "p2", "p3")]
             )
             x, y = named("x"), named("y")
             met = x.join(
@@ -319,14 +327,18 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
                 & (F.col("xrid") < F.col("yrid"))
                 & (F.col("xlab") != F.col("ylab"))
                 & _may_link(F.col("xn"), F.col("xpos"), F.col("yn"), F.col("ypos"), threshold)
-                & _suffix("x", "y", F.col("xn"), F.col("yn"), threshold),
+                & _suffix("x", "y", F.col("xn"), F.col("yn"), threshold)
+                & ~F.arrays_overlap("xprev", "yprev"),
             )
             pairs = _ordered(met, "xrid", "xn", "yrid", "yn")
         else:
-            key = F.xxhash64("rid", F.lit(turn))
+            live = live.withColumn("key", F.xxhash64("rid", F.lit(turn))).withColumn("turned", F.shiftrightunsigned("key", 32))
             who = F.struct("rid", "n", "pos", "lab")
-            pivots = live.groupBy("gram").agg(F.min_by(who, key).alias("v1"), F.max_by(who, key).alias("v2"))
-            met = live.join(pivots.select("gram", F.explode(F.array("v1", "v2")).alias("v")), "gram").where(
+            pivots = live.groupBy("gram").agg(
+                F.min_by(who, "key").alias("v1"), F.max_by(who, "key").alias("v2"),
+                F.min_by(who, "turned").alias("v3"), F.max_by(who, "turned").alias("v4"),
+            )
+            met = live.join(pivots.select("gram", F.explode(F.array_distinct(F.array("v1", "v2", "v3", "v4"))).alias("v")), "gram").where(
                 (F.col("rid") != F.col("v.rid"))
                 & (F.col("lab") != F.col("v.lab"))
                 & _may_link(F.col("n"), F.col("pos"), F.col("v.n"), F.col("v.pos"), threshold)
@@ -343,9 +355,9 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "ngram-pairs")
         found = staged(_verify(pairs, sig, rows, n, threshold), "ngram-links")
-        edges = found if edges is None else edges.union(found)
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
-        labels = components(edges)
+        # what is known of the components stands in for the links it came from
+        labels = components(found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
         if last:
             break
     if labels is None:

@@ -43,8 +43,9 @@ DEPTH = 3  # pieces in a pattern
 SMALL = 1 / 8  # pieces up to this share of the capacity stay out of the patterns
 CACHED_WORDS = 600_000  # words whose ids a worker remembers
 WORD_END = "</w>"  # ends the last id of a run of letters or of signs
-# Latin-1 letters and ASCII signs (no apostrophe): one run of each
-PLAIN_WORD = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+([!-&(-/:-@\[-`{-~]+)?")
+# Latin-1 letters, then ASCII signs (no apostrophe): one run of each
+PLAIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
+
 
 _TOKENIZERS: dict[str, tuple] = {}
 
@@ -61,50 +62,61 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[bytes, bytes] = {}
+        self.ids: dict[bytes, bytes] = {}  # words
+        self.runs: dict[str, bytes] = {}  # runs of lower-case letters, runs of signs
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
 
-    def _encode_words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids of each word. Plain words are encoded in one text and told apart
-        by their last ids: one for the letters, one for the signs behind them."""
-        rest, plain, parts = [], [], []
-        for word in words:
-            found = PLAIN_WORD.fullmatch(text := word.decode("utf-8", "replace"))
-            if found:
-                plain.append(text)
-                parts.append(2 if found[1] else 1)
-            else:
-                rest.append(text)
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
+    def _one(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Runs of letters are encoded many in a text and told apart by their last ids."""
+        for at in range(0, len(runs), 4096):
+            some = runs[at : at + 4096]
             ids = np.asarray(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            upto = np.cumsum(parts[at : at + 4096])
-            if not len(upto) or len(ends) != upto[-1] or ends[-1] != len(ids):
-                rest += some
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                self.runs.update((run, self._one(run)) for run in some)
                 continue
-            raw, start = ids.tobytes(), 0
-            for word, end in zip(some, ends[upto - 1].tolist()):
-                yield word.encode(), raw[4 * start : 4 * end]
-                start = end
-        for word, code in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            yield word.encode(), np.asarray(code.ids, dtype="<u4").tobytes()
+            raw = ids.tobytes()
+            self.runs.update((run, raw[4 * i : 4 * k]) for run, i, k in zip(some, [0, *ends], ends))
+
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of each word: a plain word is a run of letters and a run of signs."""
+        texts = b" ".join(words).decode("utf-8", "replace").split(" ")
+        found = list(map(PLAIN_WORD.fullmatch, texts))
+        parts = [m and (m[1].lower(), m[2]) for m in found]
+        runs = self.runs
+        if len(runs) > CACHED_WORDS:
+            runs.clear()
+        self._learn_runs(list({p[0] for p in parts if p}.difference(runs)))
+        for signs in {p[1] for p in parts if p}.difference(runs):
+            runs[signs] = self._one(signs)
+        return {
+            word: runs[p[0]] + runs[p[1]] if p else self._one(text) for word, text, p in zip(words, texts, parts)
+        }
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         words = [(text or "").encode("utf-8", "replace").split() for text in texts]
         codes = [list(map(self.ids.get, w)) for w in words]
-        new = {word for w, found in zip(words, codes) if None in found for word, code in zip(w, found) if code is None}
-        if new:
-            fresh = dict(self._encode_words(list(new)))
-            for w, found in zip(words, codes):
-                if None in found:
-                    found[:] = [fresh[word] if code is None else code for word, code in zip(w, found)]
+        gaps = []
+        for w, found in zip(words, codes):
+            i = -1
+            for _ in range(found.count(None)):
+                i = found.index(None, i + 1)
+                gaps.append((found, i, w[i]))
+        if gaps:
+            fresh = self._encode_words(list({word for _, _, word in gaps}))
+            for found, i, word in gaps:
+                found[i] = fresh[word]
             if len(self.ids) + len(fresh) > CACHED_WORDS:
-                self.ids.clear()
-            self.ids.update(fresh)
+                # keep the words at hand, the frequent ones among them
+                self.ids = {word: code for w, found in zip(words, codes) for word, code in zip(w, found)}
+            else:
+                self.ids.update(fresh)
         return [b"".join(found) for found in codes]
 
 
@@ -123,8 +135,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)
         for batch in it:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 out = []
                 for i, ids in enumerate(tokenizer.encode_batch(part.column(1).to_pylist())):
                     ids += end
