@@ -42,6 +42,7 @@ THRESHOLD = (80, 100)  # as a fraction, so that all bounds are integers
 SKETCH_BITS = 18  # corpus counts are kept for 2**18 hash ranges of n-grams
 SKETCH_CHUNKS = 16
 CHUNK_WORDS = 200_000  # words that are Python objects at a time
+MAX_BITMAP_BITS = 1 << 28
 STAR_ROUNDS = 4
 LOOK_BACK = 4  # earlier n-grams of a posting that are compared to meet a pair once
 PAIRS_PER_POSTING = 32  # with fewer pairs across components, no further star round is tried
@@ -209,61 +210,74 @@ def _parities(sig: DataFrame, prefix: str, key: str) -> DataFrame:
     return sig.select(F.col("rid").alias(key), *[F.col(f"p{i}").alias(f"{prefix}p{i}") for i in range(4)])
 
 
-def _verify(pairs: DataFrame, sig: DataFrame, rows: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
-    """The linked pairs ``a, b`` of candidate pairs ``a, b, na, nb``.
+def _id_bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Packed bitmap over hashes of the identifiers ``id``, and its bits.
 
-    The full sets are built again from the texts, for the documents that occur
-    in a pair: a fixed-size bitmap of their identifiers picks the texts.
+    About 16 bits an identifier, ``MAX_BITMAP_BITS`` at most: a fuller bitmap
+    only lets more texts through, none is lost.
     """
-    spark = rows.sparkSession
-    ends = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid"))).distinct()
-    wanted = staged(sig.join(ends, "rid", "left_semi").select("rid", "doc_id", "n", "c1", "c2"), "ngram-wanted")
-    bits = 1 << 22
+    n = ids.count()
+    bits = 1 << 16
+    while bits < min(16 * n, MAX_BITMAP_BITS):
+        bits *= 2
 
     def mark(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(bits, np.uint8)
+        seen = np.zeros(bits // 8, np.uint8)
         for batch in it:
-            seen[batch.column(0).to_numpy(zero_copy_only=False)] = 1
+            at = batch.column(0).to_numpy(zero_copy_only=False)
+            np.bitwise_or.at(seen, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
         if seen.any():
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([np.packbits(seen).tobytes()], pa.binary())], ["chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()], pa.binary())], ["bits"])
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(bits // 8, np.uint8)
-        for raw in pdf["counts"]:
-            total |= np.frombuffer(raw, np.uint8)
-        return pd.DataFrame({"chunk": np.zeros(1, np.int32), "counts": [total.tobytes()]})
+    marks = ids.select(_slot("id", bits)).coalesce(16).mapInArrow(mark, "bits binary").collect()  # 16 rows
+    total = np.zeros(bits // 8, np.uint8)
+    for row in marks:
+        total |= np.frombuffer(row["bits"], np.uint8)
+    return total, bits
 
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)).cast("int")
-    kind = "chunk int, counts binary"
-    tasks = max(16, spark.sparkContext.defaultParallelism)
-    marks = wanted.select(slot("doc_id").alias("s")).coalesce(tasks).mapInArrow(mark, kind)
-    level = marks.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("chunk", "part").applyInPandas(merge, kind)
-    found = level.groupBy("chunk").applyInPandas(merge, kind).collect()
-    bitmap = spark.sparkContext.broadcast(np.unpackbits(np.frombuffer(found[0]["counts"], np.uint8)) if found else np.zeros(bits, np.uint8))
+
+def _slot(column: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(bits)).cast("long")
+
+
+def _verify(pairs: DataFrame, sig: DataFrame, rows: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
+    """The linked pairs ``a, b`` of candidate pairs ``a, b, na, nb``.
+
+    The full sets are built again from the texts, for the documents that occur
+    in a pair (a bitmap of their identifiers picks the texts), and found by
+    their digest, so that they move only to meet their pairs.
+    """
+    ends = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid"))).distinct()
+    wanted = staged(sig.join(ends, "rid", "left_semi").select("rid", F.col("doc_id").alias("id"), "c1", "c2"), "ngram-wanted")
+    packed, bits = _id_bitmap(wanted.select("id"))
+    shared = rows.sparkSession.sparkContext.broadcast(packed)
 
     def build(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = bitmap.value
+        chosen = shared.value
         for batch in it:
-            mine = pa.array(chosen[batch.column(1).to_numpy(zero_copy_only=False)].astype(bool))
+            at = batch.column(1).to_numpy(zero_copy_only=False)
+            mine = pa.array((chosen[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
             for _, texts in _texts(iter([batch.filter(mine)]), 0, 128):
                 sets = [np.unique(g) for g in ngram_hashes(texts, n)]
                 keys = [_class_key(g) for g in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([len(g) for g in sets], pa.int64()),
                         pa.array([k[0] for k in keys], pa.int64()),
                         pa.array([k[1] for k in keys], pa.int64()),
                         pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64())),
                     ],
-                    ["n", "c1", "c2", "grams"],
+                    ["c1", "c2", "grams"],
                 )
 
-    sets = rows.select("_text", slot("_id").alias("s")).mapInArrow(build, "n long, c1 long, c2 long, grams array<long>")
-    sets = staged(sets.join(wanted.drop("doc_id"), ["n", "c1", "c2"]).select("rid", "grams"), "ngram-sets")
+    sets = rows.select("_text", _slot("_id", bits).alias("s")).mapInArrow(build, "c1 long, c2 long, grams array<long>")
+    digest = lambda p: wanted.select(F.col("rid").alias(p), F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"))
+    side = lambda p: sets.select(F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"), F.col("grams").alias(f"g{p}"))
     overlap = F.size(F.array_intersect("ga", "gb"))
     return (
-        pairs.join(sets.select(F.col("rid").alias("a"), F.col("grams").alias("ga")), "a")
-        .join(sets.select(F.col("rid").alias("b"), F.col("grams").alias("gb")), "b")
+        pairs.join(digest("a"), "a")
+        .join(digest("b"), "b")
+        .join(side("a"), ["a1", "a2"])
+        .join(side("b"), ["b1", "b2"])
         .where(overlap >= _needed(F.col("na"), F.col("nb"), threshold))
         .select("a", "b")
         .distinct()
