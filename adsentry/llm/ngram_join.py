@@ -213,12 +213,12 @@ def _parities(sig: DataFrame, prefix: str, key: str) -> DataFrame:
 def _id_bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
     """Packed bitmap over hashes of the identifiers ``id``, and its bits.
 
-    About 16 bits an identifier, ``MAX_BITMAP_BITS`` at most: a fuller bitmap
+    About 64 bits an identifier, ``MAX_BITMAP_BITS`` at most: a fuller bitmap
     only lets more texts through, none is lost.
     """
     n = ids.count()
     bits = 1 << 16
-    while bits < min(16 * n, MAX_BITMAP_BITS):
+    while bits < min(64 * n, MAX_BITMAP_BITS):
         bits *= 2
 
     def mark(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,10 +303,18 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
     """``node, label``: the component of every class that is not the smallest of its own."""
     # Counted before equal sets are made one, which spares a shuffle of all
     # prefixes; n-grams that only copies share go out with the copies.
-    grams = sig.select("rid", "n", F.posexplode("grams").alias("pos", "gram"))
+    # Size and place share a column, as these rows are most of what moves.
+    grams = sig.select("rid", "n", F.posexplode("grams").alias("pos", "gram")).select(
+        "gram", "rid", F.shiftleft("n", 24).bitwiseOR(F.col("pos").cast("long")).alias("spot")
+    )
     shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
     heads = classes.select(F.col("rep").alias("rid"))
-    postings = staged(grams.join(shared, "gram").join(heads, "rid", "left_semi"), "ngram-postings")
+    met = grams.join(shared, "gram").join(heads, "rid", "left_semi")
+    spot = F.col("spot")
+    postings = staged(
+        met.select("gram", "rid", F.shiftright(spot, 24).alias("n"), spot.bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("pos")),
+        "ngram-postings",
+    )
     size = postings.count()
 
     tested, labels, before = None, None, 0
