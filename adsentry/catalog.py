@@ -33,6 +33,7 @@ ORACLE: dict[str, str] = {}
 # Fixed parameters of the registered queries.
 HOUR_TARGET = "198.51.100.1"  # substring: hits .1 and .10-.19 of the range
 ORDER_TARGET = "203.0.113"
+TOP_PV = 100  # the operator's default threshold is above every subnet of the given tables
 
 # DuckDB spellings of the column helpers (oracle side only).
 SQL_QUAD = "(length(rtrim({x}, '.')) - length(replace(rtrim({x}, '.'), '.', '')) = 3)"
@@ -98,12 +99,12 @@ SELECT * FROM (
   SELECT {SQL_SUBNET.format(x='v')} AS subnet, count(*) AS pv
   FROM (SELECT u.view_ip AS v FROM (SELECT unnest(orders) AS u FROM visits))
   WHERE {SQL_QUAD.format(x='v')} GROUP BY 1)
-WHERE pv > {subnet.TOP_SUBNET_THRESHOLD}""",
+WHERE pv > {TOP_PV}""",
         "visits",
     ),
 )
 def q_top_subnet24(spark, sf_dir):
-    return subnet.top_subnet24(_v(spark, sf_dir, "visits")).orderBy(F.desc("pv"), "subnet")
+    return subnet.top_subnet24(_v(spark, sf_dir, "visits"), TOP_PV).orderBy(F.desc("pv"), "subnet")
 
 
 # --------------------------------------------------------------------------
@@ -312,7 +313,7 @@ WATCH_IPS = (fx.HEAVY_IP, fx.CLICK_RELAY_IP)
 WATCH_MEDIA = ("m0", "m1")
 COUNT_DIMS = sessions_ops.SESSION_DIMS + sessions_ops.DEVICE_DIMS + ("day",)
 NULL_TOKEN = "<null>"
-BACKFILL_START, BACKFILL_END = "2024-01-01", "2024-02-01"
+BACKFILL_START, BACKFILL_END = "2024-01-10", "2024-01-20"
 
 
 def _sql_list(items) -> str:
@@ -471,24 +472,30 @@ def q_third_party_normalize(spark, sf_dir):
 # --------------------------------------------------------------------------
 # A-22, A-23: cheater rules
 
-TRIAL_RULES = ("many_carriers", "blacklisted_ip")
+TRIAL_RULES = ("many_carriers", "many_hardware", "blacklisted_ip")
+TRIAL_DAY = "2024-01-31"
 
 _SQL_TRIALS = f"""{_SQL_CANDIDATES},
 sq AS (SELECT {_sql_xquantile('candidates', 'coef', fences.SCORE_LOW_P)} AS ql,
               {_sql_xquantile('candidates', 'coef', fences.SCORE_HIGH_P)} AS qh),
 blacklist AS (SELECT ip FROM candidates CROSS JOIN sq WHERE coef > qh + {fences.SCORE_K} * (qh - ql)),
-trials AS (
-  SELECT uid, epoch, 'many_carriers' AS rule, array_to_string(list_sort(list_distinct(operators)), ',') AS evidence
+hits AS (
+  SELECT uid, 'many_carriers' AS rule, list_sort(list_distinct(operators)) AS v
   FROM profiles WHERE len(list_distinct(operators)) > {rules.MAX_CARRIERS}
   UNION ALL
-  SELECT uid, epoch, 'blacklisted_ip', array_to_string(list_sort(list_distinct(list(ip))), ',')
-  FROM (SELECT uid, epoch, unnest(list_distinct(locations)) AS ip FROM profiles)
-  WHERE ip IN (SELECT ip FROM blacklist) GROUP BY uid, epoch)"""
+  SELECT uid, 'many_hardware', list_sort(list_distinct(hardware))
+  FROM profiles WHERE len(list_distinct(hardware)) > {rules.MAX_HARDWARE}
+  UNION ALL
+  SELECT uid, 'blacklisted_ip', list_sort(list_distinct(list(ip)))
+  FROM (SELECT uid, unnest(list_distinct(locations)) AS ip FROM profiles)
+  WHERE ip IN (SELECT ip FROM blacklist) GROUP BY uid),
+trials AS (SELECT uid, DATE '{TRIAL_DAY}' AS day, rule, array_to_string(v[1:{rules.MAX_EVIDENCE}], ',') AS evidence FROM hits)"""
 
 
 def _trials(spark, sf_dir):
     black = build_blacklist(_v(spark, sf_dir, "visits")).blacklist
-    return rules.cheater_trials(_v(spark, sf_dir, "profiles"), TRIAL_RULES, blacklist=black)
+    facts = rules.facts_from_events(_v(spark, sf_dir, "profile_events"))
+    return rules.cheater_trials(facts, TRIAL_RULES, day=TRIAL_DAY, blacklist=black)
 
 
 @register("cheater_trials", with_views(f"{_SQL_TRIALS}\nSELECT * FROM trials", "visits", "profiles"))
@@ -496,8 +503,13 @@ def q_cheater_trials(spark, sf_dir):
     return _trials(spark, sf_dir)
 
 
+@register("cheater_summary", with_views(f"{_SQL_TRIALS}\nSELECT DISTINCT * FROM trials", "visits", "profiles"))
+def q_cheater_summary(spark, sf_dir):
+    return rules.cheater_summary(_trials(spark, sf_dir))
+
+
 @register(
-    "cheater_summary",
+    "cheater_users",
     with_views(
         f"""{_SQL_TRIALS}
 SELECT uid, array_to_string(list_sort(list_distinct(list(rule))), ',') AS rules
@@ -506,8 +518,8 @@ FROM trials WHERE uid IS NOT NULL GROUP BY uid""",
         "profiles",
     ),
 )
-def q_cheater_summary(spark, sf_dir):
-    return rules.cheater_summary(_trials(spark, sf_dir))
+def q_cheater_users(spark, sf_dir):
+    return rules.cheater_users(rules.cheater_summary(_trials(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------------
@@ -548,6 +560,9 @@ def q_hardware_count_histogram(spark, sf_dir):
     return hardware.hardware_count_histogram(hardware.device_hardware_count(pairs)).orderBy("n_devices", "n_hardware")
 
 
+TAC_KEY = ("manufacturer", "model", "resolution", "tac")
+
+
 def _sql_tac(pred: str) -> str:
     return with_views(
         f"""
@@ -562,12 +577,12 @@ GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""",
 
 @register("hardware_tac_uv_unidentified", _sql_tac("manufacturer IS NULL AND model IS NULL"))
 def q_hardware_tac_uv_unidentified(spark, sf_dir):
-    return hardware.hardware_tac_uv_unidentified(_v(spark, sf_dir, "devices_ext")).orderBy(F.desc("uv"))
+    return hardware.hardware_tac_uv_unidentified(_v(spark, sf_dir, "devices_ext")).orderBy(F.desc("uv"), *TAC_KEY)
 
 
 @register("hardware_tac_uv", _sql_tac("manufacturer IS NOT NULL AND model IS NOT NULL"))
 def q_hardware_tac_uv(spark, sf_dir):
-    return hardware.hardware_tac_uv(_v(spark, sf_dir, "devices_ext")).orderBy(F.desc("uv"))
+    return hardware.hardware_tac_uv(_v(spark, sf_dir, "devices_ext")).orderBy(F.desc("uv"), *TAC_KEY)
 
 
 def _sql_part(i: int) -> str:
@@ -608,7 +623,7 @@ def q_hardware_clean(spark, sf_dir):
     ),
 )
 def q_operator_count_histogram(spark, sf_dir):
-    return profiles_ops.operator_count_histogram(_v(spark, sf_dir, "profiles")).orderBy("n_operators")
+    return profiles_ops.operator_count_histogram_flat(_v(spark, sf_dir, "profile_events")).orderBy("n_operators")
 
 
 @register(
@@ -617,7 +632,7 @@ def q_operator_count_histogram(spark, sf_dir):
                "profiles"),
 )
 def q_interest_pv(spark, sf_dir):
-    return profiles_ops.interest_pv(_v(spark, sf_dir, "profiles"))
+    return profiles_ops.interest_pv_flat(_v(spark, sf_dir, "profile_events"))
 
 
 @register(
@@ -629,7 +644,7 @@ def q_interest_pv(spark, sf_dir):
     ),
 )
 def q_interest_uv(spark, sf_dir):
-    return profiles_ops.interest_uv(_v(spark, sf_dir, "profiles"))
+    return profiles_ops.interest_uv_flat(_v(spark, sf_dir, "profile_events"))
 
 
 def _sql_same24(a: str, b: str) -> str:
@@ -651,9 +666,9 @@ FROM profiles GROUP BY 1""",
     ),
 )
 def q_adjacent_subnet_histogram(spark, sf_dir):
-    return subnet.adjacent_subnet_histogram(_v(spark, sf_dir, "profiles")).orderBy("n_pairs")
+    return subnet.adjacent_subnet_histogram_flat(_v(spark, sf_dir, "profile_events")).orderBy("n_pairs")
 
 
 @register("profile_uids", with_views("SELECT uid FROM profiles", "profiles"))
 def q_profile_uids(spark, sf_dir):
-    return profiles_ops.profile_uids(_v(spark, sf_dir, "profiles"))
+    return profiles_ops.profile_uids_flat(_v(spark, sf_dir, "profile_events"))

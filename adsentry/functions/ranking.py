@@ -54,5 +54,6 @@ def dense_index(
         # A group's rows are contiguous in the global order, so its offset is
         # its smallest global rank: a partial + final aggregate, no window.
         firsts = out.groupBy(group_col).agg(F.min("_rank").alias("_first"))
-        out = out.join(firsts, group_col).withColumn("_rank", F.col("_rank") - F.col("_first") + 1)
+        firsts = firsts.withColumnRenamed(group_col, "_group")
+        out = out.join(firsts, out[group_col].eqNullSafe(F.col("_group"))).drop("_group").withColumn("_rank", F.col("_rank") - F.col("_first") + 1)
     return out.withColumnRenamed("_rank", name).drop("_pid", "_pos", "_off", "_first")

@@ -219,20 +219,22 @@ def _new_hardware(spark, ns):
     devices = readers.read_records(spark, ns.devices)
     devices = ingest.devices_ext_from_fields(devices) if ns.raw else devices
     out = hardware.hardware_tac_uv(devices, identified=ns.identified)
-    _write(out.orderBy(F.desc("uv")), ns.out, ns)
+    _write(out.orderBy(F.desc("uv"), "manufacturer", "model", "resolution", "tac"), ns.out, ns)
 
 
 @job(
     "cheater-hunter",
     ("--profiles", _req("profiles")),
     ("--rules", {"default": ",".join(rules.RULES)}),
+    ("--day", {"help": "day of the trial, yyyy-MM-dd"}),
     ("--blacklist", {"help": "A-12 output (parquet) for the blacklisted_ip rule"}),
     ("--out", _req("A-22 trials")),
     ("--summary-out", {"help": "A-23"}),
 )
 def _cheater_hunter(spark, ns):
     context = {"blacklist": readers.read_records(spark, ns.blacklist)} if ns.blacklist else {}
-    trials = rules.cheater_trials(readers.read_records(spark, ns.profiles), ns.rules.split(","), **context)
+    facts = rules.facts_from_profiles(readers.read_records(spark, ns.profiles))
+    trials = rules.cheater_trials(facts, ns.rules.split(","), day=ns.day, **context)
     _write(trials, ns.out, ns)
     if ns.summary_out:
         _write(rules.cheater_summary(readers.read_records(spark, ns.out) if ns.format == "parquet" else trials),

@@ -33,8 +33,12 @@ def pearson_score(
     right_value = right_value or left_value
     x = left.select(*by, key, F.col(left_value).cast("double").alias("_x"))
     y = right.select(*by, key, F.col(right_value).cast("double").alias("_y"))
+    # groups match NULL-safely; a NULL key matches nothing
+    on = F.col(f"x.{key}") == F.col(f"y.{key}")
+    for c in by:
+        on = on & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
     sums = (
-        x.join(y, [*by, key])
+        x.alias("x").join(y.alias("y"), on).select(*[F.col(f"x.{c}").alias(c) for c in by], "_x", "_y")
         .groupBy(*by)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -48,7 +52,12 @@ def pearson_score(
     if by:
         # Groups present on one side only have no common key: n = 0, score NaN.
         groups = left.select(*by).unionByName(right.select(*by)).distinct()
-        sums = groups.join(sums, by, "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0)))
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(f"g.{c}").eqNullSafe(F.col(f"s.{c}"))
+        sums = groups.alias("g").join(sums.alias("s"), same, "left").select(
+            *[F.col(f"g.{c}").alias(c) for c in by], F.coalesce("n", F.lit(0)).alias("n"), "sx", "sy", "sxx", "syy", "sxy"
+        )
     n, sx, sy = F.col("n").cast("double"), F.col("sx"), F.col("sy")
     num = F.col("sxy") - F.try_divide(sx * sy, n)
     den = F.sqrt((F.col("sxx") - F.try_divide(sx * sx, n)) * (F.col("syy") - F.try_divide(sy * sy, n)))

@@ -1,14 +1,18 @@
 """Pluggable cheater rules (A-22) and their summary (A-23).
 
 The original chose rule classes by name and ran each over one cached profile
-scan; the rule bodies are not public. Rules here are entries of a registry:
-
-* a *row rule* is a boolean column over a profile row (with an evidence
-  column); all named row rules run in **one** pass: an array of
-  ``(rule, hit, evidence)`` structs is filtered and exploded;
-* a *frame rule* is a function of the profiles (and context such as a
-  blacklist) returning ``(uid, epoch, rule, evidence)`` rows; its joins are
-  sized by Spark.
+scan; the rule bodies are not public. Rules read *facts*, one row per user and
+attribute value: ``uid, kind, value``. ``facts_from_events`` makes them from
+flat profile rows, ``facts_from_profiles`` from stored profiles with arrays.
+The rules are
+
+* *count rules*: more than so many distinct values of one kind. All named ones
+  run in one pass: distinct facts, then one count per user and kind;
+* *frame rules*: a function of the facts (and context such as a blacklist)
+  returning ``(uid, rule, evidence)`` rows; its joins are sized by Spark.
+
+``evidence`` joins the values that broke the rule, the first ``MAX_EVIDENCE``
+in order, so that no user's values are gathered without bound.
 """
 
 from __future__ import annotations
@@ -17,19 +21,22 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-OUT_COLS = ("uid", "epoch", "rule", "evidence")
+OUT_COLS = ("uid", "day", "rule", "evidence")
 
-# Fixed value: more distinct carriers than this in one profile row is suspect.
+# More distinct values than this of one user are suspect.
 MAX_CARRIERS = 3
+MAX_HARDWARE = 3
+MAX_EVIDENCE = 10
 
 
 @dataclass(frozen=True)
-class RowRule:
-    hit: Callable[[], Column]
-    evidence: Callable[[], Column]
+class CountRule:
+    kind: str
+    limit: int
 
 
 @dataclass(frozen=True)
@@ -37,73 +44,94 @@ class FrameRule:
     run: Callable[..., DataFrame]
 
 
-def _many_carriers_hit() -> Column:
-    return F.size(F.array_distinct(F.col("operators"))) > MAX_CARRIERS
+def facts_from_events(events: DataFrame) -> DataFrame:
+    """``uid, kind, value`` of flat rows ``uid, location, operator, hardware`` (NULL values say nothing)."""
+    kinds = F.array(
+        *[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value"))
+          for kind, c in (("location", "location"), ("carrier", "operator"), ("hardware", "hardware")) if c in events.columns]
+    )
+    return events.select("uid", F.explode(F.filter(kinds, lambda x: x["value"].isNotNull())).alias("f")).select("uid", "f.*")
 
 
-def _many_carriers_evidence() -> Column:
-    return F.array_join(F.array_sort(F.array_distinct(F.col("operators"))), ",")
+def facts_from_profiles(profiles: DataFrame) -> DataFrame:
+    """The same of stored profiles ``uid, locations, operators, hardware`` (arrays)."""
+    parts = [
+        profiles.select("uid", F.lit(kind).alias("kind"), F.explode(c).alias("value"))
+        for kind, c in (("location", "locations"), ("carrier", "operators"), ("hardware", "hardware")) if c in profiles.columns
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts).where(F.col("value").isNotNull())
 
 
-def _blacklisted_ip(profiles: DataFrame, blacklist: DataFrame | None = None, **_) -> DataFrame:
-    """Profile rows with a location on the blacklist (a semi join; Spark sizes it)."""
+def _evidence(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, n, evidence`` of distinct rows ``keys, value``."""
+    first = Window.partitionBy(*keys).orderBy("value")
+    return (
+        hits.withColumn("nth", F.row_number().over(first))
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array_join(
+                F.array_sort(F.collect_list(F.when(F.col("nth") <= MAX_EVIDENCE, F.col("value")))), ","
+            ).alias("evidence"),
+        )
+    )
+
+
+def _blacklisted_ip(facts: DataFrame, blacklist: DataFrame | None = None, **_) -> DataFrame:
+    """Users with a location on the blacklist (a semi join; Spark sizes it)."""
     if blacklist is None:
         raise ValueError("rule 'blacklisted_ip' needs blacklist=")
-    locs = profiles.select("uid", "epoch", F.explode(F.array_distinct("locations")).alias("ip"))
-    hits = locs.join(blacklist.select("ip").distinct(), "ip", "left_semi")
-    return hits.groupBy("uid", "epoch").agg(F.array_join(F.array_sort(F.collect_set("ip")), ",").alias("evidence")).select(
-        "uid", "epoch", F.lit("blacklisted_ip").alias("rule"), "evidence"
-    )
+    ips = blacklist.select(F.col("ip").alias("value")).distinct()
+    seen = facts.where(F.col("kind") == "location").select("uid", "value").distinct().join(ips, "value", "left_semi")
+    return _evidence(seen, ["uid"]).select("uid", F.lit("blacklisted_ip").alias("rule"), "evidence")
 
 
-RULES: dict[str, RowRule | FrameRule] = {
-    "many_carriers": RowRule(_many_carriers_hit, _many_carriers_evidence),
+RULES: dict[str, CountRule | FrameRule] = {
+    "many_carriers": CountRule("carrier", MAX_CARRIERS),
+    "many_hardware": CountRule("hardware", MAX_HARDWARE),
     "blacklisted_ip": FrameRule(_blacklisted_ip),
 }
 
 
-def cheater_trials(profiles: DataFrame, rules: Sequence[str], **context) -> DataFrame:
-    """A-22: ``(uid, epoch, rule, evidence)``: one row per profile row and rule it breaks.
+def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
+    """A-22: ``(uid, day, rule, evidence)``: one row per user and rule it breaks.
 
-    All row rules run in one pass. Row and frame rules read the same profile
-    plan, whose shuffle AQE reuses across the branches (measured: faster than
-    persisting the profiles), so nothing is cached here.
+    ``day`` is the day of the trial (yyyy-MM-dd), carried as a DATE.
     """
     unknown = [r for r in rules if r not in RULES]
     if unknown:
         raise KeyError(f"unknown rules: {unknown}")
-    row_rules = [r for r in rules if isinstance(RULES[r], RowRule)]
-    frame_rules = [r for r in rules if isinstance(RULES[r], FrameRule)]
+    if not rules:
+        raise ValueError("no rules given")
+    counted = {r: RULES[r] for r in rules if isinstance(RULES[r], CountRule)}
     parts: list[DataFrame] = []
-    if row_rules:
+    if counted:
+        kinds = sorted({c.kind for c in counted.values()})
+        per = _evidence(facts.where(F.col("kind").isin(kinds)).distinct(), ["uid", "kind"])
         checks = F.array(
-            *[
-                F.struct(F.lit(r).alias("rule"), RULES[r].hit().alias("hit"), RULES[r].evidence().alias("evidence"))
-                for r in row_rules
-            ]
+            *[F.when((F.col("kind") == c.kind) & (F.col("n") > c.limit), F.lit(r)) for r, c in counted.items()]
         )
         parts.append(
-            profiles.select("uid", "epoch", F.explode(F.filter(checks, lambda c: c["hit"])).alias("c")).select(
-                "uid", "epoch", F.col("c.rule").alias("rule"), F.col("c.evidence").alias("evidence")
-            )
+            per.select("uid", F.explode(F.filter(checks, lambda r: r.isNotNull())).alias("rule"), "evidence")
         )
-    for r in frame_rules:
-        parts.append(RULES[r].run(profiles, **context).select(*OUT_COLS))
-    if not parts:
-        raise ValueError("no rules given")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    for r in rules:
+        if isinstance(RULES[r], FrameRule):
+            parts.append(RULES[r].run(facts, **context).select("uid", "rule", "evidence"))
+    trials = reduce(lambda a, b: a.unionByName(b), parts)
+    return trials.withColumn("day", F.to_date(F.lit(day))).select(*OUT_COLS)
 
 
 def cheater_summary(trials: DataFrame | Sequence[DataFrame]) -> DataFrame:
-    """A-23: ``(uid, rules)``: every cheater once, with the rules that caught it.
-
-    Union of the rule outputs, NULL users dropped, then one row per user
-    (the rule set per user is bounded by the number of rules).
-    """
+    """A-23: the union of the rule outputs without empty rows and repeats."""
     frames = [trials] if isinstance(trials, DataFrame) else list(trials)
-    union = reduce(lambda a, b: a.unionByName(b), [t.select("uid", "rule") for t in frames])
+    return reduce(lambda a, b: a.unionByName(b), frames).dropna(how="all").distinct()
+
+
+def cheater_users(summary: DataFrame) -> DataFrame:
+    """``(uid, rules)``: every known user once, with the rules that caught it
+    (bounded by the number of rules)."""
     return (
-        union.where(F.col("uid").isNotNull())
+        summary.where(F.col("uid").isNotNull())
         .groupBy("uid")
         .agg(F.array_join(F.array_sort(F.collect_set("rule")), ",").alias("rules"))
     )

@@ -8,6 +8,8 @@ expressions evaluated inside the row; only the final keyed sums shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -46,9 +48,7 @@ def session_counts(sessions: DataFrame, dims: Sequence[str] | None = None) -> Da
         F.hour(F.get(ev, 0)["req"]["ts"]).alias("hour"),
         F.transform(imps, lambda e: e["imp"]["ip"]).alias("imp_ips"),
         F.transform(clis, lambda e: e["cli"]["ip"]).alias("cli_ips"),
-        F.size(ev).alias("_req"),
-        F.size(imps).alias("_imp"),
-        F.size(clis).alias("_cli"),
+        *[F.coalesce(F.when(x.isNotNull(), F.size(x)), F.lit(0)).alias(c) for x, c in ((ev, "_req"), (imps, "_imp"), (clis, "_cli"))],
     )
     return keyed.groupBy(*dims, "hour", "imp_ips", "cli_ips").agg(
         F.sum("_req").alias("requests"), F.sum("_imp").alias("impressions"), F.sum("_cli").alias("clicks")
@@ -108,8 +108,10 @@ def user_new_index(counts: DataFrame, new_users: DataFrame) -> DataFrame:
     Left join on ``(media_key, uid, day)``: ``idx`` is NULL and ``is_new``
     FALSE for users seen before.
     """
-    idx = new_users.select("media_key", "uid", "day", "idx")
-    return counts.join(idx, ["media_key", "uid", "day"], "left").withColumn("is_new", F.col("idx").isNotNull())
+    key = ("media_key", "uid", "day")
+    idx = new_users.select(*[F.col(c).alias(f"_{c}") for c in key], "idx")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+    return counts.join(idx, same, "left").drop(*[f"_{c}" for c in key]).withColumn("is_new", F.col("idx").isNotNull())
 
 
 def pv_range(n: Column) -> Column:

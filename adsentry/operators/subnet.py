@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from adsentry.functions.ip import is_quad, same_subnet24, subnet24
 
@@ -66,3 +67,28 @@ def adjacent_subnet_histogram(profiles: DataFrame, locations: str = "locations")
     return profiles.groupBy(adjacent_subnet_pairs(locations).alias("n_pairs")).agg(
         F.count(F.lit(1)).alias("n_profiles")
     )
+
+
+def adjacent_subnet_histogram_flat(events: DataFrame, location: str = "location") -> DataFrame:
+    """A-33 on flat rows ``uid, ts, event_id, location``: the same histogram without a list per user.
+
+    Neighbours are paired within (user, clock hour); the seams between a
+    user's hours are paired from one row per hour with its first and last
+    location. So no task sorts more than an hour of one user.
+    """
+    rows = events.select("uid", "ts", "event_id", F.col(location).alias("loc"), F.date_trunc("hour", "ts").alias("hour"))
+    in_hour = Window.partitionBy("uid", "hour").orderBy("ts", "event_id")
+    same = lambda a, b: F.coalesce(same_subnet24(a, b), F.lit(False)).cast("int")
+    at = F.struct("ts", "event_id", "loc")
+    hours = (
+        rows.withColumn("hit", same(F.lag("loc").over(in_hour), F.col("loc")))
+        .groupBy("uid", "hour")
+        .agg(F.sum("hit").alias("hits"), F.min(at)["loc"].alias("first"), F.max(at)["loc"].alias("last"))
+    )
+    by_hour = Window.partitionBy("uid").orderBy("hour")
+    users = (
+        hours.withColumn("seam", same(F.lag("last").over(by_hour), F.col("first")))
+        .groupBy("uid")
+        .agg((F.sum("hits") + F.sum("seam")).cast("int").alias("n_pairs"))
+    )
+    return users.groupBy("n_pairs").agg(F.count(F.lit(1)).alias("n_profiles"))

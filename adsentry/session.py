@@ -17,6 +17,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -44,7 +45,7 @@ def build_session(
     spark = builder.getOrCreate()
     # getOrCreate() may return an existing session: re-apply SQL settings.
     for key, value in conf.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
@@ -69,7 +70,7 @@ def scale_conf(
     """
     cores = max(1, executors * cores_per_executor)
     wanted = int(input_bytes * shuffle_fraction / target_partition_bytes)
-    partitions = max(2 * cores, min(wanted, 200_000))
+    partitions = max(2 * cores, wanted)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

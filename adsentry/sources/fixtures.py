@@ -6,11 +6,10 @@ every query's work grows with them. Each view has a Spark definition (the
 DataFrame builders) and a DuckDB definition (``DUCKDB_VIEWS``) used by the
 independent SQL oracle; the two must stay row-for-row equal.
 
-Bounded groups: a profile or session row gathers the events of one user
-within one *epoch* of ``EPOCH_IDS`` consecutive event ids. A user who holds a
-third of all traffic therefore yields many rows of at most ``EPOCH_IDS``
-events each, and no single array (or task) ever holds an unbounded group.
-Every event is kept; the epoch only splits the rows.
+Profiles have one row per user; as a user may hold any share of all traffic,
+the registered profile queries run on the flat ``profile_events`` and never
+build that row. A session is what one user does at one ad unit within a clock
+hour (a session time window), so it is bounded by meaning.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsentry.sources.readers import read_records, spread
+from adsentry.sources.readers import read_records
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -28,11 +27,11 @@ TABLES = (
 ).split()
 
 # Fixed values of the synthetic fixtures (documentation / private ranges).
-EPOCH_IDS = 4096
 HEAVY_IP = "203.0.113.9"
 CLICK_RELAY_IP = "10.9.9.9"
 PROFILE_INTEREST_K = 8
 PROFILE_OPERATOR_K = 4
+PROFILE_HARDWARE_K = 6
 
 
 # Read schemas of the given tables the views use (timestamps without zone).
@@ -49,8 +48,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables (column pruning and pushdown apply)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if name in TABLE_SCHEMAS:
-        return spread(read_records(spark, path, TABLE_SCHEMAS[name]))
-    return spread(spark.read.parquet(path))
+        return read_records(spark, path, TABLE_SCHEMAS[name])
+    return spark.read.parquet(path)
 
 
 def _s(c: Column) -> Column:
@@ -103,31 +102,39 @@ def visits_from_events(ev: DataFrame) -> DataFrame:
     return with_ip.select("event_id", "uid", "app_id", "exchange_id", "k", "ts", "ip", orders.alias("orders"))
 
 
-def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User profiles: time-ordered locations, interests and carriers.
+def profile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat profile rows, one per visit: ``uid, ts, event_id, location, interest, operator, hardware``.
 
-    ``uid STRING, epoch BIGINT, locations, interests, operators ARRAY<STRING>``
-    (one row per user and id epoch; see the module note on bounded groups).
+    ``location`` is never NULL; the other attributes are NULL where the visit
+    says nothing about them.
     """
-    v = visits(spark, sf_dir)
-    ordered = F.array_sort(
-        F.collect_list(F.struct("ts", "event_id", F.coalesce("ip", F.lit("")).alias("ip"), "app_id", "k"))
+    k, uid_i = F.col("k"), F.col("uid").cast("int")
+    triple = F.concat_ws("|", F.concat(F.lit("vd"), _s(uid_i % 9)), F.concat(F.lit("dm"), _s(k)), F.concat(F.lit("r"), _s(k % 4)))
+    return visits(spark, sf_dir).select(
+        "uid",
+        "ts",
+        "event_id",
+        F.coalesce("ip", F.lit("")).alias("location"),
+        F.when(k < PROFILE_INTEREST_K, F.col("app_id")).alias("interest"),
+        F.when(k < PROFILE_OPERATOR_K, F.concat(F.lit("op"), _s(k % 4))).alias("operator"),
+        F.when(k < PROFILE_HARDWARE_K, triple).alias("hardware"),
     )
-    rows = v.groupBy("uid", F.expr(f"event_id div {EPOCH_IDS}").alias("epoch")).agg(ordered.alias("e"))
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored form of the profiles, one row per user with time-ordered arrays:
+    ``uid STRING, locations, interests, operators ARRAY<STRING>`` (for the
+    array operators; a user's row must fit in memory)."""
+    e = F.array_sort(F.collect_list(F.struct("ts", "event_id", "location", "interest", "operator")))
+    rows = profile_events(spark, sf_dir).groupBy("uid").agg(e.alias("e"))
+    said = lambda c: F.filter(F.transform("e", lambda x: x[c]), lambda v: v.isNotNull())
     return rows.select(
-        "uid",
-        "epoch",
-        F.transform("e", lambda x: x["ip"]).alias("locations"),
-        F.transform(F.filter("e", lambda x: x["k"] < PROFILE_INTEREST_K), lambda x: x["app_id"]).alias("interests"),
-        F.transform(
-            F.filter("e", lambda x: x["k"] < PROFILE_OPERATOR_K),
-            lambda x: F.concat(F.lit("op"), (x["k"] % 4).cast("string")),
-        ).alias("operators"),
+        "uid", said("location").alias("locations"), said("interest").alias("interests"), said("operator").alias("operators")
     )
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ad sessions: ``platform, media_key, uid, ad_unit, day, epoch`` and ``events``.
+    """Ad sessions: ``platform, media_key, uid, ad_unit, day, window_start`` and ``events``.
 
     ``events ARRAY<STRUCT<req, imp, cli: STRUCT<ts TIMESTAMP_NTZ, ip STRING>>>``
     in time order. Every event has ``req``; view, click and purchase have
@@ -142,10 +149,10 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "uid",
         F.concat(F.lit("u"), _s(uid_i % 6)).alias("ad_unit"),
         F.to_date("ts").alias("day"),
-        F.expr(f"event_id div {EPOCH_IDS}").alias("epoch"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("window_start"),
         F.struct("ts", "event_id", "ip", "app_id", "k").alias("e"),
     )
-    grouped = keyed.groupBy("platform", "media_key", "uid", "ad_unit", "day", "epoch").agg(
+    grouped = keyed.groupBy("platform", "media_key", "uid", "ad_unit", "day", "window_start").agg(
         F.array_sort(F.collect_list("e")).alias("e")
     )
 
@@ -161,7 +168,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return grouped.select(
-        "platform", "media_key", "uid", "ad_unit", "day", "epoch", *device_columns(), F.transform("e", to_event).alias("events")
+        "platform", "media_key", "uid", "ad_unit", "day", "window_start", *device_columns(), F.transform("e", to_event).alias("events")
     )
 
 
@@ -262,6 +269,7 @@ EVENTS_SCHEMA = TABLE_SCHEMAS["events"]
 
 BUILDERS = {
     "visits": visits,
+    "profile_events": profile_events,
     "profiles": profiles,
     "sessions": sessions,
     "devices_raw": devices_raw,
@@ -299,18 +307,23 @@ FROM (SELECT event_id, cast(user_id AS VARCHAR) AS uid, event_type AS app_id,
                          cast(event_id % 8 AS VARCHAR))
         END AS ip
       FROM (SELECT *, cast(json_extract_string(props, '$.k') AS INT) AS k FROM events))""",
-    "profiles": f"""
-SELECT uid, event_id // {EPOCH_IDS} AS epoch,
-  list(coalesce(ip, '') ORDER BY ts, event_id) AS locations,
-  coalesce(list(app_id ORDER BY ts, event_id) FILTER (WHERE k < {PROFILE_INTEREST_K}), []) AS interests,
-  coalesce(list(concat('op', cast(k % 4 AS VARCHAR)) ORDER BY ts, event_id)
-           FILTER (WHERE k < {PROFILE_OPERATOR_K}), []) AS operators
-FROM visits GROUP BY uid, event_id // {EPOCH_IDS}""",
+    "profile_events": f"""
+SELECT uid, ts, event_id, coalesce(ip, '') AS location, CASE WHEN k < {PROFILE_INTEREST_K} THEN app_id END AS interest,
+  CASE WHEN k < {PROFILE_OPERATOR_K} THEN concat('op', cast(k % 4 AS VARCHAR)) END AS operator,
+  CASE WHEN k < {PROFILE_HARDWARE_K} THEN concat('vd', cast(cast(uid AS INT) % 9 AS VARCHAR), '|dm', cast(k AS VARCHAR), '|r',
+       cast(k % 4 AS VARCHAR)) END AS hardware
+FROM visits""",
+    "profiles": """
+SELECT uid, list(location ORDER BY ts, event_id) AS locations,
+  coalesce(list(interest ORDER BY ts, event_id) FILTER (WHERE interest IS NOT NULL), []) AS interests,
+  coalesce(list(operator ORDER BY ts, event_id) FILTER (WHERE operator IS NOT NULL), []) AS operators,
+  coalesce(list(hardware ORDER BY ts, event_id) FILTER (WHERE hardware IS NOT NULL), []) AS hardware
+FROM profile_events GROUP BY uid""",
     "sessions": f"""
 SELECT concat('p', cast(cast(uid AS INT) % 2 AS VARCHAR)) AS platform,
   concat('m', cast(cast(uid AS INT) % 3 AS VARCHAR)) AS media_key, uid,
   concat('u', cast(cast(uid AS INT) % 6 AS VARCHAR)) AS ad_unit, cast(ts AS DATE) AS day,
-  event_id // {EPOCH_IDS} AS epoch,
+  date_trunc('hour', ts) AS window_start,
   concat('pr', cast(cast(uid AS INT) % 7 AS VARCHAR)) AS province,
   concat('dm', cast(cast(uid AS INT) % 11 AS VARCHAR)) AS device_model,
   concat('n', cast(cast(uid AS INT) % 3 AS VARCHAR)) AS network,
@@ -359,7 +372,8 @@ FROM visits""",
 
 VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "visits": (),
-    "profiles": ("visits",),
+    "profile_events": ("visits",),
+    "profiles": ("profile_events",),
     "sessions": ("visits",),
     "devices_raw": (),
     "devices_ext": (),

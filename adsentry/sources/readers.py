@@ -26,30 +26,6 @@ def read_records(spark: SparkSession, path: str | list[str], schema: StructType
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
-SPREAD_CONF = "spark.adsentry.spreadSmallInputs"
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the cluster has cores.
-
-    A single unsplittable file (one Parquet row group) is scanned by one
-    task, and every per-row expression on it would run there too. When
-    ``spark.adsentry.spreadSmallInputs`` is true and the scan has fewer than
-    ``min_partitions`` splits (default: the default parallelism), the rows
-    are spread round-robin once, right after the scan; filters and column
-    pruning still reach the scan. Off by default: on the small test files
-    the extra exchange costs more than it saves, and inputs with enough
-    splits (a cluster reading many files) never need it.
-    """
-    spark = df.sparkSession
-    if spark.conf.get(SPREAD_CONF, "false").lower() != "true":
-        return df
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def read_pairs(
     spark: SparkSession,
     path: str,

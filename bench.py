@@ -68,7 +68,6 @@ def main() -> None:
             "spark.eventLog.compress": "false",
             "spark.eventLog.rolling.enabled": "false",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
-            "spark.adsentry.spreadSmallInputs": os.environ.get("BENCH_SPREAD", "false"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -87,8 +86,8 @@ def main() -> None:
                 QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
                 if i:
                     samples.append(time.perf_counter() - t0)
+                spark.catalog.clearCache()  # runs are independent: drop what one persisted
             timings[name] = round(statistics.median(samples), 3)
-            spark.catalog.clearCache()  # queries are independent: drop what one persisted
         except Exception as exc:  # keep benchmarking the rest
             failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.catalog.clearCache()

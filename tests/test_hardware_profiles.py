@@ -1,9 +1,12 @@
+import datetime
+
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from adsentry.operators import hardware as hw
 from adsentry.operators import profiles as po
 from adsentry.operators import rules
-from adsentry.operators.subnet import adjacent_subnet_histogram
+from adsentry.operators.subnet import adjacent_subnet_histogram, adjacent_subnet_histogram_flat
 from adsentry.sources import fixtures as fx
 
 from conftest import SF_SMALL, rows
@@ -101,13 +104,33 @@ def test_rules_and_summary(spark):
         "uid string, epoch bigint, locations array<string>, operators array<string>",
     )
     black = spark.createDataFrame([("6.6.6.6",)], "ip string")
-    trials = rules.cheater_trials(prof, ["many_carriers", "blacklisted_ip"], blacklist=black)
-    assert rows(trials) == [
-        ("u1", 0, "blacklisted_ip", "6.6.6.6"),
-        ("u1", 0, "many_carriers", "op0,op1,op2,op3"),
-        ("u2", 0, "blacklisted_ip", "6.6.6.6"),
+    facts = rules.facts_from_profiles(prof)
+    trials = rules.cheater_trials(facts, ["many_carriers", "blacklisted_ip"], day="2024-01-02", blacklist=black)
+    day = datetime.date(2024, 1, 2)
+    expected = [
+        ("u1", day, "blacklisted_ip", "6.6.6.6"),
+        ("u1", day, "many_carriers", "op0,op1,op2,op3"),
+        ("u2", day, "blacklisted_ip", "6.6.6.6"),
     ]
-    assert rows(rules.cheater_summary(trials)) == [("u1", "blacklisted_ip,many_carriers"), ("u2", "blacklisted_ip")]
+    assert rows(trials) == expected
+    assert rows(rules.cheater_summary([trials, trials])) == expected
+    assert rows(rules.cheater_users(trials)) == [("u1", "blacklisted_ip,many_carriers"), ("u2", "blacklisted_ip")]
+
+
+def test_flat_profile_forms_match_stored_ones(spark):
+    """One user holds a third of all rows; flat and array forms agree, and nothing is cut by id."""
+    ev = fx.profile_events(spark, SF_SMALL)
+    hot = ev.unionByName(ev.where("event_id % 2 = 0").withColumn("uid", F.lit("hot")))
+    e = F.array_sort(F.collect_list(F.struct("ts", "event_id", "location", "interest", "operator")))
+    said = lambda c: F.filter(F.transform("e", lambda x: x[c]), lambda v: v.isNotNull())
+    stored = hot.groupBy("uid").agg(e.alias("e")).select(
+        "uid", said("location").alias("locations"), said("interest").alias("interests"), said("operator").alias("operators")
+    )
+    assert rows(adjacent_subnet_histogram_flat(hot)) == rows(adjacent_subnet_histogram(stored))
+    assert rows(po.operator_count_histogram_flat(hot)) == rows(po.operator_count_histogram(stored))
+    assert rows(po.interest_pv_flat(hot)) == rows(po.interest_pv(stored))
+    assert rows(po.interest_uv_flat(hot)) == rows(po.interest_uv(stored))
+    assert rows(po.profile_uids_flat(hot)) == rows(po.profile_uids(stored))
 
 
 def test_hardware_library_plan(spark):
