@@ -15,7 +15,7 @@ and is then verified once, on the full sets.
 
 Nothing works on a whole group of look-alikes at once. Equal sets are one
 class before the join. Classes that share a prefix n-gram are first compared
-with four pivots (four pairs a posting), again as long as that at least
+with two pivots (two pairs a posting), again as long as that at least
 halves the pairs left; only where an n-gram still joins several components
 are the remaining pairs across them formed, which keeps large groups of near
 copies from being paired out and loses no link between components.
@@ -303,18 +303,10 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
     """``node, label``: the component of every class that is not the smallest of its own."""
     # Counted before equal sets are made one, which spares a shuffle of all
     # prefixes; n-grams that only copies share go out with the copies.
-    # Size and place share a column, as these rows are most of what moves.
-    grams = sig.select("rid", "n", F.posexplode("grams").alias("pos", "gram")).select(
-        "gram", "rid", F.shiftleft("n", 24).bitwiseOR(F.col("pos").cast("long")).alias("spot")
-    )
+    grams = sig.select("rid", "n", F.posexplode("grams").alias("pos", "gram"))
     shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
     heads = classes.select(F.col("rep").alias("rid"))
-    met = grams.join(shared, "gram").join(heads, "rid", "left_semi")
-    spot = F.col("spot")
-    postings = staged(
-        met.select("gram", "rid", F.shiftright(spot, 24).alias("n"), spot.bitwiseAND(F.lit((1 << 24) - 1)).cast("int").alias("pos")),
-        "ngram-postings",
-    )
+    postings = staged(grams.join(shared, "gram").join(heads, "rid", "left_semi"), "ngram-postings")
     size = postings.count()
 
     tested, labels, before = None, None, 0
@@ -354,13 +346,12 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
             )
             pairs = _ordered(met, "xrid", "xn", "yrid", "yn")
         else:
-            live = live.withColumn("key", F.xxhash64("rid", F.lit(turn))).withColumn("turned", F.shiftrightunsigned("key", 32))
+            live = live.withColumn("key", F.xxhash64("rid", F.lit(turn)))
             who = F.struct("rid", "n", "pos", "lab")
             pivots = live.groupBy("gram").agg(
-                F.min_by(who, "key").alias("v1"), F.max_by(who, "key").alias("v2"),
-                F.min_by(who, "turned").alias("v3"), F.max_by(who, "turned").alias("v4"),
+                F.min_by(who, "key").alias("v1"), F.max_by(who, "key").alias("v2")
             )
-            met = live.join(pivots.select("gram", F.explode(F.array_distinct(F.array("v1", "v2", "v3", "v4"))).alias("v")), "gram").where(
+            met = live.join(pivots.select("gram", F.explode(F.array_distinct(F.array("v1", "v2"))).alias("v")), "gram").where(
                 (F.col("rid") != F.col("v.rid"))
                 & (F.col("lab") != F.col("v.lab"))
                 & _may_link(F.col("n"), F.col("pos"), F.col("v.n"), F.col("v.pos"), threshold)
