@@ -211,7 +211,7 @@ def _parities(sig: DataFrame, prefix: str, key: str) -> DataFrame:
 
 
 def _id_bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
-    """Packed bitmap over hashes of the identifiers ``id``, and its bits.
+    """Packed bitmap of two hashes of each identifier ``id``, and its bits.
 
     About 64 bits an identifier, ``MAX_BITMAP_BITS`` at most: a fuller bitmap
     only lets more texts through, none is lost.
@@ -224,20 +224,21 @@ def _id_bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
     def mark(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(bits // 8, np.uint8)
         for batch in it:
-            at = batch.column(0).to_numpy(zero_copy_only=False)
-            np.bitwise_or.at(seen, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+            for column in batch.columns:
+                at = column.to_numpy(zero_copy_only=False)
+                np.bitwise_or.at(seen, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
         if seen.any():
             yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()], pa.binary())], ["bits"])
 
-    marks = ids.select(_slot("id", bits)).coalesce(16).mapInArrow(mark, "bits binary").collect()  # 16 rows
+    marks = ids.select(*_slots("id", bits)).coalesce(16).mapInArrow(mark, "bits binary").collect()  # 16 rows
     total = np.zeros(bits // 8, np.uint8)
     for row in marks:
         total |= np.frombuffer(row["bits"], np.uint8)
     return total, bits
 
 
-def _slot(column: str, bits: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(bits)).cast("long")
+def _slots(column: str, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(column, F.lit(k)), F.lit(bits)).cast("long").alias(f"s{k}") for k in (1, 2)]
 
 
 def _verify(pairs: DataFrame, sig: DataFrame, rows: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
@@ -255,8 +256,11 @@ def _verify(pairs: DataFrame, sig: DataFrame, rows: DataFrame, n: int, threshold
     def build(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = shared.value
         for batch in it:
-            at = batch.column(1).to_numpy(zero_copy_only=False)
-            mine = pa.array((chosen[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+            mine = np.ones(batch.num_rows, np.uint8)
+            for column in batch.columns[1:]:
+                at = column.to_numpy(zero_copy_only=False)
+                mine &= chosen[at >> 3] >> (at & 7).astype(np.uint8)
+            mine = pa.array((mine & 1).astype(bool))
             for _, texts in _texts(iter([batch.filter(mine)]), 0, 128):
                 sets = [np.unique(g) for g in ngram_hashes(texts, n)]
                 keys = [_class_key(g) for g in sets]
@@ -269,7 +273,7 @@ def _verify(pairs: DataFrame, sig: DataFrame, rows: DataFrame, n: int, threshold
                     ["c1", "c2", "grams"],
                 )
 
-    sets = rows.select("_text", _slot("_id", bits).alias("s")).mapInArrow(build, "c1 long, c2 long, grams array<long>")
+    sets = rows.select("_text", *_slots("_id", bits)).mapInArrow(build, "c1 long, c2 long, grams array<long>")
     digest = lambda p: wanted.select(F.col("rid").alias(p), F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"))
     side = lambda p: sets.select(F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"), F.col("grams").alias(f"g{p}"))
     overlap = F.size(F.array_intersect("ga", "gb"))
