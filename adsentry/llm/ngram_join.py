@@ -113,15 +113,17 @@ def corpus_counts(texts: DataFrame, n: int) -> np.ndarray:
             for grams in _joined(ngram_hashes(some, n)):
                 total += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=width)
         if total.any():
+            # a task's counts travel as 32 bits; only the order of n-grams hangs on them
+            some = np.minimum(total, 2**32 - 1).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array([c.tobytes() for c in np.split(total, SKETCH_CHUNKS)], pa.binary())],
+                [pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array([c.tobytes() for c in np.split(some, SKETCH_CHUNKS)], pa.binary())],
                 ["chunk", "counts"],
             )
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width // SKETCH_CHUNKS, np.int64)
         for raw in pdf["counts"]:
-            total += np.frombuffer(raw, np.int64)
+            total += np.frombuffer(raw, np.uint32 if len(raw) == 4 * len(total) else np.int64)
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1].to_numpy(), "counts": [total.tobytes()]})
 
     kind = "chunk int, counts binary"
@@ -395,17 +397,22 @@ def ngram_join(
     are passed over for ``component_id`` where the component has others. An
     empty table gives none.
     """
-    return _joined_rows(docs, words, threshold, id_col, text_col).select(
+    return _joined_rows(docs, words, threshold, id_col, text_col, hashed=False).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
 
 
-def _joined_rows(docs: DataFrame, words: int, threshold: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
+def _joined_rows(
+    docs: DataFrame, words: int, threshold: tuple[int, int], id_col: str, text_col: str, hashed: bool = True
+) -> DataFrame:
+    """``doc_id, th, rid, n, component_id, comp`` per row; ``th`` is the text's hash, if asked for."""
     num, den = threshold
     if not 0 < num <= den or words < 1:
         raise ValueError("the threshold must lie in (0, 1] and an n-gram needs a word")
     ship_code(docs.sparkSession)
-    rows = columns_of(docs, _id=id_col, _text=text_col).withColumn("_th", F.xxhash64("_text"))
+    rows = columns_of(docs, _id=id_col, _text=text_col).withColumn(
+        "_th", F.xxhash64("_text") if hashed else F.lit(0).cast("long")
+    )
     counts = corpus_counts(rows.select("_text"), words)
     sig = staged(
         signatures(rows.select("_id", "_text", "_th"), words, threshold, counts).withColumn("rid", F.monotonically_increasing_id()),
