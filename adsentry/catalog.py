@@ -410,11 +410,12 @@ def _sql_report_long(where: str = "") -> str:
 iph AS ({_sql_pv_hist('ip', 'day')}),
 uph AS ({_sql_pv_hist('uid', 'day')}),
 {counts},
-first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions GROUP BY 1, 2),
-np AS (SELECT c.day, c.media_key, CASE WHEN f.fday IS NOT NULL THEN 'new' ELSE 'known' END AS user_kind,
+first_day AS (SELECT media_key, uid, min(day) AS fday, true AS hit FROM sessions GROUP BY 1, 2),
+np AS (SELECT c.day, c.media_key, CASE WHEN f.hit THEN 'new' ELSE 'known' END AS user_kind,
          count(DISTINCT c.uid) AS users, sum(requests)::BIGINT AS requests,
          sum(impressions)::BIGINT AS impressions, sum(clicks)::BIGINT AS clicks
-       FROM counts c LEFT JOIN first_day f ON c.media_key = f.media_key AND c.uid = f.uid AND c.day = f.fday
+       FROM counts c LEFT JOIN first_day f ON c.media_key IS NOT DISTINCT FROM f.media_key
+         AND c.uid IS NOT DISTINCT FROM f.uid AND c.day IS NOT DISTINCT FROM f.fday
        GROUP BY 1, 2, 3)
 SELECT 'AD_IP_PVRANGE_' || kind AS report, day, pv_range AS bucket, 'n' AS metric, n AS value FROM iph
 UNION ALL SELECT 'AD_USER_PVRANGE_' || kind, day, pv_range, 'n', n FROM uph
@@ -426,13 +427,13 @@ UNION ALL SELECT 'AD_NEW_USER_PV', day, media_key || '|' || user_kind, 'clicks',
 
 @register("report_suite", with_views(_sql_report_long(), "sessions"))
 def q_report_suite(spark, sf_dir):
-    return reports.to_long(reports.report_suite(_v(spark, sf_dir, "sessions")))
+    return reports.report_rows(_v(spark, sf_dir, "sessions"))
 
 
 _SQL_BACKFILL = with_views(
     _sql_report_long(f"WHERE day >= DATE '{BACKFILL_START}' AND day < DATE '{BACKFILL_END}'").replace(
-        "first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions GROUP BY 1, 2)",
-        f"first_day AS (SELECT media_key, uid, min(day) AS fday FROM sessions WHERE day < DATE '{BACKFILL_END}'"
+        "first_day AS (SELECT media_key, uid, min(day) AS fday, true AS hit FROM sessions GROUP BY 1, 2)",
+        f"first_day AS (SELECT media_key, uid, min(day) AS fday, true AS hit FROM sessions WHERE day < DATE '{BACKFILL_END}'"
         " GROUP BY 1, 2)",
     ),
     "sessions",

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from adsentry.operators import fences, hardware, hour_profile, profiles, rules, sessions, subnet, target_ip
 from adsentry.plans import reports
-from adsentry.plans.blacklist import build_blacklist, fence_diagnostics
+from adsentry.plans.blacklist import fence_diagnostics
 from adsentry.plans.hardware import build_hardware_library
 from adsentry.session import build_session
 from adsentry.sources import ingest, readers, sinks
@@ -114,11 +114,14 @@ def _target_ip(spark, ns):
     ("--metric", {"default": "mse", "choices": list(hour_profile.METRICS)}),
 )
 def _ip_time_coef(spark, ns):
-    visits = _visits(spark, ns)
-    out = build_blacklist(visits, metric=ns.metric)
-    _write(out.scores, ns.scores_out, ns)
-    _write(hour_profile.ip_hour_deviation_ranked(out.scores), ns.ranked_out, ns)
-    sinks.write_single_file(out.population.orderBy("hh"), ns.population_out)
+    from adsentry.plans.common import materialize
+
+    # one pass over the visits: scores and population come from the counts
+    counts = materialize(hour_profile.address_hour_counts(_visits(spark, ns)))
+    scores = hour_profile.deviation_of_counts(counts, metric=ns.metric)
+    _write(scores, ns.scores_out, ns)
+    _write(hour_profile.ip_hour_deviation_ranked(scores), ns.ranked_out, ns)
+    sinks.write_single_file(hour_profile.share_of_counts(counts).orderBy("hh"), ns.population_out)
 
 
 @job(
@@ -241,38 +244,71 @@ def _cheater_hunter(spark, ns):
                ns.summary_out, ns)
 
 
-@job(
-    "ad-hunter",
-    ("--sessions", _req("sessions (ideally stored partitioned by day)")),
-    ("--start", _req("first day, yyyy-MM-dd")),
-    ("--end", _req("end day, excluded")),
+_REPORT_ARGS = (
+    ("--start", {"help": "first day, yyyy-MM-dd"}),
+    ("--end", {"help": "end day, excluded"}),
     ("--reports", {"default": ",".join(reports.REPORTS)}),
-    ("--out", _req("report table, partitioned by (report, day)")),
+    ("--platform", {"action": "append", "help": "only this platform (repeat for more)"}),
+    ("--first-seen", {"help": "stored first days of users; brought up to date for the range, so that no history is read"}),
     ("--jdbc-url", {"help": "publish the written rows to this database as well"}),
     ("--jdbc-table", {"default": "ad_reports"}),
     ("--jdbc-option", {"action": "append", "default": [], "help": "key=value (user, password, driver, ...)"}),
 )
-def _ad_hunter(spark, ns):
-    rows = reports.daily_backfill(_sessions(spark, ns), ns.start, ns.end, ns.reports.split(","))
-    reports.write_backfill(rows, ns.out)
+
+
+def _report_days(spark: SparkSession, rows: DataFrame, out: str, ns: argparse.Namespace) -> None:
+    """Reports of ``[start, end)`` per platform and day, written and published."""
+    if not ns.start or not ns.end:
+        raise SystemExit("reports need --start and --end")
+    names = ns.reports.split(",")
+    new_users = None
+    if ns.first_seen:  # of all platforms: a user is new once per media key
+        reports.update_first_seen(rows, ns.first_seen, ns.start, ns.end)
+        new_users = reports.read_first_seen(spark, ns.first_seen, ns.end)
+    elif any(reports.REPORTS[n].kind == "count" for n in names):
+        new_users = reports.first_seen(rows.where(F.col("day") < F.to_date(F.lit(ns.end))))
+    chosen = rows.where(F.col("platform").isin(ns.platform)) if ns.platform else rows
+    long_rows = reports.daily_backfill(chosen, ns.start, ns.end, names, new_users, by=("platform", "day"))
+    reports.write_backfill(long_rows, out, ns.start, ns.end, names, ns.platform)
     if ns.jdbc_url:
         # Publish what was written (re-read: the report is computed once).
         day = F.col("day")
-        written = readers.read_records(spark, ns.out).where(
+        written = readers.read_records(spark, out).where(
             (day >= F.to_date(F.lit(ns.start))) & (day < F.to_date(F.lit(ns.end)))
         )
+        written = written.where(F.col("platform").isin(ns.platform)) if ns.platform else written
         options = dict(kv.split("=", 1) for kv in ns.jdbc_option)
         sinks.write_jdbc(written, ns.jdbc_url, ns.jdbc_table, options)
 
 
-@job("third-party", ("--log", _req("foreign monitor log")), ("--out", _req("sessions, partitioned by day")))
+@job(
+    "ad-hunter",
+    ("--sessions", _req("sessions (ideally stored partitioned by day)")),
+    ("--out", _req("report table, partitioned by (platform, report, day)")),
+    *_REPORT_ARGS,
+)
+def _ad_hunter(spark, ns):
+    _report_days(spark, _sessions(spark, ns), ns.out, ns)
+
+
+@job(
+    "third-party",
+    ("--log", _req("foreign monitor log")),
+    ("--out", _req("sessions, partitioned by platform and day")),
+    ("--reports-out", {"help": "report table of the days from --start to --end"}),
+    *_REPORT_ARGS,
+)
 def _third_party(spark, ns):
     from pyspark.sql import Observation
 
     seen = Observation("third_party")
     out = sessions.third_party_normalize(readers.read_records(spark, ns.log), observation=seen)
+    if ns.start and ns.end:
+        out = out.where((F.col("day") >= F.to_date(F.lit(ns.start))) & (F.col("day") < F.to_date(F.lit(ns.end))))
     sinks.write_partitions(out, ns.out, partition_by=("platform", "day"))
     print("records read / rejected:", seen.get.get("records"), "/", seen.get.get("rejected"))
+    if ns.reports_out:
+        _report_days(spark, readers.read_records(spark, ns.out), ns.reports_out, ns)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:

@@ -22,13 +22,6 @@ def population_hour_counts(visits: DataFrame, ts: str = "ts", by: Sequence[str]
     return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
 
 
-def population_share_array(visits: DataFrame, ts: str = "ts") -> Column:
-    """The 24 population shares as one scalar ``ARRAY<DOUBLE>`` (a scalar subquery)."""
-    counts = population_hour_counts(visits, ts)
-    shares = [F.try_divide(F.col(h), F.col("n")) for h in hour_names()]
-    return counts.select(F.array(*shares).alias("p")).scalar()
-
-
 def population_hour_share(visits: DataFrame, ts: str = "ts", by: Sequence[str] = ()) -> DataFrame:
     """A-08: ``(*by, hh, share)``: 24 rows (per group), hours without traffic at 0, summing to 1."""
     counts = population_hour_counts(visits, ts, by)
@@ -82,11 +75,36 @@ def ip_hour_deviation(
     ``pearson`` are options). A NULL address is a group of its own unless
     ``drop_null_ip``. ``flag`` is always TRUE.
     """
-    pop_arr = population_share_array(visits, ts)
-    rows = visits.where(F.col(ip).isNotNull()) if drop_null_ip else visits
-    per_ip = with_hour(rows, ts, F.col(ip).alias("ip")).groupBy("ip").agg(
+    return deviation_of_counts(address_hour_counts(visits, ip, ts), metric, drop_null_ip)
+
+
+def address_hour_counts(visits: DataFrame, ip: str = "ip", ts: str = "ts") -> DataFrame:
+    """``ip, size, h00 .. h23``: views of every address by hour, the NULL address included."""
+    return with_hour(visits, ts, F.col(ip).alias("ip")).groupBy("ip").agg(
         F.count(F.lit(1)).alias("size"), *hour_count_columns()
     )
+
+
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.agg(*[F.sum(h).alias(h) for h in hour_names()], F.sum("size").alias("n"))
+
+
+def share_of_counts(counts: DataFrame) -> DataFrame:
+    """A-08 of the visits behind :func:`address_hour_counts`, without reading them again."""
+    arr = F.array(*[F.col(h) for h in hour_names()])
+    return _summed(counts).select(F.posexplode(arr).alias("h", "c"), "n").select(
+        hour_label("h").alias("hh"), F.try_divide(F.col("c"), F.col("n")).alias("share")
+    )
+
+
+def deviation_of_counts(counts: DataFrame, metric: str = "mse", drop_null_ip: bool = False) -> DataFrame:
+    """A-09 of the counts of :func:`address_hour_counts`.
+
+    The population is the sum of the addresses' counts, as a scalar subquery.
+    """
+    shares = F.array(*[F.try_divide(F.col(h), F.col("n")) for h in hour_names()])
+    pop_arr = _summed(counts).select(shares.alias("p")).scalar()
+    per_ip = counts.where(F.col("ip").isNotNull()) if drop_null_ip else counts
     # The subquery is attached once; the score refers to the column.
     with_pop = per_ip.withColumn("pop", pop_arr)
     return with_pop.select("ip", "size", F.lit(True).alias("flag"), _score(metric).alias("coef"))

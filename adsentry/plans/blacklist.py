@@ -2,7 +2,7 @@
 
 The original ran this as two jobs joined by a text file, collected both
 quantile histograms to the driver and wrote the population profile from the
-driver. Here it is one chain of DataFrames: the per-address scores are
+driver. Here it is one chain of DataFrames: the hour counts per address are
 materialised once (one shuffle keyed by address, map-side combined), the
 fences are scalar subqueries over that small table, and every output is an
 ordinary DataFrame the caller writes with any sink.
@@ -66,8 +66,9 @@ def build_blacklist(
     empty: str = "zero",
     materialize_how: str = "checkpoint",
 ) -> BlacklistOutputs:
-    """Run the whole chain; ``scores`` and ``candidates`` are materialised once."""
-    scores = materialize(hour_profile.ip_hour_deviation(visits, metric=metric), materialize_how)
+    """Run the whole chain; the counts behind ``scores`` and ``candidates`` are materialised once."""
+    counts = materialize(hour_profile.address_hour_counts(visits), materialize_how)
+    scores = hour_profile.deviation_of_counts(counts, metric=metric)
     candidates = materialize(fences.ip_volume_candidates(scores, k=volume_k, empty=empty), materialize_how)
     blacklist = fences.ip_blacklist(candidates, k=score_k, empty=empty)
-    return BlacklistOutputs(hour_profile.population_hour_share(visits), scores, candidates, blacklist)
+    return BlacklistOutputs(hour_profile.share_of_counts(counts), scores, candidates, blacklist)

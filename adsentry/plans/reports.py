@@ -2,15 +2,14 @@
 
 Reports are registry entries chosen by name, of two kinds:
 
-* *model reports* read the sessions themselves (PV ranges, A-18/A-19);
-* *count reports* read the per-key session counts (A-14) joined with the
-  new-user index (A-16).
-
-All named reports run over one shared scan: the sessions are persisted once
-when two or more outputs read them. Every report takes ``by`` grouping keys, so a back-fill
-over a range of days is **one** job grouped by ``day`` instead of a loop of
-daily jobs, and its output is written with dynamic partition overwrite
-(re-running a day replaces exactly that day).
+* *model reports* read the events of the sessions (PV ranges, A-18/A-19): one
+  histogram each, with the event kind as a column;
+* *count reports* read request, impression and click sums per user and day,
+  with new and known users told apart (A-16).
+
+Every report takes ``by`` grouping keys (``day``, or ``platform`` and
+``day``), so a back-fill over a range of days is **one** job instead of a loop
+of daily jobs. Its output replaces exactly the days of the range.
 """
 
 from __future__ import annotations
@@ -18,107 +17,128 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adsentry.operators import sessions as so
+from adsentry.plans.common import materialize
+from adsentry.sources import sinks
 
-LONG_COLS = ("report", "day", "bucket", "metric", "value")
+COUNT_METRICS = ("requests", "impressions", "clicks")
 
 
 @dataclass(frozen=True)
 class Report:
     kind: str  # "model" or "count"
-    run: Callable[..., dict[str, DataFrame]]
+    outputs: tuple[str, ...]  # names in the written table
+    run: Callable[..., DataFrame]  # rows (report, *by, bucket, metric, value)
 
 
-def _pv_outputs(name: str, fn) -> Callable[..., dict[str, DataFrame]]:
-    def run(sessions: DataFrame, by: Sequence[str], **_) -> dict[str, DataFrame]:
-        hist = fn(sessions, by)
-        return {f"{name}_{kind}": hist.where(F.col("kind") == kind).drop("kind") for kind in so.KINDS}
+def _long(df: DataFrame, report: Column, by: Sequence[str], bucket: Column, metrics: Sequence[str]) -> DataFrame:
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("long").alias("value")) for m in metrics])
+    return df.select(report.alias("report"), *by, bucket.alias("bucket"), F.explode(values).alias("m")).select(
+        "report", *by, "bucket", "m.metric", "m.value"
+    )
 
-    return run
 
+def _pv_report(name: str, fn) -> Report:
+    def run(sessions: DataFrame, by: Sequence[str], **_) -> DataFrame:
+        return _long(fn(sessions, by), F.concat(F.lit(f"{name}_"), "kind"), by, F.col("pv_range"), ("n",))
 
-def _new_user_pv(counts: DataFrame, new_users: DataFrame, by: Sequence[str], **_) -> dict[str, DataFrame]:
-    """Per (by, media, new/known): users and request / impression / click sums."""
-    joined = so.user_new_index(counts, new_users)
-    kind = F.when(F.col("is_new"), F.lit("new")).otherwise(F.lit("known"))
-    out = joined.groupBy(*by, "media_key", kind.alias("user_kind")).agg(
-        F.count_distinct("uid").alias("users"),
-        F.sum("requests").alias("requests"),
-        F.sum("impressions").alias("impressions"),
-        F.sum("clicks").alias("clicks"),
+    return Report("model", tuple(f"{name}_{k}" for k in so.KINDS), run)
+
+
+def user_day_counts(sessions: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sums per (by, media, user, day): a narrow form of A-14, combined before the shuffle."""
+    ev = F.col("events")
+    present = (ev, F.filter(ev, lambda e: e["imp"].isNotNull()), F.filter(ev, lambda e: e["cli"].isNotNull()))
+    sizes = [F.coalesce(F.when(x.isNotNull(), F.size(x)), F.lit(0)) for x in present]
+    keys = list(dict.fromkeys([*by, "media_key", "uid", "day"]))
+    return (
+        sessions.select(*keys, *[s.alias(m) for s, m in zip(sizes, COUNT_METRICS)])
+        .groupBy(*keys)
+        .agg(*[F.sum(m).alias(m) for m in COUNT_METRICS])
     )
-    return {"AD_NEW_USER_PV": out}
+
+
+def _new_user_report(name: str) -> Report:
+    """Per (by, media, new/known): users and request / impression / click sums."""
+
+    def run(sessions: DataFrame, by: Sequence[str], new_users: DataFrame | None = None, **_) -> DataFrame:
+        counts = user_day_counts(sessions, by)
+        if new_users is None:  # the sessions are all the history there is
+            first = F.min("day").over(Window.partitionBy("media_key", "uid"))  # a row a day and platform
+            counts = counts.withColumn("_new", F.col("day").eqNullSafe(first))
+        else:
+            # the day is a join key too, so a user seen every day stays spread
+            key = ("media_key", "uid", "day")
+            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+            idx = new_users.select(*[F.col(c).alias(f"_{c}") for c in key], F.lit(True).alias("_hit"))
+            counts = counts.join(idx, same, "left").withColumn("_new", F.coalesce("_hit", F.lit(False)))
+        kind = F.when(F.col("_new"), F.lit("new")).otherwise(F.lit("known"))
+        # with the day among the keys a user has one row there
+        users = F.count("uid") if "day" in by else F.count_distinct("uid")
+        out = counts.groupBy(*by, "media_key", kind.alias("user_kind")).agg(
+            users.alias("users"), *[F.sum(m).alias(m) for m in COUNT_METRICS]
+        )
+        return _long(out, F.lit(name), by, F.concat_ws("|", "media_key", "user_kind"), ("users", *COUNT_METRICS))
+
+    return Report("count", (name,), run)
 
 
 # Report names of the original daily job.
 REPORTS: dict[str, Report] = {
-    "AD_IP_PVRANGE": Report("model", _pv_outputs("AD_IP_PVRANGE", so.ip_pv_range)),
-    "AD_USER_PVRANGE": Report("model", _pv_outputs("AD_USER_PVRANGE", so.user_pv_range)),
-    "AD_NEW_USER_PV": Report("count", _new_user_pv),
+    "AD_IP_PVRANGE": _pv_report("AD_IP_PVRANGE", so.ip_pv_range),
+    "AD_USER_PVRANGE": _pv_report("AD_USER_PVRANGE", so.user_pv_range),
+    "AD_NEW_USER_PV": _new_user_report("AD_NEW_USER_PV"),
 }
-COUNT_DIMS = ("platform", "media_key", "uid", "ad_unit", "day")
 
 
-def report_suite(
+def report_rows(
     sessions: DataFrame,
     names: Sequence[str] = tuple(REPORTS),
     by: Sequence[str] = ("day",),
     new_users: DataFrame | None = None,
-    persist: bool = True,
-) -> dict[str, DataFrame]:
-    """A-17: run the named reports over one shared scan; output name -> DataFrame.
-
-    With several reports the sessions are persisted (memory and disk, so
-    they spill rather than fail, and are recomputed from lineage if an
-    executor is lost): exchange reuse alone does not reliably share the
-    session build across the branches (measured: 2-3x slower without).
-    Release with ``spark.catalog.clearCache()`` or ``sessions.unpersist()``
-    after the outputs are written.
+) -> DataFrame:
+    """A-17: the named reports as rows ``(report, *by, bucket, metric, value)``, one lazy plan.
+
+    ``new_users`` has ``media_key, uid, day``: the first day of every user seen
+    up to the last day reported (an index of A-16 will do). Without it the
+    sessions are taken as the whole history. Nothing is persisted: each report
+    reduces the sessions in its own pass, with its own columns.
     """
+    if not names:
+        raise ValueError("name at least one report")
     unknown = [n for n in names if n not in REPORTS]
     if unknown:
         raise KeyError(f"unknown reports: {unknown}")
-    shared = sessions.persist(StorageLevel.MEMORY_AND_DISK) if persist and len(names) > 1 else sessions
+    frames = [REPORTS[n].run(sessions, list(by), new_users=new_users) for n in names]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def report_suite(
+    sessions: DataFrame,
+    names: Sequence[str] = tuple(REPORTS),
+    by: Sequence[str] = ("day",),
+    new_users: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The reports as one frame per output name, for callers that write each to its own place."""
     out: dict[str, DataFrame] = {}
-    counts = None
     for name in names:
-        rep = REPORTS[name]
-        if rep.kind == "model":
-            out.update(rep.run(shared, by))
-        else:
-            if counts is None:
-                dims = [c for c in so.SESSION_DIMS + so.DEVICE_DIMS + ("day",) if c in shared.columns]
-                counts = so.session_counts(shared, dims)
-            idx = new_users if new_users is not None else so.new_user_index(shared)
-            out.update(rep.run(counts, idx, by))
+        rows = report_rows(sessions, [name], by, new_users)
+        out |= {o: rows.where(F.col("report") == o).drop("report") for o in REPORTS[name].outputs}
     return out
 
 
-def to_long(outputs: dict[str, DataFrame], by: Sequence[str] = ("day",)) -> DataFrame:
-    """All report outputs as rows ``(report, day, bucket, metric, value)``."""
-    frames = []
-    for name, df in outputs.items():
-        if name == "AD_NEW_USER_PV":
-            bucket = F.concat_ws("|", F.col("media_key"), F.col("user_kind"))
-            metrics = ("users", "requests", "impressions", "clicks")
-        else:
-            bucket = F.col("pv_range")
-            metrics = ("n",)
-        stacked = F.explode(
-            F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("long").alias("value")) for m in metrics])
-        )
-        day = F.col("day") if "day" in by else F.lit(None).cast("date")
-        frames.append(
-            df.select(F.lit(name).alias("report"), day.alias("day"), bucket.alias("bucket"), stacked.alias("m")).select(
-                "report", "day", "bucket", "m.metric", "m.value"
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def _in_range(start: str, end: str) -> Column:
+    return (F.col("day") >= F.to_date(F.lit(start))) & (F.col("day") < F.to_date(F.lit(end)))
+
+
+def first_seen(sessions: DataFrame) -> DataFrame:
+    """``media_key, uid, day``: the first day of every user of a media key."""
+    return sessions.groupBy("media_key", "uid").agg(F.min("day").alias("day"))
 
 
 def daily_backfill(
@@ -126,28 +146,73 @@ def daily_backfill(
     start: str,
     end: str,
     names: Sequence[str] = tuple(REPORTS),
+    new_users: DataFrame | None = None,
+    by: Sequence[str] = ("day",),
 ) -> DataFrame:
     """A-20: every report for each day in ``[start, end)`` (end excluded), long form.
 
     One job over the whole range; the ``day`` filter prunes ``day=``
-    partitions when the sessions are stored partitioned by day. First-seen
-    days come from the history before ``end``.
+    partitions when the sessions are stored by day. With ``new_users`` (see
+    :func:`read_first_seen`) no session outside the range is read; without it
+    first days come from the sessions before ``end``.
     """
-    day = F.col("day")
-    rows = sessions.where((day >= F.to_date(F.lit(start))) & (day < F.to_date(F.lit(end))))
-    # New or known is judged against all history before the range end, so a
-    # re-run of any sub-range reproduces exactly the same rows for its days.
-    new_users = None
-    if any(REPORTS[n].kind == "count" for n in names):
-        new_users = so.new_user_index(sessions.where(day < F.to_date(F.lit(end))))
-    return to_long(report_suite(rows, names, by=("day",), new_users=new_users), by=("day",))
-
-
-def write_backfill(long_rows: DataFrame, path: str) -> None:
-    """Write back-fill rows partitioned by ``(report, day)``; only the days present are replaced."""
-    (
-        long_rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report", "day")
-        .parquet(path)
-    )
+    if new_users is None and any(REPORTS[n].kind == "count" for n in names if n in REPORTS):
+        new_users = first_seen(sessions.where(F.col("day") < F.to_date(F.lit(end))))
+    return report_rows(sessions.where(_in_range(start, end)), names, by, new_users)
+
+
+def read_first_seen(spark: SparkSession, path: str, end: str | None = None) -> DataFrame:
+    """The stored first days (see :func:`update_first_seen`), of the days before ``end``."""
+    stored = spark.read.schema("media_key string, uid string, day date").parquet(path)
+    if end is not None:
+        stored = stored.where(F.col("day") < F.to_date(F.lit(end)))
+    # a day filled in later may have met a user before the stored day did
+    return first_seen(stored)
+
+
+def update_first_seen(sessions: DataFrame, path: str, start: str, end: str) -> None:
+    """Replace the days ``[start, end)`` of the first-seen table at ``path``.
+
+    Only the sessions of the range and the earlier part of the table are
+    read. When sessions are taken out of a day after it was stored, run this
+    from that day to the last one, since a user lost there may be new later.
+    """
+    spark = sessions.sparkSession
+    found = first_seen(sessions.where(_in_range(start, end)))
+    if sinks.path_exists(spark, path):
+        before = read_first_seen(spark, path, start).select(F.col("media_key").alias("_m"), F.col("uid").alias("_u"))
+        same = [F.col("media_key").eqNullSafe(F.col("_m")), F.col("uid").eqNullSafe(F.col("_u"))]
+        found = found.join(before, reduce(and_, same), "left_anti")
+    _replace_days(found, path, ("day",), start, end, {})
+
+
+def _replace_days(
+    rows: DataFrame, path: str, partition_by: Sequence[str], start: str, end: str, scope: dict[str, Sequence[str]]
+) -> None:
+    """Write ``rows`` and remove the other stored partitions of ``[start, end)`` within ``scope``."""
+    rows = materialize(rows)  # read twice below, and the table itself may be among its inputs
+    present = {tuple(str(v) for v in r) for r in rows.select(*partition_by).distinct().collect()}  # one row a partition
+    sinks.write_partitions(rows, path, partition_by)
+    sinks.drop_partitions(rows.sparkSession, path, partition_by, ("day", start, end), scope, keep=present)
+
+
+def write_backfill(
+    long_rows: DataFrame,
+    path: str,
+    start: str,
+    end: str,
+    names: Sequence[str] = tuple(REPORTS),
+    platforms: Sequence[str] | None = None,
+) -> None:
+    """Replace the days ``[start, end)`` of the named reports at ``path``.
+
+    Partitioned by ``(report, day)``, or ``(platform, report, day)`` where the
+    rows carry a platform; then ``platforms`` limits what is replaced. A day
+    that has no rows any more loses those it had. Other days, reports and
+    platforms are left alone.
+    """
+    partition_by = [c for c in ("platform", "report", "day") if c in long_rows.columns]
+    scope = {"report": [o for n in names for o in REPORTS[n].outputs]}
+    if platforms is not None:
+        scope["platform"] = list(platforms)
+    _replace_days(long_rows, path, partition_by, start, end, scope)

@@ -8,9 +8,10 @@ half-written days behind.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the original jobs replace an existing output, except two that
@@ -52,21 +53,57 @@ def write_parquet(
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("platform", "day")) -> None:
     """P-SNK-5: replace exactly the partitions present in ``df`` (dynamic overwrite).
 
-    This is the "clean one day, then write it" step of the original, made
-    atomic per partition and idempotent on re-run.
+    The write of the original's "clean one day, then write it", idempotent on
+    re-run; partitions without rows are left to :func:`drop_partitions`. Rows
+    are gathered by partition first, so that files do not multiply with the
+    tasks; ``REBALANCE`` splits a large partition again.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def drop_partitions(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str],
+    within: tuple[str, str, str],
+    scope: dict[str, Sequence[str]] | None = None,
+    keep: Collection[tuple[str, ...]] = (),
+) -> None:
+    """P-SNK-5: remove stored partitions whose ``within = (column, start, end)`` lies in ``[start, end)``.
+
+    ``scope`` limits the other partition columns to the given values; the
+    partitions in ``keep`` (values in the order of ``partition_by``) stay.
+    Dates compare as ``yyyy-MM-dd`` text. Only folder names are looked at.
+    """
+    column, start, end = within
+    glob = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{c}=*" for c in partition_by]]))
+    fs = glob.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(glob) or ():
+        parts = status.getPath().toString().split("/")[-len(partition_by):]
+        values = tuple(unquote(p.split("=", 1)[1]) for p in parts)
+        named = dict(zip(partition_by, values))
+        scoped = all(named[c] in allowed for c, allowed in (scope or {}).items() if c in named)
+        if start <= named[column] < end and scoped and values not in keep:
+            fs.delete(status.getPath(), True)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, options: dict[str, str] | None = None, writers: int = 80) -> None:
     """P-SNK-3: append to a relational table with ``writers`` parallel connections.
 
     Credentials and driver come from the caller's ``options``; none are kept here.
+    An append repeats rows when a load is run again, so load into a table of
+    the caller's own for each run (a staging table, say) and swap it in there.
+    No database may be started where this was written: untested.
     """
     df.repartition(writers).write.mode("append").jdbc(url, table, properties=dict(options or {}))
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adsentry.functions.ip import is_quad, matches_target, subnet24
-from adsentry.session import shared_path
 from adsentry.sources.fixtures import EVENTS_SCHEMA, visits_from_events
 
 
@@ -61,21 +60,22 @@ def start_subnet_monitor(
     spark: SparkSession,
     source: str,
     sink: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     window: str = "1 hour",
     watermark: str = "2 hours",
     available_now: bool = False,
 ) -> StreamingQuery:
     """Run :func:`subnet_pv_windows` from parquet files to parquet files (append mode).
 
-    The checkpoint defaults to a fresh folder under ``spark.checkpoint.dir``.
+    ``checkpoint`` is a folder in shared storage that stays the same across
+    restarts: with another one everything would be read and appended again.
     """
     counts = subnet_pv_windows(read_event_stream(spark, source), window, watermark)
     writer = (
         counts.writeStream.outputMode("append")
         .format("parquet")
         .option("path", sink)
-        .option("checkpointLocation", checkpoint or shared_path(spark, "subnet-monitor"))
+        .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

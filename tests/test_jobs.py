@@ -62,7 +62,14 @@ def test_hardware_and_report_jobs(spark, inputs, scratch):
         "--summary-out", o("cs"))
     run(spark, "ad-hunter", "--sessions", f"{inputs}/sessions", "--start", "2024-01-01", "--end", "2024-01-03",
         "--out", o("rep"))
-    run(spark, "third-party", "--log", f"{inputs}/third_party_log", "--out", o("tp"))
+    run(spark, "ad-hunter", "--sessions", f"{inputs}/sessions", "--start", "2024-01-01", "--end", "2024-01-03",
+        "--first-seen", o("seen"), "--out", o("rep2"))
+    cols = ("platform", "report", "day", "bucket", "metric", "value")
+    assert sorted(map(repr, spark.read.parquet(o("rep")).select(*cols).collect())) == sorted(
+        map(repr, spark.read.parquet(o("rep2")).select(*cols).collect()))
+    run(spark, "third-party", "--log", f"{inputs}/third_party_log", "--out", o("tp"), "--start", "2024-01-01",
+        "--end", "2024-01-04", "--reports-out", o("tprep"))
+    assert {r.day.day for r in spark.read.parquet(o("tprep")).select("day").distinct().collect()} == {1, 2, 3}
     assert spark.read.parquet(o("uv")).count() == 1745
     assert spark.read.parquet(o("w")).count() == 40315
     assert {r.day.day for r in spark.read.parquet(o("rep")).select("day").distinct().collect()} == {1, 2}

@@ -65,9 +65,10 @@ def test_backfill_range_and_idempotent(spark, scratch):
     days = {r.day for r in out.select("day").distinct().collect()}
     assert days == {dt.date(2024, 1, 3), dt.date(2024, 1, 4)}  # end day excluded
     path = os.path.join(scratch, "reports")
-    reports.write_backfill(out, path)
+    reports.write_backfill(out, path, "2024-01-03", "2024-01-05")
     first = rows(spark.read.parquet(path))
-    reports.write_backfill(reports.daily_backfill(s, "2024-01-04", "2024-01-05"), path)  # re-run one day
+    again = reports.daily_backfill(s, "2024-01-04", "2024-01-05")  # re-run one day
+    reports.write_backfill(again, path, "2024-01-04", "2024-01-05")
     assert rows(spark.read.parquet(path)) == first
 
 
@@ -78,7 +79,49 @@ def test_report_suite_outputs(spark):
         *(f"AD_USER_PVRANGE_{k}" for k in ("REQ", "IMP", "CLI")),
         "AD_NEW_USER_PV",
     }
-    spark.catalog.clearCache()
+
+
+def test_emptied_day_loses_its_rows_and_platforms_stay_apart(spark, scratch):
+    s = fx.sessions(spark, SF_SMALL).where(F.col("day") < F.lit("2024-01-06").cast("date"))
+    span, path, by = ("2024-01-03", "2024-01-06"), os.path.join(scratch, "days"), ("platform", "day")
+    reports.write_backfill(reports.daily_backfill(s, *span, by=by), path, *span)
+    full = spark.read.parquet(path)
+    before = rows(full, "platform", "day", "report", "bucket", "metric", "value")
+    plats = sorted(r[0] for r in full.select("platform").distinct().collect())
+    gone = F.col("day") == F.lit("2024-01-04").cast("date")
+    mine = F.col("platform") == plats[0]
+    reports.write_backfill(
+        reports.daily_backfill(s.where(~gone & mine), *span, by=by), path, *span, platforms=[plats[0]]
+    )
+    after = spark.read.parquet(path)
+    assert after.where(gone & mine).count() == 0 and after.where(~gone & mine).count() > 0
+    others = rows(after.where(~mine), "platform", "day", "report", "bucket", "metric", "value")
+    assert others == [r for r in before if r[0] != plats[0]] and len(plats) > 1
+
+
+def test_stored_first_seen_gives_the_same_reports(spark, scratch):
+    s = fx.sessions(spark, SF_SMALL).where(F.col("day") < F.lit("2024-01-08").cast("date"))
+    path, stored = os.path.join(scratch, "first"), os.path.join(scratch, "sessions_by_day")
+    s.write.partitionBy("day").parquet(stored)
+    for a, b in (("2024-01-01", "2024-01-05"), ("2024-01-06", "2024-01-08"), ("2024-01-05", "2024-01-06")):
+        reports.update_first_seen(s, path, a, b)  # a day filled in late
+    assert rows(reports.read_first_seen(spark, path)) == rows(reports.first_seen(s))
+    span = ("2024-01-06", "2024-01-07")
+    kept = spark.read.schema(s.schema).parquet(stored)
+    got = reports.daily_backfill(kept, *span, new_users=reports.read_first_seen(spark, path, span[1]))
+    assert rows(got, "report", "day", "bucket", "metric", "value") == rows(
+        reports.daily_backfill(s, *span), "report", "day", "bucket", "metric", "value"
+    )
+    # every scan of the sessions is cut to the one day by its partition filter
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    scans = [x for x in plan.split("\n\n") if "Scan parquet" in x and stored in x]
+    assert scans and all("PartitionFilters" in x and "2024-01-06" in x for x in scans)
+
+
+def test_report_rows_shuffle_count(spark):
+    plan = reports.report_rows(spark.createDataFrame([], fx.sessions(spark, SF_SMALL).schema))
+    text = spark._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+    assert text.count("Exchange hashpartitioning") <= 8
 
 
 def test_partition_overwrite(spark, scratch):
