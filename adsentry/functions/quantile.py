@@ -9,25 +9,23 @@ is 0.0 (``empty="zero"``, the original behaviour) or the largest value
 
 Plan, all lazy and inside one query (the result is one scalar subquery):
 
-1. ``percentile_approx`` at ``p - m`` and ``p + m`` gives a rank band
-   ``[lo, hi]`` that brackets the answer (a mergeable sketch: partial
-   aggregation, bounded memory).
+1. ``percentile_approx`` at ``p - m`` and ``p + m``, at every eighth, and the
+   exact minimum and maximum give a few cut points (a mergeable sketch:
+   partial aggregation, bounded memory).
 2. One aggregate over the distinct values (``groupBy(v).count()``, map-side
    combined, so a value held by a third of all rows is still one row per
-   task) counts the rows below ``lo`` and up to ``hi`` and finds the
-   successor of ``hi``. If the band provably contains the answer, only the
-   distinct values inside it go on; otherwise every distinct value does (an
-   exact fallback, never a cap).
-3. An ordered running sum over each band, offset by the rows below ``lo``,
-   finds the answer exactly. The bands of all requested probabilities go
-   through one window partitioned by probability, so each band is one task.
-
-Each band holds roughly ``4 m`` of the rows (m = 2 / accuracy), hence at
-most that many distinct values; the input itself is never collected
-anywhere. ``percentile_approx`` documents a rank error of at most
-``1 / accuracy``, so with the margin ``m = 2 / accuracy`` the band contains
-the answer; the full fallback of step 2 only guards against a sketch that
-misses its bound.
+   task) counts the rows below and up to every cut point and finds its
+   successor. The largest cut point provably below the answer and the
+   smallest one provably not before it bound the band. The minimum and the
+   maximum are among them, so there always is one.
+3. An ordered running sum over each band, offset by the rows below it, finds
+   the answer exactly. The bands of all requested probabilities go through one
+   window partitioned by probability, so each band is one task.
+
+``percentile_approx`` documents a rank error of at most ``1 / accuracy``; with
+the margin ``m = 2 / accuracy`` a band holds roughly ``4 m`` of the rows. A
+sketch that missed its bound would only widen the band to the next cut point.
+The input itself is never collected anywhere. ``p = 0`` is the minimum.
 """
 
 from __future__ import annotations
@@ -39,6 +37,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
+GRID = 8
+
+
+def _around(points: str, target: Column) -> tuple[Column, Column]:
+    """The cut points next to the answer: the last with fewer rows below, the first with enough up to it."""
+    lo = F.array_max(F.filter(points, lambda c: c["below"] < target))  # structs order by their cut
+    hi = F.array_min(F.filter(points, lambda c: c["upto"] >= target))
+    return lo, hi
 
 
 def exclusive_quantiles_frame(
@@ -54,52 +60,46 @@ def exclusive_quantiles_frame(
         raise ValueError("empty must be 'zero' or 'max'")
     margin = 2.0 / accuracy
     vals = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
-    pcts: list[float] = []
+    pcts = [k / GRID for k in range(GRID + 1)]
     for p in probs:
         pcts += [max(p - margin, 0.0), min(p + margin, 1.0)]
 
-    # 1. rank band from a sketch, plus n and the maximum
+    # 1. cut points from a sketch, plus n, the minimum and the maximum
     stats = vals.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("v", pcts, accuracy).alias("b"),
-            F.max("v").alias("vmax"),
+            F.concat(F.percentile_approx("v", pcts, accuracy), F.array(F.min("v"), F.max("v"))).alias("cuts"),
+            F.min("v").cast("double").alias("vmin"),
         ).alias("s")
     ).scalar()
 
-    # 2. exact counts around each band over the distinct values
+    # 2. exact counts around each cut point over the distinct values
     distinct = vals.groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))
     v, cnt = F.col("v"), F.col("cnt")
     with_stats = distinct.withColumn("s", stats)
-    per_p = []
-    for i, _ in enumerate(probs):
-        lo, hi = F.get(F.col("s.b"), 2 * i), F.get(F.col("s.b"), 2 * i + 1)
-        per_p.append(
+    points = []
+    for j in range(len(pcts) + 2):
+        cut = F.get(F.col("s.cuts"), j)
+        points.append(
             F.struct(
-                F.coalesce(F.sum(F.when(v < lo, cnt)), F.lit(0)).alias("below_lo"),
-                F.coalesce(F.sum(F.when(v <= hi, cnt)), F.lit(0)).alias("upto_hi"),
-                F.min(F.when(v > hi, v)).alias("next_hi"),
+                F.max(cut).alias("cut"),
+                F.coalesce(F.sum(F.when(v < cut, cnt)), F.lit(0)).alias("below"),
+                F.coalesce(F.sum(F.when(v <= cut, cnt)), F.lit(0)).alias("upto"),
+                F.min(F.when(v > cut, v)).alias("next"),
             )
         )
-    bands = with_stats.agg(F.struct(F.max("s").alias("s"), F.array(*per_p).alias("a")).alias("bb")).scalar()
+    bands = with_stats.agg(F.struct(F.max("s.n").alias("n"), F.array(*points).alias("a")).alias("bb")).scalar()
 
     # 3. ordered running sum inside each band: the bands of all probabilities
     #    go through one window partitioned by probability (one band per task)
     with_bands = distinct.withColumn("bb", bands)
     tagged = []
     for i, p in enumerate(probs):
-        target = F.lit(float(p)) * F.col("bb.s.n")
-        band = F.get(F.col("bb.a"), i)
-        lo = F.get(F.col("bb.s.b"), 2 * i)
-        upper = F.coalesce(band["next_hi"], F.get(F.col("bb.s.b"), 2 * i + 1))
-        ok = F.coalesce((band["below_lo"] < target) & (band["upto_hi"] >= target), F.lit(False))
+        target = F.lit(float(p)) * F.col("bb.n")
+        lo, hi = _around("bb.a", target)
         tagged.append(
-            with_bands.where(~ok | ((v >= lo) & (v <= upper))).select(
-                F.lit(i).alias("i"),
-                v,
-                cnt,
-                F.when(ok, band["below_lo"]).otherwise(F.lit(0)).alias("offset"),
-                target.alias("target"),
+            with_bands.where((v >= lo["cut"]) & (v <= F.coalesce(hi["next"], hi["cut"]))).select(
+                F.lit(i).alias("i"), v, cnt, lo["below"].alias("offset"), target.alias("target")
             )
         )
     order = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,8 +113,9 @@ def exclusive_quantiles_frame(
     )
     fallback = F.lit(0.0) if empty == "zero" else vals.agg(F.max("v").cast("double")).scalar()
     qs = [F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))]
+    found_or_least = [F.col(f"q{i}") if p > 0 else stats["vmin"] for i, p in enumerate(probs)]
     # A global aggregate yields one row even when no probability found a value.
-    return found.agg(*qs).select(*[F.coalesce(F.col(f"q{i}"), fallback).alias(f"q{i}") for i in range(len(probs))])
+    return found.agg(*qs).select(*[F.coalesce(q, fallback).alias(f"q{i}") for i, q in enumerate(found_or_least)])
 
 
 def exclusive_quantiles(df: DataFrame, value: str, probs: Sequence[float], **kw) -> dict[float, Column]:

@@ -37,13 +37,18 @@ def test_empty_input(spark):
     assert q(spark, [], [0.5]) == [0.0]
 
 
-def test_fallback_path_is_exact(spark):
-    # accuracy=1 gives a useless sketch: the band check fails and the exact
-    # fallback over every distinct value must still give the right answer.
+def test_useless_sketch_is_exact(spark):
+    # accuracy=1 gives a useless sketch: the band is as wide as it has to be
     values = [float(x % 37) for x in range(500)]
     assert q(spark, values, [0.25, 0.75], accuracy=1) == [brute(values, 0.25), brute(values, 0.75)]
 
 
+def test_zero_and_one(spark):
+    values = [3.0, 3.0, 5.0, 8.0]
+    assert q(spark, values, [0.0, 1.0]) == [brute(values, 0.0), brute(values, 1.0)] == [3.0, 0.0]
+    assert q(spark, [], [0.0]) == [0.0]
+
+
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.integers(min_value=0, max_value=40), min_size=1, max_size=80),
