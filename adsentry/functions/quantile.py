@@ -9,7 +9,7 @@ is 0.0 (``empty="zero"``, the original behaviour) or the largest value
 
 Plan, all lazy and inside one query (the result is one scalar subquery):
 
-1. ``percentile_approx`` at ``p - m`` and ``p + m``, at every eighth, and the
+1. ``percentile_approx`` at ``p - m`` and ``p + m``, at every quarter, and the
    exact minimum and maximum give a few cut points (a mergeable sketch:
    partial aggregation, bounded memory).
 2. One aggregate over the distinct values (``groupBy(v).count()``, map-side
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
-GRID = 8
+GRID = 4
 
 
 def _around(points: str, target: Column) -> tuple[Column, Column]:
@@ -60,7 +60,7 @@ def exclusive_quantiles_frame(
         raise ValueError("empty must be 'zero' or 'max'")
     margin = 2.0 / accuracy
     vals = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
-    pcts = [k / GRID for k in range(GRID + 1)]
+    pcts = [k / GRID for k in range(1, GRID)]
     for p in probs:
         pcts += [max(p - margin, 0.0), min(p + margin, 1.0)]
 
