@@ -107,6 +107,38 @@ def test_license_runs(spark):
     }
 
 
+def test_licenses_that_the_tables_do_not_hold(spark):
+    bsd = (
+        "Redistribution and use are permitted provided that the following conditions are met:\n\n"
+        "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n"
+        "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+    )
+    gnu = (
+        " * This {what} is free software; you can redistribute it and/or\n * modify it under the terms of the GNU {name}General Public\n"
+        " * License as published by the Free Software Foundation; either\n * version {v} of the License, or (at your option) any later version.\n"
+    )
+    cases = [
+        (bsd, "BSD-2-Clause", "permissive"),
+        (bsd + "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n", "BSD-3-Clause", "permissive"),
+        (gnu.format(what="program", name="", v="2"), "GPL-2.0-or-later", "copyleft"),
+        (gnu.format(what="library", name="Lesser ", v="2.1"), "LGPL-2.1-or-later", "copyleft"),
+        ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public License as published by\n"
+         "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n", "AGPL-3.0-or-later", "copyleft"),
+        ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.", "GPL-2.0-only", "copyleft"),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC", "permissive"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:", "MIT", "permissive"),
+        ("This is free and unencumbered software released into the public domain.", "Unlicense", "permissive"),
+        ("To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.", "CC0-1.0", "permissive"),
+        ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "EPL-2.0", "copyleft"),
+        ("Readme.\nThis project is licensed under the MIT License.\n", "MIT", "permissive"),
+        ("This file is released under the GNU Lesser General Public License v3.0.", "LGPL-3.0-only", "copyleft"),
+        ("This work is licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0", "noncommercial"),
+    ]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["licenses"], r["license_class"]) for r in license_scan.license_scan(df).collect()}
+    assert got == {i: c[1:] for i, c in enumerate(cases)}
+
+
 def test_chat_round_trip(spark):
     odd = ["", None, "\\", "\\b", "#<", "</turn>\n", "<+>", "### user: x", "\\c:\\l\\h", "plain", "a\nb"]
     rows = [(1, i, ("user", "assistant", "assistant", "a:b\\c", None)[i % 5], t) for i, t in enumerate(odd)]
