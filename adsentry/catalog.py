@@ -493,10 +493,10 @@ hits AS (
 trials AS (SELECT uid, DATE '{TRIAL_DAY}' AS day, rule, array_to_string(v[1:{rules.MAX_EVIDENCE}], ',') AS evidence FROM hits)"""
 
 
-def _trials(spark, sf_dir):
+def _trials(spark, sf_dir, run=rules.cheater_trials):
     black = build_blacklist(_v(spark, sf_dir, "visits")).blacklist
     facts = rules.facts_from_events(_v(spark, sf_dir, "profile_events"))
-    return rules.cheater_trials(facts, TRIAL_RULES, day=TRIAL_DAY, blacklist=black)
+    return run(facts, TRIAL_RULES, day=TRIAL_DAY, blacklist=black)
 
 
 @register("cheater_trials", with_views(f"{_SQL_TRIALS}\nSELECT * FROM trials", "visits", "profiles"))
@@ -504,6 +504,14 @@ def q_cheater_trials(spark, sf_dir):
     return _trials(spark, sf_dir)
 
 
+@register(
+    "cheater_evidence",
+    with_views(f"{_SQL_TRIALS}\nSELECT uid, DATE '{TRIAL_DAY}' AS day, rule, unnest(v) AS value FROM hits", "visits", "profiles"),
+)
+def q_cheater_evidence(spark, sf_dir):
+    return _trials(spark, sf_dir, rules.cheater_evidence)
+
+
 @register("cheater_summary", with_views(f"{_SQL_TRIALS}\nSELECT DISTINCT * FROM trials", "visits", "profiles"))
 def q_cheater_summary(spark, sf_dir):
     return rules.cheater_summary(_trials(spark, sf_dir))

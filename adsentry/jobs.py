@@ -233,6 +233,7 @@ def _new_hardware(spark, ns):
     ("--blacklist", {"help": "A-12 output (parquet) for the blacklisted_ip rule"}),
     ("--out", _req("A-22 trials")),
     ("--summary-out", {"help": "A-23"}),
+    ("--evidence-out", {"help": "every value that broke a rule, one row each"}),
 )
 def _cheater_hunter(spark, ns):
     context = {"blacklist": readers.read_records(spark, ns.blacklist)} if ns.blacklist else {}
@@ -242,6 +243,8 @@ def _cheater_hunter(spark, ns):
     if ns.summary_out:
         _write(rules.cheater_summary(readers.read_records(spark, ns.out) if ns.format == "parquet" else trials),
                ns.summary_out, ns)
+    if ns.evidence_out:
+        _write(rules.cheater_evidence(facts, ns.rules.split(","), day=ns.day, **context), ns.evidence_out, ns)
 
 
 _REPORT_ARGS = (

@@ -12,7 +12,8 @@ The rules are
   returning ``(uid, rule, evidence)`` rows; its joins are sized by Spark.
 
 ``evidence`` joins the values that broke the rule, the first ``MAX_EVIDENCE``
-in order, so that no user's values are gathered without bound.
+in order, so that no user's values are gathered without bound. The whole
+evidence is ``cheater_evidence``: one flat row per value, however many.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ class CountRule:
 @dataclass(frozen=True)
 class FrameRule:
     run: Callable[..., DataFrame]
+    values: Callable[..., DataFrame]  # distinct ``(uid, value)``: the whole evidence
 
 
 def facts_from_events(events: DataFrame) -> DataFrame:
@@ -77,32 +79,41 @@ def _evidence(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _blacklisted_ip(facts: DataFrame, blacklist: DataFrame | None = None, **_) -> DataFrame:
-    """Users with a location on the blacklist (a semi join; Spark sizes it)."""
+def _blacklisted_values(facts: DataFrame, blacklist: DataFrame | None = None, **_) -> DataFrame:
+    """Users' distinct locations on the blacklist (a semi join; Spark sizes it)."""
     if blacklist is None:
         raise ValueError("rule 'blacklisted_ip' needs blacklist=")
     ips = blacklist.select(F.col("ip").alias("value")).distinct()
-    seen = facts.where(F.col("kind") == "location").select("uid", "value").distinct().join(ips, "value", "left_semi")
+    return facts.where(F.col("kind") == "location").select("uid", "value").distinct().join(ips, "value", "left_semi")
+
+
+def _blacklisted_ip(facts: DataFrame, **context) -> DataFrame:
+    """Users with a location on the blacklist."""
+    seen = _blacklisted_values(facts, **context)
     return _evidence(seen, ["uid"]).select("uid", F.lit("blacklisted_ip").alias("rule"), "evidence")
 
 
 RULES: dict[str, CountRule | FrameRule] = {
     "many_carriers": CountRule("carrier", MAX_CARRIERS),
     "many_hardware": CountRule("hardware", MAX_HARDWARE),
-    "blacklisted_ip": FrameRule(_blacklisted_ip),
+    "blacklisted_ip": FrameRule(_blacklisted_ip, _blacklisted_values),
 }
 
 
-def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
-    """A-22: ``(uid, day, rule, evidence)``: one row per user and rule it breaks.
-
-    ``day`` is the day of the trial (yyyy-MM-dd), carried as a DATE.
-    """
+def _known(rules: Sequence[str]) -> None:
     unknown = [r for r in rules if r not in RULES]
     if unknown:
         raise KeyError(f"unknown rules: {unknown}")
     if not rules:
         raise ValueError("no rules given")
+
+
+def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
+    """A-22: ``(uid, day, rule, evidence)``: one row per user and rule it breaks.
+
+    ``day`` is the day of the trial (yyyy-MM-dd), carried as a DATE.
+    """
+    _known(rules)
     counted = {r: RULES[r] for r in rules if isinstance(RULES[r], CountRule)}
     parts: list[DataFrame] = []
     if counted:
@@ -121,6 +132,31 @@ def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = Non
     return trials.withColumn("day", F.to_date(F.lit(day))).select(*OUT_COLS)
 
 
+def cheater_evidence(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
+    """``(uid, day, rule, value)``: every distinct value that broke a rule of
+    ``cheater_trials``, one row each and none left out; no list per user."""
+    _known(rules)
+    parts: list[DataFrame] = []
+    counted = {r: RULES[r] for r in rules if isinstance(RULES[r], CountRule)}
+    if counted:
+        distinct = facts.where(F.col("kind").isin(sorted({c.kind for c in counted.values()}))).select("uid", "kind", "value").distinct()
+        checks = F.array(
+            *[F.when((F.col("_kind") == c.kind) & (F.col("_n") > c.limit), F.lit(r)) for r, c in counted.items()]
+        )
+        broken = (
+            distinct.groupBy(F.col("uid").alias("_uid"), F.col("kind").alias("_kind"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .select("_uid", "_kind", F.explode(F.filter(checks, lambda r: r.isNotNull())).alias("rule"))
+        )
+        same = F.col("uid").eqNullSafe(F.col("_uid")) & (F.col("kind") == F.col("_kind"))
+        parts.append(distinct.join(broken, same).select("uid", "rule", "value"))
+    for r in rules:
+        if isinstance(RULES[r], FrameRule):
+            parts.append(RULES[r].values(facts, **context).select("uid", F.lit(r).alias("rule"), "value"))
+    whole = reduce(lambda a, b: a.unionByName(b), parts)
+    return whole.select("uid", F.to_date(F.lit(day)).alias("day"), "rule", "value")
+
+
 def cheater_summary(trials: DataFrame | Sequence[DataFrame]) -> DataFrame:
     """A-23: the union of the rule outputs without empty rows and repeats."""
     frames = [trials] if isinstance(trials, DataFrame) else list(trials)

@@ -117,6 +117,22 @@ def test_rules_and_summary(spark):
     assert rows(rules.cheater_users(trials)) == [("u1", "blacklisted_ip,many_carriers"), ("u2", "blacklisted_ip")]
 
 
+def test_whole_evidence_of_a_user_with_many_values(spark):
+    ips, carriers = [f"6.6.6.{i}" for i in range(25)], [f"op{i}" for i in range(14)]
+    prof = spark.createDataFrame(
+        [("u1", ips + ips[:3], carriers), (None, ips[:2], carriers[:4]), ("u2", ["1.1.1.1"], carriers[:3])],
+        "uid string, locations array<string>, operators array<string>",
+    )
+    facts = rules.facts_from_profiles(prof)
+    black = spark.createDataFrame([(ip,) for ip in ips], "ip string")
+    got = rules.cheater_evidence(facts, ["many_carriers", "blacklisted_ip"], day="2024-01-02", blacklist=black)
+    assert got.columns == ["uid", "day", "rule", "value"]
+    day = datetime.date(2024, 1, 2)
+    expected = [("u1", day, "blacklisted_ip", ip) for ip in ips] + [("u1", day, "many_carriers", c) for c in carriers]
+    expected += [(None, day, "blacklisted_ip", ip) for ip in ips[:2]] + [(None, day, "many_carriers", c) for c in carriers[:4]]
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, expected))
+
+
 def test_flat_profile_forms_match_stored_ones(spark):
     """One user holds a third of all rows; flat and array forms agree, and nothing is cut by id."""
     ev = fx.profile_events(spark, SF_SMALL)
