@@ -7,17 +7,22 @@ probability p and a uniform random number u ranks by the odds of u over the
 odds of p, and the lowest ranks are taken. u is a hash of the document and the
 seed, so reruns agree. The sample's fixed size is counted in words: documents
 are taken in rank order as long as they fit into the rest of the target;
-around the point where it is used up, a document that does not fit is passed
-over for the next that does, and one of the last may be exchanged.
+from the point where it is used up, a document that does not fit is passed
+over for the next that does, to the source's end; then one of the last may be
+exchanged.
 
 No source is ever sorted as a whole: ranks fall into ``BINS`` bins per source,
 pre-aggregated sums find the bin where the target is used up, all documents
-below it are taken, and only those in and just behind it are sorted.
+below it are taken, and only those in and just behind it are sorted. With what
+they leave, the same is done again on the documents behind that are not too
+long for it, until there are none.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,7 +35,7 @@ from adsentry.llm.common import columns_of, fresh_name, ship_code, staged, word_
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3.0  # a target stops at so many times its source's size
 BINS = 1 << 16  # rank bins of a source
-BEHIND = 256  # documents behind the last bin that may fill the rest
+BEHIND = 256  # documents around the last bin that a round sorts
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0, cap: float = MAX_COPIES) -> DataFrame:
@@ -91,67 +96,116 @@ def _copies(rows: DataFrame, weights, share, cap, seed, bins, behind) -> DataFra
     ranked = ranked.withColumn("_rank", F.when(F.col("_size") > 0, odds / (1 + odds)).otherwise(1.0))
     ranked = ranked.withColumn("_bin", F.least(F.lit(bins - 1), F.floor(F.col("_rank") * bins)).cast("int")).drop("_mass")
     ranked = staged(ranked, "mix-ranks")
+    ship_code(rows.sparkSession)
+
+    segments, windows, ends = [], [], []
+    state = of(F.lit(0).alias("_from"), F.col("_rest").alias("_left"))
+    for k in itertools.count():
+        # what may still be taken: beyond the first round, documents that are
+        # too long for what is left are aside (the rest only shrinks)
+        open_rows = ranked.join(state, same).drop("_ps").where("_size > 0 and _bin >= _from" + (" and _size <= _left" if k else ""))
+        settled = staged(_edges(open_rows, bins, behind), "mix-edges")
+        if settled.isEmpty():
+            break
+        segments.append(settled.select("_ps", "_from", "_edge", F.when(F.lit(k > 0), F.col("_limit")).alias("_limit")))
+        near = open_rows.drop("_left").join(settled.select("_ps", "_edge", "_last", F.col("_need").alias("_left")), same)
+        near = near.where("_bin >= _edge and _bin <= _last").select("_row", "_source", "_left", "_rank", "_id", "_size")
+        kind = ranked.schema["_source"].dataType.simpleString()
+        filled = near.groupBy("_source").applyInPandas(_fill, f"_source {kind}, _row long, _size long, _take boolean, _nth long")
+        windows.append(staged(filled.withColumn("_k", F.lit(k)), "mix-window"))
+        used = windows[-1].where("_take").groupBy("_source").agg(F.sum("_size").alias("_used"))
+        after = settled.join(used, same, "left").select(
+            "_ps", F.lit(k).alias("_k"), (F.col("_last") + 1).alias("_from"), (F.col("_need") - F.coalesce("_used", F.lit(0))).alias("_left")
+        )
+        ends.append(staged(after, "mix-left"))
+        state = ends[-1].where(F.col("_left") > 0).where(F.col("_from") < bins).drop("_k")
+        if state.isEmpty():
+            break
+
+    if not segments:  # no document has words
+        return ranked.withColumn("_copies", F.col("_whole"))
+    union = lambda frames: reduce(DataFrame.unionByName, frames)
+    # the exchange comes when nothing more fits anywhere in the source
+    end = union(ends).groupBy("_ps").agg(F.max(F.struct("_k", "_left"))["_left"].alias("_left"))
+    swapped = union(windows).join(end, same).drop("_ps").groupBy("_source").applyInPandas(_exchange, "_t long")
+    runs = union(segments).groupBy("_ps").agg(F.collect_list(F.struct("_from", "_edge", "_limit")).alias("_runs"))  # one a round
+    out = ranked.join(runs, same, "left").drop("_ps").join(swapped, F.col("_row") == F.col("_t"), "left")
+    whole_bins = F.exists(
+        "_runs",
+        lambda r: (F.col("_bin") >= r["_from"]) & (F.col("_bin") < r["_edge"]) & (r["_limit"].isNull() | (F.col("_size") <= r["_limit"])),
+    )
+    drawn = (F.col("_size") > 0) & ((F.col("_rest") > 0) & whole_bins | F.col("_t").isNotNull())
+    return out.withColumn("_copies", F.when(F.coalesce(drawn, F.lit(False)), F.col("_whole") + 1).otherwise(F.col("_whole")))
 
-    held = ranked.where("_size > 0").groupBy("_source", "_bin").agg(F.sum("_size").alias("_words"), F.count(F.lit(1)).alias("_n"))
+
+def _edges(open_rows: DataFrame, bins: int, behind: int) -> DataFrame:
+    """Per source ``_ps, _from, _limit, _edge, _last, _need``: from bin
+    ``_from`` on, all of ``open_rows`` below bin ``_edge`` fit into ``_limit``
+    words; the bins up to ``_last`` are filled one by one with ``_need`` left.
+    If everything fits, ``_edge`` and ``_last`` are ``bins``."""
+    same = F.col("_source").eqNullSafe(F.col("_ps"))
+    held = open_rows.groupBy("_source", "_bin").agg(
+        F.sum("_size").alias("_words"), F.count(F.lit(1)).alias("_n"), F.first("_from").alias("_from"), F.first("_left").alias("_limit")
+    )
     upto = Window.partitionBy("_source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    edges = held.select(
-        "_source",
-        "_bin",
-        "_words",
-        F.coalesce(F.sum("_words").over(upto), F.lit(0)).alias("_before"),
-        F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_n_before"),
-    ).join(of("_rest"), same)
-    over = edges.where(F.col("_before") + F.col("_words") > F.col("_rest"))
+    sums = held.withColumns(
+        {"_before": F.coalesce(F.sum("_words").over(upto), F.lit(0)), "_n_before": F.coalesce(F.sum("_n").over(upto), F.lit(0))}
+    )
     # per source: the first bin that does not fit as a whole, and around it
     # the bins of the ``behind`` documents before and behind that may settle
     # the rest, with what is left where they begin
-    edge = over.groupBy("_source").agg(F.min(F.struct("_bin", "_n_before", "_rest")).alias("e"))
-    edge = edge.select(F.col("_source").alias("_ps"), "e.*").withColumnsRenamed({"_bin": "_at", "_n_before": "_n_at", "_rest": "_need"})
-    around = edges.drop("_ps", "_rest").join(edge, same).where(
+    over = F.when(F.col("_before") + F.col("_words") > F.col("_limit"), F.struct("_bin", "_n_before"))
+    edge = sums.groupBy("_source").agg(
+        F.min(over).alias("e"), F.sum("_words").alias("_all"), F.first("_from").alias("_from"), F.first("_limit").alias("_limit")
+    )
+    edge = edge.select(F.col("_source").alias("_ps"), F.col("e._bin").alias("_at"), F.col("e._n_before").alias("_n_at"), "_all", "_from", "_limit")
+    around = sums.select("_source", "_bin", "_before", "_n_before").join(edge.select("_ps", "_at", "_n_at"), same).where(
         ((F.col("_bin") <= F.col("_at")) & (F.col("_n_before") >= F.col("_n_at") - F.lit(behind)))
         | ((F.col("_bin") > F.col("_at")) & (F.col("_n_before") < F.col("_n_at") + F.lit(behind)))
     )
-    edge = around.groupBy("_source").agg(
-        F.min(F.struct("_bin", "_before", "_need")).alias("e"), F.max("_bin").alias("_last")
+    around = around.groupBy("_source").agg(F.min(F.struct("_bin", "_before")).alias("a"), F.max("_bin").alias("_to"))
+    return edge.join(around, same, "left").select(
+        "_ps",
+        "_from",
+        "_limit",
+        F.coalesce("a._bin", F.lit(bins)).alias("_edge"),
+        F.coalesce("_to", F.lit(bins)).alias("_last"),
+        (F.col("_limit") - F.coalesce("a._before", "_all")).alias("_need"),
     )
-    edge = staged(
-        edge.select(
-            F.col("_source").alias("_ps"), F.col("e._bin").alias("_edge"), (F.col("e._need") - F.col("e._before")).alias("_left"), "_last"
-        ),
-        "mix-edges",
-    )
-    near = ranked.join(edge, same).where("_size > 0 and _bin >= _edge and _bin <= _last").select("_row", "_source", "_left", "_rank", "_id", "_size")
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_rank", "_id", "_size", "_row"], kind="stable")
-        left, sizes = float(pdf["_left"].iloc[0]), pdf["_size"].to_numpy()
-        take = np.zeros(len(sizes), bool)
-        for i, size in enumerate(sizes):
-            if size <= left:
-                take[i] = True
-                left -= size
-        # one exchange of the last ranks, if it brings the words nearer: a
-        # document more, or one in place of another (row 0: of none)
-        out = np.flatnonzero(~take)
-        if left > 0 and len(out):
-            out = out[np.argsort(sizes[out], kind="stable")]
-            held = np.flatnonzero(take)
-            base = np.concatenate([[0], sizes[held]])
-            at = np.clip(np.searchsorted(sizes[out], base + left), 1, len(out)) - 1
-            at = np.stack([at, np.minimum(at + 1, len(out) - 1)])
-            gap = np.abs(left + base - sizes[out][at])
-            best = np.unravel_index(np.argmin(gap), gap.shape)
-            if gap[best] < left:
-                take[out[at[best]]] = True
-                if best[1]:
-                    take[held[best[1] - 1]] = False
-        return pd.DataFrame({"_t": pdf["_row"].to_numpy()[take]})
 
-    ship_code(rows.sparkSession)
-    filled = near.groupBy("_source").applyInPandas(fill, "_t long")
-    out = ranked.join(edge.select("_ps", "_edge"), same, "left").drop("_ps").join(filled, F.col("_row") == F.col("_t"), "left")
-    drawn = (F.col("_size") > 0) & (F.col("_edge").isNull() & (F.col("_rest") > 0) | (F.col("_bin") < F.col("_edge")) | F.col("_t").isNotNull())
-    return out.withColumn("_copies", F.when(F.coalesce(drawn, F.lit(False)), F.col("_whole") + 1).otherwise(F.col("_whole")))
+
+def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a window in rank order, and which of them fit."""
+    pdf = pdf.sort_values(["_rank", "_id", "_size", "_row"], kind="stable")
+    left, sizes = float(pdf["_left"].iloc[0]), pdf["_size"].to_numpy()
+    take = np.zeros(len(sizes), bool)
+    for i, size in enumerate(sizes):
+        if size <= left:
+            take[i] = True
+            left -= size
+    return pdf[["_source", "_row", "_size"]].assign(_take=take, _nth=np.arange(len(sizes)))
+
+
+def _exchange(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The rows of the windows that are taken, after one exchange of them if it
+    brings the words nearer: a document more, or one in place of another
+    (row 0: of none)."""
+    pdf = pdf.sort_values(["_k", "_nth"], kind="stable")
+    left, sizes, take = float(pdf["_left"].iloc[0]), pdf["_size"].to_numpy(), pdf["_take"].to_numpy(bool).copy()
+    out = np.flatnonzero(~take)
+    if left > 0 and len(out):
+        out = out[np.argsort(sizes[out], kind="stable")]
+        held = np.flatnonzero(take)
+        base = np.concatenate([[0], sizes[held]])
+        at = np.clip(np.searchsorted(sizes[out], base + left), 1, len(out)) - 1
+        at = np.stack([at, np.minimum(at + 1, len(out) - 1)])
+        gap = np.abs(left + base - sizes[out][at])
+        best = np.unravel_index(np.argmin(gap), gap.shape)
+        if gap[best] < left:
+            take[out[at[best]]] = True
+            if best[1]:
+                take[held[best[1] - 1]] = False
+    return pd.DataFrame({"_t": pdf["_row"].to_numpy()[take]})
 
 
 def mix_sources(

@@ -136,6 +136,17 @@ def test_inclusion_follows_the_importance(spark):
     assert 0.7 < odd / sum(r["taken"] for r in rows) < 0.9
 
 
+def test_mix_goes_on_behind_a_long_document(spark):
+    """A document of a third of its source's words is passed over; the rest comes from far behind the edge."""
+    missed = {}
+    for seed in (1, 3):
+        rows = [(i, "w " * 30, "s") for i in range(3000)] + [(9999, "w " * 45_000, "s")]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+        got = mixing.mix_sources(df, share=0.62, seed=seed).collect()
+        missed[seed] = abs(sum(r["taken"] for r in got) - got[0]["target"])
+    assert max(missed.values()) <= 30, missed
+
+
 def test_packing_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
