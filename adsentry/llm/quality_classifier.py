@@ -7,26 +7,28 @@ is logistic on feature differences, without an intercept. Which documents are
 good enough is a quantile of the scores: of a fixed grid, the one that
 separates the training labels best.
 
-Learning uses a bounded sample of the labelled rows (``max_labelled``, drawn by
-a hash of the identifier) and is done once on the driver; scoring is one pass
-over all documents.
+The weights are learned once on the driver, from a bounded sample of the
+labelled rows (``max_labelled``, drawn per label by a hash of the identifier).
+The threshold is chosen over all labelled rows that are not held out, from
+counts per score bin and label; scoring is one pass over all documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsentry.llm.common import columns_of, fresh_name, ship_code
+from adsentry.llm.common import columns_of, fresh_name, ship_code, staged
 from adsentry.llm.quality_rules import TextMeasures, _batches
 
 MAX_LABELLED = 8_000  # labelled rows that the weights are learned from
 PAIRS_PER_DOC = 20  # opponents of each training document
+SCORE_BINS = 1 << 16  # bins of the scores' whole range that the threshold is chosen from
 QUANTILES = 1_000  # grid of score quantiles that may become the threshold
 ACCEPT = 0.7  # the threshold's place on the 0..1 scale
 RIDGE = 1e-2
@@ -141,23 +143,59 @@ def train(
         columns_of(labels, _lid=id_col, _label=label_col)
         .where(F.col("_label").isin(0, 1) & F.col("_lid").isNotNull() & ~held_out(F.col("_lid")))
         .distinct()
-        .orderBy(F.xxhash64("_lid", F.lit(11)), "_lid", "_label")
-        .limit(max_labelled)
     )
-    texts = columns_of(docs, _id=id_col, _text=text_col)
-    joined = texts.join(F.broadcast(known), F.col("_id") == F.col("_lid")).select("_id", "_label", "_text")
+    texts = columns_of(docs, _id=id_col, _text=text_col).where(F.col("_id").isNotNull() & ~held_out(F.col("_id")))
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(it):
-            x = [features(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1).cast(pa.int32()), pa.array(x, pa.list_(pa.float64()))], ["id", "label", "x"]
-            )
-
-    kind = joined.schema["_id"].dataType.simpleString()
-    rows = joined.mapInArrow(measure, f"id {kind}, label int, x array<double>").collect()
+            x = [features(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["id", "x"])
+
+    kind = texts.schema["_id"].dataType.simpleString()
+    measured = texts.mapInArrow(measure, f"id {kind}, x array<double>")
+    # the measures move to their labels, not the texts
+    labelled = staged(
+        measured.join(known, F.col("id") == F.col("_lid")).select("id", F.col("_label").cast("int").alias("label"), "x"), "quality-labelled"
+    )
+    drawn = [
+        labelled.where(F.col("label") == v).orderBy(F.xxhash64("id", F.lit(11)), "id", "x").limit(max_labelled).collect() for v in (0, 1)
+    ]
+    # half of the sample to each label; what one does not fill is the other's
+    n_bad = min(len(drawn[0]), max(max_labelled // 2, max_labelled - len(drawn[1])))
+    rows = drawn[0][:n_bad] + drawn[1][: max_labelled - n_bad]
     rows.sort(key=lambda r: (r["id"], r["label"], r["x"]))
-    return fit_pairs(np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), -1) if rows else np.zeros((0, len(FEATURES))), np.array([r["label"] for r in rows], dtype=int))
+    model = fit_pairs(np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), -1) if rows else np.zeros((0, len(FEATURES))), np.array([r["label"] for r in rows], dtype=int))
+    return _threshold(labelled, model) if all(drawn) else model
+
+
+def _threshold(labelled: DataFrame, model: PairwiseModel) -> PairwiseModel:
+    """The model with the score quantile of all ``labelled`` rows that has fewest wrong labels."""
+    reach = 6.0 * float(np.abs(model.weights).sum()) + 1e-9  # no score lies beyond
+    width = 2 * reach / SCORE_BINS
+
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            if batch.num_rows:
+                at = np.floor((model.strength(np.array(batch.column(1).to_pylist(), dtype=float)) + reach) / width)
+                cell = np.clip(at, 0, SCORE_BINS - 1).astype(np.int64) * 2 + batch.column(0).to_numpy()
+                cells, n = np.unique(cell, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(n, pa.int64())], ["cell", "n"])
+
+    counted = labelled.select("label", "x").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    held = np.zeros(2 * SCORE_BINS, np.int64)
+    for r in counted:
+        held[r["cell"]] = r["n"]
+    bad, good = held[0::2], held[1::2]
+    upto = np.cumsum(bad + good)
+    # bins of the rows on both sides of each quantile; the cut lies midway
+    grid = np.arange(1, QUANTILES) / QUANTILES
+    place = grid * (upto[-1] - 1)
+    below, above = (np.searchsorted(upto, f(place), side="right") for f in (np.floor, np.ceil))
+    cuts = (below + above + 1) // 2
+    wrong = (bad.sum() - np.concatenate([[0], np.cumsum(bad)])[cuts]) + np.concatenate([[0], np.cumsum(good)])[cuts]
+    best = np.flatnonzero(wrong == wrong.min())
+    at = best[len(best) // 2]
+    return replace(model, threshold=float(cuts[at] * width - reach), quantile=float(grid[at]))
 
 
 def score_documents(docs: DataFrame, model: PairwiseModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from adsentry.llm import mixing, ngram_join, packing, sharding
+from adsentry.llm import mixing, ngram_join, packing, quality_classifier, sharding
 from adsentry.llm.components import components
 from adsentry.llm.queries import ORACLE, QUERIES
 
@@ -105,6 +105,24 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(wins) >= 0.98 * len(wins)
 
 
+def test_classifier_learns_a_rare_label_from_all_rows(spark):
+    """Far more labelled rows than the sample holds; few of them are rejected."""
+    rng = random.Random(2)
+    texts, labels = [], []
+    for i in range(1200):
+        bad = i % 60 == 0
+        words = ["###" if bad and rng.random() < 0.6 else f"word{rng.randrange(500)}" for _ in range(60)]
+        texts.append((i, " ".join(words)))
+        labels.append((i, 0 if bad else 1))
+    docs, known = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = quality_classifier.train(docs, known, max_labelled=12)
+    x = np.array([quality_classifier.features(t) for _, t in texts])
+    learned = np.array([zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in texts])
+    label = np.array([y for _, y in labels])
+    wrong = (model.score(x) >= quality_classifier.ACCEPT) != (label == 1)
+    assert wrong[learned].sum() == 0 and wrong.sum() <= 2
+
+
 def test_mix_reaches_its_targets(spark):
     sf = "/root/testdata/sf0.01"
     source = dict(duckdb.sql(f"SELECT doc_id, source FROM '{sf}/documents.parquet'").fetchall())
