@@ -40,7 +40,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(conf).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables made by ``staged`` whose last reader has run."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(table._staged_path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def ship_code(spark: SparkSession) -> None:

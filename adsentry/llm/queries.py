@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from adsentry.llm import (
-    chat_format, exact_dedup, license_scan, mixing, ngram_join, packing, quality_classifier, quality_rules, sharding,
+    chat_format, exact_dedup, filter_audit, license_scan, mixing, ngram_join, packing, quality_classifier, quality_rules, sharding,
     url_filter,
 )
 from adsentry.llm.common import read_table
@@ -203,3 +203,37 @@ def op9_best_fit_packing(spark, sf_dir):
 @register("op10_sharding")
 def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op11_filter_audit",
+    rf"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {SQL_WORDS} AS w FROM documents),
+t AS (SELECT doc_id, part, len(w) < 50 AS A, 100 * len(list_distinct(w)) < 65 * len(w) AS B,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS C,
+        regexp_matches(text, '[#$%&*|]') AS D,
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY sha256(text)), false) AS E FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, [A, B, C, D, E] AS f, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+      FROM t LEFT JOIN l ON t.doc_id = l.doc_id),
+c AS (SELECT part, f, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT o, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, x.i AS step FROM o, x),
+m AS (SELECT part, filter_order, step, o[step] AS k, n, good, toxic, f[o[step]] AS fails,
+        len(list_filter(o[1:step - 1], lambda i: f[i])) = 0 AS here, len(list_filter(f, lambda b: b)) = 1 AS single
+      FROM c, s),
+r AS (SELECT part, filter_order, step, k, coalesce(sum(n) FILTER (WHERE here AND NOT fails), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (WHERE here AND fails), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (WHERE NOT here AND fails), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (WHERE fails AND single), 0)::BIGINT AS unique_fails,
+        coalesce(sum(n) FILTER (WHERE here AND fails AND good), 0)::BIGINT AS good_lost,
+        coalesce(sum(n) FILTER (WHERE here AND fails AND toxic), 0)::BIGINT AS toxic_lost
+      FROM m GROUP BY part, filter_order, step, k)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley
+FROM r""",
+)
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
