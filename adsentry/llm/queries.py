@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adsentry.llm import (
     chat_format, exact_dedup, filter_audit, license_scan, mixing, ngram_join, packing, quality_classifier, quality_rules, sharding,
-    url_filter,
+    token_alignment, url_filter,
 )
 from adsentry.llm.common import read_table
 
@@ -27,6 +27,7 @@ URL_RULES = (
 )
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 SHINGLE_WORDS, SHINGLE_THRESHOLD = 4, (85, 100)
 
 
@@ -237,3 +238,8 @@ FROM r""",
 )
 def op11_filter_audit(spark, sf_dir):
     return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op12_token_alignment")
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.align_tokens(read_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
