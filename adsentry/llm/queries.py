@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adsentry.llm import (
     chat_format, exact_dedup, filter_audit, license_scan, mixing, ngram_join, packing, quality_classifier, quality_rules, sharding,
-    token_alignment, url_filter,
+    suffix_dedup, token_alignment, url_filter,
 )
 from adsentry.llm.common import read_table
 
@@ -243,3 +244,13 @@ def op11_filter_audit(spark, sf_dir):
 @register("op12_token_alignment")
 def op12_token_alignment(spark, sf_dir):
     return token_alignment.align_tokens(read_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
+@register("op13_suffix_dedup")
+def op13_suffix_dedup(spark, sf_dir):
+    spans = suffix_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return spans.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
