@@ -30,7 +30,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -46,13 +45,13 @@ from adsentry.llm.common import columns_of, empty_frame, release, ship_code, sta
 
 BUCKET_BITS = 6
 BUCKETS = 1 << BUCKET_BITS
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 1 << 16
 FAN_IN = 64
 RUNS_PER_SALT = 256
 BLOCK = 1 << 15  # entries of a run that a merge looks at together
-UNITS_HELD = 400_000
-UNIT_BYTES_HELD = 48 << 20
+UNIT_BYTES_HELD = 64 << 20
+LARGE_GROUP = 4096  # links of a group from which its pairs are formed by distinct identifiers
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 DOCS_BUCKET = -1  # the row of a chunk that holds its documents
@@ -85,37 +84,16 @@ def byte_level_bytes() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Unit:
-    """Tokens and groups of a piece of text that both tokenizers treat on its own."""
-
-    __slots__ = ("groups", "links", "n_a", "n_b", "n_groups", "pairs", "same", "times")
-
-    def __init__(self, a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes], text: bytes, shift: int):
-        self.same = b"".join(bytes_a) == text and b"".join(bytes_b) == text
-        self.n_a, self.n_b = len(a), len(b)
-        pairs, shown, self.links = Counter(), [], 0
-        i = j = end_a = end_b = 0
-        from_a = from_b = 0
-        while self.same and (i < len(a) or j < len(b)):
-            if end_a <= end_b and i < len(a):
-                end_a += len(bytes_a[i])
-                i += 1
-            else:
-                end_b += len(bytes_b[j])
-                j += 1
-            if end_a == end_b and i > from_a and j > from_b:
-                mine, theirs = a[from_a:i], b[from_b:j]
-                shown.append(f"{','.join(map(str, mine))}|{','.join(map(str, theirs))}")
-                self.links += len(mine) * len(theirs)
-                few = Counter(theirs)
-                for x, n in Counter(mine).items():
-                    for y, m in few.items():
-                        pairs[x << shift | y] += n * m
-                from_a, from_b = i, j
-        self.n_groups = len(shown)
-        self.groups = ";".join(shown).encode()
-        self.pairs = np.fromiter(pairs.keys(), np.int64, len(pairs))
-        self.times = np.fromiter(pairs.values(), np.int64, len(pairs))
+def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``starts[i], starts[i] + 1, ..`` with ``counts[i]`` places each, one after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of neighbouring runs of ``counts[i]`` rows."""
+    total = np.concatenate([np.zeros((1, *values.shape[1:]), np.int64), np.cumsum(values, axis=0)])
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
 
 
 class Aligner:
@@ -146,10 +124,23 @@ class Aligner:
         self.bits_a = max(BUCKET_BITS, (len(self.bytes_a) - 1).bit_length())
         if self.bits_a + self.shift + (CHUNK_DOCS - 1).bit_length() > 63:
             raise ValueError("the vocabularies are too large for one sort key")
+        # a token's identifier as text, with what may follow it
+        size = max(len(self.bytes_a), len(self.bytes_b))
+        self.shown = [f"{t}{mark}".encode() for mark in (",", "|", ";", "") for t in range(size)]
+        self.lengths_a, self.lengths_b, self.shown_lengths = (
+            np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b, self.shown)
+        )
         self.forget()
 
     def forget(self) -> None:
-        self.index, self.units, self.held = {}, [], 0
+        """Drop all units. Of each are known: its tokens, groups and links by
+        number (``stats``), whether both tokenizers give back its bytes
+        (``same``), its groups as text and its pairs with their links."""
+        self.index: dict[str, int] = {}
+        self.groups: list[bytes] = []
+        self.stats, self.same = np.zeros((0, 4), np.int64), np.zeros(0, bool)
+        self.pair_start, self.pair_count = np.zeros((2, 0), np.int64)
+        self.pairs, self.times = np.zeros((2, 0), np.int64)
 
     def cut(self, text: str) -> list[str]:
         """Pieces of a space and the text, joined again the whole of it."""
@@ -169,33 +160,84 @@ class Aligner:
     def learn(self, texts: list[str]) -> None:
         """Work out the units among ``texts`` that are new."""
         new = [t for t in dict.fromkeys(texts) if t not in self.index]
-        for at in range(0, len(new), 4096):
+        if not new:
+            return
+        self.index.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
+        a, b = [], []
+        for at in range(0, len(new), 4096):  # an encoding is much larger than its identifiers
             some = new[at : at + 4096]
-            encoded = self.a.encode_batch(some, add_special_tokens=False)
-            for text, mine, theirs in zip(some, encoded, self._ids_b(some), strict=True):
-                a = mine.ids
-                unit = Unit(a, theirs, [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in theirs], text.encode(), self.shift)
-                self.index[text] = len(self.units)
-                self.units.append(unit)
-                self.held += len(text) + len(unit.groups) + 16 * len(unit.pairs)
-
-    def whole(self, text: str) -> int:
-        """The text as one unit."""
-        self.learn([" " + text])
-        return self.index[" " + text]
+            a += [e.ids for e in self.a.encode_batch(some, add_special_tokens=False)]
+            b += self._ids_b(some)
+        same = np.array([
+            b"".join(map(self.bytes_a.__getitem__, x)) == (raw := t.encode()) and b"".join(map(self.bytes_b.__getitem__, y)) == raw
+            for t, x, y in zip(new, a, b, strict=True)
+        ])
+        # a unit of other bytes keeps no tokens
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(new)) * same for ids in (a, b))
+        a, b = (
+            np.fromiter(chain.from_iterable(x for x, ok in zip(ids, same, strict=True) if ok), np.int64, int(n.sum()))
+            for ids, n in ((a, n_a), (b, n_b))
+        )
+        ends_a, ends_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
+        cuts = np.intersect1d(ends_a, ends_b)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        in_a, in_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        unit = np.repeat(np.arange(len(new)), n_a)[first_a] if len(cuts) else np.zeros(0, np.int64)
+
+        # text of the groups: tokens by group, A first, each with its mark
+        side = np.r_[2 * group_a, 2 * group_b + 1]
+        order = np.argsort(side, kind="stable")
+        side, last = side[order], np.r_[np.cumsum(n_a + n_b)[n_a > 0] - 1].astype(np.int64)
+        mark = np.where(np.diff(side, append=-2) == 0, 0, np.where(side & 1 == 0, 1, 2))
+        mark[last] = 3
+        code = np.r_[a, b][order] + mark * (len(self.shown) // 4)
+        text = b"".join(map(self.shown.__getitem__, code.tolist()))
+        ends = np.r_[0, np.cumsum(self.shown_lengths[code])][np.cumsum(n_a + n_b)].tolist()
+        self.groups += [text[x:y] for x, y in zip([0, *ends], ends, strict=False)]
+
+        # pairs: every A token with all B tokens of its group; large groups by their distinct identifiers
+        large = in_a * in_b > LARGE_GROUP
+        fit = ~large[group_a]
+        n = in_b[group_a] * fit
+        pairs = np.repeat(a, n) << self.shift | b[_ragged(first_b[group_a], n)]
+        of, times = np.repeat(unit[group_a], n), np.ones(len(pairs), np.int64)
+        for g in np.flatnonzero(large):
+            x, nx = np.unique(a[first_a[g] : first_a[g] + in_a[g]], return_counts=True)
+            y, ny = np.unique(b[first_b[g] : first_b[g] + in_b[g]], return_counts=True)
+            pairs = np.r_[pairs, (x[:, None] << self.shift | y).ravel()]
+            times = np.r_[times, (nx[:, None] * ny).ravel()]
+            of = np.r_[of, np.full(len(x) * len(y), unit[g])]
+        if large.any():
+            order = np.argsort(of, kind="stable")
+            pairs, times, of = pairs[order], times[order], of[order]
+        count = np.bincount(of, minlength=len(new))
+        n_groups, links = np.bincount(unit, minlength=len(new)), np.zeros(len(new), np.int64)
+        np.add.at(links, unit, in_a * in_b)
+
+        self.same = np.r_[self.same, same]
+        self.stats = np.r_[self.stats, np.stack([n_a, n_b, n_groups, links], axis=1)]
+        self.pair_start = np.r_[self.pair_start, len(self.pairs) + np.cumsum(count) - count]
+        self.pair_count = np.r_[self.pair_count, count]
+        self.pairs, self.times = np.r_[self.pairs, pairs], np.r_[self.times, times]
+
+    @property
+    def held(self) -> int:
+        """About the bytes that units take."""
+        return 200 * len(self.groups) + 16 * len(self.pairs)
 
     def places(self, texts: list[str | None]) -> list[list[int]]:
         """Per text the numbers of its units, none if it has no tokens."""
         cuts = [self.cut(t) if t else [] for t in texts]
         self.learn(list(chain.from_iterable(cuts)))
-        out = []
-        for text, cut in zip(texts, cuts, strict=True):
-            mine = [self.index[u] for u in cut]
-            if not all(self.units[u].same for u in set(mine)):
-                # units that differ could still join to the same bytes
-                mine = [self.whole(text)]
-                mine = mine if self.units[mine[0]].same else []
-            out.append(mine)
+        out = [list(map(self.index.__getitem__, cut)) for cut in cuts]
+        if not self.same.all():
+            # units that differ could still join to the same bytes: such a text is looked at as a whole
+            odd = [i for i, mine in enumerate(out) if not self.same[mine].all()]
+            self.learn([" " + texts[i] for i in odd])
+            for i in odd:
+                whole = self.index[" " + texts[i]]
+                out[i] = [whole] if self.same[whole] else []
         return out
 
     def side_major(self, pairs: np.ndarray) -> np.ndarray:
@@ -213,33 +255,31 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _ALIGNERS[path_a, path_b]
 
 
-def _chunk(al: Aligner, ids: pa.Array, texts: list[str | None]) -> tuple[bytes, list[tuple[int, bytes, bytes]]]:
+def _chunk(al: Aligner, ids: pa.Array, texts: list[str | None], keep_groups: bool = False) -> tuple[bytes, list[tuple[int, bytes, bytes]]]:
     """A chunk's documents as Arrow data, and its runs ``(bucket, head, body)``."""
     places = al.places(texts)
-    units = [[al.units[u] for u in mine] for mine in places]
-    sums = {c: pa.array([sum(getattr(u, k) for u in mine) for mine in units], pa.int64()) for c, k in
-            (("n_a", "n_a"), ("n_b", "n_b"), ("n_groups", "n_groups"), ("n_links", "links"))}
-    sha = [hashlib.sha256(b";".join(u.groups for u in mine)).hexdigest() if mine else "" for mine in units]
-    docs = pa.RecordBatch.from_arrays([ids, *sums.values(), pa.array(sha, pa.string())], ["doc_id", *sums, "groups_sha256"])
+    sizes = np.fromiter(map(len, places), np.int64, len(places))
+    flat = np.fromiter(chain.from_iterable(places), np.int64, int(sizes.sum()))
+    stats = _sums(al.stats[flat], sizes)
+    groups = [b";".join(map(al.groups.__getitem__, mine)) for mine in places]
+    sha = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
+    names = ["doc_id", *COUNTS[:4], "groups_sha256"]
+    docs = pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in stats.T.copy()), pa.array(sha, pa.string())], names)
+    if keep_groups:
+        docs = docs.append_column("groups", pa.array([g.decode() for g in groups], pa.string()))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(docs)
 
-    sizes = np.array([len(m) for m in places], np.int64)
-    flat = np.fromiter(chain.from_iterable(places), np.int64, int(sizes.sum()))
     entry, times = np.unique(np.repeat(np.arange(len(places)), sizes) << 32 | flat, return_counts=True)
-    used, at = np.unique(entry & 0xFFFFFFFF, return_inverse=True)
-    if not len(used):
+    unit = entry & 0xFFFFFFFF
+    n = al.pair_count[unit]
+    if not n.sum():
         return sink.getvalue().to_pybytes(), []
-    lengths = np.array([len(al.units[u].pairs) for u in used], np.int64)
-    pairs = al.side_major(np.concatenate([al.units[u].pairs for u in used]))
-    links = np.concatenate([al.units[u].times for u in used])
-    starts = np.cumsum(lengths) - lengths
-    n = lengths[at]
-    place = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    place = _ragged(al.pair_start[unit], n)
+    pairs, links = al.side_major(al.pairs[place]), al.times[place] * np.repeat(times, n)
     bits = (CHUNK_DOCS - 1).bit_length()
-    key = pairs[place] << bits | np.repeat(entry >> 32, n)
-    links = links[place] * np.repeat(times, n)
+    key = pairs << bits | np.repeat(entry >> 32, n)
     order = np.argsort(key)
     key, links = key[order], links[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -258,14 +298,14 @@ def _chunk(al: Aligner, ids: pa.Array, texts: list[str | None]) -> tuple[bytes,
     return sink.getvalue().to_pybytes(), runs
 
 
-def _spill(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def _spill(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool) -> DataFrame:
     """``run, bucket, head, body`` of all chunks."""
 
     def spill(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al = aligner(path_a, path_b)
         run = TaskContext.get().partitionId() << 32
         for ids, texts in _chunks(it):
-            rows, runs = _chunk(al, ids, texts)
+            rows, runs = _chunk(al, ids, texts, keep_groups)
             out = [(DOCS_BUCKET, None, rows), *runs]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -277,7 +317,7 @@ def _spill(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 ["run", "bucket", "head", "body"],
             )
             run += 1
-            if len(al.units) > UNITS_HELD or al.held > UNIT_BYTES_HELD:
+            if al.held > UNIT_BYTES_HELD:
                 al.forget()
 
     return docs.mapInArrow(spill, "run long, bucket int, head binary, body binary")
@@ -407,9 +447,12 @@ def _contributions(bodies: DataFrame, counts: DataFrame, salts: int) -> DataFram
     return dealt.mapInArrow(back, "run long, sums binary")
 
 
-def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align_tokens(
+    docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", keep_groups: bool = False
+) -> DataFrame:
     """One row per document: ``doc_id, n_a, n_b, n_groups, n_links, n_best,
-    count_sum, groups_sha256``.
+    count_sum, groups_sha256``, and with ``keep_groups`` the groups themselves
+    as ``groups``: ``a1,a2|b1;a3|b2,b3``.
 
     ``path_a`` is a byte-level BPE of the tokenizers library, ``path_b`` a
     sentencepiece model; both files lie at these paths on every executor.
@@ -424,8 +467,8 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
     shift = aligner(path_a, path_b).shift
     rows = columns_of(docs, _id=id_col, _text=text_col)
     kind = rows.schema["_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS)}, groups_sha256 string"
-    spilled = staged(_spill(rows, path_a, path_b), "align-runs")
+    schema = f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS)}, groups_sha256 string" + ", groups string" * keep_groups
+    spilled = staged(_spill(rows, path_a, path_b, keep_groups), "align-runs")
     chunks, runs = spilled.where(F.col("bucket") == DOCS_BUCKET), spilled.where(F.col("bucket") >= 0)
     n_runs = chunks.count()
     if not n_runs:
@@ -443,7 +486,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
             n_best[: len(some_best)] += some_best
             count_sum[: len(some_sum)] += some_sum
         out["n_best"], out["count_sum"] = n_best, count_sum
-        return out[["doc_id", *COUNTS, "groups_sha256"]]
+        return out[["doc_id", *COUNTS, "groups_sha256", *["groups"] * keep_groups]]
 
     nothing = F.lit(None).cast("binary")
     parts = chunks.select("run", F.col("body").alias("docs"), nothing.alias("sums")).union(

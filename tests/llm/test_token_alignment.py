@@ -105,6 +105,28 @@ def test_units_cut_where_both_tokenizers_end_a_token(tools):
         assert "".join(al.cut(text)) == " " + text
 
 
+def test_groups_as_text(spark, tools):
+    df = spark.createDataFrame([(1, "two words"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.groups for r in token_alignment.align_tokens(df, *PATHS, keep_groups=True).collect()}
+    shown = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups_of("two words", tools))
+    assert got == {1: shown, 2: ""}
+
+
+def test_large_groups_by_distinct_identifiers(tools, monkeypatch):
+    texts = list(dict.fromkeys(t for t in ODD if t))
+    small, large = (token_alignment.Aligner(*PATHS) for _ in range(2))
+    small.learn([" " + t for t in texts])
+    monkeypatch.setattr(token_alignment, "LARGE_GROUP", 1)
+    large.learn([" " + t for t in texts])
+    for u in range(len(texts)):
+        one, two = Counter(), Counter()
+        for got, al in ((one, small), (two, large)):
+            at = slice(al.pair_start[u], al.pair_start[u] + al.pair_count[u])
+            for p, n in zip(al.pairs[at].tolist(), al.times[at].tolist(), strict=True):
+                got[p] += n
+        assert one == two and small.groups[u] == large.groups[u]
+
+
 def test_heap_merge_in_small_blocks(monkeypatch):
     monkeypatch.setattr(token_alignment, "BLOCK", 3)
     rng = np.random.default_rng(1)
