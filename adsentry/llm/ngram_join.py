@@ -8,8 +8,10 @@ prefixes are joined. A pair met there has to pass, in this order:
 
 * length filter: the smaller set has at least t times the larger's size;
 * positional filter: what can still follow the shared n-gram is enough;
-* suffix filter: the sets' hashed parities (256 bits) differ in no more places
-  than the sets may differ in elements, a lower bound of their distance;
+* suffix filter: at the first n-gram that a pair shares, all n-grams before it
+  differ, which leaves the rest of the allowed difference for the two suffixes
+  behind it. The suffixes' hashed parities may differ in no more places than
+  that, a lower bound of their distance (256 bits, more for larger sets);
 
 and is then verified once, on the full sets.
 
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adsentry.llm.common import columns_of, fresh_name, ship_code, staged
+from adsentry.llm.common import columns_of, fresh_name, ship_code, staged, tie_order
 from adsentry.llm.components import components
 
 WORDS = 5
@@ -45,6 +47,7 @@ SKETCH_CHUNKS = 16
 CHUNK_WORDS = 200_000  # words that are Python objects at a time
 MAX_BITMAP_BITS = 1 << 28
 STAR_ROUNDS = 4
+MAX_PARITY_BITS = 2048  # of a set of 4,096 n-grams and more
 LOOK_BACK = 4  # earlier n-grams of a posting that are compared to meet a pair once
 PAIRS_PER_POSTING = 32  # with fewer pairs across components, no further star round is tried
 
@@ -154,21 +157,44 @@ def _class_key(grams: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
+def parity(grams: np.ndarray, bits: int) -> np.ndarray:
+    """Of each of ``bits`` ranges of hashes, a power of two, whether it holds an odd number of n-grams."""
+    return (np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+
+
+def parity_bits(n: int) -> int:
+    bits = 256
+    while 2 * bits < n and bits < MAX_PARITY_BITS:
+        bits *= 2
+    return bits
+
+
+def _folded(odd: np.ndarray, bits: int) -> np.ndarray:
+    """The parity in fewer bits."""
+    return np.bitwise_xor.reduce(odd.reshape(-1, bits), axis=0)
+
+
+def _longs(odd: np.ndarray) -> np.ndarray:
+    return np.packbits(odd).view(np.int64)
+
+
 def signatures(rows: DataFrame, n: int, threshold: tuple[int, int], counts: np.ndarray) -> DataFrame:
-    """``doc_id, th, n, c1, c2, p0 .. p3, grams`` of ``_id, _text, _th``: set size, set digest, parities, prefix."""
+    """``doc_id, th, n, c1, c2, p0 .. p3, wide, grams`` of ``_id, _text, _th``: set size, set digest, parity in 256
+    and in more bits, prefix."""
     num, den = threshold
     shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity = shared.value
         for part, texts in _texts(it, 1):
-            sizes, keys, parities, prefixes = [], [], [], []
+            sizes, keys, parities, wide, prefixes = [], [], [], [], []
             for grams in ngram_hashes(texts, n):
                 g = np.unique(grams)
                 sizes.append(len(g))
                 keys.append(_class_key(g))
-                odd = np.bincount((g & np.uint64(255)).astype(np.int64), minlength=256) & 1
-                parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                odd = parity(g, parity_bits(len(g)))
+                parities.append(_longs(_folded(odd, 256)))
+                wide.append(np.packbits(odd).tobytes())
                 # stable over sorted hashes: by count, then by hash
                 order = np.argsort(rarity[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                 prefixes.append(g[order[: len(g) - -(-num * len(g) // den) + 1]].view(np.int64) if len(g) else g.view(np.int64))
@@ -181,13 +207,14 @@ def signatures(rows: DataFrame, n: int, threshold: tuple[int, int], counts: np.n
                     pa.array([k[0] for k in keys], pa.int64()),
                     pa.array([k[1] for k in keys], pa.int64()),
                     *(pa.array(p[:, i], pa.int64()) for i in range(4)),
+                    pa.array(wide, pa.binary()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "th", "n", "c1", "c2", "p0", "p1", "p2", "p3", "grams"],
+                ["doc_id", "th", "n", "c1", "c2", "p0", "p1", "p2", "p3", "wide", "grams"],
             )
 
     kind = rows.schema["_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, th long, n long, c1 long, c2 long, p0 long, p1 long, p2 long, p3 long, grams array<long>"
+    schema = f"doc_id {kind}, th long, n long, c1 long, c2 long, p0 long, p1 long, p2 long, p3 long, wide binary, grams array<long>"
     return rows.mapInArrow(sign, schema)
 
 
@@ -204,9 +231,52 @@ def _may_link(na: Column, pa_: Column, nb: Column, pb: Column, threshold: tuple[
     return length & (F.least(na - pa_, nb - pb) >= _needed(na, nb, threshold))
 
 
-def _suffix(a: str, b: str, na: Column, nb: Column, threshold: tuple[int, int]) -> Column:
+def _suffix(a: str, b: str, na: Column, nb: Column, threshold: tuple[int, int], before: Column | None = None) -> Column:
+    """The parities differ in no more places than the sets may, less the n-grams ``before`` that differ already."""
     differ = sum((F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(4)), F.lit(0))
-    return differ <= na + nb - 2 * _needed(na, nb, threshold)
+    return differ <= na + nb - 2 * _needed(na, nb, threshold) - (F.lit(0) if before is None else before)
+
+
+def _wide_suffix(na: Column, nb: Column, threshold: tuple[int, int], before: Column) -> Column:
+    """The same in the bits of the smaller set's parity, where that has more than 256."""
+    size = F.least(F.size("xwide"), F.size("ywide"))
+
+    def fold(name: str) -> Column:
+        half = F.zip_with(F.slice(name, F.lit(1), size), F.slice(name, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(name) > size, half).otherwise(F.col(name))
+
+    places = F.zip_with(fold("xwide"), fold("ywide"), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differ = F.aggregate(places, F.lit(0), lambda total, one: total + one)
+    return (size <= 4) | (F.abs(F.size("xwide") - F.size("ywide")) > size) | (
+        differ <= na + nb - 2 * _needed(na, nb, threshold) - before
+    )
+
+
+def _with_suffixes(live: DataFrame, sig: DataFrame) -> DataFrame:
+    """``gram, rid, n, pos, lab, prev, p0 .. p3, wide``: postings with the parity of what stands behind their place,
+    and the few of their document's postings before them."""
+
+    def expand(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for at in range(0, batch.num_rows, 64):
+                out: list[tuple] = []
+                for row in batch.slice(at, 64).to_pylist():
+                    odd = np.unpackbits(np.frombuffer(row["wide"], np.uint8))
+                    bits, grams = len(odd), np.array(row["grams"], np.int64).view(np.uint64)
+                    places = sorted({p["pos"] for p in row["at"]})
+                    names, done = grams[places].view(np.int64).tolist(), 0
+                    for i, pos in enumerate(places):
+                        odd = odd ^ parity(grams[done : pos + 1], bits)
+                        done = pos + 1
+                        near, wide = _longs(_folded(odd, 256)).tolist(), _longs(odd).tolist()
+                        out.append((names[i], row["rid"], row["n"], pos, row["lab"], names[max(0, i - LOOK_BACK) : i], *near, wide))
+                kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] + [pa.int64()] * 4 + [pa.list_(pa.int64())]
+                names = ["gram", "rid", "n", "pos", "lab", "prev", "p0", "p1", "p2", "p3", "wide"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    schema = "gram long, rid long, n long, pos long, lab long, prev array<long>, p0 long, p1 long, p2 long, p3 long, wide array<long>"
+    by_row = live.groupBy("rid").agg(F.collect_list(F.struct("pos")).alias("at"), F.first("lab").alias("lab"))
+    return by_row.join(sig.select("rid", "n", "wide", "grams"), "rid").mapInArrow(expand, schema)
 
 
 def _parities(sig: DataFrame, prefix: str, key: str) -> DataFrame:
@@ -362,20 +432,19 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
             # Every pair across components that shares a prefix n-gram, met at
             # the first of them: later ones are passed over where one of the
             # few n-grams before is shared too.
-            back = Window.partitionBy("rid").orderBy("pos").rowsBetween(-LOOK_BACK, -1)
-            live = live.join(_parities(sig, "", "rid"), "rid").withColumn("prev", F.collect_list("gram").over(back))
-            named = lambda p: live.select(
-                "gram", *[F.col(c).alias(f"{p}{c}") for c in ("rid", "n", "pos", "lab", "prev", "p0", "p1", "p2", "p3")]
-            )
+            live = _with_suffixes(live, sig)
+            named = lambda p: live.select(*[F.col(c).alias(f"{p}{c}") for c in live.columns])
             x, y = named("x"), named("y")
+            sizes, before = (F.col("xn"), F.col("yn")), F.col("xpos") + F.col("ypos")
             met = x.join(
                 y,
-                (x["gram"] == y["gram"])
+                (F.col("xgram") == F.col("ygram"))
                 & (F.col("xrid") < F.col("yrid"))
                 & (F.col("xlab") != F.col("ylab"))
                 & _may_link(F.col("xn"), F.col("xpos"), F.col("yn"), F.col("ypos"), threshold)
-                & _suffix("x", "y", F.col("xn"), F.col("yn"), threshold)
-                & ~F.arrays_overlap("xprev", "yprev"),
+                & _suffix("x", "y", *sizes, threshold, before)
+                & ~F.arrays_overlap("xprev", "yprev")
+                & _wide_suffix(*sizes, threshold, before),
             )
             pairs = _ordered(met, "xrid", "xn", "yrid", "yn")
         else:
@@ -468,17 +537,17 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged: of each component
     the one with the smallest identifier (nulls last; ties by text hash, then
-    by the remaining columns). Texts without a word all stay."""
+    by the remaining columns, maps by their JSON). Texts without a word all stay."""
     rows = _joined_rows(docs, words, threshold, id_col, text_col)
     first = rows.where("comp is not null").groupBy("comp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("f")
     )
-    keep = first.select(F.col("f.doc_id").alias("_kid"), F.col("f.th").alias("_kth"))
+    kid, kth = fresh_name(docs, "_nd_kept_id"), fresh_name(docs, "_nd_kept_th")
+    keep = first.select(F.col("f.doc_id").alias(kid), F.col("f.th").alias(kth))
     empty = ~F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     id_k, th_k, nth = (fresh_name(docs, f"_nd_{x}") for x in ("id", "th", "nth"))
     out = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.where(~empty).withColumns({id_k: F.col(f"`{id_col}`"), th_k: F.xxhash64(F.col(f"`{text_col}`"))})
-    kept = marked.join(keep, F.col(id_k).eqNullSafe(F.col("_kid")) & (F.col(th_k) == F.col("_kth")), "left_semi")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
-    order = Window.partitionBy(th_k, id_k).orderBy(*(rest or [F.lit(1)]))
+    kept = marked.join(keep, F.col(id_k).eqNullSafe(F.col(kid)) & (F.col(th_k) == F.col(kth)), "left_semi")
+    order = Window.partitionBy(th_k, id_k).orderBy(*tie_order(docs, (id_col, text_col)))
     return kept.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*out).union(docs.where(empty).select(*out))

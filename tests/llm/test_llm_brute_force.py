@@ -240,3 +240,51 @@ def test_deal_is_the_heap_in_one_step():
         fast = list(loads)
         got = sharding.deal(fast, n, size)
         assert sum(got) == n and sorted(fast) == sorted(slow)
+
+
+def near_misses(n, words=1500, edits=24, seed=2):
+    """Texts that share most 5-word n-grams, each with its own edits; none links with another."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(n):
+        own = list(base)
+        for i in rng.sample(range(words), edits):
+            own[i] = f"e{k}_{i}"
+        out.append((k, " ".join(own)))
+    return out
+
+
+def test_near_misses_are_not_paired_out(spark, monkeypatch):
+    staged, pairs = ngram_join.staged, []
+
+    def counting(df, name):
+        table = staged(df, name)
+        if name == "ngram-pairs":
+            pairs[-1] += table.count()
+        return table
+
+    monkeypatch.setattr(ngram_join, "staged", counting)
+    sizes = (40, 80, 160)
+    for n in sizes:
+        pairs.append(0)
+        df = spark.createDataFrame(near_misses(n), "doc_id long, text string")
+        rows = ngram_join.ngram_join(df, 5, (85, 100)).collect()
+        assert all(r.component_id == r.doc_id for r in rows)
+    # all pairs are 780, 3,160 and 12,720
+    assert all(p <= 4 * n for p, n in zip(pairs, sizes, strict=True)), pairs
+
+
+def test_suffix_parities_lose_no_link(spark):
+    """Sets of all sizes, near and far, so that parities of different widths meet."""
+    rng = random.Random(4)
+    rows = []
+    for words, edits in ((300, 3), (520, 8), (700, 14), (1100, 20), (1500, 30)):
+        base = [f"{words}_{i}" for i in range(words)]
+        for _ in range(6):
+            own = list(base)
+            for i in rng.sample(range(words), rng.randint(0, edits)):
+                own[i] = f"e{rng.random()}"
+            rows.append((len(rows), " ".join(own[: words - rng.randint(0, words // 12)])))
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), 5, (80, 100)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_brute_force(dict(rows), 5, 80, 100)
