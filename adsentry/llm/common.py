@@ -83,6 +83,13 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def tie_order(df: DataFrame, without: tuple[str, ...]) -> list[Column]:
+    """An order over all columns but some, for rows that tie in those; maps, which have none, by their JSON."""
+    has_map = {f.name: "map<" in f.dataType.simpleString() for f in df.schema.fields}
+    columns = [(c, F.col(f"`{c}`")) for c in df.columns if c not in without]
+    return [F.to_json(F.struct(c.alias("c"))) if has_map[name] else c for name, c in columns] or [F.lit(1)]
+
+
 def word_count(text: Column) -> Column:
     """Number of words as BIGINT; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long"), F.lit(0).cast("long"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adsentry.llm.common import columns_of, fresh_name, staged
+from adsentry.llm.common import columns_of, fresh_name, staged, tie_order
 
 RUNS = 64  # runs before the first round: scan partitions are dealt onto them
 FAN_IN = 8  # runs merged together in one round
@@ -96,22 +96,21 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay, with all their columns.
 
     Of rows that repeat both identifier and text, the first in the order of
-    the remaining columns (nulls first) stays.
+    the remaining columns (nulls first; maps by their JSON) stays.
     """
     keyed = _keyed(docs, id_col, text_col)
     winners = digest_groups(staged(keyed, "dedup-keys"), keep).select("_best", *_ENTRY)
     id_k, sha_k, len_k, check_k, nth = (fresh_name(docs, f"_dd_{x}") for x in ("id", "sha", "len", "check", "nth"))
+    best_w, *entry_w = (fresh_name(docs, f"_win{x}") for x in ("_best", *_ENTRY))
+    winners = winners.select(F.col("_best").alias(best_w), *[F.col(x).alias(w) for x, w in zip(_ENTRY, entry_w, strict=True)])
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     marked = docs.withColumns(
         {id_k: F.col(f"`{id_col}`"), sha_k: F.unhex(F.sha2(text, 256)), len_k: F.octet_length(text), check_k: F.xxhash64(text)}
     )
-    on = (
-        F.col(sha_k) == F.col("_sha"),
-        F.col(len_k) == F.col("_len"),
-        F.col(check_k) == F.col("_check"),
-        F.col(id_k).eqNullSafe(F.col("_best")),
-    )
-    kept = marked.join(winners, on[0] & on[1] & on[2] & on[3], "left_semi")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
-    order = Window.partitionBy(sha_k, id_k).orderBy(*(rest or [F.lit(1)]))
+    mine = {"_sha": sha_k, "_len": len_k, "_check": check_k}
+    on = F.col(id_k).eqNullSafe(F.col(best_w))
+    for x, w in zip(_ENTRY, entry_w, strict=True):
+        on = on & (F.col(mine[x]) == F.col(w))
+    kept = marked.join(winners, on, "left_semi")
+    order = Window.partitionBy(sha_k, id_k).orderBy(*tie_order(docs, (id_col, text_col)))
     return kept.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

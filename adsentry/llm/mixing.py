@@ -265,10 +265,10 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     row = fresh_name(docs, "_mix_row")
     numbered_docs = staged(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
     mixed, _ = _mixed(numbered_docs, weights, share, cap, seed, "doc_id", "text", "source", None, BINS, BEHIND, keep_row=row)
-    copies = mixed.where("_copies > 0 and _size > 0").select(F.col("_row").alias("_mr"), "_copies")
-    n = fresh_name(docs, "_mix_n")
+    n, at, times = (fresh_name(docs, f"_mix_{x}") for x in ("n", "at", "copies"))
+    copies = mixed.where("_copies > 0 and _size > 0").select(F.col("_row").alias(at), F.col("_copies").alias(times))
     return (
-        numbered_docs.join(copies, F.col(row) == F.col("_mr"))
-        .withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        numbered_docs.join(copies, F.col(row) == F.col(at))
+        .withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

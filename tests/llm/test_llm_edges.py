@@ -207,3 +207,22 @@ def test_stages_take_odd_and_empty_documents(spark, docs, labels, tmp_path, stag
         if name == "near_dedup" and rows:
             # the copies and the near copy leave one; texts without words all stay
             assert sorted(str(r["doc_id"]) for r in rows) == ["1", "3", "4", "5", "6", "8", "None"]
+
+
+HELPERS = (
+    "_sha", "_len", "_check", "_best", "_rows", "_id", "_kid", "_kth", "_mr", "_copies", "_row", "_size", "_source", "_dd_id", "_win_best",
+    "_nd_id", "_nd_kept_id", "_mix_row", "_mix_n", "_mix_at", "_mix_copies", "_quality", "rid", "comp", "th", "gram", "a", "b", "node", "label",
+)
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_take_columns_named_like_their_helpers_and_maps(spark, docs, labels, stage, tmp_path):
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    given = plain.withColumns({c: F.lit("x") for c in HELPERS}).withColumn("extra", F.create_map(F.lit("k"), F.col("lang")))
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = dict(corpus_pipeline.STAGES)[stage](spark, given, str(tmp_path))
+    assert got.columns == given.columns
+    # the same rows stay as without the extra columns
+    want = dict(corpus_pipeline.STAGES)[stage](spark, plain, str(tmp_path))
+    shown = lambda df: sorted(map(repr, df.select("doc_id", "text", "lang", "source").collect()))
+    assert shown(got) == shown(want)
