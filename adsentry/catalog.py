@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from adsentry.functions.hours import HOURS
 from adsentry.operators import correlation, fences, hardware, hour_profile, rules, subnet, target_ip
 from adsentry.operators import profiles as profiles_ops
+from adsentry.operators import user_bitmaps
 from adsentry.operators import sessions as sessions_ops
 from adsentry.plans import reports
 from adsentry.plans.blacklist import build_blacklist
@@ -371,6 +372,44 @@ def q_user_new_index(spark, sf_dir):
     return sessions_ops.new_user_index(_v(spark, sf_dir, "sessions"))
 
 
+@register(
+    "session_counts_new_users",
+    with_views(
+        f"""WITH {_SQL_NEW_USERS},
+counts AS (
+  SELECT media_key, uid, day, sum(len(coalesce(events, [])))::BIGINT AS requests,
+    sum(len(list_filter(coalesce(events, []), lambda e: e.imp IS NOT NULL)))::BIGINT AS impressions,
+    sum(len(list_filter(coalesce(events, []), lambda e: e.cli IS NOT NULL)))::BIGINT AS clicks
+  FROM sessions GROUP BY 1, 2, 3)
+SELECT c.*, u.idx, u.idx IS NOT NULL AS is_new FROM counts c
+LEFT JOIN new_users u ON c.media_key IS NOT DISTINCT FROM u.media_key
+  AND c.uid IS NOT DISTINCT FROM u.uid AND c.day IS NOT DISTINCT FROM u.day""",
+        "sessions",
+    ),
+)
+def q_session_counts_new_users(spark, sf_dir):
+    sessions = _v(spark, sf_dir, "sessions")
+    return sessions_ops.user_new_index(reports.user_day_counts(sessions, ["day"]), sessions_ops.new_user_index(sessions))
+
+
+@register(
+    "user_bitmap_weeks",
+    with_views(
+        """WITH seen AS (
+  SELECT DISTINCT media_key, uid, date_trunc('week', day)::DATE AS week FROM sessions WHERE uid IS NOT NULL AND day IS NOT NULL),
+f AS (SELECT *, min(week) OVER (PARTITION BY media_key, uid) AS first FROM seen)
+SELECT week, media_key, count(DISTINCT uid) AS users, count(DISTINCT uid) FILTER (WHERE first < week) AS returning_users,
+  count(DISTINCT uid) FILTER (WHERE first = week) AS new_users
+FROM f GROUP BY week, media_key""",
+        "sessions",
+    ),
+)
+def q_user_bitmap_weeks(spark, sf_dir):
+    sessions = _v(spark, sf_dir, "sessions")
+    stored = materialize(user_bitmaps.day_bitmaps(sessions, user_bitmaps.user_numbers(sessions)))
+    return user_bitmaps.weekly_users(stored)
+
+
 _SQL_RANGE = (
     "CASE WHEN pv = 1 THEN '1' WHEN pv <= 5 THEN '2-5' WHEN pv <= 20 THEN '6-20' "
     "WHEN pv <= 100 THEN '21-100' ELSE '>100' END"

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from adsentry.operators import sessions as so
 from adsentry.plans.common import materialize
-from adsentry.sources import sinks
+from adsentry.sources import sinks, versioned
 
 COUNT_METRICS = ("requests", "impressions", "clicks")
 
@@ -216,3 +216,23 @@ def write_backfill(
     if platforms is not None:
         scope["platform"] = list(platforms)
     _replace_days(long_rows, path, partition_by, start, end, scope)
+
+
+def write_backfill_versioned(
+    long_rows: DataFrame,
+    path: str,
+    start: str,
+    end: str,
+    names: Sequence[str] = tuple(REPORTS),
+    platforms: Sequence[str] | None = None,
+) -> int:
+    """:func:`write_backfill` in one step, into a versioned table (read it by ``versioned.read_table``).
+
+    Until the last rename readers see all the old days, after it all the new
+    ones; a run that fails in between changes nothing.
+    """
+    partition_by = [c for c in ("platform", "report", "day") if c in long_rows.columns]
+    scope = {"report": [o for n in names for o in REPORTS[n].outputs]}
+    if platforms is not None:
+        scope["platform"] = list(platforms)
+    return versioned.replace_days(long_rows, path, partition_by, start, end, scope)
