@@ -529,7 +529,7 @@ hits AS (
   SELECT uid, 'blacklisted_ip', list_sort(list_distinct(list(ip)))
   FROM (SELECT uid, unnest(list_distinct(locations)) AS ip FROM profiles)
   WHERE ip IN (SELECT ip FROM blacklist) GROUP BY uid),
-trials AS (SELECT uid, DATE '{TRIAL_DAY}' AS day, rule, array_to_string(v[1:{rules.MAX_EVIDENCE}], ',') AS evidence FROM hits)"""
+trials AS (SELECT uid, DATE '{TRIAL_DAY}' AS day, rule, len(v)::BIGINT AS n FROM hits)"""
 
 
 def _trials(spark, sf_dir, run=rules.cheater_trials):

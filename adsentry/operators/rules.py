@@ -9,11 +9,10 @@ The rules are
 * *count rules*: more than so many distinct values of one kind. All named ones
   run in one pass: distinct facts, then one count per user and kind;
 * *frame rules*: a function of the facts (and context such as a blacklist)
-  returning ``(uid, rule, evidence)`` rows; its joins are sized by Spark.
+  giving the distinct ``(uid, value)`` that break it; its joins are sized by Spark.
 
-``evidence`` joins the values that broke the rule, the first ``MAX_EVIDENCE``
-in order, so that no user's values are gathered without bound. The whole
-evidence is ``cheater_evidence``: one flat row per value, however many.
+A trial carries how many values broke the rule. The values themselves are
+``cheater_evidence``: one flat row per value, however many a user has.
 """
 
 from __future__ import annotations
@@ -24,14 +23,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-OUT_COLS = ("uid", "day", "rule", "evidence")
+OUT_COLS = ("uid", "day", "rule", "n")
 
 # More distinct values than this of one user are suspect.
 MAX_CARRIERS = 3
 MAX_HARDWARE = 3
-MAX_EVIDENCE = 10
 
 
 @dataclass(frozen=True)
@@ -42,7 +39,6 @@ class CountRule:
 
 @dataclass(frozen=True)
 class FrameRule:
-    run: Callable[..., DataFrame]
     values: Callable[..., DataFrame]  # distinct ``(uid, value)``: the whole evidence
 
 
@@ -64,19 +60,9 @@ def facts_from_profiles(profiles: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts).where(F.col("value").isNotNull())
 
 
-def _evidence(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``keys, n, evidence`` of distinct rows ``keys, value``."""
-    first = Window.partitionBy(*keys).orderBy("value")
-    return (
-        hits.withColumn("nth", F.row_number().over(first))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array_join(
-                F.array_sort(F.collect_list(F.when(F.col("nth") <= MAX_EVIDENCE, F.col("value")))), ","
-            ).alias("evidence"),
-        )
-    )
+def _counted(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, n`` of distinct rows ``keys, value``: combined before the shuffle, however many values a user has."""
+    return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _blacklisted_values(facts: DataFrame, blacklist: DataFrame | None = None, **_) -> DataFrame:
@@ -87,16 +73,10 @@ def _blacklisted_values(facts: DataFrame, blacklist: DataFrame | None = None, **
     return facts.where(F.col("kind") == "location").select("uid", "value").distinct().join(ips, "value", "left_semi")
 
 
-def _blacklisted_ip(facts: DataFrame, **context) -> DataFrame:
-    """Users with a location on the blacklist."""
-    seen = _blacklisted_values(facts, **context)
-    return _evidence(seen, ["uid"]).select("uid", F.lit("blacklisted_ip").alias("rule"), "evidence")
-
-
 RULES: dict[str, CountRule | FrameRule] = {
     "many_carriers": CountRule("carrier", MAX_CARRIERS),
     "many_hardware": CountRule("hardware", MAX_HARDWARE),
-    "blacklisted_ip": FrameRule(_blacklisted_ip, _blacklisted_values),
+    "blacklisted_ip": FrameRule(_blacklisted_values),
 }
 
 
@@ -109,7 +89,8 @@ def _known(rules: Sequence[str]) -> None:
 
 
 def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
-    """A-22: ``(uid, day, rule, evidence)``: one row per user and rule it breaks.
+    """A-22: ``(uid, day, rule, n)``: one row per user and rule it breaks, with the
+    number of values that broke it; ``cheater_evidence`` has these, a row each.
 
     ``day`` is the day of the trial (yyyy-MM-dd), carried as a DATE.
     """
@@ -118,16 +99,16 @@ def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = Non
     parts: list[DataFrame] = []
     if counted:
         kinds = sorted({c.kind for c in counted.values()})
-        per = _evidence(facts.where(F.col("kind").isin(kinds)).distinct(), ["uid", "kind"])
+        per = _counted(facts.where(F.col("kind").isin(kinds)).distinct(), ["uid", "kind"])
         checks = F.array(
             *[F.when((F.col("kind") == c.kind) & (F.col("n") > c.limit), F.lit(r)) for r, c in counted.items()]
         )
         parts.append(
-            per.select("uid", F.explode(F.filter(checks, lambda r: r.isNotNull())).alias("rule"), "evidence")
+            per.select("uid", F.explode(F.filter(checks, lambda r: r.isNotNull())).alias("rule"), "n")
         )
     for r in rules:
         if isinstance(RULES[r], FrameRule):
-            parts.append(RULES[r].run(facts, **context).select("uid", "rule", "evidence"))
+            parts.append(_counted(RULES[r].values(facts, **context), ["uid"]).select("uid", F.lit(r).alias("rule"), "n"))
     trials = reduce(lambda a, b: a.unionByName(b), parts)
     return trials.withColumn("day", F.to_date(F.lit(day))).select(*OUT_COLS)
 

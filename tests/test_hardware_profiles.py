@@ -108,9 +108,9 @@ def test_rules_and_summary(spark):
     trials = rules.cheater_trials(facts, ["many_carriers", "blacklisted_ip"], day="2024-01-02", blacklist=black)
     day = datetime.date(2024, 1, 2)
     expected = [
-        ("u1", day, "blacklisted_ip", "6.6.6.6"),
-        ("u1", day, "many_carriers", "op0,op1,op2,op3"),
-        ("u2", day, "blacklisted_ip", "6.6.6.6"),
+        ("u1", day, "blacklisted_ip", 1),
+        ("u1", day, "many_carriers", 4),
+        ("u2", day, "blacklisted_ip", 1),
     ]
     assert rows(trials) == expected
     assert rows(rules.cheater_summary([trials, trials])) == expected
@@ -131,6 +131,11 @@ def test_whole_evidence_of_a_user_with_many_values(spark):
     expected = [("u1", day, "blacklisted_ip", ip) for ip in ips] + [("u1", day, "many_carriers", c) for c in carriers]
     expected += [(None, day, "blacklisted_ip", ip) for ip in ips[:2]] + [(None, day, "many_carriers", c) for c in carriers[:4]]
     assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, expected))
+    trials = rules.cheater_trials(facts, ["many_carriers", "blacklisted_ip"], day="2024-01-02", blacklist=black)
+    counts = {(r.uid, r.rule): r.n for r in trials.collect()}
+    assert counts == {
+        ("u1", "blacklisted_ip"): 25, ("u1", "many_carriers"): 14, (None, "blacklisted_ip"): 2, (None, "many_carriers"): 4,
+    }
 
 
 def test_flat_profile_forms_match_stored_ones(spark):
