@@ -2,11 +2,15 @@
 
 Reports are registry entries chosen by name, of two kinds:
 
-* *model reports* read the events of the sessions (PV ranges, A-18/A-19): one
-  histogram each, with the event kind as a column;
-* *count reports* read request, impression and click sums per user and day,
+* *model reports* count the page views of a key (an address or a user) and
+  give a histogram of PV ranges (A-18/A-19), one output per event kind;
+* *count reports* add up requests, impressions and clicks per user and day,
   with new and known users told apart (A-16).
 
+A report states its *facts*: what one session adds to it. The facts of all
+named reports come out of one scan by one Expand-like explode, tagged by
+report, and go through the same two aggregations (per key, then per bucket).
+
 Every report takes ``by`` grouping keys (``day``, or ``platform`` and
 ``day``), so a back-fill over a range of days is **one** job instead of a loop
 of daily jobs. Its output replaces exactly the days of the range.
@@ -31,23 +35,65 @@ COUNT_METRICS = ("requests", "impressions", "clicks")
 
 @dataclass(frozen=True)
 class Report:
-    kind: str  # "model" or "count"
+    kind: str  # "model" (one PV count a key) or "count" (sums per user and day)
     outputs: tuple[str, ...]  # names in the written table
-    run: Callable[..., DataFrame]  # rows (report, *by, bucket, metric, value)
+    facts: Callable[[], Column]  # one session's facts as an array (see ``_fact``; NULL entries say nothing)
+
+
+def _fact(report: str, key: Column, a: Column, media: Column | None = None, day: Column | None = None,
+          b: Column | None = None, c: Column | None = None) -> Column:
+    """A session's share in ``report``: the key it counts for and up to three numbers to add up."""
+    return F.struct(
+        F.lit(report).alias("report"),
+        (F.lit(None).cast("string") if media is None else media).alias("_media"),
+        key.alias("_key"),
+        (F.lit(None).cast("date") if day is None else day).alias("_day"),
+        *[(F.lit(0) if x is None else x).cast("long").alias(n) for n, x in (("_a", a), ("_b", b), ("_c", c))],
+    )
 
 
-def _long(df: DataFrame, report: Column, by: Sequence[str], bucket: Column, metrics: Sequence[str]) -> DataFrame:
-    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("long").alias("value")) for m in metrics])
-    return df.select(report.alias("report"), *by, bucket.alias("bucket"), F.explode(values).alias("m")).select(
-        "report", *by, "bucket", "m.metric", "m.value"
-    )
+def _events() -> Column:
+    return F.coalesce(F.col("events"), F.array())
+
+
+def _with_member(field: str) -> Column:
+    return F.size(F.filter(_events(), lambda e: e[field].isNotNull()))
+
+
+_MEMBERS = tuple(zip(so.KINDS, ("req", "imp", "cli")))
+
+
+def _address_pv_report(name: str) -> Report:
+    """Addresses by PV range: a fact for every member of every event."""
+
+    def facts() -> Column:
+        one = F.lit(1)
+        members = lambda e: F.array(
+            *[F.when(e[f].isNotNull(), _fact(f"{name}_{k}", e[f]["ip"], one)) for k, f in _MEMBERS]
+        )
+        return F.flatten(F.transform(_events(), members))
+
+    return Report("model", tuple(f"{name}_{k}" for k in so.KINDS), facts)
+
+
+def _user_pv_report(name: str) -> Report:
+    """Users by PV range: a session's members are counted in its row."""
+
+    def facts() -> Column:
+        sizes = [(k, _with_member(f)) for k, f in _MEMBERS]
+        return F.array(*[F.when(n > 0, _fact(f"{name}_{k}", F.col("uid"), n)) for k, n in sizes])
+
+    return Report("model", tuple(f"{name}_{k}" for k in so.KINDS), facts)
 
 
-def _pv_report(name: str, fn) -> Report:
-    def run(sessions: DataFrame, by: Sequence[str], **_) -> DataFrame:
-        return _long(fn(sessions, by), F.concat(F.lit(f"{name}_"), "kind"), by, F.col("pv_range"), ("n",))
+def _new_user_report(name: str) -> Report:
+    """Per (by, media, new/known): users and request / impression / click sums."""
 
-    return Report("model", tuple(f"{name}_{k}" for k in so.KINDS), run)
+    def facts() -> Column:
+        requests, shown, clicked = F.size(_events()), _with_member("imp"), _with_member("cli")
+        return F.array(_fact(name, F.col("uid"), requests, F.col("media_key"), F.col("day"), shown, clicked))
+
+    return Report("count", (name,), facts)
 
 
 def user_day_counts(sessions: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -63,39 +109,27 @@ def user_day_counts(sessions: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _new_user_report(name: str) -> Report:
-    """Per (by, media, new/known): users and request / impression / click sums."""
-
-    def run(sessions: DataFrame, by: Sequence[str], new_users: DataFrame | None = None, **_) -> DataFrame:
-        counts = user_day_counts(sessions, by)
-        if new_users is None:  # the sessions are all the history there is
-            first = F.min("day").over(Window.partitionBy("media_key", "uid"))  # a row a day and platform
-            counts = counts.withColumn("_new", F.col("day").eqNullSafe(first))
-        else:
-            # the day is a join key too, so a user seen every day stays spread
-            key = ("media_key", "uid", "day")
-            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
-            idx = new_users.select(*[F.col(c).alias(f"_{c}") for c in key], F.lit(True).alias("_hit"))
-            counts = counts.join(idx, same, "left").withColumn("_new", F.coalesce("_hit", F.lit(False)))
-        kind = F.when(F.col("_new"), F.lit("new")).otherwise(F.lit("known"))
-        # with the day among the keys a user has one row there
-        users = F.count("uid") if "day" in by else F.count_distinct("uid")
-        out = counts.groupBy(*by, "media_key", kind.alias("user_kind")).agg(
-            users.alias("users"), *[F.sum(m).alias(m) for m in COUNT_METRICS]
-        )
-        return _long(out, F.lit(name), by, F.concat_ws("|", "media_key", "user_kind"), ("users", *COUNT_METRICS))
-
-    return Report("count", (name,), run)
-
-
 # Report names of the original daily job.
 REPORTS: dict[str, Report] = {
-    "AD_IP_PVRANGE": _pv_report("AD_IP_PVRANGE", so.ip_pv_range),
-    "AD_USER_PVRANGE": _pv_report("AD_USER_PVRANGE", so.user_pv_range),
+    "AD_IP_PVRANGE": _address_pv_report("AD_IP_PVRANGE"),
+    "AD_USER_PVRANGE": _user_pv_report("AD_USER_PVRANGE"),
     "AD_NEW_USER_PV": _new_user_report("AD_NEW_USER_PV"),
 }
 
 
+def _new_flag(keyed: DataFrame, counted: Column, new_users: DataFrame | None) -> DataFrame:
+    """``_new``: is the user's row on its first day? (FALSE or TRUE without meaning on other facts)"""
+    if new_users is None:  # the sessions are all the history there is: a row a day and platform in a window
+        first = F.min("_day").over(Window.partitionBy("report", "_media", "_key"))
+        return keyed.withColumn("_new", F.col("_day").eqNullSafe(first))
+    # the day is a join key too, so a user seen every day stays spread
+    idx = new_users.select(
+        F.col("media_key").alias("_nm"), F.col("uid").alias("_nk"), F.col("day").alias("_nd"), F.lit(True).alias("_hit")
+    )
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in (("_media", "_nm"), ("_key", "_nk"), ("_day", "_nd"))]
+    return keyed.join(idx, reduce(and_, same) & counted, "left").withColumn("_new", F.coalesce("_hit", F.lit(False)))
+
+
 def report_rows(
     sessions: DataFrame,
     names: Sequence[str] = tuple(REPORTS),
@@ -106,16 +140,36 @@ def report_rows(
 
     ``new_users`` has ``media_key, uid, day``: the first day of every user seen
     up to the last day reported (an index of A-16 will do). Without it the
-    sessions are taken as the whole history. Nothing is persisted: each report
-    reduces the sessions in its own pass, with its own columns.
+    sessions are taken as the whole history. All reports share one scan of the
+    sessions and nothing is persisted: facts are summed per key map-side
+    first, so a hot address or user is one row a task.
     """
     if not names:
         raise ValueError("name at least one report")
     unknown = [n for n in names if n not in REPORTS]
     if unknown:
         raise KeyError(f"unknown reports: {unknown}")
-    frames = [REPORTS[n].run(sessions, list(by), new_users=new_users) for n in names]
-    return reduce(DataFrame.unionByName, frames)
+    by, chosen = list(by), [REPORTS[n] for n in dict.fromkeys(names)]
+    count_outputs = [o for r in chosen if r.kind == "count" for o in r.outputs]
+    counted = F.col("report").isin(count_outputs) if count_outputs else F.lit(False)
+
+    said = F.filter(F.concat(*[r.facts() for r in chosen]), lambda f: f.isNotNull())
+    facts = sessions.select(*by, F.explode(said).alias("_f")).select(*by, "_f.*")
+    keyed = facts.groupBy(*by, "report", "_media", "_key", "_day").agg(*[F.sum(c).alias(c) for c in ("_a", "_b", "_c")])
+    if count_outputs:
+        keyed = _new_flag(keyed, counted, new_users)
+        user_kind = F.when(F.col("_new"), F.lit("new")).otherwise(F.lit("known"))
+        bucket = F.when(counted, F.concat_ws("|", "_media", user_kind)).otherwise(so.pv_range(F.col("_a")))
+        # with the day among the keys a user has one row there
+        users = F.count("_key") if "day" in by else F.count_distinct(F.when(counted, F.col("_key")))
+    else:
+        bucket, users = so.pv_range(F.col("_a")), F.lit(0)
+    out = keyed.groupBy(*by, "report", bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), users.alias("users"), *[F.sum(c).alias(m) for c, m in zip(("_a", "_b", "_c"), COUNT_METRICS)]
+    )
+    metric = lambda m: F.struct(F.lit(m).alias("metric"), F.col(m).cast("long").alias("value"))
+    values = F.when(counted, F.array(*[metric(m) for m in ("users", *COUNT_METRICS)])).otherwise(F.array(metric("n")))
+    return out.select("report", *by, "bucket", F.explode(values).alias("_m")).select("report", *by, "bucket", "_m.metric", "_m.value")
 
 
 def report_suite(

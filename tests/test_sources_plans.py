@@ -121,7 +121,34 @@ def test_stored_first_seen_gives_the_same_reports(spark, scratch):
 def test_report_rows_shuffle_count(spark):
     plan = reports.report_rows(spark.createDataFrame([], fx.sessions(spark, SF_SMALL).schema))
     text = spark._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
-    assert text.count("Exchange hashpartitioning") <= 8
+    assert text.count("Exchange hashpartitioning") <= 4
+
+
+def test_all_reports_share_one_scan(spark, scratch):
+    stored = os.path.join(scratch, "sessions")
+    s = fx.sessions(spark, SF_SMALL)
+    s.write.parquet(stored)
+    plan = reports.report_rows(spark.read.schema(s.schema).parquet(stored))
+    text = spark._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") <= 3
+
+
+def test_reports_of_sessions_without_events_users_or_days(spark):
+    at = "struct<ts:timestamp_ntz,ip:string>"
+    schema = f"platform string, media_key string, uid string, day date, events array<struct<req:{at},imp:{at},cli:{at}>>"
+    made = spark.sql("SELECT timestamp_ntz'2024-01-01 01:00:00' AS ts, '1.1.1.1' AS ip").collect()[0]
+    hit = ((made.ts, made.ip), (made.ts, None), None)
+    day = made.ts.date()
+    s = spark.createDataFrame([("p", "m", "u", day, None), ("p", "m", None, day, [hit, hit]), ("p", None, "u", None, [hit])], schema)
+    got = {(r.report, r.day, r.bucket, r.metric): r.value for r in reports.report_rows(s).collect()}
+    assert got == {
+        ("AD_IP_PVRANGE_REQ", day, "2-5", "n"): 1, ("AD_IP_PVRANGE_IMP", day, "2-5", "n"): 1,
+        ("AD_USER_PVRANGE_REQ", day, "2-5", "n"): 1, ("AD_USER_PVRANGE_IMP", day, "2-5", "n"): 1,
+        ("AD_IP_PVRANGE_REQ", None, "1", "n"): 1, ("AD_IP_PVRANGE_IMP", None, "1", "n"): 1,
+        ("AD_USER_PVRANGE_REQ", None, "1", "n"): 1, ("AD_USER_PVRANGE_IMP", None, "1", "n"): 1,
+        **{("AD_NEW_USER_PV", day, "m|new", m): v for m, v in (("users", 1), ("requests", 2), ("impressions", 2), ("clicks", 0))},
+        **{("AD_NEW_USER_PV", None, "new", m): v for m, v in (("users", 1), ("requests", 1), ("impressions", 1), ("clicks", 0))},
+    }
 
 
 def test_partition_overwrite(spark, scratch):
