@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsentry.functions.hours import HOURS
-from adsentry.operators import correlation, fences, hardware, hour_profile, rules, subnet, target_ip
+from adsentry.operators import correlation, fences, gap_sessions, hardware, hour_profile, rules, subnet, target_ip
 from adsentry.operators import profiles as profiles_ops
 from adsentry.operators import user_bitmaps
 from adsentry.operators import sessions as sessions_ops
-from adsentry.plans import reports
-from adsentry.plans.blacklist import build_blacklist
+from adsentry.plans import hour_store, reports
+from adsentry.plans.blacklist import blacklist_of_counts, build_blacklist
 from adsentry.plans.common import materialize
 from adsentry.sources import fixtures as fx
 from adsentry.sources.fixtures import with_views
@@ -243,6 +243,55 @@ def q_ip_blacklist(spark, sf_dir):
     return build_blacklist(_v(spark, sf_dir, "visits")).blacklist
 
 
+_SQL_WEEK_COUNTS = ", ".join(f"count(*) FILTER (WHERE hour(ts) = {h}) AS {{p}}{h:02d}" for h in HOURS)
+_SQL_WEEK_MSE = (
+    "("
+    + " + ".join(f"(c{h:02d} / size - p{h:02d} / total) * (c{h:02d} / size - p{h:02d} / total)" for h in HOURS)
+    + f") / {float(len(HOURS))}"
+)
+
+
+@register(
+    "ip_hour_deviation_weeks",
+    with_views(
+        f"""WITH v AS (SELECT date_trunc('week', ts)::DATE AS week, ip, ts FROM visits WHERE ts IS NOT NULL),
+per_ip AS (SELECT week, ip, count(*) AS size, {_SQL_WEEK_COUNTS.format(p='c')} FROM v GROUP BY week, ip),
+pop AS (SELECT week, count(*) AS total, {_SQL_WEEK_COUNTS.format(p='p')} FROM v GROUP BY week)
+SELECT week, ip, size, true AS flag, {_SQL_WEEK_MSE} AS coef FROM per_ip JOIN pop USING (week)""",
+        "visits",
+    ),
+)
+def q_ip_hour_deviation_weeks(spark, sf_dir):
+    return hour_store.weekly_deviation(materialize(hour_store.day_counts(_v(spark, sf_dir, "visits"))))
+
+
+BLACKLIST_START, BLACKLIST_END = "2024-01-03", "2024-01-29"
+
+
+@register(
+    "ip_blacklist_days",
+    with_views(
+        f"""{_SQL_CANDIDATES.replace('FROM visits', f"FROM visits WHERE ts >= TIMESTAMP '{BLACKLIST_START}' AND ts < TIMESTAMP '{BLACKLIST_END}'")},
+sq AS (SELECT {_sql_xquantile('candidates', 'coef', fences.SCORE_LOW_P)} AS ql,
+              {_sql_xquantile('candidates', 'coef', fences.SCORE_HIGH_P)} AS qh)
+SELECT s.ip, s.size, s.coef, c.size IS NOT NULL AS candidate,
+  coalesce(c.coef > qh + {fences.SCORE_K} * (qh - ql), false) AS listed
+FROM scores s LEFT JOIN candidates c ON c.ip IS NOT DISTINCT FROM s.ip CROSS JOIN sq""",
+        "visits",
+    ),
+)
+def q_ip_blacklist_days(spark, sf_dir):
+    stored = materialize(hour_store.day_counts(_v(spark, sf_dir, "visits")))
+    days = stored.where((F.col("day") >= F.lit(BLACKLIST_START).cast("date")) & (F.col("day") < F.lit(BLACKLIST_END).cast("date")))
+    out = blacklist_of_counts(hour_store.merged_counts(days))
+    rows = out.scores.select("ip", "size", "coef")
+    for name, hits in (("candidate", out.candidates), ("listed", out.blacklist)):
+        hit = hits.select(F.col("ip").alias("_ip"), F.lit(True).alias("_hit"))
+        rows = rows.join(hit, F.col("ip").eqNullSafe(F.col("_ip")), "left").withColumn(name, F.coalesce("_hit", F.lit(False)))
+        rows = rows.drop("_ip", "_hit")
+    return rows
+
+
 # --------------------------------------------------------------------------
 # A-13: correlation of two hour profiles (clicks against views)
 
@@ -307,6 +356,34 @@ def q_pearson_score_by_exchange(spark, sf_dir):
     return out.select("exchange_id", "n", F.round("score", 9).alias("score"))
 
 
+@register(
+    "pearson_of_hour_maps",
+    with_views(
+        """WITH c AS (SELECT uid, hour(ts) AS h, count(*) AS x FROM visits WHERE app_id = 'click' GROUP BY 1, 2),
+v AS (SELECT uid, hour(ts) AS h, count(*) AS y FROM visits WHERE app_id = 'view' GROUP BY 1, 2),
+s AS (SELECT uid, count(*) AS n, sum(x)::DOUBLE AS sx, sum(y)::DOUBLE AS sy, sum(x * x)::DOUBLE AS sxx, sum(y * y)::DOUBLE AS syy,
+             sum(x * y)::DOUBLE AS sxy FROM c JOIN v USING (uid, h) GROUP BY uid)
+SELECT u.uid, coalesce(s.n, 0) AS n,
+  round(CASE WHEN s.n IS NULL THEN 'nan'::DOUBLE WHEN den = 0 THEN 0.0 ELSE num / den END, 9) AS score
+FROM (SELECT DISTINCT uid FROM visits) u
+LEFT JOIN (SELECT uid, n, sxy - sx * sy / n AS num, sqrt((sxx - sx * sx / n) * (syy - sy * sy / n)) AS den FROM s) s
+  ON s.uid IS NOT DISTINCT FROM u.uid""",
+        "visits",
+    ),
+)
+def q_pearson_of_hour_maps(spark, sf_dir):
+    v = _v(spark, sf_dir, "visits").select("uid", "app_id", F.hour("ts").alias("h"))
+    count = lambda app, h: F.count(F.when((F.col("app_id") == app) & (F.col("h") == h), F.lit(1)))
+    hours = F.array(*[F.lit(h) for h in HOURS])
+    # maps of the hours that have traffic
+    per_user = v.groupBy("uid").agg(
+        *[F.map_filter(F.map_from_arrays(hours, F.array(*[count(app, h) for h in HOURS])), lambda h, n: n > 0).alias(app)
+          for app in ("click", "view")]
+    )
+    score = per_user.select("uid", correlation.pearson_of_maps("click", "view").alias("s"))
+    return score.select("uid", "s.n", F.round("s.score", 9).alias("score"))
+
+
 # --------------------------------------------------------------------------
 # A-14 .. A-21: sessions and reports
 
@@ -362,6 +439,50 @@ def q_watchlist_ip_events(spark, sf_dir):
     return sessions_ops.watchlist_ip_events(_v(spark, sf_dir, "sessions"), WATCH_IPS, WATCH_MEDIA)
 
 
+@register(
+    "watchlist_table_events",
+    with_views(
+        """WITH w AS (SELECT DISTINCT ip FROM visits WHERE app_id = 'purchase' AND k % 5 = 0 AND ip IS NOT NULL),
+ev AS (SELECT e.imp.ip AS imp_ip, e.cli.ip AS cli_ip FROM (SELECT unnest(events) AS e FROM sessions)),
+hit AS (SELECT *, imp_ip IS NOT NULL AND imp_ip IN (SELECT ip FROM w) AS i, cli_ip IS NOT NULL AND cli_ip IN (SELECT ip FROM w) AS c FROM ev)
+SELECT CASE WHEN i THEN 'imp' WHEN c THEN 'cli' ELSE 'Other' END AS kind,
+  CASE WHEN i THEN imp_ip WHEN c THEN cli_ip ELSE 'Other' END AS ip, count(*) AS n
+FROM hit GROUP BY 1, 2""",
+        "visits",
+        "sessions",
+    ),
+)
+def q_watchlist_table_events(spark, sf_dir):
+    bought = (F.col("app_id") == "purchase") & (F.col("k") % 5 == 0)
+    return sessions_ops.watchlist_ip_events(_v(spark, sf_dir, "sessions"), _v(spark, sf_dir, "visits").where(bought).select("ip"))
+
+
+SESSION_GAP = 12 * 3600  # the given tables have an event a user every few hours
+
+
+@register(
+    "gap_session_counts",
+    with_views(
+        f"""WITH e AS (SELECT uid, exchange_id, ts, event_id, (app_id IN ('view', 'click', 'purchase'))::BIGINT AS impressions,
+    (app_id IN ('click', 'purchase'))::BIGINT AS clicks FROM visits WHERE ts IS NOT NULL),
+m AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER o) <= {SESSION_GAP * 1_000_000} THEN 0 ELSE 1 END AS s
+      FROM e WINDOW o AS (PARTITION BY uid, exchange_id ORDER BY ts, event_id)),
+g AS (SELECT *, sum(s) OVER (PARTITION BY uid, exchange_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS nr FROM m)
+SELECT uid, exchange_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events,
+  sum(impressions)::BIGINT AS impressions, sum(clicks)::BIGINT AS clicks
+FROM g GROUP BY uid, exchange_id, nr""",
+        "visits",
+    ),
+)
+def q_gap_session_counts(spark, sf_dir):
+    flag = lambda *apps: F.col("app_id").isin(*apps).cast("int").cast("long")
+    events = _v(spark, sf_dir, "visits").select(
+        "uid", "exchange_id", "ts", "event_id",
+        flag("view", "click", "purchase").alias("impressions"), flag("click", "purchase").alias("clicks"),
+    )
+    return gap_sessions.gap_sessions(events, ["uid", "exchange_id"], ["impressions", "clicks"], gap_seconds=SESSION_GAP)
+
+
 _SQL_NEW_USERS = """new_users AS (
 SELECT media_key, uid, day, row_number() OVER (PARTITION BY day ORDER BY media_key, uid) AS idx
 FROM (SELECT media_key, uid, min(day) AS day FROM sessions GROUP BY 1, 2))"""
@@ -551,6 +672,28 @@ def q_cheater_evidence(spark, sf_dir):
     return _trials(spark, sf_dir, rules.cheater_evidence)
 
 
+ROAMER_LIMIT = 40
+
+
+@register(
+    "cheater_trials_sql_rule",
+    with_views(
+        f"""SELECT uid, DATE '{TRIAL_DAY}' AS day, 'many_places' AS rule, count(DISTINCT location) AS n
+FROM profile_events GROUP BY uid HAVING count(DISTINCT location) > {ROAMER_LIMIT}
+UNION ALL SELECT uid, DATE '{TRIAL_DAY}', 'many_carriers', count(DISTINCT operator)
+FROM profile_events GROUP BY uid HAVING count(DISTINCT operator) > {rules.MAX_CARRIERS}""",
+        "profile_events",
+    ),
+)
+def q_cheater_trials_sql_rule(spark, sf_dir):
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION many_places(kind STRING, n BIGINT) RETURNS BOOLEAN "
+        f"RETURN kind = 'location' AND n > {ROAMER_LIMIT}"
+    )
+    facts = rules.facts_from_events(_v(spark, sf_dir, "profile_events"))
+    return rules.cheater_trials(facts, ("many_places", "many_carriers"), day=TRIAL_DAY)
+
+
 @register("cheater_summary", with_views(f"{_SQL_TRIALS}\nSELECT DISTINCT * FROM trials", "visits", "profiles"))
 def q_cheater_summary(spark, sf_dir):
     return rules.cheater_summary(_trials(spark, sf_dir))

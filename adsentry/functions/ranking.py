@@ -57,3 +57,17 @@ def dense_index(
         firsts = firsts.withColumnRenamed(group_col, "_group")
         out = out.join(firsts, out[group_col].eqNullSafe(F.col("_group"))).drop("_group").withColumn("_rank", F.col("_rank") - F.col("_first") + 1)
     return out.withColumnRenamed("_rank", name).drop("_pid", "_pos", "_off", "_first")
+
+
+ROWS_PER_BLOCK = 65_536
+
+
+def in_blocks(df: DataFrame, order_cols: Sequence[str], block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Add ``_at`` (place in ``order_cols`` order, from 1) and ``_block`` (runs of ``block`` rows in that order).
+
+    For scans that look at neighbours: a window keyed by ``_block`` never holds
+    more than ``block`` rows, however the keys are spread; what passes from one
+    block to the next follows from a row per block.
+    """
+    placed = dense_index(df, order_cols, name="_at")
+    return placed.withColumn("_block", F.expr(f"(_at - 1) div {block}"))

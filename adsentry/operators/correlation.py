@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -58,12 +58,39 @@ def pearson_score(
         sums = groups.alias("g").join(sums.alias("s"), same, "left").select(
             *[F.col(f"g.{c}").alias(c) for c in by], F.coalesce("n", F.lit(0)).alias("n"), "sx", "sy", "sxx", "syy", "sxy"
         )
-    n, sx, sy = F.col("n").cast("double"), F.col("sx"), F.col("sy")
-    num = F.col("sxy") - F.try_divide(sx * sy, n)
-    den = F.sqrt((F.col("sxx") - F.try_divide(sx * sx, n)) * (F.col("syy") - F.try_divide(sy * sy, n)))
-    score = (
-        F.when(F.col("n") == 0, F.lit(float("nan")))
-        .when(den == 0, F.lit(0.0))
-        .otherwise(F.try_divide(num, den))
+    return sums.select(*by, "n", _score(*[F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]).alias("score"))
+
+
+def _score(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
+    """The guarded division of the five sums."""
+    n = n.cast("double")
+    num = sxy - F.try_divide(sx * sy, n)
+    den = F.sqrt((sxx - F.try_divide(sx * sx, n)) * (syy - F.try_divide(sy * sy, n)))
+    return F.when(n == 0, F.lit(float("nan"))).when(den == 0, F.lit(0.0)).otherwise(F.try_divide(num, den))
+
+
+def pearson_of_maps(left: Column | str, right: Column | str) -> Column:
+    """``struct<n, score>``: the same correlation of two MAP columns over their common keys, within the row.
+
+    A NULL map has no key. A key whose value is NULL on a side counts as
+    missing there. No join and no shuffle; the sums run in key order of the
+    left map.
+    """
+    both = F.map_zip_with(
+        left, right, lambda k, x, y: F.when(x.isNotNull() & y.isNotNull(), F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))
+    )
+    values = F.coalesce(F.filter(F.map_values(both), lambda v: v.isNotNull()), F.array())
+    zero = F.struct(F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(c) for c in ("sx", "sy", "sxx", "syy", "sxy")])
+    return F.aggregate(
+        values,
+        zero,
+        lambda s, v: F.struct(
+            (s["n"] + 1).alias("n"),
+            (s["sx"] + v["x"]).alias("sx"),
+            (s["sy"] + v["y"]).alias("sy"),
+            (s["sxx"] + v["x"] * v["x"]).alias("sxx"),
+            (s["syy"] + v["y"] * v["y"]).alias("syy"),
+            (s["sxy"] + v["x"] * v["y"]).alias("sxy"),
+        ),
+        lambda s: F.struct(s["n"].alias("n"), _score(*[s[c] for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]).alias("score")),
     )
-    return sums.select(*by, "n", score.alias("score"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +87,7 @@ def address_hour_counts(visits: DataFrame, ip: str = "ip", ts: str = "ts") -> Da
     )
 
 
-def _summed(counts: DataFrame) -> DataFrame:
+def _summed(counts) -> DataFrame:
     return counts.agg(*[F.sum(h).alias(h) for h in hour_names()], F.sum("size").alias("n"))
 
 
@@ -97,17 +99,25 @@ def share_of_counts(counts: DataFrame) -> DataFrame:
     )
 
 
-def deviation_of_counts(counts: DataFrame, metric: str = "mse", drop_null_ip: bool = False) -> DataFrame:
+def deviation_of_counts(
+    counts: DataFrame, metric: str = "mse", drop_null_ip: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
     """A-09 of the counts of :func:`address_hour_counts`.
 
-    The population is the sum of the addresses' counts, as a scalar subquery.
+    The population is the sum of the addresses' counts, as a scalar subquery;
+    with ``by`` (further columns of ``counts``) every group has its own, one
+    row a group, joined by whatever size Spark finds it has.
     """
+    by = list(by)
     shares = F.array(*[F.try_divide(F.col(h), F.col("n")) for h in hour_names()])
-    pop_arr = _summed(counts).select(shares.alias("p")).scalar()
     per_ip = counts.where(F.col("ip").isNotNull()) if drop_null_ip else counts
-    # The subquery is attached once; the score refers to the column.
-    with_pop = per_ip.withColumn("pop", pop_arr)
-    return with_pop.select("ip", "size", F.lit(True).alias("flag"), _score(metric).alias("coef"))
+    if by:
+        pop = _summed(counts.groupBy(*by)).select(*[F.col(c).alias(f"_{c}") for c in by], shares.alias("pop"))
+        with_pop = per_ip.join(pop, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]))
+    else:
+        # The subquery is attached once; the score refers to the column.
+        with_pop = per_ip.withColumn("pop", _summed(counts).select(shares.alias("p")).scalar())
+    return with_pop.select(*by, "ip", "size", F.lit(True).alias("flag"), _score(metric).alias("coef"))
 
 
 def ip_hour_deviation_ranked(scores: DataFrame) -> DataFrame:

@@ -9,7 +9,11 @@ The rules are
 * *count rules*: more than so many distinct values of one kind. All named ones
   run in one pass: distinct facts, then one count per user and kind;
 * *frame rules*: a function of the facts (and context such as a blacklist)
-  giving the distinct ``(uid, value)`` that break it; its joins are sized by Spark.
+  giving the distinct ``(uid, value)`` that break it; its joins are sized by Spark;
+* *SQL rules*: any function of the session's catalog with the signature
+  ``(kind STRING, n BIGINT) RETURNS BOOLEAN``, named like a rule: is a user with
+  ``n`` distinct values of ``kind`` a suspect? They are looked up by name at run
+  time, so a rule needs no code in this package, and share the pass of the count rules.
 
 A trial carries how many values broke the rule. The values themselves are
 ``cheater_evidence``: one flat row per value, however many a user has.
@@ -21,7 +25,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OUT_COLS = ("uid", "day", "rule", "n")
@@ -80,34 +84,56 @@ RULES: dict[str, CountRule | FrameRule] = {
 }
 
 
-def _known(rules: Sequence[str]) -> None:
-    unknown = [r for r in rules if r not in RULES]
+def _known(facts: DataFrame, rules: Sequence[str]) -> None:
+    catalog = facts.sparkSession.catalog
+    unknown = [r for r in rules if r not in RULES and not catalog.functionExists(r)]
     if unknown:
         raise KeyError(f"unknown rules: {unknown}")
     if not rules:
         raise ValueError("no rules given")
 
 
+def _count_rules(rules: Sequence[str]) -> dict[str, CountRule | None]:
+    """The named rules that look at a user's count of one kind: ours, and SQL functions (None)."""
+    return {r: RULES.get(r) for r in rules if not isinstance(RULES.get(r), FrameRule)}
+
+
+def _of_kinds(facts: DataFrame, counted: dict[str, CountRule | None]) -> DataFrame:
+    """The facts these rules may look at: all of them for an SQL function."""
+    if None in counted.values():
+        return facts
+    return facts.where(F.col("kind").isin(sorted({c.kind for c in counted.values()})))
+
+
+def _with_broken(counts: DataFrame, counted: dict[str, CountRule | None], kind: str, n: str) -> DataFrame:
+    """One row per row of ``counts`` and rule that ``n`` distinct values of ``kind`` break, named in ``rule``."""
+    flags = {
+        r: F.call_function(r, F.col(kind), F.col(n)) if c is None else (F.col(kind) == c.kind) & (F.col(n) > c.limit)
+        for r, c in counted.items()
+    }
+    # columns first: an SQL function can't stand within a generator
+    tested = counts.select("*", *[b.alias(f"_broken{i}") for i, b in enumerate(flags.values())])
+    names = F.array(*[F.when(F.col(f"_broken{i}"), F.lit(r)) for i, r in enumerate(flags)])
+    return tested.select(*counts.columns, F.explode(F.filter(names, lambda r: r.isNotNull())).alias("rule"))
+
+
 def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
     """A-22: ``(uid, day, rule, n)``: one row per user and rule it breaks, with the
     number of values that broke it; ``cheater_evidence`` has these, a row each.
 
     ``day`` is the day of the trial (yyyy-MM-dd), carried as a DATE.
     """
-    _known(rules)
-    counted = {r: RULES[r] for r in rules if isinstance(RULES[r], CountRule)}
+    _known(facts, rules)
+    counted = _count_rules(rules)
     parts: list[DataFrame] = []
     if counted:
-        kinds = sorted({c.kind for c in counted.values()})
-        per = _counted(facts.where(F.col("kind").isin(kinds)).distinct(), ["uid", "kind"])
-        checks = F.array(
-            *[F.when((F.col("kind") == c.kind) & (F.col("n") > c.limit), F.lit(r)) for r, c in counted.items()]
-        )
-        parts.append(
-            per.select("uid", F.explode(F.filter(checks, lambda r: r.isNotNull())).alias("rule"), "n")
-        )
+        per = _counted(_of_kinds(facts, counted).distinct(), ["uid", "kind"])
+        broken = _with_broken(per, counted, "kind", "n").select("uid", "rule", "n")
+        if None in counted.values():  # an SQL rule may be broken by several kinds
+            broken = broken.groupBy("uid", "rule").agg(F.sum("n").alias("n"))
+        parts.append(broken)
     for r in rules:
-        if isinstance(RULES[r], FrameRule):
+        if r not in counted:
             parts.append(_counted(RULES[r].values(facts, **context), ["uid"]).select("uid", F.lit(r).alias("rule"), "n"))
     trials = reduce(lambda a, b: a.unionByName(b), parts)
     return trials.withColumn("day", F.to_date(F.lit(day))).select(*OUT_COLS)
@@ -116,23 +142,17 @@ def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = Non
 def cheater_evidence(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
     """``(uid, day, rule, value)``: every distinct value that broke a rule of
     ``cheater_trials``, one row each and none left out; no list per user."""
-    _known(rules)
+    _known(facts, rules)
     parts: list[DataFrame] = []
-    counted = {r: RULES[r] for r in rules if isinstance(RULES[r], CountRule)}
+    counted = _count_rules(rules)
     if counted:
-        distinct = facts.where(F.col("kind").isin(sorted({c.kind for c in counted.values()}))).select("uid", "kind", "value").distinct()
-        checks = F.array(
-            *[F.when((F.col("_kind") == c.kind) & (F.col("_n") > c.limit), F.lit(r)) for r, c in counted.items()]
-        )
-        broken = (
-            distinct.groupBy(F.col("uid").alias("_uid"), F.col("kind").alias("_kind"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .select("_uid", "_kind", F.explode(F.filter(checks, lambda r: r.isNotNull())).alias("rule"))
-        )
+        distinct = _of_kinds(facts, counted).select("uid", "kind", "value").distinct()
+        per = distinct.groupBy(F.col("uid").alias("_uid"), F.col("kind").alias("_kind")).agg(F.count(F.lit(1)).alias("_n"))
+        broken = _with_broken(per, counted, "_kind", "_n").select("_uid", "_kind", "rule")
         same = F.col("uid").eqNullSafe(F.col("_uid")) & (F.col("kind") == F.col("_kind"))
         parts.append(distinct.join(broken, same).select("uid", "rule", "value"))
     for r in rules:
-        if isinstance(RULES[r], FrameRule):
+        if r not in counted:
             parts.append(RULES[r].values(facts, **context).select("uid", F.lit(r).alias("rule"), "value"))
     whole = reduce(lambda a, b: a.unionByName(b), parts)
     return whole.select("uid", F.to_date(F.lit(day)).alias("day"), "rule", "value")

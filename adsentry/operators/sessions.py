@@ -55,17 +55,21 @@ def session_counts(sessions: DataFrame, dims: Sequence[str] | None = None) -> Da
     )
 
 
+WATCH_SALTS = 8
+
+
 def watchlist_ip_events(
     sessions: DataFrame,
     watchlist: Sequence[str] | DataFrame,
     media_keys: Sequence[str] | None = None,
+    salts: int = WATCH_SALTS,
 ) -> DataFrame:
     """A-15: ``(kind, ip, n)`` per event of the watched media.
 
     An event counts as ``imp`` when its impression address is listed, else
     as ``cli`` when its click address is, else as ``(Other, Other)``. A
-    literal list is an in-set test; a DataFrame watchlist (column ``ip``) is
-    joined, so Spark sizes the join by the list's actual size.
+    literal list is an in-set test; a DataFrame watchlist (column ``ip``, of
+    any size) is joined, see :func:`_listed_pairs`.
     """
     rows = sessions.where(F.col("media_key").isin(list(media_keys))) if media_keys is not None else sessions
     # Zip the two address arrays (one entry per event, NULL where the member
@@ -73,22 +77,38 @@ def watchlist_ip_events(
     pairs = F.arrays_zip(F.col("events.imp.ip").alias("imp_ip"), F.col("events.cli.ip").alias("cli_ip"))
     ev = rows.select(F.explode(pairs).alias("e")).select("e.imp_ip", "e.cli_ip")
     if isinstance(watchlist, DataFrame):
-        w = watchlist.select(F.col("ip").alias("_w")).distinct()
-        ev = (
-            ev.join(w.withColumnRenamed("_w", "imp_ip").withColumn("imp_hit", F.lit(True)), "imp_ip", "left")
-            .join(w.withColumnRenamed("_w", "cli_ip").withColumn("cli_hit", F.lit(True)), "cli_ip", "left")
-        )
-        imp_hit = F.coalesce(F.col("imp_hit"), F.lit(False))
-        cli_hit = F.coalesce(F.col("cli_hit"), F.lit(False))
-    else:
-        ips = list(watchlist)
-        imp_hit = F.coalesce(F.col("imp_ip").isin(ips), F.lit(False))
-        cli_hit = F.coalesce(F.col("cli_ip").isin(ips), F.lit(False))
+        return _listed_pairs(ev, watchlist, salts)
+    ips = list(watchlist)
+    imp_hit = F.coalesce(F.col("imp_ip").isin(ips), F.lit(False))
+    cli_hit = F.coalesce(F.col("cli_ip").isin(ips), F.lit(False))
     kind = F.when(imp_hit, F.lit("imp")).when(cli_hit, F.lit("cli")).otherwise(F.lit("Other"))
     ip = F.when(imp_hit, F.col("imp_ip")).when(cli_hit, F.col("cli_ip")).otherwise(F.lit("Other"))
     return ev.groupBy(kind.alias("kind"), ip.alias("ip")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _listed_pairs(ev: DataFrame, watchlist: DataFrame, salts: int) -> DataFrame:
+    """A-15 against a table: events move once, as counts of address pairs.
+
+    The pairs meet the list by impression address, those of one address spread
+    by the click address over ``salts`` copies of the list, as a hot address
+    has many pairs. What is not listed there shrinks to one row per click
+    address before it meets the list again.
+    """
+    listed = watchlist.where(F.col("ip").isNotNull()).select(F.col("ip").alias("_w")).distinct()
+    copies = listed.select(F.col("_w"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_c"))
+    pairs = ev.groupBy("imp_ip", "cli_ip").agg(F.count(F.lit(1)).alias("n"))
+    spread = pairs.withColumn("_s", F.pmod(F.hash("cli_ip"), F.lit(salts)))
+    by_imp = spread.join(copies, (F.col("imp_ip") == F.col("_w")) & (F.col("_s") == F.col("_c")), "left")
+    seen = F.col("_w").isNotNull()
+    rest = by_imp.groupBy(seen.alias("imp_hit"), F.when(seen, F.col("imp_ip")).otherwise(F.col("cli_ip")).alias("ip")).agg(
+        F.sum("n").alias("n")
+    )
+    by_cli = rest.join(listed, (F.col("ip") == F.col("_w")) & ~F.col("imp_hit"), "left")
+    kind = F.when(F.col("imp_hit"), F.lit("imp")).when(seen, F.lit("cli")).otherwise(F.lit("Other"))
+    ip = F.when(kind != "Other", F.col("ip")).otherwise(F.lit("Other"))
+    return by_cli.select(kind.alias("kind"), ip.alias("ip"), "n").groupBy("kind", "ip").agg(F.sum("n").alias("n"))
+
+
 def new_user_index(sessions: DataFrame, day: str | None = None) -> DataFrame:
     """New-user index ``(media_key, uid, day, idx)``.
 

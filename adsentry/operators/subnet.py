@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from adsentry.functions.ip import is_quad, same_subnet24, subnet24
+from adsentry.functions.ranking import ROWS_PER_BLOCK, in_blocks
 
 # Fixed value: views above which a /24 is reported as a top subnet.
 TOP_SUBNET_THRESHOLD = 180000
@@ -69,25 +70,29 @@ def adjacent_subnet_histogram(profiles: DataFrame, locations: str = "locations")
     )
 
 
-def adjacent_subnet_histogram_flat(events: DataFrame, location: str = "location") -> DataFrame:
+def adjacent_subnet_histogram_flat(events: DataFrame, location: str = "location", block: int = ROWS_PER_BLOCK) -> DataFrame:
     """A-33 on flat rows ``uid, ts, event_id, location``: the same histogram without a list per user.
 
-    Neighbours are paired within (user, clock hour); the seams between a
-    user's hours are paired from one row per hour with its first and last
-    location. So no task sorts more than an hour of one user.
+    All rows are put in the order (uid, ts, event_id) and cut into blocks of
+    ``block`` rows, whoever they belong to: neighbours are paired within (user,
+    block), the seams between a user's blocks from one row a block with its
+    first and last location. So a user, or one hour of it, may hold any share
+    of the rows and no task sorts more than its blocks.
     """
-    rows = events.select("uid", "ts", "event_id", F.col(location).alias("loc"), F.date_trunc("hour", "ts").alias("hour"))
-    in_hour = Window.partitionBy("uid", "hour").orderBy("ts", "event_id")
+    rows = in_blocks(
+        events.select("uid", "ts", "event_id", F.col(location).alias("loc")), ["uid", "ts", "event_id"], block
+    )
+    in_block = Window.partitionBy("uid", "_block").orderBy("_at")
     same = lambda a, b: F.coalesce(same_subnet24(a, b), F.lit(False)).cast("int")
-    at = F.struct("ts", "event_id", "loc")
-    hours = (
-        rows.withColumn("hit", same(F.lag("loc").over(in_hour), F.col("loc")))
-        .groupBy("uid", "hour")
+    at = F.struct("_at", "loc")
+    blocks = (
+        rows.withColumn("hit", same(F.lag("loc").over(in_block), F.col("loc")))
+        .groupBy("uid", "_block")
         .agg(F.sum("hit").alias("hits"), F.min(at)["loc"].alias("first"), F.max(at)["loc"].alias("last"))
     )
-    by_hour = Window.partitionBy("uid").orderBy("hour")
+    by_block = Window.partitionBy("uid").orderBy("_block")  # a user's rows / block
     users = (
-        hours.withColumn("seam", same(F.lag("last").over(by_hour), F.col("first")))
+        blocks.withColumn("seam", same(F.lag("last").over(by_block), F.col("first")))
         .groupBy("uid")
         .agg((F.sum("hits") + F.sum("seam")).cast("int").alias("n_pairs"))
     )

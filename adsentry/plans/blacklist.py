@@ -67,7 +67,20 @@ def build_blacklist(
     materialize_how: str = "checkpoint",
 ) -> BlacklistOutputs:
     """Run the whole chain; the counts behind ``scores`` and ``candidates`` are materialised once."""
-    counts = materialize(hour_profile.address_hour_counts(visits), materialize_how)
+    counts = hour_profile.address_hour_counts(visits)
+    return blacklist_of_counts(counts, metric, volume_k, score_k, empty, materialize_how)
+
+
+def blacklist_of_counts(
+    counts: DataFrame,
+    metric: str = "mse",
+    volume_k: float = fences.VOLUME_K,
+    score_k: float = fences.SCORE_K,
+    empty: str = "zero",
+    materialize_how: str = "checkpoint",
+) -> BlacklistOutputs:
+    """The chain from the addresses' hour counts on (of visits, or of stored days)."""
+    counts = materialize(counts, materialize_how)
     scores = hour_profile.deviation_of_counts(counts, metric=metric)
     candidates = materialize(fences.ip_volume_candidates(scores, k=volume_k, empty=empty), materialize_how)
     blacklist = fences.ip_blacklist(candidates, k=score_k, empty=empty)
