@@ -9,7 +9,11 @@ one looks, so a full header is not reported again by its parts.
 
 Two readings are matched: one where every line break ends a sentence (notices
 on lines of their own) and one where it does not (headers wrapped over several
-lines). Only DataFrame functions are used, and every document is one
+lines). Where the second holds all that the first found in one stretch, it is
+matched alone: a clause wrapped over two lines then still belongs to its run.
+
+What stands in a slot of a sentence (the owner whom a BSD clause names, the
+colon of an SPDX tag) is made the same first. Only DataFrame functions are used, and every document is one
 expression: nothing is shuffled.
 """
 
@@ -178,6 +182,18 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     *((name, kind, (ident,)) for name, kind, ident, _ in NAMED),
 )
 
+# "SPDX-License-Identifier: <license>" for every license above (one license, no expression).
+_LICENSES = dict.fromkeys((name, kind) for name, kind, _ in RULES)
+KNOWN_SENTENCES += tuple((f"spdx-{name}", f"SPDX-License-Identifier {name}") for name, _ in _LICENSES)
+RULES += tuple((name, kind, (f"spdx-{name}",)) for name, kind in _LICENSES)
+
+# Slots: what they look like in a lowered text, and the form in the table.
+SLOTS = (
+    (r"license-identifier:[ \t]+", "license-identifier "),
+    (r"neither the name of [^\n]{1,200}? nor the names of its contributors",
+     "neither the name of the copyright holder nor the names of its contributors"),
+)
+
 # Every known sentence holds one of these, so other texts need no cutting.
 ANCHORS = (
     "licen", "copyright", "free software", "reserved", "permission", "public domain", "warranties", "anyone is free",
@@ -218,6 +234,8 @@ def rule_runs(rules=RULES, known=KNOWN_SENTENCES) -> list[tuple[str, str, str]]:
 
 
 def _sentences(text: Column) -> Column:
+    for pattern, form in SLOTS:
+        text = F.regexp_replace(text, pattern, form)
     cut = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
     return F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
 
@@ -232,8 +250,8 @@ def license_scan(
     """One row per document: ``doc_id, sentence_ids, licenses, license_class``.
 
     ``sentence_ids`` are the known sentences of the line-wise reading, in
-    order and joined by commas; ``licenses`` the distinct licenses of both
-    readings in the order of the rules; ``license_class`` the strictest class
+    order and joined by commas; ``licenses`` the distinct licenses of the
+    readings matched in the order of the rules; ``license_class`` the strictest class
     met (noncommercial, copyleft, permissive; ``unknown`` if known sentences
     matched no rule; ``none``). Null and empty texts hold nothing. Repeated
     rows are scanned each; an empty table gives none.
@@ -251,13 +269,14 @@ def license_scan(
         return F.when(F.col("_any"), F.transform(found, lambda s: F.element_at(lookup, s))).otherwise(empty)
 
     wrap = lambda ids: F.array_join(F.transform(ids, lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "")
+    within = F.contains(wrap(F.col("_wrapped")), wrap(F.col("_lines")))
     df = (
         columns_of(docs, _id=id_col, _text=text_col)
         .withColumn("_low", text)
         .withColumn("_any", anchored)
         .withColumn("_lines", run_of(F.col("_low")))
         .withColumn("_wrapped", run_of(F.replace(F.col("_low"), F.lit("\n"), F.lit(" "))))
-        .withColumn("_seq", F.concat(wrap(F.col("_lines")), F.lit("~"), wrap(F.col("_wrapped"))))
+        .withColumn("_seq", F.concat(F.when(within, F.lit("")).otherwise(wrap(F.col("_lines"))), F.lit("~"), wrap(F.col("_wrapped"))))
         .select("_id", "_lines", "_seq")
     )
     runs = rule_runs(rules, known)

@@ -85,8 +85,13 @@ def _license_sql() -> str:
     table = license_scan.sentence_table()
     pairs = ", ".join(f"{quote(k)}: {quote(v)}" for k, v in table.items())
     low = f"translate(coalesce(text, ''), '{license_scan._UPPER}', '{license_scan._LOWER}')"
+    def slots(t: str) -> str:
+        for pattern, form in license_scan.SLOTS:
+            t = f"regexp_replace({t}, {quote(pattern)}, {quote(form)}, 'g')"
+        return t
+
     cut = lambda t: (
-        f"list_filter(list_transform(string_split(regexp_replace({t}, '{license_scan.SENTENCE_END}', '\\1' || chr(10), 'g'), chr(10)), "
+        f"list_filter(list_transform(string_split(regexp_replace({slots(t)}, '{license_scan.SENTENCE_END}', '\\1' || chr(10), 'g'), chr(10)), "
         "lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), lambda s: map_contains(k, s))"
     )
     ids = lambda t: f"list_transform({cut(t)}, lambda s: k[s])"
@@ -106,7 +111,7 @@ def _license_sql() -> str:
 WITH k AS (SELECT MAP {{{pairs}}} AS k),
 t AS (SELECT doc_id, {low} AS low, k FROM documents CROSS JOIN k),
 f AS (SELECT doc_id, {ids('low')} AS a, {ids("replace(low, chr(10), ' ')")} AS b FROM t),
-s AS (SELECT doc_id, array_to_string(a, ',') AS sentence_ids, {wrap('a')} || '~' || {wrap('b')} AS q0 FROM f),
+s AS (SELECT doc_id, array_to_string(a, ',') AS sentence_ids, CASE WHEN contains({wrap('b')}, {wrap('a')}) THEN '' ELSE {wrap('a')} END || '~' || {wrap('b')} AS q0 FROM f),
 {', '.join(steps)}
 SELECT doc_id, sentence_ids,
   array_to_string(list_transform(list_sort(list_filter({names}, lambda x: x IS NOT NULL)), lambda x: x.n), ',') AS licenses,

@@ -133,6 +133,20 @@ def test_licenses_that_the_tables_do_not_hold(spark):
         ("Readme.\nThis project is licensed under the MIT License.\n", "MIT", "permissive"),
         ("This file is released under the GNU Lesser General Public License v3.0.", "LGPL-3.0-only", "copyleft"),
         ("This work is licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0", "noncommercial"),
+        ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT", "permissive"),
+        ("# SPDX-License-Identifier:  GPL-2.0-or-later", "GPL-2.0-or-later", "copyleft"),
+        ("/* SPDX-License-Identifier: Apache-2.0 */", "Apache-2.0", "permissive"),
+        ("SPDX-License-Identifier: Nobody-1.0", "", "none"),
+    ]
+    clauses = [next(t for i, t in license_scan.KNOWN_SENTENCES if i == c) for c in ("bsdRetain", "bsdReproduce", "bsdNeither")]
+    two, third = "\n".join(clauses[:2]), clauses[2]
+    wrapped = third.replace(" may be used ", " may be\nused ")
+    google = "Neither the name of Google Inc. nor the names of its contributors" + third.split(" contributors", 1)[1]
+    cases += [
+        (f"{two}\n{third}", "BSD-3-Clause", "permissive"),
+        (f"{two}\n{wrapped}", "BSD-3-Clause", "permissive"),  # the lines alone would be two clauses
+        (f"{two}\n{google}", "BSD-3-Clause", "permissive"),
+        (two, "BSD-2-Clause", "permissive"),
     ]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
     got = {r["doc_id"]: (r["licenses"], r["license_class"]) for r in license_scan.license_scan(df).collect()}
