@@ -1,14 +1,20 @@
 """Exact deduplication by a tree-merge of sorted digest runs.
 
-Every scan task yields one run: its texts' digests, each with the identifier
-to keep and the number of rows. Runs then merge in binomial rounds: in round
-``k`` the runs whose numbers agree above the lowest ``k`` groups of bits are
-merged together (``FAN_IN`` at a time), and equal digests of the merged runs
-become one entry that retains the identifier to keep. After the last round
-one run is left and each of its entries stands for one distinct text. A merge
-is a pre-aggregated grouping on (run, digest), so a run is spread over all
-tasks by digest, a text that a third of all rows repeat arrives as one entry
-per task, and no run is ever held in one place.
+Every scan task yields a run sorted by digest: an entry per distinct text with
+the identifier to keep and the number of rows. Runs then merge in binomial
+rounds: in round ``k`` the runs whose numbers agree above the lowest ``k``
+groups of bits meet (``FAN_IN`` at a time: a multiway merge), equal digests
+become neighbours and then one entry that retains the identifier to keep. After
+the last round one run is left and each of its entries stands for one distinct
+text.
+
+A round is a sort-based aggregation, on both sides of its exchange: the
+identifier to keep travels as a struct, which Spark aggregates along a sorted
+input and never in a hash table. A task sorts its part of a run, makes equal
+neighbours one and sends them on dealt by digest; the receiver merges the parts
+by a sort and makes neighbours one again. So a sort may spill but nothing else
+grows, a text that a third of all rows repeat leaves every task as one entry,
+and no run is ever held in one place.
 
 An entry is verified at every level: two entries become one only if their
 SHA-256, their length in bytes and an independent 64-bit hash all agree.
@@ -40,10 +46,17 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _best(keep: str) -> Column:
-    # max() and min() skip nulls: a row without an identifier stays only where
-    # no row of its group has one.
-    return (F.max if keep == "largest" else F.min)("_best").alias("_best")
+def _claim(keep: str) -> Column:
+    """A row's claim to stay, as a struct: a row without an identifier stays
+    only where no row of its group has one."""
+    named = F.col("_id").isNotNull() if keep == "largest" else F.col("_id").isNull()
+    return F.struct(named.alias("named"), F.col("_id").alias("id"))
+
+
+def _meet(runs: DataFrame, keep: str) -> DataFrame:
+    """Runs of equal number as one sorted run, whose equal entries are one (sort-based: see above)."""
+    best = (F.max if keep == "largest" else F.min)("_best").alias("_best")
+    return runs.groupBy("_run", *_ENTRY).agg(best, F.sum("_rows").alias("_rows"))
 
 
 def merge_runs(runs: DataFrame, keep: str = "largest", n_runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
@@ -51,22 +64,19 @@ def merge_runs(runs: DataFrame, keep: str = "largest", n_runs: int = RUNS, fan_i
     left = n_runs
     while left > 1:
         left = -(-left // fan_in)
-        runs = (
-            runs.withColumn("_run", F.floor(F.col("_run") / F.lit(fan_in)).cast("int"))
-            .groupBy("_run", *_ENTRY)
-            .agg(_best(keep), F.sum("_rows").alias("_rows"))
-        )
-    return runs.drop("_run")
+        runs = _meet(runs.withColumn("_run", F.floor(F.col("_run") / F.lit(fan_in)).cast("int")), keep)
+    return runs.select(*_ENTRY, F.col("_best.id").alias("_best"), "_rows")
 
 
 def digest_groups(keyed: DataFrame, keep: str = "largest") -> DataFrame:
     """``<entry>, _best, _rows``: the groups of equal texts of a keyed table."""
-    first = (
-        keyed.withColumn("_run", F.pmod(F.spark_partition_id(), F.lit(RUNS)))
-        .groupBy("_run", *_ENTRY)
-        .agg((F.max if keep == "largest" else F.min)("_id").alias("_best"), F.count(F.lit(1)).alias("_rows"))
+    first = keyed.select(
+        F.pmod(F.spark_partition_id(), F.lit(RUNS)).alias("_run"),
+        *_ENTRY,
+        _claim(keep).alias("_best"),
+        F.lit(1).cast("long").alias("_rows"),
     )
-    return merge_runs(first, keep)
+    return merge_runs(_meet(first, keep), keep)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
