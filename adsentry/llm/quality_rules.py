@@ -5,7 +5,9 @@ does not depend on their order, but the work does: a text is done as soon as
 one rule rejects it. So every rule is first timed on a sample, together with
 which sampled texts it rejects, and the cascade is ordered greedily: next
 comes the rule that rejects most of the texts still left per second it costs.
-Measures that several rules share are computed once per text.
+Measures that several rules share are computed once per text; a rule's cost is
+what it adds to the measures that the report and the base rules have computed
+already, and its share of rejections that among texts which pass the base rules.
 """
 
 from __future__ import annotations
@@ -23,8 +25,7 @@ from pyspark.sql import functions as F
 
 from adsentry.llm.common import columns_of, ship_code
 
-SAMPLE_ROWS = 2_000  # texts that the rules are timed on
-SAMPLE_SHARE = 0.05  # share of the scanned rows that the sample takes
+SAMPLE_ROWS = 2_000  # texts, on average, that the rules are timed on
 REPEAT_WINDOW = 5
 
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -39,6 +40,12 @@ class TextMeasures:
     def __init__(self, text: str | None):
         self.text = text or ""
 
+    def copy(self) -> TextMeasures:
+        """The same text with what has been measured so far."""
+        other = TextMeasures(None)
+        other.__dict__.update(self.__dict__)
+        return other
+
     @cached_property
     def words(self) -> list[bytes]:
         # bytes.split() cuts at exactly space and \t to \r
@@ -124,23 +131,37 @@ def _batches(it: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Recor
             yield batch.slice(at, rows)
 
 
-def cascade_order(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[int]:
+def cascade_order(
+    docs: DataFrame,
+    rules: Sequence[Rule],
+    text_col: str = "text",
+    sample_rows: int = SAMPLE_ROWS,
+    report: Sequence[str] = (),
+    base: Sequence[Rule] = (),
+) -> list[int]:
     """Positions of ``rules`` in the order the cascade runs them.
 
-    Rules are timed on ``sample_rows`` texts of the first partitions, thinned
-    to ``SAMPLE_SHARE``; as the verdict does not depend on the order, the
-    sample needs no more. An empty sample keeps the given order.
+    Rules are timed on a random sample over all partitions, ``sample_rows``
+    texts on average (all, if there are fewer), as the cascade meets them:
+    the measures of ``report`` are known and the ``base`` rules passed. As the
+    verdict does not depend on the order, the sample needs no more. A sample
+    without such a text keeps the given order.
     """
-    rules = tuple(rules)
+    rules, report, base = tuple(rules), tuple(report), tuple(base)
     ship_code(docs.sparkSession)
 
     def time_rules(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks, spent = Counter(), [0.0] * len(rules)
         for batch in _batches(it):
             for text in batch.column(0).to_pylist():
+                known = TextMeasures(text)
+                for name in report:
+                    getattr(known, name)
+                if any(r.rejects(known) for r in base):
+                    continue
                 mask = 0
                 for i, rule in enumerate(rules):
-                    measures = TextMeasures(text)
+                    measures = known.copy()
                     began = time.perf_counter()
                     mask |= rule.rejects(measures) << i
                     spent[i] += time.perf_counter() - began
@@ -150,7 +171,9 @@ def cascade_order(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text"
             [pa.array(keys, pa.int64()), pa.array([*map(float, masks.values()), *spent], pa.float64())], ["k", "v"]
         )
 
-    sample = columns_of(docs, _text=text_col).sample(SAMPLE_SHARE, seed=7).limit(sample_rows)
+    texts = columns_of(docs, _text=text_col)
+    n = texts.count()
+    sample = texts.sample(sample_rows / n, seed=7) if n > sample_rows else texts
     seen = sample.mapInArrow(time_rules, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
     left = {r["k"]: r["v"] for r in seen if r["k"] >= 0}
     cost = {-1 - r["k"]: r["v"] for r in seen if r["k"] < 0}
@@ -184,10 +207,10 @@ def quality_cascade(
     gives none.
     """
     rows = columns_of(docs, _id=id_col, _text=text_col)
-    rules = tuple(rules)
+    rules, base, report = tuple(rules), tuple(base), tuple(report)
     ship_code(docs.sparkSession)
-    order = cascade_order(docs, rules, text_col) if order is None else list(order)
-    cascade, base, report = tuple(rules[i] for i in order), tuple(base), tuple(report)
+    order = cascade_order(docs, rules, text_col, report=report, base=base) if order is None else list(order)
+    cascade = tuple(rules[i] for i in order)
 
     def judge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(it):

@@ -80,6 +80,30 @@ def test_exact_dedup_keeps_one_row_of_each_text(docs):
     assert sum(r["kept"] for r in small) == 1
 
 
+def test_exact_dedup_rounds_give_one_run_in_any_number(spark):
+    rows = [(i, f"text {i % 7}") for i in range(400)] + [(None, "text 3"), (None, "alone"), (900, "text 0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(13)
+    keyed = exact_dedup._keyed(df, "doc_id", "text")
+    for keep, pick in (("largest", max), ("smallest", min)):
+        ids = {}
+        for i, t in rows:
+            ids.setdefault(t, []).append(i)
+        want = sorted((len(v), str(pick((i for i in v if i is not None), default=None))) for v in ids.values())
+        first = keyed.selectExpr("pmod(spark_partition_id(), 16) AS _run", *exact_dedup._ENTRY, "1L AS _rows", "_id").select(
+            "_run", *exact_dedup._ENTRY, exact_dedup._claim(keep).alias("_best"), "_rows"
+        )
+        for fan_in in (2, 4, 16):
+            one = exact_dedup.merge_runs(first, keep, n_runs=16, fan_in=fan_in)
+            assert sorted((r["_rows"], str(r["_best"])) for r in one.collect()) == want
+        assert sorted((r["_rows"], str(r["_best"])) for r in exact_dedup.digest_groups(keyed, keep).collect()) == want
+
+
+def test_exact_dedup_merges_sorted_runs(docs):
+    groups = exact_dedup.digest_groups(exact_dedup._keyed(docs, "doc_id", "text"))
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("SortAggregate(") == 6  # the runs and two rounds, on both sides of an exchange
+
+
 def test_ngram_join_links_copies_only(docs):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(docs).collect()}
     assert got[1] == got[2] == (56, 1) and got[7] == (57, 1)
@@ -206,6 +230,20 @@ def test_cascade_order_does_not_change_the_verdict(docs):
     assert verdicts[0] == verdicts[1] == verdicts[2]
 
 
+def test_cascade_order_counts_what_the_report_has_measured(spark):
+    """Of two rules that reject the same texts the one whose measure is known is first; texts that base rules reject do not count."""
+    text = " ".join(f"word{i} Some{i} plain{i}" for i in range(400))
+    df = spark.createDataFrame([(i, text + " #" * (i % 2)) for i in range(60)] + [(99, "tiny")], "doc_id long, text string")
+    dear = quality_rules.Rule("windows", lambda m: m.n_repeat_words >= 0 and m.text.endswith("#"))
+    cheap = quality_rules.Rule("neighbours", lambda m: m.n_same_as_previous >= 0 and m.text.endswith("#"))
+    tiny = quality_rules.Rule("tiny", lambda m: m.n_words < 5)
+    assert quality_rules.cascade_order(df, (dear, cheap)) == [1, 0]
+    assert quality_rules.cascade_order(df, (dear, cheap), report=("n_repeat_words",)) == [0, 1]
+    few = quality_rules.Rule("few", lambda m: m.n_words < 10)
+    assert quality_rules.cascade_order(df, (few, dear), base=(tiny,)) == [1, 0]
+    assert quality_rules.cascade_order(df.limit(0), (dear, cheap)) == [0, 1]
+
+
 @pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
 def test_stages_take_odd_and_empty_documents(spark, docs, labels, tmp_path, stage):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
