@@ -4,9 +4,13 @@ A source of ``S`` words with target ``T`` takes ``T // S`` certain copies of
 every document; what is left of the target is drawn from its documents
 without replacement by Pareto order sampling: a document with inclusion
 probability p and a uniform random number u ranks by the odds of u over the
-odds of p, and the lowest ranks are taken. u is a hash of the document and the
-seed, so reruns agree. The sample's fixed size is counted in words: documents
-are taken in rank order as long as they fit into the rest of the target;
+odds of p, and the lowest ranks are taken. Inclusion probabilities are unequal:
+in proportion to a column or, by default, to the square root of the document's
+words, as far as they stay below 1 (longer ones are certain), at the scale where
+the expected words of the sample are what is left of the target; that scale
+comes from sums over all documents. u is a hash of the document and the seed, so
+reruns agree. The sample's fixed size is counted in words: documents are taken
+in rank order as long as they fit into the rest of the target;
 from the point where it is used up, a document that does not fit is passed
 over for the next that does, to the source's end; then one of the last may be
 exchanged.
@@ -34,6 +38,7 @@ from adsentry.llm.common import columns_of, fresh_name, ship_code, staged, word_
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3.0  # a target stops at so many times its source's size
+BANDS = 16  # weight bands per power of two, in which the scale of the probabilities is found
 BINS = 1 << 16  # rank bins of a source
 BEHIND = 256  # documents around the last bin that a round sorts
 
@@ -76,25 +81,53 @@ def _uniform(*cols: Column, seed: int) -> Column:
     return (F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def _scaled(bands: DataFrame, rests: DataFrame) -> DataFrame:
+    """``_ps, _scale`` per source: with p = min(1, _scale * weight), the
+    expected words of its documents are ``_rest``.
+
+    The documents at 1 are those of the heaviest bands. With the first k bands
+    there, the others' scale is what they leave over the others' weighted words;
+    the first k at which no weight behind passes 1 is taken. One row per source
+    and band (``_source, _band, _words, _mass, _top``).
+    """
+    same = F.col("_source").eqNullSafe(F.col("_ps"))
+    down = Window.partitionBy("_source").orderBy(F.col("_band").desc())
+    certain = F.coalesce(F.sum("_words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    others = F.sum("_mass").over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    tried = bands.withColumns({"_certain": certain, "_others": others}).join(rests, same)
+    scale = F.when(F.col("_others") > 0, (F.col("_rest") - F.col("_certain")) / F.col("_others"))
+    tried = tried.withColumn("_scale", F.when(scale > 0, scale))
+    # within one band weights differ by a few percent: if none fits, the last
+    # that leaves words at all; p is held below 1 where it is used
+    fits = F.max(F.when(F.col("_scale") * F.col("_top") <= 1, F.struct("_band", "_scale")))["_scale"]
+    last = F.min(F.when(F.col("_scale").isNotNull(), F.struct("_band", "_scale")))["_scale"]
+    return tried.groupBy("_ps").agg(F.coalesce(fits, last, F.lit(0.0)).alias("_scale"))
+
+
 def _copies(rows: DataFrame, weights, share, cap, seed, bins, behind) -> DataFrame:
     """``rows`` (``_row, _id, _source, _size, _p``) with targets and ``_copies``."""
-    sizes = rows.groupBy("_source").agg(F.sum("_size").alias("_source_size"), F.sum(F.col("_size") * F.col("_p")).alias("_mass"))
-    targets = source_targets(sizes.select("_source", "_source_size"), weights, share, cap)
-    plan = targets.join(sizes.select(F.col("_source").alias("_s"), "_mass"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
+    band = F.when(F.col("_p") > 0, F.floor(F.log2("_p") * BANDS)).otherwise(F.lit(-(1 << 20))).cast("int")
+    bands = rows.groupBy("_source", band.alias("_band")).agg(
+        F.sum("_size").alias("_words"), F.sum(F.col("_size") * F.col("_p")).alias("_mass"), F.max("_p").alias("_top")
+    )
+    bands = staged(bands, "mix-bands")
+    plan = source_targets(bands.groupBy("_source").agg(F.sum("_words").alias("_source_size")), weights, share, cap)
     plan = plan.withColumn(
         "_whole", F.when(F.col("_source_size") > 0, F.floor(F.col("_target") / F.col("_source_size"))).otherwise(0).cast("long")
     ).withColumn("_rest", F.greatest(F.lit(0.0), F.col("_target") - F.col("_whole") * F.col("_source_size")))
+    scales = _scaled(bands, plan.select(F.col("_source").alias("_ps"), "_rest"))
+    plan = plan.join(scales, F.col("_source").eqNullSafe(F.col("_ps"))).drop("_ps")
     plan = staged(plan, "mix-plan")
     same = F.col("_source").eqNullSafe(F.col("_ps"))
     of = lambda *cols: plan.select(F.col("_source").alias("_ps"), *cols)
 
     # odds of u over odds of the inclusion probability, as a rank in (0, 1)
     u = _uniform("_id", "_size", "_source", seed=seed)
-    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-12), F.col("_p") * F.col("_rest") / F.col("_mass")))
+    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-12), F.col("_p") * F.col("_scale")))
     odds = (u / (1 - u)) / (p / (1 - p))
-    ranked = rows.join(of("_source_size", "_target", "_whole", "_rest", "_mass"), same).drop("_ps")
+    ranked = rows.join(of("_source_size", "_target", "_whole", "_rest", "_scale"), same).drop("_ps")
     ranked = ranked.withColumn("_rank", F.when(F.col("_size") > 0, odds / (1 + odds)).otherwise(1.0))
-    ranked = ranked.withColumn("_bin", F.least(F.lit(bins - 1), F.floor(F.col("_rank") * bins)).cast("int")).drop("_mass")
+    ranked = ranked.withColumn("_bin", F.least(F.lit(bins - 1), F.floor(F.col("_rank") * bins)).cast("int")).drop("_scale")
     ranked = staged(ranked, "mix-ranks")
     ship_code(rows.sparkSession)
 
@@ -226,8 +259,8 @@ def mix_sources(
     ``size`` is the text's words (null: 0), ``taken`` the words the mix takes
     of the document, repeats counted: never more than ``cap`` times its size.
     ``importance_col`` makes the inclusion probabilities within a source
-    proportional to it (default: equal). Null sources are one source, the
-    last. Documents without words have ``copies`` of the certain part and take
+    proportional to it (null: 0; default: to the square root of ``size``), none
+    above 1. Null sources are one source, the last. Documents without words have ``copies`` of the certain part and take
     nothing. Rows that tie in rank are ordered by identifier and size;
     repeated rows are drawn each. An empty table gives none.
     """
@@ -249,7 +282,7 @@ def _mixed(docs, weights, share, cap, seed, id_col, text_col, source_col, import
         wanted["_row"] = keep_row
     rows = columns_of(docs, **wanted).withColumn("_size", word_count(F.col("_text"))).drop("_text")
     if not importance_col:
-        rows = rows.withColumn("_p", F.lit(1.0))
+        rows = rows.withColumn("_p", F.sqrt("_size"))
     if not keep_row:
         rows = rows.withColumn("_row", F.monotonically_increasing_id())
     rows = staged(rows.withColumn("_p", F.greatest(F.lit(0.0), F.coalesce(F.col("_p").cast("double"), F.lit(0.0)))), "mix-sizes")

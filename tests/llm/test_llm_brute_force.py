@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from adsentry.llm import mixing, ngram_join, packing, quality_classifier, sharding
 from adsentry.llm.components import components
@@ -165,6 +166,47 @@ def test_mix_goes_on_behind_a_long_document(spark):
     assert max(missed.values()) <= 30, missed
 
 
+def test_mix_passes_over_a_long_document_of_equal_odds(spark):
+    """As above with equal odds, by which the long document is at the edge for some seeds."""
+    rows = [(i, "w " * 30, "s", 1.0) for i in range(3000)] + [(9999, "w " * 45_000, "s", 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, one double").repartition(4)
+    got = mixing.mix_sources(df, share=0.62, seed=3, importance_col="one").collect()
+    assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 30
+
+
+def test_inclusion_follows_the_words(spark):
+    """Without a column, odds are unequal: at 4 and 64 words the probabilities are as 2 to 8; those that would pass 1 are certain."""
+    lengths = [4] * 1500 + [64] * 300 + [4096] * 2
+    df = spark.createDataFrame([(i, "w " * n, "s") for i, n in enumerate(lengths)], "doc_id long, text string, source string")
+    rows = mixing.mix_sources(df, share=0.5).collect()
+    got = Counter(r["size"] for r in rows if r["copies"])
+    # plain solution: the two long ones certain, the rest by the root of their words
+    target = 0.5 * sum(lengths) - 2 * 4096
+    scale = target / sum(n * n**0.5 for n in lengths if n < 4096)
+    assert got[4096] == 2
+    assert abs(got[4] - 1500 * 2 * scale) < 5 * (1500 * 2 * scale) ** 0.5
+    assert abs(got[64] - 300 * 8 * scale) < 5 * (300 * 8 * scale) ** 0.5
+    assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) <= 4
+
+
+def test_scale_of_the_probabilities_equals_a_plain_solution(spark):
+    rng = np.random.default_rng(3)
+    weights, sizes = rng.pareto(1.0, 800) + 0.01, rng.integers(1, 500, 800)
+    rows = [(int(n), float(w)) for n, w in zip(sizes, weights)]
+    df = spark.createDataFrame(rows, "n long, w double").selectExpr(
+        "CAST(NULL AS STRING) AS _source", "CAST(floor(log2(w) * 16) AS INT) AS _band", "n", "w"
+    )
+    bands = df.groupBy("_source", "_band").agg(
+        F.sum("n").alias("_words"), F.sum(F.col("n") * F.col("w")).alias("_mass"), F.max("w").alias("_top")
+    )
+    for share in (0.05, 0.5, 0.9, 0.99):
+        rest = share * float(sizes.sum())
+        rests = spark.createDataFrame([(None, rest)], "_ps string, _rest double")
+        (got,) = mixing._scaled(bands, rests).collect()
+        expected = float((sizes * np.minimum(1, got["_scale"] * weights)).sum())
+        assert abs(expected - rest) <= 0.03 * rest
+
+
 def test_packing_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
