@@ -40,6 +40,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3.0  # a target stops at so many times its source's size
 BANDS = 16  # weight bands per power of two, in which the scale of the probabilities is found
 BINS = 1 << 16  # rank bins of a source
+RANGE = 1 << 8  # bins whose running sums are worked out together
 BEHIND = 256  # documents around the last bin that a round sorts
 
 
@@ -180,9 +181,23 @@ def _edges(open_rows: DataFrame, bins: int, behind: int) -> DataFrame:
     held = open_rows.groupBy("_source", "_bin").agg(
         F.sum("_size").alias("_words"), F.count(F.lit(1)).alias("_n"), F.first("_from").alias("_from"), F.first("_left").alias("_limit")
     )
-    upto = Window.partitionBy("_source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    sums = held.withColumns(
-        {"_before": F.coalesce(F.sum("_words").over(upto), F.lit(0)), "_n_before": F.coalesce(F.sum("_n").over(upto), F.lit(0))}
+    # running sums within ranges of bins, moved up by those of the ranges before:
+    # no task holds all bins of a source
+    held = held.withColumn("_range", F.floor(F.col("_bin") / F.lit(RANGE)).cast("int"))
+    ranges = held.groupBy(F.col("_source").alias("_rs"), F.col("_range").alias("_r")).agg(
+        F.sum("_words").alias("_range_words"), F.sum("_n").alias("_range_n")
+    )
+    earlier = lambda keys, order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    lower = earlier(["_rs"], "_r")
+    ranges = ranges.select("_rs", "_r", before("_range_words", lower).alias("_words0"), before("_range_n", lower).alias("_n0"))
+    inside = earlier(["_source", "_range"], "_bin")
+    sums = (
+        held.join(ranges, F.col("_source").eqNullSafe(F.col("_rs")) & (F.col("_range") == F.col("_r")))
+        .withColumns(
+            {"_before": F.col("_words0") + before("_words", inside), "_n_before": F.col("_n0") + before("_n", inside)}
+        )
+        .drop("_rs", "_r", "_words0", "_n0", "_range")
     )
     # per source: the first bin that does not fit as a whole, and around it
     # the bins of the ``behind`` documents before and behind that may settle
