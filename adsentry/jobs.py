@@ -12,6 +12,7 @@ writes every output with the sinks (``--format parquet`` by default, or
 from __future__ import annotations
 
 import argparse
+import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,9 +49,13 @@ def _visits(spark: SparkSession, ns: argparse.Namespace) -> DataFrame:
     return ingest.visits_from_records(df) if ns.raw_records else df
 
 
+def _salt(ns: argparse.Namespace) -> str | None:
+    return None if ns.id_salt_env is None else os.environ[ns.id_salt_env]
+
+
 def _sessions(spark: SparkSession, ns: argparse.Namespace) -> DataFrame:
     df = readers.read_records(spark, ns.sessions)
-    return ingest.sessions_from_records(df) if ns.raw_records else df
+    return ingest.sessions_from_records(df, salt=_salt(ns)) if ns.raw_records else df
 
 
 def _write(df: DataFrame, path: str, ns: argparse.Namespace, mode: str = "overwrite") -> None:
@@ -199,7 +204,7 @@ _RAW = ("--raw", {"action": "store_true", "help": "input records carry a `fields
 )
 def _hardware_lib(spark, ns):
     devices = readers.read_records(spark, ns.devices)
-    lib = build_hardware_library(ingest.devices_from_fields(devices) if ns.raw else devices)
+    lib = build_hardware_library(ingest.devices_from_fields(devices, salt=_salt(ns)) if ns.raw else devices)
     _write(lib.hardware_uv, ns.uv_out, ns)
     _write(lib.device_hardware_count, ns.device_out, ns)
     _write(lib.hardware_count_histogram.orderBy("n_devices", "n_hardware"), ns.histogram_out, ns)
@@ -220,7 +225,7 @@ def _hardware_wash(spark, ns):
 )
 def _new_hardware(spark, ns):
     devices = readers.read_records(spark, ns.devices)
-    devices = ingest.devices_ext_from_fields(devices) if ns.raw else devices
+    devices = ingest.devices_ext_from_fields(devices, salt=_salt(ns)) if ns.raw else devices
     out = hardware.hardware_tac_uv(devices, identified=ns.identified)
     _write(out.orderBy(F.desc("uv"), "manufacturer", "model", "resolution", "tac"), ns.out, ns)
 
@@ -322,6 +327,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         action="store_true",
         help="visit / session inputs are in the original record layout (see sources.ingest)",
     )
+    parser.add_argument(
+        "--id-salt-env",
+        metavar="NAME",
+        help="with raw input: device identifiers become salted hashes; NAME is the environment variable that holds the salt",
+    )
     sub = parser.add_subparsers(dest="job", required=True)
     for name, (_, add) in JOBS.items():
         add(sub.add_parser(name))

@@ -186,3 +186,22 @@ def test_ingest_field_maps(spark):
     )
     out = hw.hardware_tac_uv_unidentified(ingest.devices_ext_from_fields(ext))
     assert rows(out) == [("empty", "empty", "720", "12345", 2)]
+
+
+def test_ingest_with_a_salt_hides_identifiers_and_keeps_the_tables(spark):
+    from adsentry.sources import ingest
+
+    ids = [("123456789012345", "a"), ("123459999999999", "b"), ("123459999999999", "b"), ("99", "c"), (None, "d"), ("99", None)]
+    ext = spark.createDataFrame(
+        [({"manufact": "M", **{k: v for k, v in (("imei", i), ("android_id", a)) if v}}, "X", "720") for i, a in ids],
+        "fields map<string,string>, os_model string, os_resolution string",
+    )
+    plain, hidden = ingest.devices_ext_from_fields(ext), ingest.devices_ext_from_fields(ext, salt="s3")
+    assert rows(hw.hardware_tac_uv(plain)) == rows(hw.hardware_tac_uv(hidden)) == [("M", "X", "720", "12345", 2), ("M", "X", "720", "unknow", 3)]
+    shown = {v for r in hidden.select("imei", "android_id").collect() for v in r if v}
+    assert not shown & {v for pair in ids for v in pair}
+    assert hidden.where("android_id IS NULL").count() == plain.where("android_id IS NULL").count() == 1
+    flat = spark.createDataFrame([({"dvc": "d1"},), ({"dvc": "d1"},), ({},)], "fields map<string,string>")
+    one = [r.device_id for r in ingest.devices_from_fields(flat, salt="x").collect()]
+    two = [r.device_id for r in ingest.devices_from_fields(flat, salt="y").collect()]
+    assert one[0] == one[1] != two[0] and one[2] is None and "d1" not in one

@@ -215,3 +215,16 @@ def test_ingest_visit_and_session_records(spark):
     assert (got.hour, got.imp_ips, got.cli_ips, got.requests, got.impressions, got.clicks) == (
         3, ["1.1.1.1", "1.1.1.2"], ["9.9.9.9"], 2, 2, 1)
     assert got.province == "provice-v" and got.uid == "u1"
+    assert ingest.sessions_from_records(sess_raw, salt="s").first().imei not in (None, "imei-v")
+    # without a request in the first event the day comes from the first time there is
+    late = [
+        [{"imp": (1704164400000, "1.1.1.1")}, {"req": (1704078000000, "1.1.1.1")}],
+        [{}, {"cli": (1704078000000, None)}],
+        [{"req": (None, "1.1.1.1"), "imp": (1704164400000, None)}],
+        [{"req": (None, "1.1.1.1")}],
+        [],
+        None,
+    ]
+    odd = spark.createDataFrame([("p0", f"m{i}", "ad1", device, events) for i, events in enumerate(late)], sess_raw.schema)
+    days = [r.day for r in ingest.sessions_from_records(odd).orderBy("media_key").collect()]
+    assert days == [dt.date(2024, 1, 2), dt.date(2024, 1, 1), dt.date(2024, 1, 2), None, None, None]
