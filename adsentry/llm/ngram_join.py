@@ -18,9 +18,11 @@ and is then verified once, on the full sets.
 Nothing works on a whole group of look-alikes at once. Equal sets are one
 class before the join. Classes that share a prefix n-gram are first compared
 with two pivots (two pairs a posting), again as long as that at least
-halves the pairs left; only where an n-gram still joins several components
-are the remaining pairs across them formed, which keeps large groups of near
-copies from being paired out and loses no link between components.
+halves the pairs left: one that has few n-grams of its own, which near copies
+with more edits link with although they don't link with each other, and one at
+random. Only where an n-gram still joins several components are the remaining
+pairs across them formed, which keeps large groups of near copies from being
+paired out and loses no link between components.
 """
 
 from __future__ import annotations
@@ -411,6 +413,10 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
     heads = classes.select(F.col("rep").alias("rid"))
     postings = staged(grams.join(shared, "gram").join(heads, "rid", "left_semi"), "ngram-postings")
     size = postings.count()
+    # by powers of two, how many n-grams of its prefix a class has to itself: the fewer, the more of its like it links with
+    held = postings.groupBy("rid").agg(F.count(F.lit(1)).alias("held"))
+    alone = sig.join(held, "rid").select("rid", F.floor(F.log2(1 + F.size("grams") - F.col("held"))).cast("int").alias("own"))
+    alone = staged(alone, "ngram-own")
 
     tested, labels, before = None, None, 0
     for turn in range(STAR_ROUNDS + 1):
@@ -448,10 +454,10 @@ def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int,
             )
             pairs = _ordered(met, "xrid", "xn", "yrid", "yn")
         else:
-            live = live.withColumn("key", F.xxhash64("rid", F.lit(turn)))
+            live = live.join(alone, "rid").withColumn("key", F.xxhash64("rid", F.lit(turn)))
             who = F.struct("rid", "n", "pos", "lab")
             pivots = live.groupBy("gram").agg(
-                F.min_by(who, "key").alias("v1"), F.max_by(who, "key").alias("v2")
+                F.min_by(who, F.struct("own", "key")).alias("v1"), F.max_by(who, "key").alias("v2")
             )
             met = live.join(pivots.select("gram", F.explode(F.array_distinct(F.array("v1", "v2"))).alias("v")), "gram").where(
                 (F.col("rid") != F.col("v.rid"))

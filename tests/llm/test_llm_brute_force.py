@@ -330,3 +330,28 @@ def test_suffix_parities_lose_no_link(spark):
             rows.append((len(rows), " ".join(own[: words - rng.randint(0, words // 12)])))
     got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), 5, (80, 100)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_brute_force(dict(rows), 5, 80, 100)
+
+
+def test_links_of_a_large_group_are_not_paired_out(spark, monkeypatch):
+    """Near copies of one text of which few link with each other, but nearly all with the few that have hardly an edit."""
+    staged, pairs = ngram_join.staged, []
+
+    def counting(df, name):
+        table = staged(df, name)
+        if name == "ngram-pairs":
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "staged", counting)
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        own = [f"w{k}" for k in range(400)]
+        for k in rng.sample(range(400), rng.choice((0, 1, 2)) if i % 40 == 0 else rng.randint(4, 9)):
+            own[k] = f"e{rng.random()}"
+        rows.append((i, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = ngram_join.ngram_join(df, 5, (80, 100)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_brute_force(dict(rows), 5, 80, 100)
+    # all pairs are 79,800
+    assert sum(pairs) <= 10 * len(rows), pairs
