@@ -653,15 +653,18 @@ hits AS (
 trials AS (SELECT uid, DATE '{TRIAL_DAY}' AS day, rule, len(v)::BIGINT AS n FROM hits)"""
 
 
-def _trials(spark, sf_dir, run=rules.cheater_trials):
+_SQL_WHOLE = f"uid, DATE '{TRIAL_DAY}' AS day, rule, len(v)::BIGINT AS n, array_to_string(v, ',') AS evidence"
+
+
+def _trials(spark, sf_dir, run=rules.cheater_trials, **more):
     black = build_blacklist(_v(spark, sf_dir, "visits")).blacklist
     facts = rules.facts_from_events(_v(spark, sf_dir, "profile_events"))
-    return run(facts, TRIAL_RULES, day=TRIAL_DAY, blacklist=black)
+    return run(facts, TRIAL_RULES, day=TRIAL_DAY, blacklist=black, **more)
 
 
-@register("cheater_trials", with_views(f"{_SQL_TRIALS}\nSELECT * FROM trials", "visits", "profiles"))
+@register("cheater_trials", with_views(f"{_SQL_TRIALS}\nSELECT {_SQL_WHOLE} FROM hits", "visits", "profiles"))
 def q_cheater_trials(spark, sf_dir):
-    return _trials(spark, sf_dir)
+    return _trials(spark, sf_dir, evidence=True)
 
 
 @register(

@@ -243,7 +243,7 @@ def _new_hardware(spark, ns):
 def _cheater_hunter(spark, ns):
     context = {"blacklist": readers.read_records(spark, ns.blacklist)} if ns.blacklist else {}
     facts = rules.facts_from_profiles(readers.read_records(spark, ns.profiles))
-    trials = rules.cheater_trials(facts, ns.rules.split(","), day=ns.day, **context)
+    trials = rules.cheater_trials(facts, ns.rules.split(","), day=ns.day, evidence=True, **context)
     _write(trials, ns.out, ns)
     if ns.summary_out:
         _write(rules.cheater_summary(readers.read_records(spark, ns.out) if ns.format == "parquet" else trials),

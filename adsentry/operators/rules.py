@@ -15,8 +15,9 @@ The rules are
   ``n`` distinct values of ``kind`` a suspect? They are looked up by name at run
   time, so a rule needs no code in this package, and share the pass of the count rules.
 
-A trial carries how many values broke the rule. The values themselves are
-``cheater_evidence``: one flat row per value, however many a user has.
+A trial carries how many values broke the rule and, with ``evidence=True``, all
+of these values. ``cheater_evidence`` has them as one flat row per value, for
+users with more of them than a row should hold.
 """
 
 from __future__ import annotations
@@ -64,9 +65,11 @@ def facts_from_profiles(profiles: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts).where(F.col("value").isNotNull())
 
 
-def _counted(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``keys, n`` of distinct rows ``keys, value``: combined before the shuffle, however many values a user has."""
-    return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def _counted(hits: DataFrame, keys: Sequence[str], evidence: bool = False) -> DataFrame:
+    """``keys, n`` of distinct rows ``keys, value``: combined before the shuffle, however many values a user has;
+    with ``evidence`` also ``found``, these values."""
+    found = [F.collect_list("value").alias("found")] if evidence else []
+    return hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *found)
 
 
 def _blacklisted_values(facts: DataFrame, blacklist: DataFrame | None = None, **_) -> DataFrame:
@@ -117,26 +120,34 @@ def _with_broken(counts: DataFrame, counted: dict[str, CountRule | None], kind:
     return tested.select(*counts.columns, F.explode(F.filter(names, lambda r: r.isNotNull())).alias("rule"))
 
 
-def cheater_trials(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:
+def cheater_trials(
+    facts: DataFrame, rules: Sequence[str], day: str | None = None, evidence: bool = False, **context
+) -> DataFrame:
     """A-22: ``(uid, day, rule, n)``: one row per user and rule it breaks, with the
     number of values that broke it; ``cheater_evidence`` has these, a row each.
 
-    ``day`` is the day of the trial (yyyy-MM-dd), carried as a DATE.
+    ``day`` is the day of the trial (yyyy-MM-dd), carried as a DATE. With
+    ``evidence`` a column of that name follows: all the values, in order, joined
+    by commas.
     """
     _known(facts, rules)
     counted = _count_rules(rules)
+    found = ["found"] if evidence else []
     parts: list[DataFrame] = []
     if counted:
-        per = _counted(_of_kinds(facts, counted).distinct(), ["uid", "kind"])
-        broken = _with_broken(per, counted, "kind", "n").select("uid", "rule", "n")
+        per = _counted(_of_kinds(facts, counted).distinct(), ["uid", "kind"], evidence)
+        broken = _with_broken(per, counted, "kind", "n").select("uid", "rule", "n", *found)
         if None in counted.values():  # an SQL rule may be broken by several kinds
-            broken = broken.groupBy("uid", "rule").agg(F.sum("n").alias("n"))
+            all_found = [F.flatten(F.collect_list("found")).alias("found")] if evidence else []
+            broken = broken.groupBy("uid", "rule").agg(F.sum("n").alias("n"), *all_found)
         parts.append(broken)
     for r in rules:
         if r not in counted:
-            parts.append(_counted(RULES[r].values(facts, **context), ["uid"]).select("uid", F.lit(r).alias("rule"), "n"))
-    trials = reduce(lambda a, b: a.unionByName(b), parts)
-    return trials.withColumn("day", F.to_date(F.lit(day))).select(*OUT_COLS)
+            per = _counted(RULES[r].values(facts, **context), ["uid"], evidence)
+            parts.append(per.select("uid", F.lit(r).alias("rule"), "n", *found))
+    trials = reduce(lambda a, b: a.unionByName(b), parts).withColumn("day", F.to_date(F.lit(day)))
+    whole = [F.array_join(F.sort_array("found"), ",").alias("evidence")] if evidence else []
+    return trials.select(*OUT_COLS, *whole)
 
 
 def cheater_evidence(facts: DataFrame, rules: Sequence[str], day: str | None = None, **context) -> DataFrame:

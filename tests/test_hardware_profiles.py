@@ -1,8 +1,10 @@
 import datetime
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from adsentry.catalog import QUERIES
 from adsentry.operators import hardware as hw
 from adsentry.operators import profiles as po
 from adsentry.operators import rules
@@ -138,6 +140,40 @@ def test_whole_evidence_of_a_user_with_many_values(spark):
     }
 
 
+def test_trials_carry_the_whole_evidence(spark):
+    ips, carriers = [f"6.6.6.{i}" for i in range(25)], [f"op{i}" for i in range(14)]
+    prof = spark.createDataFrame(
+        [("u1", ips + ips[:3], carriers), (None, ips[:2], carriers[:4]), ("u2", ["1.1.1.1"], carriers[:3])],
+        "uid string, locations array<string>, operators array<string>",
+    )
+    black = spark.createDataFrame([(ip,) for ip in ips], "ip string")
+    facts = rules.facts_from_profiles(prof)
+    day, names = datetime.date(2024, 1, 2), ["many_carriers", "blacklisted_ip"]
+    trials = rules.cheater_trials(facts, names, day="2024-01-02", evidence=True, blacklist=black)
+    joined = lambda values: ",".join(sorted(values))
+    expected = [
+        (None, day, "blacklisted_ip", 2, joined(ips[:2])),
+        (None, day, "many_carriers", 4, joined(carriers[:4])),
+        ("u1", day, "blacklisted_ip", 25, joined(ips)),
+        ("u1", day, "many_carriers", 14, joined(carriers)),
+    ]
+    assert rows(trials) == sorted(expected, key=repr)
+    assert rows(rules.cheater_summary([trials, trials])) == sorted(expected, key=repr)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION over_four(kind STRING, n BIGINT) RETURNS BOOLEAN RETURN n > 4")
+    several = rules.cheater_trials(facts, ["over_four"], evidence=True)
+    assert rows(several, "uid", "n", "evidence") == [("u1", 39, joined(ips + carriers))]
+
+
+@pytest.mark.parametrize("name", ["cheater_trials"])
+def test_queries_return_the_evidence_of_their_trials(spark, name):
+    want = {}
+    for r in QUERIES["cheater_evidence"](spark, SF_SMALL).collect():
+        want.setdefault((r.uid, r.day, r.rule), []).append(r.value)
+    got = QUERIES[name](spark, SF_SMALL)
+    assert got.columns == ["uid", "day", "rule", "n", "evidence"]
+    assert want and rows(got) == sorted(((*k, len(v), ",".join(sorted(v))) for k, v in want.items()), key=repr)
+
+
 def test_flat_profile_forms_match_stored_ones(spark):
     """One user holds a third of all rows; flat and array forms agree, and nothing is cut by id."""
     ev = fx.profile_events(spark, SF_SMALL)
