@@ -697,9 +697,9 @@ def q_cheater_trials_sql_rule(spark, sf_dir):
     return rules.cheater_trials(facts, ("many_places", "many_carriers"), day=TRIAL_DAY)
 
 
-@register("cheater_summary", with_views(f"{_SQL_TRIALS}\nSELECT DISTINCT * FROM trials", "visits", "profiles"))
+@register("cheater_summary", with_views(f"{_SQL_TRIALS}\nSELECT DISTINCT {_SQL_WHOLE} FROM hits", "visits", "profiles"))
 def q_cheater_summary(spark, sf_dir):
-    return rules.cheater_summary(_trials(spark, sf_dir))
+    return rules.cheater_summary(_trials(spark, sf_dir, evidence=True))
 
 
 @register(

@@ -164,7 +164,7 @@ def test_trials_carry_the_whole_evidence(spark):
     assert rows(several, "uid", "n", "evidence") == [("u1", 39, joined(ips + carriers))]
 
 
-@pytest.mark.parametrize("name", ["cheater_trials"])
+@pytest.mark.parametrize("name", ["cheater_trials", "cheater_summary"])
 def test_queries_return_the_evidence_of_their_trials(spark, name):
     want = {}
     for r in QUERIES["cheater_evidence"](spark, SF_SMALL).collect():
