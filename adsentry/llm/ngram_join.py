@@ -7,7 +7,8 @@ then share one of the first ``n - ceil(t n) + 1`` of them (the prefix), so only
 prefixes are joined. A pair met there has to pass, in this order:
 
 * length filter: the smaller set has at least t times the larger's size;
-* positional filter: what can still follow the shared n-gram is enough;
+* positional filter: what can still follow the shared n-gram is enough.
+  Postings that no other set's size and place let pass go out beforehand;
 * suffix filter: at the first n-gram that a pair shares, all n-grams before it
   differ, which leaves the rest of the allowed difference for the two suffixes
   behind it. The suffixes' hashed parities may differ in no more places than
@@ -254,9 +255,29 @@ def _wide_suffix(na: Column, nb: Column, threshold: tuple[int, int], before: Col
     )
 
 
+def _postings(grams: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The rows of ``gram, pos, n, rid`` whose n-gram other sets have too, with ``usable``: one of these may link.
+
+    The smaller of two linked sets has their first shared n-gram among the
+    places that suffice for its own size (the positional filter against a set
+    as small as itself; equal sizes: both have). So a posting meets either a
+    smaller set with such a place or, if its own place is one, a larger set,
+    the nearest of each being within the length filter.
+    """
+    num, den = threshold
+    n, by_size = F.col("n"), Window.partitionBy("gram").orderBy("n")
+    early = F.col("pos") <= n - _needed(n, n, threshold)
+    below = F.max(F.when(early, n)).over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    above, before = F.lead("n").over(by_size), F.lag("n").over(by_size)
+    usable = (below * den >= n * num) | (early & (above * num <= n * den))
+    marked = grams.withColumns({"usable": F.coalesce(usable, F.lit(False)), "_shared": above.isNotNull() | before.isNotNull()})
+    return marked.where("_shared").drop("_shared")
+
+
 def _with_suffixes(live: DataFrame, sig: DataFrame) -> DataFrame:
     """``gram, rid, n, pos, lab, prev, p0 .. p3, wide``: postings with the parity of what stands behind their place,
-    and the few of their document's postings before them."""
+    and the few of their document's postings before them. ``wide`` is empty where 256 bits are all there are; of
+    n-grams before a place only the bits that name their parity's place move."""
 
     def expand(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -264,21 +285,23 @@ def _with_suffixes(live: DataFrame, sig: DataFrame) -> DataFrame:
                 out: list[tuple] = []
                 for row in batch.slice(at, 64).to_pylist():
                     odd = np.unpackbits(np.frombuffer(row["wide"], np.uint8))
-                    bits, grams = len(odd), np.array(row["grams"], np.int64).view(np.uint64)
-                    places = sorted({p["pos"] for p in row["at"]})
-                    names, done = grams[places].view(np.int64).tolist(), 0
+                    bits, low = len(odd), np.array(row["low"], np.uint64)
+                    at_place = {p["pos"]: p["gram"] for p in row["at"]}
+                    places = sorted(at_place)
+                    names, done = [at_place[pos] for pos in places], 0
                     for i, pos in enumerate(places):
-                        odd = odd ^ parity(grams[done : pos + 1], bits)
+                        odd = odd ^ parity(low[done : pos + 1], bits)
                         done = pos + 1
-                        near, wide = _longs(_folded(odd, 256)).tolist(), _longs(odd).tolist()
+                        near, wide = _longs(_folded(odd, 256)).tolist(), _longs(odd).tolist() if bits > 256 else []
                         out.append((names[i], row["rid"], row["n"], pos, row["lab"], names[max(0, i - LOOK_BACK) : i], *near, wide))
                 kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] + [pa.int64()] * 4 + [pa.list_(pa.int64())]
                 names = ["gram", "rid", "n", "pos", "lab", "prev", "p0", "p1", "p2", "p3", "wide"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     schema = "gram long, rid long, n long, pos long, lab long, prev array<long>, p0 long, p1 long, p2 long, p3 long, wide array<long>"
-    by_row = live.groupBy("rid").agg(F.collect_list(F.struct("pos")).alias("at"), F.first("lab").alias("lab"))
-    return by_row.join(sig.select("rid", "n", "wide", "grams"), "rid").mapInArrow(expand, schema)
+    by_row = live.groupBy("rid").agg(F.collect_list(F.struct("pos", "gram")).alias("at"), F.first("lab").alias("lab"))
+    low = F.transform("grams", lambda g: g.bitwiseAND(F.lit(MAX_PARITY_BITS - 1)).cast("short"))
+    return by_row.join(sig.select("rid", "n", "wide", low.alias("low")), "rid").mapInArrow(expand, schema)
 
 
 def _parities(sig: DataFrame, prefix: str, key: str) -> DataFrame:
@@ -406,17 +429,18 @@ def _ordered(df: DataFrame, x: str, nx: str, y: str, ny: str) -> DataFrame:
 
 def _linked_classes(sig: DataFrame, classes: DataFrame, rows: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
     """``node, label``: the component of every class that is not the smallest of its own."""
-    # Counted before equal sets are made one, which spares a shuffle of all
-    # prefixes; n-grams that only copies share go out with the copies.
-    grams = sig.select("rid", "n", F.posexplode("grams").alias("pos", "gram"))
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
     heads = classes.select(F.col("rep").alias("rid"))
-    postings = staged(grams.join(shared, "gram").join(heads, "rid", "left_semi"), "ngram-postings")
-    size = postings.count()
+    mine = sig.select("rid", "n", "grams").join(heads, "rid", "left_semi")
+    # in this order of columns a posting is smallest on its way
+    grams = mine.select("rid", "n", F.posexplode("grams").alias("pos", "gram")).select("gram", "pos", "n", "rid")
+    postings = staged(_postings(grams, threshold), "ngram-postings")
     # by powers of two, how many n-grams of its prefix a class has to itself: the fewer, the more of its like it links with
     held = postings.groupBy("rid").agg(F.count(F.lit(1)).alias("held"))
-    alone = sig.join(held, "rid").select("rid", F.floor(F.log2(1 + F.size("grams") - F.col("held"))).cast("int").alias("own"))
+    sizes = sig.select("rid", F.size("grams").alias("prefix"))
+    alone = sizes.join(held, "rid").select("rid", F.floor(F.log2(1 + F.col("prefix") - F.col("held"))).cast("int").alias("own"))
     alone = staged(alone, "ngram-own")
+    postings = postings.where("usable").drop("usable")
+    size = postings.count()
 
     tested, labels, before = None, None, 0
     for turn in range(STAR_ROUNDS + 1):

@@ -355,3 +355,47 @@ def test_links_of_a_large_group_are_not_paired_out(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_brute_force(dict(rows), 5, 80, 100)
     # all pairs are 79,800
     assert sum(pairs) <= 10 * len(rows), pairs
+
+
+def test_postings_that_cannot_link_do_not_move(spark, monkeypatch):
+    """Short texts inside long ones share their rarest n-grams, but no two sizes that may link."""
+    inner, moved = ngram_join._with_suffixes, []
+
+    def counting(live, sig):
+        moved.append(live.count())
+        return inner(live, sig)
+
+    monkeypatch.setattr(ngram_join, "_with_suffixes", counting)
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        short = [f"s{i}.{k}" for k in range(40)]
+        at = rng.randrange(600)
+        rows.append((2 * i, " ".join(short)))
+        rows.append((2 * i + 1, " ".join([f"w{k}" for k in range(at)] + short + [f"w{k}" for k in range(at, 600)])))
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), 5, (80, 100)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_brute_force(dict(rows), 5, 80, 100)
+    assert sum(moved) <= len(rows), moved
+
+
+def test_postings_keep_all_that_may_link(spark):
+    rng = random.Random(10)
+    rows, rid = [], 0
+    for gram in range(300):
+        for _ in range(rng.choice((1, 2, 2, 3, 8))):
+            n = rng.randint(1, 60) if gram % 3 else rng.randint(40, 60)
+            rows.append((gram, rng.randrange(n - -(-80 * n // 100) + 1), n, rid))
+            rid += 1
+    table = spark.createDataFrame(rows, "gram long, pos int, n long, rid long")
+    got = {r.rid: r.usable for r in ngram_join._postings(table, (80, 100)).collect()}
+    shared, link = set(), set()
+    for g, p, n, x in rows:
+        for h, q, m, y in rows:
+            if g == h and x != y:
+                shared.add(x)
+                if 100 * min(n, m) >= 80 * max(n, m) and 180 * min(n - p, m - q) >= 80 * (n + m):
+                    link.add(x)
+    kept = {x for x, usable in got.items() if usable}
+    assert set(got) == shared and link <= kept
+    # of those that may not link most go
+    assert len(kept - link) < len(shared - link) / 2
