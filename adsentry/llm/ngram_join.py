@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adsentry.llm.common import columns_of, fresh_name, ship_code, staged, tie_order
+from adsentry.llm.common import columns_of, fresh_name, ship_code, staged, take_worker, tie_order
 from adsentry.llm.components import components
 
 WORDS = 5
@@ -115,6 +115,7 @@ def corpus_counts(texts: DataFrame, n: int) -> np.ndarray:
     tasks = max(64, 4 * spark.sparkContext.defaultParallelism)
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("ngram")
         total = np.zeros(width, np.int64)
         for _, some in _texts(it, 0):
             for grams in _joined(ngram_hashes(some, n)):
@@ -188,6 +189,7 @@ def signatures(rows: DataFrame, n: int, threshold: tuple[int, int], counts: np.n
     shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("ngram")
         rarity = shared.value
         for part, texts in _texts(it, 1):
             sizes, keys, parities, wide, prefixes = [], [], [], [], []
@@ -280,6 +282,7 @@ def _with_suffixes(live: DataFrame, sig: DataFrame) -> DataFrame:
     n-grams before a place only the bits that name their parity's place move."""
 
     def expand(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("ngram")
         for batch in it:
             for at in range(0, batch.num_rows, 64):
                 out: list[tuple] = []
@@ -353,6 +356,7 @@ def _verify(pairs: DataFrame, sig: DataFrame, rows: DataFrame, n: int, threshold
     shared = rows.sparkSession.sparkContext.broadcast(packed)
 
     def build(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("ngram")
         chosen = shared.value
         for batch in it:
             mine = np.ones(batch.num_rows, np.uint8)
@@ -374,6 +378,7 @@ def _verify(pairs: DataFrame, sig: DataFrame, rows: DataFrame, n: int, threshold
     num, den = threshold
 
     def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("ngram")
         last = {}  # sets of the slice before: neighbours share a text
         for batch in it:
             for at in range(0, batch.num_rows, 64):

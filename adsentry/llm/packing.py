@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adsentry.llm.common import columns_of, numbered, ship_code, staged
+from adsentry.llm.common import columns_of, keep_in_worker, numbered, ship_code, staged, take_worker
 
 CAPACITY = 4096
 GRID = 64  # length classes of the pattern fit
@@ -123,6 +123,7 @@ class WordTokenizer:
 def _tokenizer(path: str) -> WordTokenizer:
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordTokenizer(path)
+        keep_in_worker("packing", _TOKENIZERS.clear)
     return _TOKENIZERS[path]
 
 
@@ -133,6 +134,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     end = int(end_id).to_bytes(4, "little")
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("packing")
         tokenizer = _tokenizer(tokenizer_path)
         for batch in it:
             for at in range(0, batch.num_rows, 512):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsentry.llm.common import columns_of, fresh_name, ship_code, staged
+from adsentry.llm.common import columns_of, fresh_name, ship_code, staged, take_worker
 from adsentry.llm.quality_rules import TextMeasures, _batches
 
 MAX_LABELLED = 8_000  # labelled rows that the weights are learned from
@@ -147,6 +147,7 @@ def train(
     texts = columns_of(docs, _id=id_col, _text=text_col).where(F.col("_id").isNotNull() & ~held_out(F.col("_id")))
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("classifier")
         for batch in _batches(it):
             x = [features(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["id", "x"])
@@ -215,6 +216,7 @@ def score_documents(docs: DataFrame, model: PairwiseModel, id_col: str = "doc_id
     rows = columns_of(docs, _id=id_col, _text=text_col)
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("classifier")
         for batch in _batches(it):
             if batch.num_rows:
                 x = np.array([features(t) for t in batch.column(1).to_pylist()], dtype=float)
@@ -245,6 +247,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", **trai
     def score(texts):
         import pandas as pd
 
+        take_worker("classifier")
         return pd.Series(model.score(np.array([features(t) for t in texts], dtype=float).reshape(len(texts), -1)) if len(texts) else [], dtype="float64")
 
     name = fresh_name(docs, "_quality")

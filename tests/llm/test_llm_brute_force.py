@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,6 +240,26 @@ def test_word_cache_gives_the_tokenizers_ids():
         assert np.frombuffer(ids, "<u4").tolist() == words.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_words_go_when_a_worker_takes_up_other_work(spark, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = spark.createDataFrame([(1, "a b c d e f", 0)], "_id long, _text string, _th long")
+    model = quality_classifier.fit_pairs(np.zeros((0, len(quality_classifier.FEATURES))), np.zeros(0, int))
+    tasks = []
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, task, schema: tasks.append(task) or self)
+    packing.token_pieces(rows, path, id_col="_id", text_col="_text")
+    ngram_join.signatures(rows, 5, (80, 100), np.zeros(1 << ngram_join.SKETCH_BITS, np.int64))
+    quality_classifier.score_documents(rows, model, id_col="_id", text_col="_text")
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a b c d e f"]), pa.array([0])], ["_id", "_text", "_th"])
+    pack, *others = tasks
+    for other in others:
+        list(pack(iter([batch])))
+        held = packing._TOKENIZERS[path]
+        list(pack(iter([batch])))
+        assert packing._TOKENIZERS[path] is held and held.ids
+        list(other(iter([batch])))
+        assert not packing._TOKENIZERS
+
+
 def test_pack_histogram_places_every_piece_once():
     rng = random.Random(3)
     for _ in range(20):
