@@ -9,7 +9,8 @@ from adsentry.llm.common import staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.inline(ways))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
@@ -25,9 +26,8 @@ def _settled(edges: DataFrame) -> bool:
 
     Edges run from larger to smaller, so a star's centre is its smallest node.
     """
-    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
-        edges.select("v", F.lit(0), F.lit(1))
-    )
+    end = lambda x, below: F.struct(F.col(x).alias("x"), F.lit(below).alias("below"), F.lit(1 - below).alias("above"))
+    ends = edges.select(F.inline(F.array(end("u", 1), end("v", 0))))
     per = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
     return per.where("below > 1 or below > 0 and above > 0").isEmpty()
 
@@ -37,8 +37,9 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     ``edges`` has ``a, b`` (BIGINT) in any direction; loops and repeats do not
     matter. A node's neighbours are never gathered: both stars are a
-    pre-aggregated minimum joined back to the edges. Each round is written
-    out; the rounds grow with the logarithm of the components' diameter.
+    pre-aggregated minimum joined back to the edges. Each star is written
+    out, as the next step reads its edges several times; the rounds grow with
+    the logarithm of the components' diameter.
     """
     now = staged(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-edges"
@@ -46,5 +47,6 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     for _ in range(max_rounds):
         if _settled(now):
             return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        now = staged(_small_star(_large_star(now)), "cc-edges")
+        large = staged(_large_star(now), "cc-large")
+        now = staged(_small_star(large), "cc-edges")
     raise RuntimeError("components did not settle")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adsentry.llm.common import columns_of, fresh_name, ship_code, staged, word_count
+from adsentry.llm.common import columns_of, fresh_name, release, ship_code, staged, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3.0  # a target stops at so many times its source's size
@@ -138,7 +138,7 @@ def _copies(rows: DataFrame, weights, share, cap, seed, bins, behind) -> DataFra
         # what may still be taken: beyond the first round, documents that are
         # too long for what is left are aside (the rest only shrinks)
         open_rows = ranked.join(state, same).drop("_ps").where("_size > 0 and _bin >= _from" + (" and _size <= _left" if k else ""))
-        settled = staged(_edges(open_rows, bins, behind), "mix-edges")
+        settled = _edges(open_rows, bins, behind)
         if settled.isEmpty():
             break
         segments.append(settled.select("_ps", "_from", "_edge", F.when(F.lit(k > 0), F.col("_limit")).alias("_limit")))
@@ -176,14 +176,17 @@ def _edges(open_rows: DataFrame, bins: int, behind: int) -> DataFrame:
     """Per source ``_ps, _from, _limit, _edge, _last, _need``: from bin
     ``_from`` on, all of ``open_rows`` below bin ``_edge`` fit into ``_limit``
     words; the bins up to ``_last`` are filled one by one with ``_need`` left.
-    If everything fits, ``_edge`` and ``_last`` are ``bins``."""
+    If everything fits, ``_edge`` and ``_last`` are ``bins``.
+
+    Each step is written out: every one is read twice by the next, and as one
+    plan it would hold the documents four times over."""
     same = F.col("_source").eqNullSafe(F.col("_ps"))
     held = open_rows.groupBy("_source", "_bin").agg(
         F.sum("_size").alias("_words"), F.count(F.lit(1)).alias("_n"), F.first("_from").alias("_from"), F.first("_left").alias("_limit")
     )
     # running sums within ranges of bins, moved up by those of the ranges before:
     # no task holds all bins of a source
-    held = held.withColumn("_range", F.floor(F.col("_bin") / F.lit(RANGE)).cast("int"))
+    held = staged(held.withColumn("_range", F.floor(F.col("_bin") / F.lit(RANGE)).cast("int")), "mix-bins")
     ranges = held.groupBy(F.col("_source").alias("_rs"), F.col("_range").alias("_r")).agg(
         F.sum("_words").alias("_range_words"), F.sum("_n").alias("_range_n")
     )
@@ -199,6 +202,7 @@ def _edges(open_rows: DataFrame, bins: int, behind: int) -> DataFrame:
         )
         .drop("_rs", "_r", "_words0", "_n0", "_range")
     )
+    sums = staged(sums, "mix-sums")
     # per source: the first bin that does not fit as a whole, and around it
     # the bins of the ``behind`` documents before and behind that may settle
     # the rest, with what is left where they begin
@@ -212,7 +216,7 @@ def _edges(open_rows: DataFrame, bins: int, behind: int) -> DataFrame:
         | ((F.col("_bin") > F.col("_at")) & (F.col("_n_before") < F.col("_n_at") + F.lit(behind)))
     )
     around = around.groupBy("_source").agg(F.min(F.struct("_bin", "_before")).alias("a"), F.max("_bin").alias("_to"))
-    return edge.join(around, same, "left").select(
+    settled = edge.join(around, same, "left").select(
         "_ps",
         "_from",
         "_limit",
@@ -220,6 +224,9 @@ def _edges(open_rows: DataFrame, bins: int, behind: int) -> DataFrame:
         F.coalesce("_to", F.lit(bins)).alias("_last"),
         (F.col("_limit") - F.coalesce("a._before", "_all")).alias("_need"),
     )
+    settled = staged(settled, "mix-edges")
+    release(held, sums)
+    return settled
 
 
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -95,6 +95,22 @@ def test_components_of_chains_and_hubs(spark):
     assert got == {**{i: 0 for i in range(1, 61)}, **{i: 1000 for i in range(1001, 1040)}, 2001: 2000}
 
 
+def test_no_plan_of_a_round_reads_its_tables_over_and_over(spark, monkeypatch):
+    reads = defaultdict(int)
+
+    def counted(df, name, put=mixing.staged):
+        reads[name] = max(reads[name], df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return put(df, name)
+
+    monkeypatch.setattr("adsentry.llm.components.staged", counted)
+    monkeypatch.setattr(mixing, "staged", counted)
+    components(spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")).collect()
+    df = spark.createDataFrame([(i, "w " * (i % 7 + 1), "ab"[i % 2]) for i in range(60)], "doc_id long, text string, source string")
+    assert mixing.mix_sources(df).count() == 60
+    assert reads["cc-edges"] and reads["mix-edges"]
+    assert max(reads.values()) <= 3, dict(reads)
+
+
 def test_classifier_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     label = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{sf}/labels.parquet'").fetchall())
